@@ -36,9 +36,19 @@ def _refuse(when: Column, message: str) -> Column:
     return F.when(when, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
 
 
+def _null_message(keys: Sequence[str]) -> str:
+    return f"NULL in merge key {list(keys)}"
+
+
 def require_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``batch``, failing the job at the first row with a NULL in its key."""
-    return batch.where(_refuse(has_null_key(keys), f"NULL in merge key {list(keys)}"))
+    """``batch``, failing the job at the first row with a NULL in its key.
+
+    The check is part of the key's value, not a filter: a not-null filter that
+    Catalyst infers from a join cannot get in before it.
+    """
+    types = {f.name: f.dataType for f in batch.schema}
+    refusal = F.raise_error(F.lit(_null_message(keys)))
+    return batch.withColumns({k: F.coalesce(col(k), refusal.cast(types[k])) for k in keys})
 
 
 def current_snapshot(table: DataFrame) -> DataFrame:
@@ -51,13 +61,14 @@ def dedupe_batch(
     keys: Sequence[str],
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
+    null_keys: str = "error",
 ) -> DataFrame:
     """At most one row per key, checked or chosen.
 
     ``error`` fails the job on a second row, ``last`` keeps the row that is
     greatest by ``order_by`` (then by row hash, so ties are settled alike on
-    every run), ``keep`` leaves the batch as it is. Rows with a NULL key are no
-    duplicates of each other and all stay.
+    every run), ``keep`` leaves the batch as it is. Rows with a NULL key fail the
+    job, or with ``null_keys="keep"`` all stay: they are no duplicates of each other.
 
     The rank filter lets Spark cut each key to one or two rows within the map
     task, so a key that fills the batch is never gathered. The shuffle is by the
@@ -72,7 +83,10 @@ def dedupe_batch(
 
     order = [col(c).desc_nulls_last() for c in (*order_by, HASH)]
     rank = F.row_number().over(Window.partitionBy(*[col(k) for k in keys]).orderBy(*order))
-    keyed = batch.where(has_full_key(keys)).withColumn("_rank", rank)
+    if null_keys == "keep":
+        keyed = batch.where(has_full_key(keys)).withColumn("_rank", rank)
+    else:
+        keyed = require_keys(batch, keys).withColumn("_rank", rank)
     if on_duplicate == "last":
         keyed = keyed.where(F.col("_rank") == 1)
     else:
@@ -81,7 +95,9 @@ def dedupe_batch(
             _refuse(second, f"duplicate merge key {list(keys)} in the batch")
         )
     keyed = keyed.drop("_rank")
-    return keyed.unionByName(batch.where(has_null_key(keys)))
+    if null_keys == "keep":
+        return keyed.unionByName(batch.where(has_null_key(keys)))
+    return keyed
 
 
 def _stored_summary(table: DataFrame, keys: Sequence[str], partitioned: bool) -> DataFrame:
@@ -133,7 +149,8 @@ def classify_changes(
         raise ValueError(f"null_keys must be one of {NULL_KEYS}")
     partitioned = PARTITION in batch.columns
     if null_keys == "error":
-        keyed = require_keys(batch, keys)
+        # a filter here: it leaves the key, and so its partitioning, as they are
+        keyed = batch.where(_refuse(has_null_key(keys), _null_message(keys)))
     else:
         keyed = batch.where(has_full_key(keys))
 

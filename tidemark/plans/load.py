@@ -85,13 +85,9 @@ def load_batch(
     exists = table_exists(spark, path)
     table = read_final(spark, spec, path) if exists else empty_table(spark, spec)
     unique = spec.on_duplicate_keys != "keep"
-    classified = classify_changes(
-        dedupe_batch(batch, spec.keys, spec.on_duplicate_keys, spec.dedupe_by),
-        table,
-        spec.keys,
-        null_keys=spec.null_key_policy,
-        unique_keys=unique,
-    )
+    nulls = spec.null_key_policy
+    batch = dedupe_batch(batch, spec.keys, spec.on_duplicate_keys, spec.dedupe_by, nulls)
+    classified = classify_changes(batch, table, spec.keys, nulls, unique_keys=unique)
     with Staged(classified, path) as staged:
         new, changed, touched = _tally(staged, spec)
         if new + changed == 0 and exists:

@@ -205,15 +205,22 @@ def superseded(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- merges ----------------------------------------------------------------
 
 
+def _staged(spark: SparkSession, sf_dir: str, source: Source) -> DataFrame:
+    """The classified batch, written once: a merge reads it twice."""
+    path = f"{scratch(spark)}/classified"
+    _classified(spark, sf_dir, source).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def type1_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = current_snapshot(stored_table(spark, sf_dir))
-    return scd1_merge(stored, _classified(spark, sf_dir, CUSTOMER), [CUSTOMER.key])
+    return scd1_merge(stored, _staged(spark, sf_dir, CUSTOMER), [CUSTOMER.key])
 
 
 def _type2_merge(source: Source, close_scope: str = "current") -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         stored = stored_table(spark, sf_dir, source)
-        classified = _classified(spark, sf_dir, source)
+        classified = _staged(spark, sf_dir, source)
         return scd2_merge(stored, classified, [source.key], RUN_DATE, close_scope, unique_keys=True)
 
     return query
