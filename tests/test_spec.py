@@ -1,0 +1,125 @@
+import json
+
+import pytest
+from pyspark.sql import types as T
+
+from tests.helpers import spec
+from tidemark import TableSpec
+
+DESCRIPTION = {
+    "appName": "Load accounts",
+    "sourceType": "file",
+    "rawFileName": "accounts",
+    "rawFilePattern": "accounts_*.csv",
+    "appDir": "crm",
+    "tableDir": "accounts_dim",
+    "inFileType": "CSV",
+    "readDelim": ";",
+    "writeDelim": ",",
+    "saveMode": "Overwrite",
+    "scdType": "TYPE2",
+    "outFileType": "csv",
+    "rawFileSchema": "id STRING, name STRING, phone STRING",
+    "sqlSelect": "id, phone",
+    "sqlAudit": "current, effectivedate, enddate, rowhash, partitionKey",
+    "currentTable": "accounts_final",
+    "finalFileSchema": "id STRING, phone STRING, current STRING, effectiveDate STRING, "
+    "endDate STRING, rowHash STRING, partitionKey INT",
+    "currentTableMergeKey": "id",
+    "rawFileMergeKey": "id",
+    "isPartitioned": "Y",
+}
+
+
+def described(**changes):
+    return TableSpec.from_json(json.dumps(DESCRIPTION | changes))
+
+
+def test_from_json():
+    s = described()
+    assert s == TableSpec(
+        name="accounts",
+        keys=("id",),
+        raw_schema="id STRING, name STRING, phone STRING",
+        scd_type=2,
+        columns=("id", "phone"),
+        partitioned=True,
+        app_dir="crm",
+        table_dir="accounts_dim",
+        landing_pattern="accounts_*.csv",
+        landing_format="csv",
+        landing_delimiter=";",
+        table_format="csv",
+        text_dialect="plain",
+        save_mode="overwrite",
+        hash_mode="compat",
+    )
+    assert s.landing_path("/in/") == "/in/crm/accounts_dim/accounts_*.csv"
+    assert s.table_path("/out") == "/out/crm/accounts_dim"
+
+
+@pytest.mark.parametrize(
+    "changes",
+    [
+        {"sourceType": "jdbc"},
+        {"scdType": "type3"},
+        {"isPartitioned": "yes"},
+        {"currentTableMergeKey": "key"},
+        {"finalFileSchema": "phone STRING, id STRING"},
+        {"inFileType": "xml"},
+        {"saveMode": "upsert"},
+    ],
+)
+def test_from_json_refuses(changes):
+    with pytest.raises(ValueError):
+        described(**changes)
+
+
+def test_final_schema_follows_the_columns():
+    s = spec(partitioned=True, columns=("v", "k"))
+    assert s.final_struct.simpleString() == (
+        "struct<v:string,k:int,current:string,effectiveDate:date,endDate:date,"
+        "rowHash:string,partitionKey:int>"
+    )
+    assert isinstance(spec().final_struct["effectiveDate"].dataType, T.DateType)
+    assert spec().columns == ("k", "v")
+
+
+@pytest.mark.parametrize(
+    "options",
+    [
+        {"scd_type": 3},
+        {"table_format": "avro"},
+        {"landing_format": "json"},
+        {"save_mode": "merge"},
+        {"hash_mode": "md5"},
+        {"on_duplicate_keys": "first"},
+        {"on_duplicate_keys": "last"},
+        {"null_key_policy": "drop"},
+        {"close_scope": "none"},
+        {"text_dialect": "excel"},
+        {"columns": ("v",)},
+        {"columns": ("k", "x")},
+        {"columns": ("k", "k")},
+        {"dedupe_by": ("x",)},
+        {"files_per_partition": 0},
+    ],
+)
+def test_refused_options(options):
+    with pytest.raises(ValueError):
+        spec(**{"scd_type": 2} | options)
+
+
+def test_reserved_and_nested_columns_are_refused():
+    with pytest.raises(ValueError, match="audit"):
+        TableSpec("t", ("k",), "k int, ROWHASH string", 2)
+    TableSpec("t", ("k",), "k int, currentBalance string", 2)
+    with pytest.raises(ValueError, match="nested"):
+        TableSpec("t", ("k",), "k int, a array<int>", 2, table_format="csv")
+    TableSpec("t", ("k",), "k int, a array<int>", 2)
+
+
+def test_merges_need_keys():
+    with pytest.raises(ValueError, match="keys"):
+        TableSpec("t", (), "k int", 1)
+    TableSpec("t", (), "k int", 0)

@@ -14,7 +14,7 @@ from tidemark.spec import TEXT_FORMATS, TableSpec
 # Text tables that read back exactly as written
 STRICT_TEXT = {
     "nullValue": "\\N",
-    "emptyValue": "",
+    "lineSep": "\n",
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
