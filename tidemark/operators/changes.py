@@ -143,7 +143,7 @@ def classify_changes(
     A row has changed unless every open version of its key carries its hash; a
     stored NULL hash counts as different. One join finds new and changed rows
     alike. ``unique_keys=False`` says that a key may repeat in the batch, at any
-    frequency; repeated rows are all classified.
+    frequency; the result is the same either way.
     """
     if null_keys not in NULL_KEYS:
         raise ValueError(f"null_keys must be one of {NULL_KEYS}")

@@ -19,6 +19,7 @@ from tidemark.operators.changes import (
     has_null_key,
 )
 from tidemark.operators.sizing import fits_broadcast
+from tidemark.operators.skew import salted_left_join
 
 CLOSE_SCOPES = ("current", "all")
 
@@ -89,14 +90,14 @@ def scd2_parts(
     keys: Sequence[str],
     run_date: date | str,
     close_scope: str = "current",
-    unique_keys: bool = False,
+    unique_keys: bool = True,
 ) -> MergeParts:
     """Type 2: open versions of changed keys are closed, the batch's rows are added.
 
     Few changed keys are broadcast: the stored rows are read once and not
     shuffled. Otherwise only open versions are shuffled, by key; history passes
-    by, whatever share of it one key holds. ``unique_keys`` says that no key
-    repeats among the changed rows, which saves a second pass over the shuffle.
+    by, whatever share of it one key holds. ``unique_keys=False`` says that a key
+    may have open versions in any number; the result is the same either way.
 
     ``close_scope="all"`` is for tables kept by the older rule: every stored
     version of a changed key is closed anew, and versions that equal the new row
@@ -104,43 +105,36 @@ def scd2_parts(
     """
     if close_scope not in CLOSE_SCOPES:
         raise ValueError(f"close_scope must be one of {CLOSE_SCOPES}")
-    stored_columns = [col(c) for c in table.columns]
     incoming = incoming_rows(classified)
+    marks = (
+        classified.where(col(ROW_TYPE) == CHANGED)
+        .groupBy(*[col(k) for k in keys])
+        .agg(F.min(HASH).alias("_low"), F.max(HASH).alias("_high"))
+        if close_scope == "all"
+        else changed_keys(classified, keys).distinct()
+    ).withColumn("_hit", F.lit(True))
+    hit = F.col("_hit").isNotNull()
+
+    def closed(marked: DataFrame) -> DataFrame:
+        if close_scope == "all":
+            differs = (F.col("_low") != col(HASH)) | (F.col("_high") != col(HASH))
+            rows = close_rows(marked.where(~hit | differs), run_date, hit)
+        else:
+            rows = close_rows(marked, run_date, hit & (col(CURRENT) == OPEN_FLAG))
+        return rows.select(*[col(c) for c in table.columns])
 
-    if close_scope == "all":
-        marks = (
-            classified.where(col(ROW_TYPE) == CHANGED)
-            .groupBy(*[col(k) for k in keys])
-            .agg(F.min(HASH).alias("_low"), F.max(HASH).alias("_high"))
-        )
-        hit = F.col("_low").isNotNull()
-        differs = (F.col("_low") != col(HASH)) | (F.col("_high") != col(HASH))
-        if fits_broadcast(marks):
-            marks = F.broadcast(marks)
-        stored = table.join(marks, list(keys), "left").where(~hit | differs)
-        return MergeParts(None, close_rows(stored, run_date, hit).select(*stored_columns).unionByName(incoming))
-
-    gone = changed_keys(classified, keys)
-    marks = gone if unique_keys else gone.distinct()
     if fits_broadcast(marks):
-        marked = table.join(F.broadcast(marks.withColumn("_hit", F.lit(True))), list(keys), "left")
-        hit = F.col("_hit").isNotNull() & (col(CURRENT) == OPEN_FLAG)
-        return MergeParts(close_rows(marked, run_date, hit).select(*stored_columns), incoming)
-
-    open_rows = current_snapshot(table).where(has_full_key(keys))
-    passing = table.where(
-        (col(CURRENT) != OPEN_FLAG) | col(CURRENT).isNull() | has_null_key(keys)
-    )
-    if unique_keys:
-        marked = open_rows.join(marks.withColumn("_hit", F.lit(True)), list(keys), "left")
-        stored = close_rows(marked, run_date, F.col("_hit").isNotNull()).select(*stored_columns)
+        return MergeParts(closed(table.join(F.broadcast(marks), list(keys), "left")), incoming)
+
+    keyed, passing = has_full_key(keys), has_null_key(keys)
+    if close_scope == "current":
+        keyed = (col(CURRENT) == OPEN_FLAG) & keyed
+        passing = (col(CURRENT) != OPEN_FLAG) | col(CURRENT).isNull() | passing
+    if unique_keys and close_scope == "current":
+        marked = table.where(keyed).join(marks, list(keys), "left")
     else:
-        # semi and anti joins need no distinct keys, and adaptive execution can
-        # split a hot key on their left side; both read the same shuffle
-        stored = retained_rows(open_rows, classified, keys).unionByName(
-            superseded_rows(open_rows, classified, keys, run_date)
-        )
-    return MergeParts(passing, stored.unionByName(incoming))
+        marked = salted_left_join(table.where(keyed), marks, keys)
+    return MergeParts(table.where(passing), closed(marked).unionByName(incoming))
 
 
 def scd2_merge(
@@ -149,7 +143,7 @@ def scd2_merge(
     keys: Sequence[str],
     run_date: date | str,
     close_scope: str = "current",
-    unique_keys: bool = False,
+    unique_keys: bool = True,
 ) -> DataFrame:
     """Retained, closed, new and changed rows."""
     return scd2_parts(table, classified, keys, run_date, close_scope, unique_keys).union()

@@ -221,7 +221,7 @@ def _type2_merge(source: Source, close_scope: str = "current") -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         stored = stored_table(spark, sf_dir, source)
         classified = _staged(spark, sf_dir, source)
-        return scd2_merge(stored, classified, [source.key], RUN_DATE, close_scope, unique_keys=True)
+        return scd2_merge(stored, classified, [source.key], RUN_DATE, close_scope)
 
     return query
 

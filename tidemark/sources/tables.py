@@ -88,7 +88,7 @@ def _slot(n: int) -> Column:
 
 def _gathered(df: DataFrame) -> DataFrame:
     """``df`` shuffled by table partition, with large partitions split over tasks."""
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() == "true":
         return df.hint("rebalance", col(PARTITION))
     return df.repartition(col(PARTITION), _slot(FIXED_SPLIT))
 
