@@ -65,11 +65,12 @@ def test_several_open_versions_give_one_row_and_all_partitions(spark):
         partitioned=True,
     )
     got = classify_changes(batch(spark, [(1, "b"), (5, "n")], partition=20), table, ["k"])
-    assert tuples(got, "k", "rowType", "pKey", "pKeys") == [
-        (1, "CurrentRows", 12, [10, 11, 12]),
-        (5, "NewRows", 20, [20]),
+    assert tuples(got, "k", "rowType", "pKey", "firstPKey", "openVersions") == [
+        (1, "CurrentRows", 12, 10, 3),
+        (5, "NewRows", 20, 20, 0),
     ]
-    assert tuples(affected_partitions(got)) == [(10,), (11,), (12,), (20,)]
+    assert tuples(affected_partitions(got)) == [(10,), (12,), (20,)]
+    assert tuples(affected_partitions(got, table, ["k"])) == [(10,), (11,), (12,), (20,)]
 
 
 def test_equal_open_copies_are_unchanged(spark):

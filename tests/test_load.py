@@ -177,6 +177,19 @@ def test_stale_copy_after_a_crash_is_cleared_by_the_next_change(spark, tmp_path)
     ]
 
 
+@pytest.mark.parametrize("scd_type", [1, 2])
+def test_open_versions_in_many_partitions_are_all_found(spark, tmp_path, scd_type):
+    s, path = spec(scd_type, partitioned=True), str(tmp_path / "dim")
+    for partition in (101, 102, 103, 104):
+        rows = with_audit(frame(spark, [(1, f"v{partition}"), (partition, "x")]), s.columns, day(1))
+        rows.write.parquet(partition_path(path, partition))
+    got = load_batch(spark, s, frame(spark, [(1, "new")]), path, day(2), 110)
+    assert got.affected == (101, 102, 103, 104, 110)
+    rows = tuples(read_final(spark, s, path).where("k = 1"), "v", "current", PARTITION)
+    closed = [] if scd_type == 1 else [(f"v{p}", "N", p) for p in (101, 102, 103, 104)]
+    assert rows == sorted([*closed, ("new", "Y", 110)], key=repr)
+
+
 def test_new_column_counts_every_row_as_changed_once(spark, tmp_path):
     path = str(tmp_path / "dim")
     load_batch(spark, spec(2, columns=("k",)), frame(spark, [(1, "a"), (2, "b")]), path, day(1))

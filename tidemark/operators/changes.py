@@ -14,8 +14,9 @@ from tidemark.operators.skew import salted_left_join
 
 ROW_TYPE = "rowType"
 P_KEY = "pKey"
-P_KEYS = "pKeys"
-TAGS = (ROW_TYPE, P_KEY, P_KEYS)
+FIRST_P_KEY = "firstPKey"
+OPEN_VERSIONS = "openVersions"
+TAGS = (ROW_TYPE, P_KEY, FIRST_P_KEY, OPEN_VERSIONS)
 NEW = "NewRows"
 CHANGED = "CurrentRows"
 
@@ -101,19 +102,20 @@ def dedupe_batch(
 
 
 def _stored_summary(table: DataFrame, keys: Sequence[str], partitioned: bool) -> DataFrame:
-    """One row per current key: bounds of its hashes and where it is stored.
+    """One row per current key: bounds of its hashes and of where it is stored.
 
     A table that breaks the one-open-version rule can hold any number of open
     rows of a key. They are reduced before the shuffle, so the join below never
-    fans out.
+    fans out. A missing hash stands as '', which no hash equals.
     """
-    aggregates = [
-        F.min(HASH).alias("_low"),
-        F.max(HASH).alias("_high"),
-        F.bool_or(col(HASH).isNull()).alias("_unhashed"),
-    ]
+    stored_hash = F.coalesce(col(HASH), F.lit(""))
+    aggregates = [F.min(stored_hash).alias("_low"), F.max(stored_hash).alias("_high")]
     if partitioned:
-        aggregates.append(F.array_sort(F.collect_set(PARTITION)).alias("_stored_in"))
+        aggregates += [
+            F.min(PARTITION).alias("_first"),
+            F.max(PARTITION).alias("_last"),
+            F.count(F.lit(1)).alias("_open"),
+        ]
     return table.groupBy(*[col(k) for k in keys]).agg(*aggregates)
 
 
@@ -135,10 +137,10 @@ def classify_changes(
 ) -> DataFrame:
     """New and changed rows of ``batch``, tagged; unchanged rows are left out.
 
-    Adds ``rowType`` and, for a partitioned table, ``pKey`` (the newest partition
-    that holds an open version of the key; for new rows the batch's own) and
-    ``pKeys`` (all of them: more than one only where an interrupted run or
-    duplicate loads left several open versions).
+    Adds ``rowType`` and, for a partitioned table, ``pKey`` and ``firstPKey`` (the
+    highest and the lowest partition that holds an open version of the key; for
+    new rows the batch's own) and ``openVersions``, their number. That is more
+    than one only where an interrupted run or duplicate loads left several.
 
     A row has changed unless every open version of its key carries its hash; a
     stored NULL hash counts as different. One join finds new and changed rows
@@ -160,28 +162,33 @@ def classify_changes(
     else:
         joined = salted_left_join(keyed, stored, keys)
 
-    known = F.col("_unhashed").isNotNull()
-    same = ~F.col("_unhashed") & (F.col("_low") == col(HASH)) & (F.col("_high") == col(HASH))
-    tagged = joined.where(~F.coalesce(same, F.lit(False))).withColumn(
-        ROW_TYPE, F.when(known, F.lit(CHANGED)).otherwise(F.lit(NEW))
-    )
+    known = F.col("_low").isNotNull()
+    same = known & (F.col("_low") == col(HASH)) & (F.col("_high") == col(HASH))
+    tags = [F.when(known, F.lit(CHANGED)).otherwise(F.lit(NEW)).alias(ROW_TYPE)]
     if partitioned:
-        tagged = tagged.withColumn(
-            P_KEYS, F.when(known, F.col("_stored_in")).otherwise(F.array(col(PARTITION)))
-        ).withColumn(P_KEY, F.array_max(P_KEYS))
-    tags = [ROW_TYPE, P_KEY, P_KEYS] if partitioned else [ROW_TYPE]
-    result = tagged.select(*[col(c) for c in batch.columns], *tags)
+        tags += _places(F.col("_last"), F.col("_first"), F.col("_open"))
+    result = joined.where(~same).select(*[col(c) for c in batch.columns], *tags)
 
     if null_keys == "keep":
-        unkeyed = batch.where(has_null_key(keys)).withColumn(ROW_TYPE, F.lit(NEW))
+        tags = [F.lit(NEW).alias(ROW_TYPE)]
         if partitioned:
-            unkeyed = unkeyed.withColumn(P_KEYS, F.array(col(PARTITION))).withColumn(
-                P_KEY, col(PARTITION)
-            )
-        result = result.unionByName(unkeyed)
+            nothing = F.lit(None).cast("int")
+            tags += _places(nothing, nothing, nothing)
+        unkeyed = batch.where(has_null_key(keys))
+        result = result.unionByName(unkeyed.select(*[col(c) for c in batch.columns], *tags))
     return result
 
 
+def _places(last: Column, first: Column, number: Column) -> list[Column]:
+    """Where the open versions are; a key without any counts as in its own partition."""
+    own = col(PARTITION)
+    return [
+        F.coalesce(last, own).alias(P_KEY),
+        F.coalesce(first, own).alias(FIRST_P_KEY),
+        F.coalesce(number, F.lit(0)).cast("bigint").alias(OPEN_VERSIONS),
+    ]
+
+
 def new_rows(batch: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows whose key has no open version. Rows with a NULL key are new."""
     known = _keyed_current(table, batch, keys).select(*[col(k) for k in keys]).distinct()
@@ -191,9 +198,7 @@ def new_rows(batch: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFra
 def changed_rows(batch: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows whose key has an open version with another (or no) hash."""
     stored = _stored_summary(_keyed_current(table, batch, keys), keys, partitioned=False)
-    differs = (
-        F.col("_unhashed") | (F.col("_low") != col(HASH)) | (F.col("_high") != col(HASH))
-    )
+    differs = (F.col("_low") != col(HASH)) | (F.col("_high") != col(HASH))
     return (
         batch.join(stored, list(keys), "inner")
         .where(differs)
@@ -201,8 +206,22 @@ def changed_rows(batch: DataFrame, table: DataFrame, keys: Sequence[str]) -> Dat
     )
 
 
-def affected_partitions(classified: DataFrame) -> DataFrame:
+def affected_partitions(
+    classified: DataFrame, table: DataFrame | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
     """The partitions a classified batch touches, one row each, as ``pKey``: those
-    that hold open versions of its changed keys, and the one it is loaded into."""
-    touched = F.explode(F.array_union(col(P_KEYS), F.array(col(PARTITION))))
-    return classified.select(touched.alias(P_KEY)).distinct()
+    that hold open versions of its changed keys, and the one it is loaded into.
+
+    The tags name the lowest and the highest partition of a key. With ``table``
+    and ``keys`` those in between are looked up too, for changed keys with more
+    than two open versions.
+    """
+    places = F.explode(F.array(col(P_KEY), col(FIRST_P_KEY), col(PARTITION)))
+    touched = classified.select(places.alias(P_KEY))
+    if table is not None:
+        scattered = classified.where(col(OPEN_VERSIONS) > 2).select(*[col(k) for k in keys])
+        if fits_broadcast(scattered):
+            scattered = F.broadcast(scattered)
+        between = current_snapshot(table).join(scattered, list(keys), "left_semi")
+        touched = touched.union(between.select(PARTITION))
+    return touched.distinct()

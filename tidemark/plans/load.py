@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -10,8 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import PARTITION, with_audit
-from tidemark.operators import classify_changes, dedupe_batch, scd1_parts, scd2_parts
-from tidemark.operators.changes import CHANGED, NEW, P_KEYS, ROW_TYPE
+from tidemark.operators import (
+    affected_partitions,
+    classify_changes,
+    dedupe_batch,
+    scd1_parts,
+    scd2_parts,
+)
+from tidemark.operators.changes import CHANGED, FIRST_P_KEY, NEW, OPEN_VERSIONS, P_KEY, ROW_TYPE
 from tidemark.operators.merge import MergeParts
 from tidemark.sources import (
     Staged,
@@ -89,12 +94,16 @@ def load_batch(
     batch = dedupe_batch(batch, spec.keys, spec.on_duplicate_keys, spec.dedupe_by, nulls)
     classified = classify_changes(batch, table, spec.keys, nulls, unique_keys=unique)
     with Staged(classified, path) as staged:
-        new, changed, touched = _tally(staged, spec)
+        tally = _tally(staged, spec.partitioned)
+        new, changed = tally.rows[NEW], tally.rows[CHANGED]
         if new + changed == 0 and exists:
             return LoadResult(path, 0, 0)
         if not spec.partitioned:
             replace_table_parts(_merge(spec, table, staged, run_date, unique), spec, path)
             return LoadResult(path, new, changed)
+        touched = tally.touched
+        if tally.scattered:
+            touched = {r[0] for r in affected_partitions(staged, table, spec.keys).collect()}
         affected = sorted({*touched, stamp})
         held = read_partitions(spark, spec, path, affected) if exists else table
         parts = _merge(spec, held, staged, run_date, unique)
@@ -110,17 +119,28 @@ def _merge(
     return scd2_parts(table, staged, spec.keys, run_date, spec.close_scope, unique)
 
 
-def _tally(staged: DataFrame, spec: TableSpec) -> tuple[int, int, Sequence[int]]:
-    """New rows, changed rows and touched partitions: a row per partition at most
-    for each of the two row types comes to the driver."""
-    if spec.partitioned:
-        places = staged.select(ROW_TYPE, F.posexplode(P_KEYS).alias("_nth", PARTITION))
-        counted = places.groupBy(ROW_TYPE, PARTITION).agg(
-            F.count_if(F.col("_nth") == 0).alias("_rows")
+@dataclass(frozen=True)
+class _Tally:
+    rows: dict[str, int]
+    touched: set[int]
+    scattered: bool
+
+
+def _tally(staged: DataFrame, partitioned: bool) -> _Tally:
+    """Rows by type, and where their open versions are. For each row type a row
+    per partition of the table comes to the driver, at most."""
+    if partitioned:
+        ends = F.array_distinct(F.array(P_KEY, FIRST_P_KEY))
+        counted = (
+            staged.select(ROW_TYPE, OPEN_VERSIONS, F.posexplode(ends).alias("_nth", PARTITION))
+            .groupBy(ROW_TYPE, PARTITION)
+            .agg(F.count_if(F.col("_nth") == 0).alias("_rows"), F.max(OPEN_VERSIONS).alias("_open"))
         )
     else:
         counted = staged.groupBy(ROW_TYPE).agg(F.count("*").alias("_rows"))
     found = counted.collect()
-    by_type = {t: sum(r["_rows"] for r in found if r[ROW_TYPE] == t) for t in (NEW, CHANGED)}
-    touched = {r[PARTITION] for r in found} if spec.partitioned else set()
-    return by_type[NEW], by_type[CHANGED], sorted(touched)
+    return _Tally(
+        {t: sum(r["_rows"] for r in found if r[ROW_TYPE] == t) for t in (NEW, CHANGED)},
+        {r[PARTITION] for r in found} if partitioned else set(),
+        partitioned and any(r["_open"] > 2 for r in found),
+    )

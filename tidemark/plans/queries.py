@@ -36,7 +36,7 @@ from tidemark.operators import (
     scd2_merge,
     superseded_rows,
 )
-from tidemark.operators.changes import P_KEYS
+from tidemark.operators.changes import FIRST_P_KEY, OPEN_VERSIONS
 from tidemark.plans.fixture import (
     CUSTOMER,
     FIRST_PARTITION,
@@ -177,11 +177,14 @@ def _classified(spark: SparkSession, sf_dir: str, source: Source) -> DataFrame:
 
 
 def _classify(source: Source) -> Query:
-    return lambda spark, sf_dir: _classified(spark, sf_dir, source).drop(P_KEYS)
+    return lambda spark, sf_dir: _classified(spark, sf_dir, source).drop(
+        FIRST_P_KEY, OPEN_VERSIONS
+    )
 
 
 def touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return affected_partitions(_classified(spark, sf_dir, CUSTOMER))
+    stored = stored_table(spark, sf_dir)
+    return affected_partitions(_classified(spark, sf_dir, CUSTOMER), stored, [CUSTOMER.key])
 
 
 def only_new(spark: SparkSession, sf_dir: str) -> DataFrame:
