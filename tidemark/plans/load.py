@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import PARTITION, with_audit
+from tidemark.functions import PARTITION, col, with_audit
 from tidemark.operators import (
     affected_partitions,
     classify_changes,
@@ -79,10 +79,12 @@ def load_batch(
     if spec.partitioned and partition_key is None:
         raise ValueError("a partitioned table needs a partition key for the run")
     stamp = int(partition_key) if spec.partitioned else None
-    batch = with_audit(landed, spec.columns, run_date, stamp, spec.hash_mode)
+
+    def audited(rows: DataFrame) -> DataFrame:
+        return with_audit(rows, spec.columns, run_date, stamp, spec.hash_mode)
 
     if spec.scd_type == 0:
-        save_rows(batch, spec, path, stamp)
+        save_rows(audited(landed), spec, path, stamp)
         return LoadResult(path)
 
     if not spec.partitioned:
@@ -91,8 +93,9 @@ def load_batch(
     table = read_final(spark, spec, path) if exists else empty_table(spark, spec)
     unique = spec.on_duplicate_keys != "keep"
     nulls = spec.null_key_policy
-    batch = dedupe_batch(batch, spec.keys, spec.on_duplicate_keys, spec.dedupe_by, nulls)
-    classified = classify_changes(batch, table, spec.keys, nulls, unique_keys=unique)
+    landed = landed.select(*[col(c) for c in spec.columns])
+    batch = dedupe_batch(landed, spec.keys, spec.on_duplicate_keys, spec.dedupe_by, nulls)
+    classified = classify_changes(audited(batch), table, spec.keys, nulls, unique_keys=unique)
     with Staged(classified, path) as staged:
         tally = _tally(staged, spec.partitioned)
         new, changed = tally.rows[NEW], tally.rows[CHANGED]

@@ -123,10 +123,6 @@ FROM day1
 UNION ALL {_batch_rows(CUSTOMER)}"""
 
 
-LINE_COLUMNS = (
-    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate", "l_extendedprice",
-)
-
 C_NAMES = ", ".join(CUSTOMER.names)
 
 ORACLE_SQL: dict[str, str] = {
@@ -156,11 +152,12 @@ FROM final0 WHERE "current" = 'Y'""",
 WITH n AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate,
          CAST(l_extendedprice AS {MONEY}) AS l_extendedprice FROM lineitem),
-h AS (SELECT *, {_hash(LINE_COLUMNS, 'delimited')} AS rowHash FROM n),
 ranked AS (
   SELECT *, row_number() OVER (
-    PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, rowHash DESC) AS rn FROM h)
-SELECT {', '.join(LINE_COLUMNS)}, rowHash FROM ranked WHERE rn = 1""",
+    PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_returnflag DESC, l_extendedprice DESC) AS rn
+  FROM n)
+SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
     "classify_changes": _with(CUSTOMER, "SELECT * FROM classified"),
     "classify_changes_orders": _with(ORDERS, "SELECT * FROM classified"),
     "affected_partitions": _with(

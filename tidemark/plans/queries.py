@@ -161,18 +161,17 @@ def open_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def last_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch with repeated composite keys, cut to the last shipped row of each."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    columns = [
+    batch = lines.select(
         *("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"),
         F.col("l_shipdate").cast("date").alias("l_shipdate"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("l_extendedprice"),
-    ]
-    narrow = lines.select(*columns)
-    batch = narrow.withColumn(HASH, row_hash(narrow.columns))
+    )
     return dedupe_batch(batch, ["l_orderkey", "l_linenumber"], "last", ["l_shipdate"])
 
 
 def _classified(spark: SparkSession, sf_dir: str, source: Source) -> DataFrame:
-    batch = dedupe_batch(audited_batch(spark, sf_dir, source), [source.key])
+    landed = dedupe_batch(landed_batch(spark, sf_dir, source), [source.key])
+    batch = with_audit(landed, source.names, RUN_DATE, RUN_PARTITION, "compat")
     return classify_changes(batch, stored_table(spark, sf_dir, source), [source.key])
 
 
