@@ -1,4 +1,5 @@
 import hashlib
+import random
 from datetime import date
 
 import pytest
@@ -33,6 +34,13 @@ def test_values_that_look_like_the_delimiter_do_not_collide(spark):
     assert len(set(hashes(spark, pair, "delimited"))) == 4
 
 
+def test_delimited_hash_is_one_to_one_on_awkward_text(spark):
+    rnd = random.Random(7)
+    texts = [None, *("".join(rnd.choices("01:-a", k=rnd.randint(0, 4))) for _ in range(300))]
+    rows = sorted({(rnd.choice(texts), rnd.choice(texts)) for _ in range(5000)}, key=repr)
+    assert len(set(hashes(spark, rows, "delimited"))) == len(rows)
+
+
 def test_unknown_hash_mode(spark):
     with pytest.raises(ValueError, match="hash mode"):
         row_hash(["a"], "md5")

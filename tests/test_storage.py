@@ -193,7 +193,12 @@ def test_big_partition_is_written_by_several_tasks(spark, tmp_path):
     )
     s = spec(2, partitioned=True)
     path = str(tmp_path / "dim")
-    with conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="256k"):
+    with conf(
+        spark,
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="256k",
+        # as many staged files, and so tasks before the rebalance, as there are cores
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    ):
         load_batch(spark, s, rows, path, day(1), 10)
         load_batch(spark, s, rows.withColumn("v", F.lit("x")), path, day(2), 11)
     assert len(data_files(f"{path}/partitionKey=11")) > 1

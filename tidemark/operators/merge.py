@@ -32,11 +32,10 @@ class MergeParts(NamedTuple):
     """
 
     in_place: DataFrame | None
-    moved: DataFrame | None
+    moved: DataFrame
 
     def union(self) -> DataFrame:
-        parts = [p for p in self if p is not None]
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return self.moved if self.in_place is None else self.in_place.unionByName(self.moved)
 
 
 def changed_keys(classified: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ class Directory:
 
     def __init__(self, spark: SparkSession, path: str):
         self._hadoop = spark._jvm.org.apache.hadoop.fs
-        conf = spark._jsc.hadoopConfiguration()
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
         raw = self._hadoop.Path(path)
         self._fs = raw.getFileSystem(conf)
         self.path = self._fs.makeQualified(raw).toString()

@@ -6,14 +6,15 @@ from collections.abc import Iterable, Sequence
 from math import ceil
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions import CURRENT, EFFECTIVE, HASH, PARTITION, col
 from tidemark.operators.merge import MergeParts
 from tidemark.sources.filesystem import Directory
 from tidemark.sources.formats import landing_options, spark_format, table_options, writable
-from tidemark.spec import TableSpec
+from tidemark.spec import DELTA, TableSpec
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 # a partition is rewritten into fewer files once it has this many times too many
@@ -25,13 +26,17 @@ FIXED_SPLIT = 32
 def read_landing(spark: SparkSession, spec: TableSpec, base: str) -> DataFrame:
     """The landed files that match the spec's glob, under its explicit schema."""
     return (
-        spark.read.schema(spec.raw_struct)
-        .format(spark_format(spec.landing_format))
+        _reader(spark, spec.landing_format, spec.raw_struct)
         .options(**landing_options(spec))
         .load(spec.landing_path(base))
     )
 
 
+def _reader(spark: SparkSession, name: str, schema: StructType) -> DataFrameReader:
+    reader = spark.read.format(spark_format(name))
+    return reader if name == DELTA else reader.schema(schema)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     return Directory(spark, path).exists()
 
@@ -39,8 +44,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def read_final(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     """The whole stored table: all partitions, all versions."""
     return (
-        spark.read.schema(spec.final_struct)
-        .format(spark_format(spec.table_format))
+        _reader(spark, spec.table_format, spec.final_struct)
         .options(**table_options(spec))
         .load(path)
         .select(*[col(c) for c in spec.final_struct.fieldNames()])
@@ -62,7 +66,7 @@ def partition_path(path: str, partition: int) -> str:
     return f"{path.rstrip('/')}/{PARTITION}={int(partition)}"
 
 
-def _writer(df: DataFrame, spec: TableSpec, mode: str):
+def _writer(df: DataFrame, spec: TableSpec, mode: str) -> DataFrameWriter:
     return (
         writable(df, spec)
         .write.format(spark_format(spec.table_format))
@@ -102,14 +106,31 @@ def save_rows(
     replaces that directory (even by nothing), append adds files to it, ignore
     and errorifexists ask whether it is there.
     """
+    if spec.files_per_partition is not None:
+        df = df.repartition(spec.files_per_partition)
+    if spec.table_format == DELTA:
+        _save_delta(df, spec, path, [partition_key], spec.save_mode)
+        return
     if spec.partitioned:
         path = partition_path(path, partition_key)
         df = df.drop(PARTITION)
-    if spec.files_per_partition is not None:
-        df = df.repartition(spec.files_per_partition)
     _writer(df, spec, spec.save_mode).save(path)
 
 
+def _save_delta(
+    df: DataFrame, spec: TableSpec, path: str, partitions: Sequence[int], mode: str = "overwrite"
+) -> None:
+    """Delta tables keep their own log: they are overwritten through it, in place,
+    whole or by partition. Never run here, for want of Delta's jar."""
+    writer = _writer(df, spec, mode)
+    if spec.partitioned:
+        writer = writer.partitionBy(PARTITION)
+        if mode == "overwrite" and table_exists(df.sparkSession, path):
+            listed = ", ".join(str(int(p)) for p in partitions)
+            writer = writer.option("replaceWhere", f"{PARTITION} IN ({listed})")
+    writer.save(path)
+
+
 def recover_table(spark: SparkSession, path: str) -> None:
     """Finish or undo a `replace_table` that was cut off between its renames."""
     table = Directory(spark, path)
@@ -133,6 +154,9 @@ def replace_table(df: DataFrame, spec: TableSpec, path: str) -> None:
     atomic; `recover_table` settles a swap that was cut off.
     """
     spark = df.sparkSession
+    if spec.table_format == DELTA:
+        _writer(_capped(df, spec), spec, "overwrite").save(path)
+        return
     recover_table(spark, path)
     table = Directory(spark, path)
     staged, previous = table.sibling("__next"), table.sibling("__prev")
@@ -170,7 +194,10 @@ def publish_partitions(
     that outweighs the others. Stored rows still in file order skip that, unless
     their partitions have gathered many small files.
     """
-    spark = (parts.moved if parts.moved is not None else parts.in_place).sparkSession
+    spark = parts.moved.sparkSession
+    if spec.table_format == DELTA:
+        _save_delta(_capped(parts.union(), spec), spec, path, affected)
+        return []
     table = Directory(spark, path)
     before = {p: table.data_files(partition_path(table.path, p)) for p in affected}
 

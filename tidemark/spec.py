@@ -12,7 +12,8 @@ from tidemark.functions import AUDIT_COLUMNS, CURRENT, EFFECTIVE, END, HASH, PAR
 from tidemark.operators.changes import NULL_KEYS, ON_DUPLICATE, TAGS
 from tidemark.operators.merge import CLOSE_SCOPES
 
-FORMATS = ("csv", "txt", "parquet", "orc", "delta")
+DELTA = "delta"
+FORMATS = ("csv", "txt", "parquet", "orc", DELTA)
 TEXT_FORMATS = ("csv", "txt")
 SAVE_MODES = ("overwrite", "append", "ignore", "errorifexists", "error")
 SCD_TYPES = (0, 1, 2)
