@@ -1,4 +1,5 @@
 import random
+from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -190,6 +191,24 @@ def test_open_versions_in_many_partitions_are_all_found(spark, tmp_path, scd_typ
     assert rows == sorted([*closed, ("new", "Y", 110)], key=repr)
 
 
+def test_run_date_may_carry_a_time(spark, tmp_path):
+    load_batch(spark, spec(2), frame(spark, [(1, "a")]), str(tmp_path / "d"), datetime(2024, 1, 2, 13))
+    assert tuples(read_final(spark, spec(2), str(tmp_path / "d")), "effectiveDate") == [(day(1),)]
+
+
+def test_work_folder_beside_the_table_when_the_session_names_none(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    settings = type(spark.conf)
+    found = settings.get
+    monkeypatch.setattr(
+        settings, "get", lambda self, key, *a: None if key == "spark.checkpoint.dir" else found(self, key, *a)
+    )
+    s, path = spec(2, partitioned=True), str(tmp_path / "dim")
+    load_batch(spark, s, frame(spark, [(1, "a")]), path, day(1), 101)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["_dim__work", "dim"]
+    assert not list((tmp_path / "_dim__work").glob("tidemark-*"))
+
+
 def test_new_column_counts_every_row_as_changed_once(spark, tmp_path):
     path = str(tmp_path / "dim")
     load_batch(spark, spec(2, columns=("k",)), frame(spark, [(1, "a"), (2, "b")]), path, day(1))

@@ -6,6 +6,9 @@ from pyspark.sql import types as T
 from tests.helpers import spec
 from tidemark import TableSpec
 
+# Spark parses the DDL
+pytestmark = pytest.mark.usefixtures("spark")
+
 DESCRIPTION = {
     "appName": "Load accounts",
     "sourceType": "file",
@@ -123,3 +126,9 @@ def test_merges_need_keys():
     with pytest.raises(ValueError, match="keys"):
         TableSpec("t", (), "k int", 1)
     TableSpec("t", (), "k int", 0)
+
+
+def test_names_match_in_any_case():
+    s = TableSpec("t", "ID", "id int, Name varchar(10), day date", 2, columns=("ID", "name"))
+    assert (s.keys, s.columns) == (("id",), ("id", "Name"))
+    assert s.final_struct["Name"].dataType == T.StringType()

@@ -10,6 +10,7 @@ from tidemark.functions.audit import (
     as_date,
     close_rows,
     col,
+    parse_run_date,
     row_hash,
     with_audit,
 )
@@ -26,6 +27,7 @@ __all__ = [
     "as_date",
     "close_rows",
     "col",
+    "parse_run_date",
     "row_hash",
     "with_audit",
 ]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,9 +24,16 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def parse_run_date(value: date | str) -> date:
+    """A calendar day from a date, a timestamp or ISO text."""
+    if isinstance(value, datetime):
+        return value.date()
+    return value if isinstance(value, date) else date.fromisoformat(value)
+
+
 def as_date(run_date: date | str) -> Column:
     """The run date as a foldable DATE literal."""
-    return F.lit(run_date if isinstance(run_date, date) else date.fromisoformat(run_date))
+    return F.lit(parse_run_date(run_date))
 
 
 def row_hash(columns: Sequence[str], mode: str = "delimited") -> Column:

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import PARTITION, col, with_audit
+from tidemark.functions import PARTITION, col, parse_run_date, with_audit
 from tidemark.operators import (
     affected_partitions,
     classify_changes,
@@ -30,7 +30,7 @@ from tidemark.sources import (
     save_rows,
     table_exists,
 )
-from tidemark.spec import TableSpec, parse_run_date
+from tidemark.spec import TableSpec
 
 
 @dataclass(frozen=True)

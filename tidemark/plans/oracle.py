@@ -123,6 +123,27 @@ FROM day1
 UNION ALL {_batch_rows(CUSTOMER)}"""
 
 
+def _by_customer(select: str, key: str = "o_custkey") -> str:
+    """All orders keyed by customer against the last order of each."""
+    columns = ("o_custkey", "o_orderstatus", "o_orderpriority")
+    names = ", ".join(columns)
+    return f"""
+WITH stored AS (
+  SELECT {names}, 'Y' AS "current", DATE '2024-01-01' AS effectiveDate, {NO_END} AS endDate,
+         {_hash(columns)} AS rowHash
+  FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders)
+  WHERE rn = 1),
+raw AS (
+  SELECT {key} AS o_custkey, o_orderstatus, o_orderpriority, 'Y' AS "current",
+         DATE '2024-02-01' AS effectiveDate, {NO_END} AS endDate, {_hash(columns)} AS rowHash
+  FROM orders),
+classified AS (
+  SELECT r.*, CASE WHEN s.o_custkey IS NULL THEN 'NewRows' ELSE 'CurrentRows' END AS rowType
+  FROM raw r LEFT JOIN stored s ON r.o_custkey = s.o_custkey
+  WHERE s.o_custkey IS NULL OR r.rowHash <> s.rowHash)
+{select}"""
+
+
 C_NAMES = ", ".join(CUSTOMER.names)
 
 ORACLE_SQL: dict[str, str] = {
@@ -160,6 +181,10 @@ ranked AS (
 SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
     "classify_changes": _with(CUSTOMER, "SELECT * FROM classified"),
     "classify_changes_orders": _with(ORDERS, "SELECT * FROM classified"),
+    "classify_changes_repeated_keys": _by_customer("SELECT * FROM classified"),
+    "classify_changes_null_keys": _by_customer(
+        "SELECT * FROM classified", "CASE WHEN o_custkey % 7 <> 0 THEN o_custkey END"
+    ),
     "affected_partitions": _with(
         CUSTOMER,
         "SELECT DISTINCT pKey FROM classified UNION SELECT partitionKey FROM classified",
@@ -183,6 +208,12 @@ FROM final0 WHERE "current" = 'Y' AND c_custkey IN (SELECT c_custkey FROM change
     "scd2_merge": _with(CUSTOMER, _scd2(CUSTOMER)),
     "scd2_merge_orders": _with(ORDERS, _scd2(ORDERS)),
     "scd2_merge_all_versions": _with(CUSTOMER, _scd2_all(CUSTOMER)),
+    "scd2_merge_repeated_keys": _by_customer(
+        """SELECT o_custkey, o_orderstatus, o_orderpriority, CASE WHEN hit THEN 'N' ELSE 'Y' END AS "current",
+       effectiveDate, CASE WHEN hit THEN DATE '2024-01-31' END AS endDate, rowHash
+FROM (SELECT *, o_custkey IN (SELECT o_custkey FROM classified WHERE rowType = 'CurrentRows') AS hit FROM stored)
+UNION ALL SELECT * EXCLUDE (rowType) FROM classified"""
+    ),
     "scd2_merge_partitioned": _with(CUSTOMER, _scd2(CUSTOMER)),
     "scd2_merge_partitioned_orders": _with(ORDERS, _scd2(ORDERS)),
     "scd2_merge_table": _with(CUSTOMER, _scd2(CUSTOMER, partitioned=False)),

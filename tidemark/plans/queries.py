@@ -181,6 +181,44 @@ def _classify(source: Source) -> Query:
     )
 
 
+# --- batches with repeated or missing keys ---------------------------------
+
+
+def _orders_by_customer(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All orders as a batch keyed by customer, so keys repeat, and a stored table
+    with the last order of every customer as its open version."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    columns = ["o_custkey", "o_orderstatus", "o_orderpriority"]
+    last = orders.groupBy("o_custkey").agg(
+        *[F.max_by(c, "o_orderkey").alias(c) for c in columns[1:]]
+    )
+    return (
+        with_audit(orders, columns, RUN_DATE, hash_mode="compat"),
+        with_audit(last, columns, FIRST_DAY, hash_mode="compat"),
+    )
+
+
+def classify_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch, stored = _orders_by_customer(spark, sf_dir)
+    return classify_changes(batch, stored, ["o_custkey"], unique_keys=False)
+
+
+def classify_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh customer's orders lose their key, and count as new."""
+    batch, stored = _orders_by_customer(spark, sf_dir)
+    missing = F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey"))
+    batch = batch.withColumn("o_custkey", missing)
+    return classify_changes(batch, stored, ["o_custkey"], null_keys="keep", unique_keys=False)
+
+
+def merge_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, stored = _orders_by_customer(spark, sf_dir)
+    path = f"{scratch(spark)}/classified"
+    classify_repeated(spark, sf_dir).write.parquet(path)
+    classified = spark.read.parquet(path)
+    return scd2_merge(stored, classified, ["o_custkey"], RUN_DATE, unique_keys=False)
+
+
 def touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = stored_table(spark, sf_dir)
     return affected_partitions(_classified(spark, sf_dir, CUSTOMER), stored, [CUSTOMER.key])
@@ -321,6 +359,8 @@ QUERIES: dict[str, Query] = {
     "dedupe_batch": last_lineitems,
     "classify_changes": _classify(CUSTOMER),
     "classify_changes_orders": _classify(ORDERS),
+    "classify_changes_repeated_keys": classify_repeated,
+    "classify_changes_null_keys": classify_null_keys,
     "affected_partitions": touched_partitions,
     "new_rows": only_new,
     "changed_rows": only_changed,
@@ -332,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "scd2_merge": _type2_merge(CUSTOMER),
     "scd2_merge_orders": _type2_merge(ORDERS),
     "scd2_merge_all_versions": _type2_merge(CUSTOMER, "all"),
+    "scd2_merge_repeated_keys": merge_repeated,
     "scd2_merge_partitioned": _load(CUSTOMER, 2, partitioned=True),
     "scd2_merge_partitioned_orders": _load(ORDERS, 2, partitioned=True),
     "scd2_merge_table": _load(CUSTOMER, 2),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark.sql import types as T
 
@@ -29,7 +28,8 @@ def _one_of(name: str, value, allowed) -> None:
 class TableSpec:
     """What to read, how to tell rows apart and how to keep them.
 
-    ``raw_schema`` is the DDL of the landed files, by position for text files.
+    ``raw_schema`` is the DDL of the landed files, by position for text files. Spark
+    parses it, so a session must be there.
     ``columns`` are the business columns to keep (all of them by default): they
     make up the row hash, so adding one makes every row count as changed once.
     """
@@ -68,10 +68,13 @@ class TableSpec:
     close_scope: str = "current"
 
     def __post_init__(self) -> None:
+        raw = self.raw_struct.fieldNames()
+        by_lower = {c.lower(): c for c in raw}
         for name in ("keys", "columns", "dedupe_by"):
             value = getattr(self, name)
-            object.__setattr__(self, name, (value,) if isinstance(value, str) else tuple(value))
-        raw = self.raw_struct.fieldNames()
+            value = (value,) if isinstance(value, str) else value
+            # names match in any case, as in Spark, and go by the raw schema's
+            object.__setattr__(self, name, tuple(by_lower.get(c.lower(), c) for c in value))
         if not self.columns:
             object.__setattr__(self, "columns", tuple(raw))
 
@@ -113,7 +116,14 @@ class TableSpec:
 
     @property
     def raw_struct(self) -> T.StructType:
-        return T.StructType.fromDDL(self.raw_schema)
+        """The landed schema; files know no length limits, so CHAR and VARCHAR are STRING."""
+        fields = [
+            T.StructField(f.name, T.StringType())
+            if isinstance(f.dataType, T.CharType | T.VarcharType)
+            else f
+            for f in T.StructType.fromDDL(self.raw_schema)
+        ]
+        return T.StructType(fields)
 
     @property
     def final_struct(self) -> T.StructType:
@@ -179,6 +189,3 @@ class TableSpec:
             hash_mode="compat",
         )
 
-
-def parse_run_date(value: date | str) -> date:
-    return value if isinstance(value, date) else date.fromisoformat(value)
