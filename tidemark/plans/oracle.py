@@ -123,14 +123,13 @@ FROM day1
 UNION ALL {_batch_rows(CUSTOMER)}"""
 
 
-def _by_customer(select: str, key: str = "o_custkey") -> str:
+def _by_customer(select: str, key: str = "CAST(o_custkey AS VARCHAR)") -> str:
     """All orders keyed by customer against the last order of each."""
     columns = ("o_custkey", "o_orderstatus", "o_orderpriority")
-    names = ", ".join(columns)
     return f"""
 WITH stored AS (
-  SELECT {names}, 'Y' AS "current", DATE '2024-01-01' AS effectiveDate, {NO_END} AS endDate,
-         {_hash(columns)} AS rowHash
+  SELECT CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_orderpriority, 'Y' AS "current",
+         DATE '2024-01-01' AS effectiveDate, {NO_END} AS endDate, {_hash(columns)} AS rowHash
   FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders)
   WHERE rn = 1),
 raw AS (
@@ -146,7 +145,7 @@ classified AS (
 
 C_NAMES = ", ".join(CUSTOMER.names)
 
-ORACLE_SQL: dict[str, str] = {
+_RESULTS: dict[str, str] = {
     "landing_scan": _with(CUSTOMER, f"SELECT {C_NAMES} FROM raw"),
     "raw_projection": _with(CUSTOMER, "SELECT c_mktsegment, c_custkey, c_acctbal FROM raw"),
     "final_scan": _with(CUSTOMER, "SELECT * FROM final0"),
@@ -183,7 +182,7 @@ SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
     "classify_changes_orders": _with(ORDERS, "SELECT * FROM classified"),
     "classify_changes_repeated_keys": _by_customer("SELECT * FROM classified"),
     "classify_changes_null_keys": _by_customer(
-        "SELECT * FROM classified", "CASE WHEN o_custkey % 7 <> 0 THEN o_custkey END"
+        "SELECT * FROM classified", "CASE WHEN o_custkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) END"
     ),
     "affected_partitions": _with(
         CUSTOMER,
@@ -240,3 +239,26 @@ UNION ALL SELECT * EXCLUDE (rowType) FROM classified"""
        {AUDIT}, partitionKey FROM final0 WHERE partitionKey <> 20240102""",
     ),
 }
+
+NO_MONEY = (
+    "row_hash",
+    "row_hash_delimited",
+    "row_hash_orders",
+    "affected_partitions",
+    "classify_changes_repeated_keys",
+    "classify_changes_null_keys",
+    "scd2_merge_repeated_keys",
+)
+
+
+def _shown(name: str, sql: str) -> str:
+    """Money as double in the result, like the queries."""
+    if name in NO_MONEY:
+        return sql
+    amount = ORDERS.amount if name.endswith("_orders") else CUSTOMER.amount
+    if name == "dedupe_batch":
+        amount = "l_extendedprice"
+    return f"SELECT * REPLACE (CAST({amount} AS DOUBLE) AS {amount}) FROM ({sql})"
+
+
+ORACLE_SQL: dict[str, str] = {name: _shown(name, sql) for name, sql in _RESULTS.items()}

@@ -12,6 +12,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tidemark.functions import (
     CURRENT,
@@ -187,7 +188,9 @@ def _classify(source: Source) -> Query:
 def _orders_by_customer(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All orders as a batch keyed by customer, so keys repeat, and a stored table
     with the last order of every customer as its open version."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumn(
+        "o_custkey", F.col("o_custkey").cast("string")
+    )
     columns = ["o_custkey", "o_orderstatus", "o_orderpriority"]
     last = orders.groupBy("o_custkey").agg(
         *[F.max_by(c, "o_orderkey").alias(c) for c in columns[1:]]
@@ -206,8 +209,8 @@ def classify_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def classify_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh customer's orders lose their key, and count as new."""
     batch, stored = _orders_by_customer(spark, sf_dir)
-    missing = F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey"))
-    batch = batch.withColumn("o_custkey", missing)
+    key = F.col("o_custkey")
+    batch = batch.withColumn("o_custkey", F.when(key.cast("bigint") % 7 != 0, key))
     return classify_changes(batch, stored, ["o_custkey"], null_keys="keep", unique_keys=False)
 
 
@@ -344,7 +347,18 @@ def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_final(spark, spec, path)
 
 
-QUERIES: dict[str, Query] = {
+def _shown(query: Query) -> Query:
+    """Money as double in the result, which the clients of both engines show alike."""
+
+    def shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = query(spark, sf_dir)
+        money = [f.name for f in rows.schema if isinstance(f.dataType, DecimalType)]
+        return rows.withColumns({name: col(name).cast("double") for name in money})
+
+    return shown
+
+
+_RESULTS: dict[str, Query] = {
     "landing_scan": landing_scan,
     "raw_projection": raw_projection,
     "final_scan": final_scan,
@@ -385,3 +399,5 @@ QUERIES: dict[str, Query] = {
     "type0_overwrite": type0_overwrite,
     "partition_overwrite": partition_overwrite,
 }
+
+QUERIES: dict[str, Query] = {name: _shown(query) for name, query in _RESULTS.items()}
