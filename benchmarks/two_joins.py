@@ -40,17 +40,22 @@ def _classify(batch: DataFrame, table: DataFrame, key: str) -> DataFrame:
     return new.unionByName(changed).drop("_key", "_hash", "_part")
 
 
-def _merge(table: DataFrame, classified: DataFrame, key: str, scd_type: int) -> DataFrame:
-    changed = classified.where("rowType = 'CurrentRows'").select(col(key).alias("_key"))
+def _kept(table: DataFrame, classified: DataFrame, key: str, scd_type: int) -> DataFrame:
+    """The stored rows after the merge: one join to keep, for Type 2 another to close."""
     columns = table.columns
+    changed = classified.where("rowType = 'CurrentRows'").select(col(key).alias("_key"))
     joined = table.join(changed, table[key] == changed["_key"], "left")
-    result = joined.where("_key IS NULL").select(*columns)
+    kept = joined.where("_key IS NULL").select(*columns)
     if scd_type == 2:
-        open_rows = joined.where("_key IS NOT NULL")
-        result = result.unionByName(
-            close_rows(open_rows.where("current = 'Y'"), RUN_DATE).select(*columns)
-        ).unionByName(open_rows.where("current <> 'Y'").select(*columns))
-    return result.unionByName(classified.drop("rowType", "pKey")).coalesce(1)
+        again = table.join(changed, table[key] == changed["_key"])
+        closed = close_rows(again, RUN_DATE, F.col("current") == "Y")
+        kept = kept.unionByName(closed.select(*columns))
+    return kept
+
+
+def _merge(table: DataFrame, classified: DataFrame, key: str, scd_type: int) -> DataFrame:
+    incoming = classified.drop("rowType", "pKey")
+    return _kept(table, classified, key, scd_type).unionByName(incoming).coalesce(1)
 
 
 def _stored(spark: SparkSession, sf_dir: str, source: Source, scd_type: int) -> DataFrame:
@@ -87,16 +92,11 @@ def _by_partition(source: Source, scd_type: int) -> Query:
         touched = sorted({r[0] for r in classified.select("pKey").distinct().collect()} | {RUN_PARTITION})
         for partition in touched:
             held = read_final(spark, spec, path).where(F.col("partitionKey") == partition)
-            mine = classified.where(F.col("pKey") == partition)
             if partition == RUN_PARTITION:
-                mine = classified
-                merged = _merge(held, mine, source.key, scd_type)
+                merged = _merge(held, classified, source.key, scd_type)
             else:
-                none = classified.where("false")
-                merged = _merge(held, mine, source.key, scd_type).join(
-                    none.select(col(source.key)), source.key, "left_anti"
-                )
-                merged = merged.where(F.col("partitionKey") == partition)
+                moved = classified.where(F.col("pKey") == partition)
+                merged = _kept(held, moved, source.key, scd_type).coalesce(1)
             merged = merged.cache()
             merged.take(1)
             merged.drop("partitionKey").write.mode("overwrite").parquet(partition_path(path, partition))

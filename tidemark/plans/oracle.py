@@ -21,7 +21,9 @@ def _hash(columns: Sequence[str], mode: str = "compat") -> str:
 
 
 def _base(source: Source) -> str:
-    picked = ", ".join(f"CAST({name} AS {ddl.replace('string', 'varchar')}) AS {name}" for name, ddl in source.columns)
+    picked = ", ".join(
+        f"CAST({name} AS {ddl.replace('string', 'varchar')}) AS {name}" for name, ddl in source.columns
+    )
     return f"base AS (SELECT {picked} FROM {source.table})"
 
 

@@ -14,16 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from tidemark.functions import (
-    CURRENT,
-    EFFECTIVE,
-    HASH,
-    PARTITION,
-    close_rows,
-    col,
-    row_hash,
-    with_audit,
-)
+from tidemark.functions import HASH, PARTITION, close_rows, col, row_hash, with_audit
 from tidemark.operators import (
     MergeParts,
     affected_partitions,
