@@ -1,0 +1,44 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+from tidemark.llm.sharding import differencing, shard_documents
+
+
+def test_differencing_by_hand():
+    # 8, 7, 6, 5, 4 in two parts: differencing gives 16 and 14
+    places = differencing([(0, n) for n in (8, 7, 6, 5, 4)], 2)
+    sums = Counter()
+    for n, p in zip((8, 7, 6, 5, 4), places):
+        sums[p[1]] += n
+    assert sorted(sums.values()) == [14, 16]
+    assert differencing([], 2) == []
+
+
+def test_documents(spark):
+    random.seed(1)
+    rows = [(i, "x" * random.randint(0, 900), "a") for i in range(400)]
+    rows += [(1000 + i, "same é" * 20, "b") for i in range(30)] + [(None, None, None), (5, "", "c"), (5, "", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard string")
+    got = shard_documents(docs, 4).collect()
+    assert len(got) == len(rows)
+    shards, texts = defaultdict(list), dict((zlib.crc32((t or "").encode()), t or "") for _, t, _ in rows)
+    for r in got:
+        shards[r["shard"]].append(r)
+        assert r["size"] == len(texts[r["text_crc32"]].encode()) + 1 and r["law"] == "bytes"
+        assert r["grown_shard"] is None
+    assert set(shards) == {0, 1, 2, 3}
+    for own in shards.values():
+        assert sorted(r["slot"] for r in own) == list(range(len(own)))
+    sizes = [sum(r["size"] for r in own) for own in shards.values()]
+    assert max(sizes) - min(sizes) <= 20
+    where = defaultdict(set)
+    for r in got:
+        where[r["text_crc32"]].add(r["shard"])
+    assert all(len(s) == 1 for s in where.values())
+
+
+def test_one_text_and_empty_table(spark):
+    docs = spark.createDataFrame([(i, "t") for i in range(50)], "doc_id long, text string")
+    assert {r["shard"] for r in shard_documents(docs).collect()} == {15}
+    assert shard_documents(docs.where("doc_id < 0")).count() == 0
