@@ -1,0 +1,66 @@
+import gzip
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyarrow import fs as pafs
+
+from tidemark.llm.warc import Range, read_warc, with_revisits, write_warc
+
+BIG = "é<p>" * 60
+PAGES = [
+    (4, "http://a/é\r\nX: 1", BIG), (2, "http://b", BIG), (9, None, BIG), (1, "u", None), (3, "u", ""), (5, "u", "small"), (6, "u", "small"),
+    (7, "u", "x" * 99), (8, "u", "x" * 99), (10, "u", "y" * 100), (11, "u", "y" * 100), (None, "u", BIG), (2, "http://b", BIG),
+    (12, "u", "\r\n\r\nWARC/1.1\r\n" * 20), (13, "u", "z" * 3_000_000), (-14, "u", "y" * 100),
+]
+
+
+def written(spark, folder, rows):
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "key long, uri string, payload string, digest string")
+    return write_warc(with_revisits(pages.repartition(3), "key", "payload"), folder)
+
+
+@pytest.mark.parametrize("split", [64, 1000, 1 << 25])
+def test_round_trip_at_any_split(spark, tmp_path, split):
+    files = written(spark, f"{tmp_path}/w", PAGES).collect()
+    assert sum(f["records"] for f in files) == len(PAGES)
+    got = {}
+    for r in read_warc(spark, f"{tmp_path}/w", split).collect():
+        got.setdefault(r["record_id"], []).append(r)
+    assert sum(map(len, got.values())) == len(PAGES)
+    heads = {BIG: 2, "y" * 100: -14}
+    for key, uri, html in PAGES:
+        payload = (html or "").encode()
+        for r in got[f"<urn:page:{'' if key is None else key}>"]:
+            head = heads.get(html)
+            assert r["payload_digest"] == hashlib.sha256(payload).hexdigest() and r["payload_bytes"] == len(payload)
+            if head is None or key == head:
+                assert r["record_type"] == "response" and r["refers_to"] is None and bytes(r["payload"]) == payload
+            else:
+                assert r["record_type"] == "revisit" and r["refers_to"] == f"<urn:page:{head}>" and r["payload"] is None
+
+
+def test_false_magic_and_damage_are_passed_over(tmp_path):
+    random.seed(2)
+    record = lambda n: b"WARC/1.1\r\nContent-Length: 4\r\n\r\n" + b"%04d" % n + b"\r\n\r\n"
+    parts, starts = [], []
+    for n in range(40):
+        starts.append((sum(map(len, parts)), record(n)))
+        parts.append(gzip.compress(record(n), 1))
+        if n % 3 == 0:  # a gzip member that is no WARC, a cut one, the bare magic
+            parts += [gzip.compress(random.randbytes(50)), gzip.compress(b"WARC/1.1\r\n\r\n" + random.randbytes(90))[:-40], b"\x1f\x8b\x08"]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(parts))
+    for step in (1, 7, 100, 10**6):
+        found = []
+        for start in range(0, sum(map(len, parts)), step):
+            with Range(pafs.LocalFileSystem(), f"{tmp_path}/a.warc.gz", start, start + step) as r:
+                found += list(r.records())
+        assert found == starts
+    assert zlib.decompress(parts[0], 31) == record(0)
+
+
+def test_empty(spark, tmp_path):
+    assert written(spark, f"{tmp_path}/w", []).count() == 0
+    (tmp_path / "none").mkdir()
+    assert read_warc(spark, f"{tmp_path}/none").count() == 0

@@ -8,9 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.embedding_links import embedding_groups
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack_pow2
+from tidemark.llm.secret_ledger import scan_versions, spans_text
+from tidemark.llm.shared import scratch
 from tidemark.llm.sharding import shard_documents
+from tidemark.llm.simhash import simhash_groups
+from tidemark.llm.warc import read_warc, with_revisits, write_warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -19,6 +24,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = embedding_groups(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", threshold=0.9)
+    return groups.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_groups(table(spark, sf_dir, "documents"), radius=3, shingle=3, seed=42)
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scan_versions(docs, f"{scratch(spark)}/ledger")
+    counts = [
+        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
+        for k in ("assign", "access", "hex")
+    ]
+    # all rules are base rules
+    found = found.select("doc_id", *counts, spans_text(F.col("spans")).alias("spans"))
+    return found.withColumn("base_sha256", F.sha2("spans", 256))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = with_revisits(table(spark, sf_dir, "pages"), "page_id", "html")
+    folder = f"{scratch(spark)}/warc"
+    renamed = {"page_id": "key", "url": "uri", "html": "payload"}
+    write_warc(pages.select(*[F.col(c).alias(renamed.get(c, c)) for c in pages.columns]), folder)
+    number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1)
+    return read_warc(spark, folder, payloads=False).select(
+        number("record_id").try_cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        number("refers_to").try_cast("long").alias("refers_to"),
+    )
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"), weights=(1, 2, 3), share=1.0, cap=3.0, seed=6)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -42,12 +84,69 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_links": op1_embedding_links,
+    "op3_simhash": op3_simhash,
+    "op4_secrets": op4_secrets,
+    "op5_warc": op5_warc,
     "op6_mix": op6_mix,
     "op9_shards": op9_shards,
     "op10_pack": op10_pack,
 }
 
 ORACLE_SQL = {
+    "op1_embedding_links": """
+WITH RECURSIVE vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+good AS (
+  SELECT vec_id, v, sqrt(list_sum([x * x for x in v])) AS norm FROM vectors
+  WHERE len(v) > 0 AND len([x for x in v if x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x for x in v if x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+    ON a.vec_id <> b.vec_id AND list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.9),
+reached AS (
+  SELECT vec_id AS id, vec_id AS low FROM vectors
+  UNION SELECT links.b, reached.low FROM reached JOIN links ON links.a = reached.id),
+lowest AS (SELECT id, min(low) AS component_id FROM reached GROUP BY id),
+degree AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN lowest ON vec_id = id LEFT JOIN degree ON vec_id = a
+""",
+    "op4_secrets": r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+pieces AS (
+  SELECT doc_id, 'assign' AS kind, 0 AS rank, 8 AS least, string_split_regex(t, p) AS gaps,
+         regexp_extract_all(t, p, 0) AS hits, regexp_extract_all(t, p, 2) AS parts
+  FROM docs, (SELECT '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)' AS p)
+  UNION ALL
+  SELECT doc_id, 'access', 1, 16, string_split_regex(t, p), regexp_extract_all(t, p, 0), regexp_extract_all(t, p, 0)
+  FROM docs, (SELECT 'AKIA[A-Z0-9]+' AS p)
+  UNION ALL
+  SELECT doc_id, 'hex', 2, 32, string_split_regex(t, p), regexp_extract_all(t, p, 0), regexp_extract_all(t, p, 0)
+  FROM docs, (SELECT '[0-9a-f]{16,}' AS p)),
+numbered AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM pieces),
+placed AS (
+  SELECT doc_id, kind, rank, length(hits[i]) AS n, length(parts[i]) >= least AS good,
+         (list_sum([length(x) for x in gaps[1:i]]) + coalesce(list_sum([length(x) for x in hits[1:i - 1]]), 0))::BIGINT AS b
+  FROM numbered),
+found AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || b || ':' || (b + n), ',' ORDER BY b, rank) AS spans
+  FROM placed WHERE good GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       coalesce(spans, '') AS spans, sha256(coalesce(spans, '')) AS base_sha256
+FROM docs LEFT JOIN found USING (doc_id)
+""",
+    "op5_warc": """
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+heads AS (SELECT payload_digest, min(page_id) AS head FROM sized WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN head <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN head <> page_id THEN head END AS refers_to
+FROM sized LEFT JOIN heads USING (payload_digest)
+""",
     "op6_mix": r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
