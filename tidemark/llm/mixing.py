@@ -141,12 +141,10 @@ def _named(source: str) -> Column:
 
 def repeat_documents(mixed: DataFrame) -> DataFrame:
     """The mix itself: each document as often as ``copies`` says, and its first
-    ``part`` words (joined by single spaces) as one more row."""
+    ``part`` words (joined by single spaces) as one more row, marked ``_is_part``."""
     words = F.regexp_extract_all("text", F.lit(WORD), 0)
-    partial = F.when(F.col("part") > 0, F.array_join(F.slice(words, 1, F.col("part").cast("int")), " "))
-    whole = F.array_repeat(F.lit(True), F.col("copies").cast("int"))
-    pieces = F.concat(whole, F.when(F.col("part") > 0, F.array(F.lit(False))).otherwise(F.array()))
-    rows = mixed.withColumn("_partial", partial).withColumn("_whole", F.explode(pieces))
-    return rows.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(F.col("_partial"))).drop(
-        "_partial", "_whole"
-    )
+    partial = F.array_join(F.slice(words, 1, F.col("part").cast("int")), " ")
+    whole = F.array_repeat(F.lit(False), F.col("copies").cast("int"))
+    pieces = F.concat(whole, F.when(F.col("part") > 0, F.array(F.lit(True))).otherwise(F.array()))
+    rows = mixed.withColumn("_is_part", F.explode(pieces))
+    return rows.withColumn("text", F.when(F.col("_is_part"), partial).otherwise(F.col("text")))

@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.embedding_links import embedding_groups
+from tidemark.llm.language import language_scores
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack_pow2
+from tidemark.llm.quality import quality_scores
 from tidemark.llm.secret_ledger import scan_versions, spans_text
 from tidemark.llm.shared import scratch
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.simhash import simhash_groups
+from tidemark.llm.syncmers import fingerprint_documents
 from tidemark.llm.warc import read_warc, with_revisits, write_warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +32,10 @@ def op1_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
 
 
+def op2_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"), radius=3, shingle=3, seed=42)
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -66,6 +73,27 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    scored = quality_scores(docs, labels.where(~held_out))
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    learned = docs.where(~held_out & F.col("lang").isNotNull())
+    return language_scores(docs, learned).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "rejected"
+    )
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=16)
 
@@ -85,10 +113,13 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_links": op1_embedding_links,
+    "op2_syncmers": op2_syncmers,
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
     "op5_warc": op5_warc,
     "op6_mix": op6_mix,
+    "op7_quality": op7_quality,
+    "op8_language": op8_language,
     "op9_shards": op9_shards,
     "op10_pack": op10_pack,
 }
