@@ -11,7 +11,7 @@ from tidemark.llm.packing import lengths_of, pack_pow2, write_buckets
 FILE = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
     None, "", " ", "a", "don't I'LL\tgo\n\nnow", "x" * 30_000, "é ́e ́", "nbsp here wide",
-    "\x1c\x1d\x85 sep", "<|endoftext|> a<|startoftext|>b", "12 345 ***", "İstanbul ﬁ", "e ̧́x", "東京 と",
+    "\x1c\x1d\x85 sep", "<|endoftext|> a<|startoftext|>b", "12 345 ***", "O'NEILL's 'S we'll! x'section ab!!'s <|x|>. É! é' ǅ. ʰ. \u0345. a\u0301. Σς. ΑΣ' 1. 2's <|endoftext|>. x<|endoftext|>y|> K. ſ!", "İstanbul ﬁ", "e ̧́x", "東京 と",
 ]
 
 

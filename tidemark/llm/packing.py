@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -11,8 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PIECES = 4096  # pieces per Arrow batch that a task hands on
-KNOWN_WORDS = 500_000  # words a task remembers before it forgets them all
-SPACES = str.maketrans("\t\n\r", "   ")
+KNOWN_WORDS = 1_000_000  # words a Python worker remembers before it forgets them all
+MARK = "<|endoftext|>"  # fixed: a special token of the vocabulary
+LATIN = "\u024f"  # up to here, what is a letter is settled
+PUNCTUATION = string.punctuation
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, bucket int"
 )
@@ -20,27 +24,69 @@ SCHEMA = (
 
 class WordIds:
     """Token ids of a text, word by word: the tokenizer drops white space and never
-    joins what it parts, so each distinct word is encoded once and then remembered."""
+    joins what it parts, so each distinct word is encoded once and then remembered.
+
+    Nor does it join a letter and the punctuation after it, and it reads all cases as
+    one; so a word's ids are those of its lower-case stem and of its last punctuation.
+    """
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
-        self._known: dict[str, bytes] = {}
+        self._mark_id = self._tokenizer.token_to_id(MARK)
+        self._known: dict[str, bytes] = {"": b""}
 
     def learn(self, texts: list[list[str]]) -> None:
-        if len(self._known) > KNOWN_WORDS:
-            self._known.clear()
-        new = list(set().union(*texts).difference(self._known))
-        for n in range(0, len(new), 10_000):
-            part = new[n : n + 10_000]
-            codes = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self._known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(part, codes, strict=True))
+        known = self._known
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+            known[""] = b""
+        parts = {w: self._parts(w) for w in set().union(*texts).difference(known)}
+        self._encode(list({p for own in parts.values() for p in own}.difference(known)))
+        known.update((w, known[stem] + known[tail]) for w, (stem, tail) in parts.items() if w not in known)
+
+    @staticmethod
+    def _parts(word: str) -> tuple[str, str]:
+        stem = word.rstrip(PUNCTUATION)
+        if not stem or "<|" in word or stem[-1] > LATIN or not stem[-1].isalpha():
+            stem = word
+        return stem.lower() if stem.isascii() and "<|" not in word else stem, word[len(stem) :]
+
+    def _encode(self, words: list[str]) -> None:
+        """Many words at once, a special token between them; those that may hold one alone."""
+        plain = [w for w in words if "<|" not in w]
+        for low in range(0, len(plain), 2000):
+            part = plain[low : low + 2000]
+            ids = np.array(self._ids(MARK.join(part)), "<u4")
+            ends = np.r_[np.flatnonzero(ids == self._mark_id), len(ids)]
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer has no special token to part words with")
+            code, starts = ids.tobytes(), np.r_[0, ends[:-1] + 1]
+            cuts = zip(part, (4 * starts).tolist(), (4 * ends).tolist(), strict=True)
+            self._known.update((w, code[a:b]) for w, a, b in cuts)
+        for w in words:
+            if "<|" in w:
+                self._known[w] = np.array(self._ids(w), "<u4").tobytes()
+
+    def _ids(self, text: str) -> list[int]:
+        return self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def ids(self, words: list[str]) -> bytes:
         return b"".join(map(self._known.__getitem__, words))
 
 
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer_file: str) -> WordIds:
+    """One for all tasks that a Python worker runs."""
+    return WordIds(tokenizer_file)
+
+
+def words_of(text: str | None) -> list[str]:
+    """Parts between white space, of the kinds that are surely such for the tokenizer."""
+    return (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+
 def lengths_of(tokens: int, longest: int) -> list[int]:
     """Sequences of the longest length, then the binary digits of the rest."""
     rest = tokens % longest
@@ -64,16 +110,17 @@ def pack_pow2(docs: DataFrame, tokenizer_file: str, end_id: int = 2, longest: in
     """
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, task = WordIds(tokenizer_file), TaskContext.get().partitionId()
+        encoder, task = encoder_of(tokenizer_file), TaskContext.get().partitionId()
         counters = [0] * longest.bit_length()
         out: list[tuple] = []
         size = 0
         for batch in batches:
             for low in range(0, len(batch), 256):
                 part = batch.iloc[low : low + 256]
-                words = [(t or "").translate(SPACES).split(" ") for t in part["text"]]
+                words = [words_of(t) for t in part["text"]]
                 encoder.learn(words)
                 for doc_id, own in zip(part["doc_id"], words, strict=True):
+                    doc_id = None if doc_id is None else int(doc_id)
                     ids = encoder.ids(own) + end_id.to_bytes(4, "little")
                     tokens, start = len(ids) // 4, 0
                     for length in lengths_of(tokens, longest):
@@ -90,7 +137,8 @@ def pack_pow2(docs: DataFrame, tokenizer_file: str, end_id: int = 2, longest: in
         if out:
             yield _frame(out)
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    # ids as text, since pandas would make floats of those with NULLs among them
+    rows = docs.select(F.col("doc_id").cast("string"), F.col("text").cast("string"))
     return rows.mapInPandas(pack, SCHEMA)
 
 
