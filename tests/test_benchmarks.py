@@ -14,6 +14,6 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_two_joins_give_the_same(spark, name):
     other = TWO_JOINS[name](spark, SF_DIR)
     money = [f.name for f in other.schema if isinstance(f.dataType, DecimalType)]
-    other = other.withColumns({m: other[m].cast("double") for m in money})
+    other = other.withColumns({m: other[m].cast("string") for m in money})
     ours = QUERIES[name.partition(":")[0]](spark, SF_DIR)
     assert tuples(other, *sorted(other.columns)) == tuples(ours, *sorted(ours.columns))

@@ -9,9 +9,14 @@ from tidemark.operators import (
     classify_changes,
     current_snapshot,
     dedupe_batch,
+    few_keys,
+    fits_broadcast,
+    fits_by_rows,
     new_rows,
     salted_left_join,
+    skew,
 )
+from tidemark.operators.changes import rows_without
 
 TABLE = [(1, "a", "Y", 0, None), (2, "b", "Y", 0, None), (2, "old", "N", 0, 1), (3, "c", "Y", 0, None)]
 
@@ -148,14 +153,65 @@ def test_salted_join_equals_plain_join(spark):
     )
     right = spark.range(0, 1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
     with shuffle_joins(spark):
-        got = salted_left_join(left, right, ["k"], heavy_rows=100, salts=4)
+        got = salted_left_join(left, right, ["k"], heavy_rows=100)
         assert tuples(got, "k", "n", "w") == tuples(left.join(right, "k", "left"), "k", "n", "w")
     with shuffle_joins(spark), conf(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
         # the heavy key is spread over several tasks
-        got = salted_left_join(left, right, ["k"], heavy_rows=100, salts=4)
+        got = salted_left_join(left, right, ["k"], heavy_rows=100)
         assert got.where("k = 0").select(F.spark_partition_id()).distinct().count() > 1
 
 
+def one_hot_key(spark, rows=20_000):
+    """Equal rows of one key, dealt over several files' worth of tasks."""
+    return spark.range(0, rows, 1, 4).select(F.lit(7).alias("k"), F.lit("x").alias("v"))
+
+
+def busiest(df):
+    """Rows of the task with most of them, and of all."""
+    counts = [r[0] for r in df.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    return max(counts), sum(counts)
+
+
+def test_hot_and_null_keys_are_spread(spark):
+    right = frame(spark, [(7,), (8,)], "k int")
+    hot = one_hot_key(spark)
+    null = hot.withColumn("k", F.lit(None).cast("int"))
+    one_task = spark.range(0, 20_000, 1, 1).select(F.lit(7).alias("k"), F.col("id").alias("v"))
+    with shuffle_joins(spark), conf(
+        spark,
+        spark__sql__adaptive__enabled="false",
+    ):
+        for how in ("left", "left_semi"):
+            for left in (hot, one_task):
+                got = skew.salted_left_join(left, right, ["k"], heavy_rows=500, how=how)
+                most, rows = busiest(got)
+                assert rows == 20_000 and most < 0.6 * rows
+        assert skew.salted_left_join(hot, right, ["k"], heavy_rows=500, how="left_anti").count() == 0
+        most, rows = busiest(rows_without(null, right, ["k"]))
+        assert rows == 20_000 and most < 0.6 * rows
+        # beyond the largest heavy keys the join is unsalted, and still right
+        assert skew.salted_left_join(hot, right, ["k"], heavy_rows=500, most_heavy=0).count() == 20_000
+
+
+def test_few_keys_are_counted_not_guessed(spark, tmp_path):
+    """Small files of many rows are not broadcast row by row."""
+    path = str(tmp_path / "rows")
+    spark.range(0, 3_000_000).select(F.lit(7).alias("k"), F.col("id").alias("n")).select("k").write.parquet(path)
+    spark.range(0, 3_000_000, 1, 1).select((F.col("id") % 500_000).alias("k")).write.option("compression", "gzip").parquet(path + "2")
+    once, many = spark.read.parquet(path), spark.read.parquet(path + "2")
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="10000000"):
+        assert fits_broadcast(once) and fits_broadcast(many) and not fits_by_rows(once)
+        assert few_keys(once, ["k"]).count() == 1
+        assert few_keys(many, ["k"]) is None
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        assert few_keys(once, ["k"]) is None
+
+
+def test_stored_hashes_are_reduced_without_a_sort(spark):
+    plan = plan_of(classify_changes(batch(spark, [(1, "a")]), stored(spark, TABLE), ["k"]))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_rank_is_cut_before_the_shuffle(spark):
     plan = plan_of(dedupe_batch(batch(spark, [(1, "a")]), ["k"], "last", ["v"]))
     before_shuffle = plan.split("Exchange")[1]

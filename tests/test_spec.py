@@ -46,7 +46,9 @@ def test_from_json():
         raw_schema="id STRING, name STRING, phone STRING",
         scd_type=2,
         columns=("id", "phone"),
+        stored_schema="`id` string, `phone` string",
         partitioned=True,
+        partition_folder="partitionkey",
         app_dir="crm",
         table_dir="accounts_dim",
         landing_pattern="accounts_*.csv",
@@ -69,6 +71,8 @@ def test_from_json():
         {"isPartitioned": "yes"},
         {"currentTableMergeKey": "key"},
         {"finalFileSchema": "phone STRING, id STRING"},
+        # the key goes by position to a column of another name
+        {"finalFileSchema": DESCRIPTION["finalFileSchema"].replace("id STRING, phone", "phone STRING, id")},
         {"inFileType": "xml"},
         {"saveMode": "upsert"},
     ],
@@ -78,6 +82,24 @@ def test_from_json_refuses(changes):
         described(**changes)
 
 
+def test_two_key_names_and_stored_types():
+    final = DESCRIPTION["finalFileSchema"].replace("id STRING, phone STRING", "account INT, tel VARCHAR(9)")
+    s = described(finalFileSchema=final, currentTableMergeKey="Account")
+    assert (s.keys, s.table_keys) == (("id",), ("account",))
+    assert [f.simpleString() for f in s.final_struct[:2]] == ["account:int", "tel:string"]
+    assert TableSpec.from_json(json.dumps(DESCRIPTION), bad_rows="null").bad_rows == "null"
+    for options in (
+        {"stored_schema": "a int"},
+        {"stored_schema": "a int, A int"},
+        {"stored_schema": "a int, current string"},
+        {"stored_schema": "a int, b string", "table_keys": ("b",)},
+        {"partition_folder": "part"},
+        {"bad_rows": "drop"},
+    ):
+        with pytest.raises(ValueError):
+            spec(**options)
+
+
 def test_final_schema_follows_the_columns():
     s = spec(partitioned=True, columns=("v", "k"))
     assert s.final_struct.simpleString() == (

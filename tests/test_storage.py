@@ -1,3 +1,4 @@
+import json
 import os
 from datetime import datetime
 from decimal import Decimal
@@ -12,6 +13,7 @@ from tidemark import TableSpec, load_batch
 from tidemark.functions import with_audit
 from tidemark.operators import MergeParts
 from tidemark.sources import (
+    partition_path,
     publish_partitions,
     read_final,
     read_landing,
@@ -21,7 +23,7 @@ from tidemark.sources import (
     save_rows,
     shared_folder,
 )
-from tidemark.sources.filesystem import Directory
+from tidemark.sources.filesystem import Content, Directory
 from tidemark.sources.tables import too_many_files
 
 
@@ -231,10 +233,10 @@ def test_without_adaptive_execution(spark, tmp_path):
 
 def test_compaction_rule():
     mb = 1024 * 1024
-    assert not too_many_files([[mb], [mb, mb]])
-    assert not too_many_files([[128 * mb] * 40])
-    assert too_many_files([[mb] * 5])
-    assert not too_many_files([])
+    assert not too_many_files([Content(1, mb), Content(2, 2 * mb)])
+    assert not too_many_files([Content(40, 40 * 128 * mb)])
+    assert too_many_files([Content(5, 5 * mb)])
+    assert not too_many_files([]) and not too_many_files([Content(0, 0)])
 
 
 # --- whole tables ----------------------------------------------------------
@@ -258,19 +260,210 @@ def write_marker(path, text):
 @pytest.mark.parametrize(
     ("there", "expected"),
     [
-        ({"dim": "new", "_dim__prev": "old"}, "new"),  # cut off before the clean-up
-        ({"_dim__next": "new", "_dim__prev": "old"}, "new"),  # between the renames
+        ({"dim": "new", "_dim__prev": "old"}, "new"),
+        ({"_dim__next": "half", "_dim__prev": "old"}, "old"),
         ({"_dim__prev": "old"}, "old"),
         ({"dim": "old", "_dim__next": "half"}, "old"),  # while writing
         ({"dim": "old"}, "old"),
     ],
 )
-def test_a_swap_cut_off_is_settled(spark, tmp_path, there, expected):
+def test_nothing_is_decided_without_a_note(spark, tmp_path, there, expected):
     for name, text in there.items():
         write_marker(tmp_path / name, text)
     recover_table(spark, str(tmp_path / "dim"))
     assert (tmp_path / "dim" / "part-0").read_text() == expected
-    assert not (tmp_path / "_dim__prev").exists()
+    assert not (tmp_path / "_dim__next").exists()
+    # an old copy beside a table is not ours to delete
+    assert (tmp_path / "_dim__prev").exists() == ("dim" in there and "_dim__prev" in there)
+
+
+def put(folder, files):
+    folder.mkdir(parents=True)
+    for name, text in files.items():
+        (folder / name).write_text(text)
+
+
+OLD, NEW = {"part-0": "old", "part-1": "old"}, {"part-0": "new!", "part-1": "newer!", "part-2": ""}
+
+
+def some(files, n):
+    return dict(list(files.items())[:n])
+
+
+@pytest.mark.parametrize(
+    ("there", "staged"),
+    [
+        (OLD, NEW),  # noted, nothing moved
+        (some(OLD, 1), NEW),  # the old files half deleted
+        (None, NEW),
+        (some(NEW, 1), NEW),  # a rename that copies, cut off while copying
+        ({"part-0": "ne"} | some(OLD, 0), NEW),
+        (NEW, NEW),  # copied, nothing deleted yet
+        (NEW, some(NEW, 2)),  # copied, the source half deleted
+        (NEW, None),
+    ],
+)
+@pytest.mark.parametrize("place", ["", "partitionKey=7"])
+def test_a_publish_cut_off_is_finished(spark, tmp_path, there, staged, place):
+    table = Directory(spark, str(tmp_path / "dim"))
+    size = (len(NEW), sum(map(len, NEW.values())))
+    if there is not None:
+        put(tmp_path / "dim" / place, there)
+    if staged is not None:
+        put(tmp_path / "_dim__next" / place, staged)
+    if place:
+        put(tmp_path / "dim" / "partitionKey=8", OLD)  # goes
+        put(tmp_path / "dim" / "partitionKey=9", OLD)  # stays
+    moves = [(place, *size)] + ([("partitionKey=8",)] if place else [])
+    table.write(table.sibling("__swap"), json.dumps(moves))
+    for _ in range(2):
+        recover_table(spark, str(tmp_path / "dim"))
+        assert {p.name: p.read_text() for p in (tmp_path / "dim" / place).glob("part-*")} == NEW
+        assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["dim"]
+    if place:
+        assert sorted(p.name for p in (tmp_path / "dim").iterdir()) == ["partitionKey=7", "partitionKey=9"]
+
+
+def test_two_broken_copies_are_left_alone(spark, tmp_path):
+    table = Directory(spark, str(tmp_path / "dim"))
+    put(tmp_path / "dim", some(NEW, 1))
+    put(tmp_path / "_dim__next", some(NEW, 2))
+    table.write(table.sibling("__swap"), json.dumps([("", 3, 10)]))
+    with pytest.raises(RuntimeError, match="whole"):
+        recover_table(spark, str(tmp_path / "dim"))
+    assert (tmp_path / "dim").exists() and (tmp_path / "_dim__next").exists()
+
+
+@pytest.mark.parametrize("scd_type", [1, 2])
+@pytest.mark.parametrize("partitioned", [False, True])
+@pytest.mark.parametrize("cut", range(4))
+def test_a_load_cut_off_anywhere_and_repeated_is_the_load(spark, tmp_path, monkeypatch, scd_type, partitioned, cut):
+    """Cut off before the note, and after each rename or deletion of the publish."""
+    s = spec(scd_type, partitioned=partitioned)
+    first = frame(spark, [(1, "a"), (2, "a")])
+    second = frame(spark, [(1, "b"), (2, "b"), (3, "c")])
+    for name in ("cut", "whole"):
+        load_batch(spark, s, first, f"{tmp_path}/{name}", day(1), 101)
+    load_batch(spark, s, second, f"{tmp_path}/whole", day(5), 102)
+    calls = [0]
+
+    def counted(real):
+        def call(self, *args):
+            calls[0] += self.path.endswith("/cut")
+            if calls[0] > cut and self.path.endswith("/cut"):
+                raise KeyboardInterrupt
+            return real(self, *args)
+
+        return call
+
+    with monkeypatch.context() as patch:
+        if cut == 0:
+            patch.setattr(Directory, "write", lambda self, path, text: (_ for _ in ()).throw(KeyboardInterrupt()))
+        else:
+            written = Directory.write
+
+            def write_then_count(self, path, text):
+                written(self, path, text)
+                patch.setattr(Directory, "rename", counted(Directory.rename))
+                patch.setattr(Directory, "delete", counted(Directory.delete))
+
+            patch.setattr(Directory, "write", write_then_count)
+        with pytest.raises(KeyboardInterrupt):
+            load_batch(spark, s, second, f"{tmp_path}/cut", day(5), 102)
+    load_batch(spark, s, second, f"{tmp_path}/cut", day(5), 102)
+    assert tuples(read_final(spark, s, f"{tmp_path}/cut")) == tuples(read_final(spark, s, f"{tmp_path}/whole"))
+
+
+@pytest.mark.parametrize("scd_type", [1, 2])
+def test_partition_folders_keep_their_spelling(spark, tmp_path, scd_type):
+    s, path = spec(scd_type, partitioned=True), str(tmp_path / "dim")
+    for p, rows in ((101, [(1, "a"), (2, "a")]), (102, [(3, "a")])):
+        audited = with_audit(frame(spark, rows), s.columns, day(0))
+        audited.write.parquet(f"{path}/partitionkey={p}")
+    load_batch(spark, s, frame(spark, [(1, "b"), (4, "n")]), path, day(1), 103)
+    assert {p.name.partition("=")[0] for p in Path(path).glob("*=*")} == {"partitionkey"}
+    got = tuples(read_final(spark, s, path).where("current = 'Y'"), "k", "v", "partitionKey")
+    assert got == [(1, "b", 103), (2, "a", 101), (3, "a", 102), (4, "n", 103)]
+    assert tuples(read_partitions(spark, s, path, [102]), "k") == [(3,)]
+    (tmp_path / "dim" / "partitionKey=104").mkdir()
+    for use in (lambda: read_final(spark, s, path), lambda: load_batch(spark, s, frame(spark, []), path, day(2), 104)):
+        with pytest.raises(ValueError, match="spellings"):
+            use()
+
+
+def test_new_partitions_are_named_by_the_spec(spark, tmp_path):
+    s = spec(0, partitioned=True, partition_folder="partitionkey")
+    load_batch(spark, s, frame(spark, [(1, "a")]), str(tmp_path / "dim"), day(1), 101)
+    assert [p.name for p in (tmp_path / "dim").iterdir() if "=" in p.name] == ["partitionkey=101"]
+
+
+def test_calls_per_partition_do_not_grow_with_its_files(spark, tmp_path, monkeypatch):
+    calls = []
+    real = Directory.content
+    monkeypatch.setattr(Directory, "content", lambda self, path=None: calls.append(path) or real(self, path))
+    for files in (1, 30):
+        s, path = spec(1, partitioned=True), str(tmp_path / f"dim{files}")
+        rows = spark.range(0, 60, 1, files).selectExpr("cast(id as int) k", "'a' v")
+        with_audit(rows, s.columns, day(0)).write.parquet(partition_path(path, 101))
+        calls.append("start")
+        load_batch(spark, s, frame(spark, [(1, "b")]), path, day(1), 102)
+    first, second = " ".join(map(str, calls)).split("start")[1:]
+    assert len(first.split()) == len(second.split())
+
+
+def test_whole_partitioned_table_gets_few_files_per_partition(spark, tmp_path):
+    s, path = spec(1, partitioned=True), str(tmp_path / "dim")
+    rows = spark.range(0, 800, 1, 8).selectExpr("cast(id as int) k", "'a' v")
+    rows = with_audit(rows, s.columns, day(0), 1).withColumn("partitionKey", (F.col("k") % 5).cast("int"))
+    replace_table(rows, s, path)
+    assert all(len(data_files(p)) == 1 for p in Path(path).glob("partitionKey=*"))
+
+
+# --- landed files that do not fit ------------------------------------------
+
+
+def landed(spark, tmp_path, text, **options):
+    folder = tmp_path / "dim"
+    folder.mkdir(exist_ok=True)
+    (folder / "x.csv").write_text(text)
+    s = spec(table_dir="dim", landing_pattern="*.csv", **options)
+    return read_landing(spark, s, str(tmp_path))
+
+
+def test_bad_values_fail_or_are_null(spark, tmp_path):
+    text = 'k,v\n1,a\noops,b\n" ",c\n"",d\n5\n'
+    with pytest.raises(PySparkException, match="oops"):
+        landed(spark, tmp_path, text).collect()
+    got = landed(spark, tmp_path, text, bad_rows="null")
+    assert tuples(got) == sorted([(1, "a"), (None, "b"), (None, "c"), (None, "d"), (5, None)], key=repr)
+
+
+def test_typed_values_of_landed_text(spark, tmp_path):
+    ddl = "k int, v string, d date, t timestamp_ntz, m decimal(12,2), b boolean, f double"
+    header = "k,v,d,t,m,b,f"
+    text = f"{header}\n7,x,2024-02-29,2024-02-29 01:02:03.5,-12.50,true,1e-3\n8,,,,,,\n"
+    folder = tmp_path / "dim"
+    folder.mkdir()
+    (folder / "x.csv").write_text(text)
+    s = TableSpec("dim", ("k",), ddl, 2, table_dir="dim", landing_pattern="*.csv")
+    got = read_landing(spark, s, str(tmp_path)).orderBy("k").collect()
+    assert [f.simpleString() for f in s.raw_struct] == [f"{c}:{t}" for c, t in read_landing(spark, s, str(tmp_path)).dtypes]
+    full = (7, "x", datetime(2024, 2, 29).date(), datetime(2024, 2, 29, 1, 2, 3, 500000), Decimal("-12.50"), True, 0.001)
+    assert tuple(got[0]) == full
+    assert tuple(got[1]) == (8, *[None] * 6)
+
+
+def test_headers_are_checked(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)header"):
+        landed(spark, tmp_path, "v,k\na,1\n").collect()
+    assert tuples(landed(spark, tmp_path, "K,V\n1,a\n")) == [(1, "a")]
+    assert tuples(landed(spark, tmp_path, "id,name\n1,a\n", check_header=False)) == [(1, "a")]
+
+
+def test_leftovers_next_to_the_table_are_cleared(spark, tmp_path):
+    put(tmp_path / "_dim__work" / "tidemark-1", OLD)
+    load_batch(spark, spec(2), frame(spark, [(1, "a")]), str(tmp_path / "dim"), day(1))
+    assert not (tmp_path / "_dim__work").exists()
 
 
 def test_failed_merge_leaves_the_table(spark, tmp_path):

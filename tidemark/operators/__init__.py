@@ -16,7 +16,7 @@ from tidemark.operators.merge import (
     scd2_parts,
     superseded_rows,
 )
-from tidemark.operators.sizing import fits_broadcast
+from tidemark.operators.sizing import few_keys, fits_broadcast, fits_by_rows
 from tidemark.operators.skew import salted_left_join
 
 __all__ = [
@@ -26,7 +26,9 @@ __all__ = [
     "classify_changes",
     "current_snapshot",
     "dedupe_batch",
+    "few_keys",
     "fits_broadcast",
+    "fits_by_rows",
     "new_rows",
     "require_keys",
     "retained_rows",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import CURRENT, HASH, OPEN_FLAG, PARTITION, col
-from tidemark.operators.sizing import fits_broadcast
+from tidemark.operators.sizing import few_keys
 from tidemark.operators.skew import salted_left_join
 
 ROW_TYPE = "rowType"
@@ -113,6 +113,12 @@ def dedupe_batch(
     return keyed
 
 
+def _prints(row_hash: Column) -> list[Column]:
+    """Two 64-bit numbers for a hash: their minima and maxima are kept in place by a
+    hash aggregate, where those of texts would need a sort."""
+    return [F.xxhash64(row_hash), F.xxhash64(F.lit("second"), row_hash)]
+
+
 def _stored_summary(table: DataFrame, keys: Sequence[str], partitioned: bool) -> DataFrame:
     """One row per current key: bounds of its hashes and of where it is stored.
 
@@ -120,8 +126,9 @@ def _stored_summary(table: DataFrame, keys: Sequence[str], partitioned: bool) ->
     rows of a key. They are reduced before the shuffle, so the join below never
     fans out. A missing hash stands as '', which no hash equals.
     """
-    stored_hash = F.coalesce(col(HASH), F.lit(""))
-    aggregates = [F.min(stored_hash).alias("_low"), F.max(stored_hash).alias("_high")]
+    aggregates = []
+    for n, number in enumerate(_prints(F.coalesce(col(HASH), F.lit("")))):
+        aggregates += [F.min(number).alias(f"_low{n}"), F.max(number).alias(f"_high{n}")]
     if partitioned:
         aggregates += [
             F.min(PARTITION).alias("_first"),
@@ -131,13 +138,20 @@ def _stored_summary(table: DataFrame, keys: Sequence[str], partitioned: bool) ->
     return table.groupBy(*[col(k) for k in keys]).agg(*aggregates)
 
 
+def _same_hash() -> Column:
+    """All stored hashes of the key are the row's own."""
+    bounds = [
+        (F.col(f"_low{n}") == number) & (F.col(f"_high{n}") == number)
+        for n, number in enumerate(_prints(col(HASH)))
+    ]
+    return reduce(Column.__and__, bounds)
+
+
 def _keyed_current(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Open versions that can match, cut to the batch's keys when those are few."""
     current = current_snapshot(table).where(has_full_key(keys))
-    batch_keys = batch.select(*[col(k) for k in keys])
-    if fits_broadcast(batch_keys):
-        current = current.join(F.broadcast(batch_keys), list(keys), "left_semi")
-    return current
+    batch_keys = few_keys(batch, keys)
+    return current if batch_keys is None else current.join(batch_keys, list(keys), "left_semi")
 
 
 def classify_changes(
@@ -174,8 +188,8 @@ def classify_changes(
     else:
         joined = salted_left_join(keyed, stored, keys)
 
-    known = F.col("_low").isNotNull()
-    same = known & (F.col("_low") == col(HASH)) & (F.col("_high") == col(HASH))
+    known = F.col("_low0").isNotNull()
+    same = known & F.coalesce(_same_hash(), F.lit(False))
     tags = [F.when(known, F.lit(CHANGED)).otherwise(F.lit(NEW)).alias(ROW_TYPE)]
     if partitioned:
         tags += _places(F.col("_last"), F.col("_first"), F.col("_open"))
@@ -201,21 +215,32 @@ def _places(last: Column, first: Column, number: Column) -> list[Column]:
     ]
 
 
+def rows_without(rows: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` whose key is not in ``gone`` (distinct keys). Neither rows without a key,
+    which all stay, nor those of a hot key meet in one task."""
+    columns = [col(c) for c in rows.columns]
+    keyed = salted_left_join(rows.where(has_full_key(keys)), gone, keys, how="left_anti")
+    return keyed.select(*columns).unionByName(rows.where(has_null_key(keys)))
+
+
+def rows_with(rows: DataFrame, hit: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` whose key is in ``hit`` (distinct keys), hot keys spread over tasks."""
+    found = salted_left_join(rows.where(has_full_key(keys)), hit, keys, how="left_semi")
+    return found.select(*[col(c) for c in rows.columns])
+
+
 def new_rows(batch: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows whose key has no open version. Rows with a NULL key are new."""
     known = _keyed_current(table, batch, keys).select(*[col(k) for k in keys]).distinct()
-    return batch.join(known, list(keys), "left_anti").select(*[col(c) for c in batch.columns])
+    return rows_without(batch, known, keys)
 
 
 def changed_rows(batch: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows whose key has an open version with another (or no) hash."""
     stored = _stored_summary(_keyed_current(table, batch, keys), keys, partitioned=False)
-    differs = (F.col("_low") != col(HASH)) | (F.col("_high") != col(HASH))
-    return (
-        batch.join(stored, list(keys), "inner")
-        .where(differs)
-        .select(*[col(c) for c in batch.columns])
-    )
+    joined = salted_left_join(batch.where(has_full_key(keys)), stored, keys)
+    differs = F.col("_low0").isNotNull() & ~F.coalesce(_same_hash(), F.lit(False))
+    return joined.where(differs).select(*[col(c) for c in batch.columns])
 
 
 def affected_partitions(
@@ -231,9 +256,12 @@ def affected_partitions(
     places = F.explode(F.array(col(P_KEY), col(FIRST_P_KEY), col(PARTITION)))
     touched = classified.select(places.alias(P_KEY))
     if table is not None:
-        scattered = classified.where(col(OPEN_VERSIONS) > 2).select(*[col(k) for k in keys])
-        if fits_broadcast(scattered):
-            scattered = F.broadcast(scattered)
-        between = current_snapshot(table).join(scattered, list(keys), "left_semi")
+        scattered = classified.where(col(OPEN_VERSIONS) > 2)
+        few = few_keys(scattered, keys)
+        current = current_snapshot(table).select(*[col(k) for k in keys], PARTITION)
+        if few is not None:
+            between = current.join(few, list(keys), "left_semi")
+        else:
+            between = rows_with(current, scattered.select(*[col(k) for k in keys]).distinct(), keys)
         touched = touched.union(between.select(PARTITION))
     return touched.distinct()

@@ -17,8 +17,10 @@ from tidemark.operators.changes import (
     current_snapshot,
     has_full_key,
     has_null_key,
+    rows_with,
+    rows_without,
 )
-from tidemark.operators.sizing import fits_broadcast
+from tidemark.operators.sizing import few_keys, fits_by_rows
 from tidemark.operators.skew import salted_left_join
 
 CLOSE_SCOPES = ("current", "all")
@@ -47,12 +49,22 @@ def incoming_rows(classified: DataFrame) -> DataFrame:
     return classified.drop(*TAGS)
 
 
-def retained_rows(table: DataFrame, classified: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stored rows whose key did not change."""
+def retained_rows(
+    table: DataFrame, classified: DataFrame, keys: Sequence[str], unique_keys: bool = False
+) -> DataFrame:
+    """Stored rows whose key did not change. ``unique_keys`` says that the table has a
+    key once or so, which saves looking for hot ones."""
+    columns = [col(c) for c in table.columns]
     gone = changed_keys(classified, keys)
-    if fits_broadcast(gone):
-        gone = F.broadcast(gone)
-    return table.join(gone, list(keys), "left_anti").select(*[col(c) for c in table.columns])
+    few = few_keys(gone, keys)
+    if few is not None:
+        return table.join(few, list(keys), "left_anti").select(*columns)
+    if not unique_keys:
+        return rows_without(table, gone.distinct(), keys)
+    # rows without a key match nothing: they pass by the shuffle, where they
+    # would all meet in one task
+    keyed = table.where(has_full_key(keys)).join(gone, list(keys), "left_anti").select(*columns)
+    return keyed.unionByName(table.where(has_null_key(keys)))
 
 
 def superseded_rows(
@@ -60,27 +72,31 @@ def superseded_rows(
 ) -> DataFrame:
     """Open versions of changed keys, closed. Earlier history is not touched."""
     hit = changed_keys(classified, keys)
-    if fits_broadcast(hit):
-        hit = F.broadcast(hit)
-    closed = current_snapshot(table).join(hit, list(keys), "left_semi")
+    few = few_keys(hit, keys)
+    if few is not None:
+        closed = current_snapshot(table).join(few, list(keys), "left_semi")
+    else:
+        closed = rows_with(current_snapshot(table), hit.distinct(), keys)
     return close_rows(closed, run_date).select(*[col(c) for c in table.columns])
 
 
-def scd1_parts(table: DataFrame, classified: DataFrame, keys: Sequence[str]) -> MergeParts:
-    """Type 1: changed keys lose their stored rows, the batch's rows take their place."""
-    gone = changed_keys(classified, keys)
+def scd1_parts(
+    table: DataFrame, classified: DataFrame, keys: Sequence[str], unique_keys: bool = True
+) -> MergeParts:
+    """Type 1: changed keys lose their stored rows, the batch's rows take their place.
+    ``unique_keys=False`` says that the table may hold a key in any number."""
     incoming = incoming_rows(classified)
-    if fits_broadcast(gone):
+    if few_keys(changed_keys(classified, keys), keys) is not None:
         return MergeParts(retained_rows(table, classified, keys), incoming)
-    # rows without a key match nothing: they pass by the shuffle, where they
-    # would all meet in one task
-    keyed = retained_rows(table.where(has_full_key(keys)), classified, keys)
+    keyed = retained_rows(table.where(has_full_key(keys)), classified, keys, unique_keys)
     return MergeParts(table.where(has_null_key(keys)), keyed.unionByName(incoming))
 
 
-def scd1_merge(table: DataFrame, classified: DataFrame, keys: Sequence[str]) -> DataFrame:
+def scd1_merge(
+    table: DataFrame, classified: DataFrame, keys: Sequence[str], unique_keys: bool = True
+) -> DataFrame:
     """Retained, new and changed rows."""
-    return scd1_parts(table, classified, keys).union()
+    return scd1_parts(table, classified, keys, unique_keys).union()
 
 
 def scd2_parts(
@@ -122,7 +138,7 @@ def scd2_parts(
             rows = close_rows(marked, run_date, hit & (col(CURRENT) == OPEN_FLAG))
         return rows.select(*[col(c) for c in table.columns])
 
-    if fits_broadcast(marks):
+    if fits_by_rows(marks):
         return MergeParts(closed(table.join(F.broadcast(marks), list(keys), "left")), incoming)
 
     keyed, passing = has_full_key(keys), has_null_key(keys)

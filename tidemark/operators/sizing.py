@@ -1,8 +1,19 @@
-"""Size check that stands before every broadcast in this package."""
+"""Size checks that stand before the broadcasts in this package."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.functions import col
+
+ROW_BYTES = 32  # of a row in a broadcast table, besides its values
+
+
+def _threshold(df: DataFrame) -> int:
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -14,6 +25,24 @@ def fits_broadcast(df: DataFrame) -> bool:
     estimated high, so it takes the shuffle way. A threshold of -1 turns all
     broadcasts off.
     """
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= int(limit)
+    return int(str(size)) <= _threshold(df)
+
+
+def fits_by_rows(df: DataFrame) -> bool:
+    """`fits_broadcast`, and so many rows as it has fit too. Files can be far smaller
+    than their rows, so the rows are counted; only where the files are small."""
+    if not fits_broadcast(df):
+        return False
+    width = ROW_BYTES + df._jdf.schema().defaultSize()
+    return df.count() * width <= _threshold(df)
+
+
+def few_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The ``keys`` of ``df`` to be broadcast for a semi or anti join, or None where they
+    are many. Rows of few keys but in great number are made distinct first."""
+    picked = df.select(*[col(k) for k in keys])
+    if fits_by_rows(picked):
+        return F.broadcast(picked)
+    distinct = picked.distinct()
+    return F.broadcast(distinct) if fits_by_rows(distinct) else None

@@ -1,16 +1,24 @@
-"""Left join that stays spread out when one key fills much of the left side."""
+"""Joins that stay spread out when one key fills much of the left side."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import col
 
 HEAVY_ROWS = 1_000_000
-SALTS = 256
+MOST_HEAVY = 10_000
+
+
+def _scatter(df: DataFrame) -> Column:
+    """A number that differs between rows of a task and between equal rows of different
+    tasks, and comes out alike when a task is run again."""
+    hashable = [col(f.name) for f in df.schema if not isinstance(f.dataType, T.MapType | T.VariantType)]
+    return F.xxhash64(*hashable, F.spark_partition_id())
 
 
 def salted_left_join(
@@ -18,37 +26,32 @@ def salted_left_join(
     right: DataFrame,
     keys: Sequence[str],
     heavy_rows: int = HEAVY_ROWS,
-    salts: int = SALTS,
+    most_heavy: int = MOST_HEAVY,
+    how: str = "left",
 ) -> DataFrame:
-    """``left LEFT JOIN right USING (keys)``; ``right`` has one row per key.
+    """``left LEFT JOIN right USING (keys)``; ``right`` has one row per key. ``how`` may
+    also be ``left_semi`` or ``left_anti``.
 
-    Keys with more than ``heavy_rows`` rows on the left are split over ``salts``
-    shuffle keys, and only their right rows are repeated. The list of heavy keys
-    is broadcast: it holds at most ``count(left) / heavy_rows`` keys.
-
-    The salt is the id of the map task, not a random number, so that a task that
-    is run again after an executor loss sends its rows where they went before.
+    A key with more than ``heavy_rows`` rows on the left gets a salt for each so many,
+    and only its right row is repeated. Heavy keys are broadcast: the ``most_heavy``
+    largest of them, so their number is bounded whatever the data. A key beyond them
+    is joined unsalted, and holds less than ``count(left) / most_heavy`` rows.
     """
     heavy = (
-        left.groupBy(*keys)
+        left.groupBy(*[col(k) for k in keys])
         .count()
         .where(F.col("count") > heavy_rows)
-        .select(*[col(k) for k in keys], F.lit(True).alias("_heavy"))
+        .orderBy(F.col("count").desc(), *[col(k) for k in keys])
+        .limit(most_heavy)
+        .select(*[col(k) for k in keys], F.ceil(F.col("count") / heavy_rows).cast("int").alias("_salts"))
     )
     salted = (
         left.join(F.broadcast(heavy), list(keys), "left")
-        .withColumn(
-            "_salt",
-            F.when(F.col("_heavy"), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0),
-        )
-        .drop("_heavy")
-    )
-    every_salt = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+        .withColumn("_salt", F.coalesce(F.pmod(_scatter(left), F.col("_salts")), F.lit(0)).cast("int"))
+        .drop("_salts")
     )
+    every_salt = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     repeated = (
-        right.join(F.broadcast(heavy), list(keys), "left")
-        .withColumn("_salt", F.explode(every_salt))
-        .drop("_heavy")
+        right.join(F.broadcast(heavy), list(keys), "left").withColumn("_salt", F.explode(every_salt)).drop("_salts")
     )
-    return salted.join(repeated, [*keys, "_salt"], "left").drop("_salt")
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -70,14 +70,8 @@ ORDERS = Source(
 
 
 def spec_of(source: Source, scd_type: int = 2, **options) -> TableSpec:
-    options.setdefault("hash_mode", "compat")
-    return TableSpec(
-        name=source.table,
-        keys=(source.key,),
-        raw_schema=source.ddl,
-        scd_type=scd_type,
-        **options,
-    )
+    options = {"hash_mode": "compat", "raw_schema": source.ddl} | options
+    return TableSpec(name=source.table, keys=(source.key,), scd_type=scd_type, **options)
 
 
 def base(spark: SparkSession, sf_dir: str, source: Source = CUSTOMER) -> DataFrame:
@@ -85,13 +79,18 @@ def base(spark: SparkSession, sf_dir: str, source: Source = CUSTOMER) -> DataFra
     return rows.select(*[col(name).cast(ddl).alias(name) for name, ddl in source.columns])
 
 
-
 def stored_table(
-    spark: SparkSession, sf_dir: str, source: Source = CUSTOMER, hash_mode: str = "compat"
+    spark: SparkSession,
+    sf_dir: str,
+    source: Source = CUSTOMER,
+    hash_mode: str = "compat",
+    whole: bool = False,
 ) -> DataFrame:
-    """Open versions in three partitions, and closed earlier ones."""
+    """Open versions in three partitions, and closed earlier ones. The keys that the
+    batch shall bring as new ones are left out, unless all are to be stored."""
     key = col(source.key)
-    kept = base(spark, sf_dir, source).where(key % 10 != 9)
+    kept = base(spark, sf_dir, source)
+    kept = kept if whole else kept.where(key % 10 != 9)
     open_rows = kept.withColumns(
         {
             CURRENT: F.lit("Y"),

@@ -20,6 +20,7 @@ from tidemark.operators.changes import CHANGED, FIRST_P_KEY, NEW, OPEN_VERSIONS,
 from tidemark.operators.merge import MergeParts
 from tidemark.sources import (
     Staged,
+    clear_work,
     empty_table,
     publish_partitions,
     read_final,
@@ -72,7 +73,8 @@ def load_batch(
 ) -> LoadResult:
     """Load the rows of ``landed`` into the table at ``path``.
 
-    Loading a batch again changes nothing. Keys that are missing from the batch
+    A publish that an earlier load was cut off in is finished first, so loading a batch
+    again changes nothing. Keys that are missing from the batch
     stay as they are: a batch is an increment, not a full copy.
     """
     run_date = parse_run_date(run_date)
@@ -81,45 +83,63 @@ def load_batch(
     stamp = int(partition_key) if spec.partitioned else None
 
     def audited(rows: DataFrame) -> DataFrame:
-        return with_audit(rows, spec.columns, run_date, stamp, spec.hash_mode)
+        return spec.as_stored(with_audit(rows, spec.columns, run_date, stamp, spec.hash_mode))
 
     if spec.scd_type == 0:
         save_rows(audited(landed), spec, path, stamp)
         return LoadResult(path)
 
-    if not spec.partitioned:
-        recover_table(spark, path)
+    recover_table(spark, path)
+    clear_work(spark, path)
     exists = table_exists(spark, path)
     table = read_final(spark, spec, path) if exists else empty_table(spark, spec)
     unique = spec.on_duplicate_keys != "keep"
     nulls = spec.null_key_policy
+    keys = spec.table_keys
     landed = landed.select(*[col(c) for c in spec.columns])
-    batch = dedupe_batch(landed, spec.keys, spec.on_duplicate_keys, spec.dedupe_by, nulls)
-    classified = classify_changes(audited(batch), table, spec.keys, nulls, unique_keys=unique)
-    with Staged(classified, path) as staged:
-        tally = _tally(staged, spec.partitioned)
-        new, changed = tally.rows[NEW], tally.rows[CHANGED]
-        if new + changed == 0 and exists:
-            return LoadResult(path, 0, 0)
-        if not spec.partitioned:
-            replace_table_parts(_merge(spec, table, staged, run_date, unique), spec, path)
-            return LoadResult(path, new, changed)
-        touched = tally.touched
-        if tally.scattered:
-            touched = {r[0] for r in affected_partitions(staged, table, spec.keys).collect()}
-        affected = sorted({*touched, stamp})
-        held = read_partitions(spark, spec, path, affected) if exists else table
-        parts = _merge(spec, held, staged, run_date, unique)
-        emptied = publish_partitions(parts, spec, path, affected)
-        return LoadResult(path, new, changed, tuple(affected), tuple(emptied))
+    deduped = dedupe_batch(landed, spec.keys, spec.on_duplicate_keys, spec.dedupe_by, nulls)
+    # classification reads the batch twice, the merge what is classified: each is
+    # parsed, checked and hashed once
+    with Staged(audited(deduped), path) as batch:
+        classified = classify_changes(batch, table, keys, nulls, unique_keys=unique)
+        with Staged(classified, path) as staged:
+            return _publish(spark, spec, path, table if exists else None, staged, run_date, stamp)
+
+
+def _publish(
+    spark: SparkSession,
+    spec: TableSpec,
+    path: str,
+    table: DataFrame | None,
+    staged: DataFrame,
+    run_date: date,
+    stamp: int | None,
+) -> LoadResult:
+    unique = spec.on_duplicate_keys != "keep"
+    tally = _tally(staged, spec.partitioned)
+    new, changed = tally.rows[NEW], tally.rows[CHANGED]
+    if new + changed == 0 and table is not None:
+        return LoadResult(path, 0, 0)
+    held = empty_table(spark, spec) if table is None else table
+    if not spec.partitioned:
+        replace_table_parts(_merge(spec, held, staged, run_date, unique), spec, path)
+        return LoadResult(path, new, changed)
+    touched = tally.touched
+    if tally.scattered:
+        touched = {r[0] for r in affected_partitions(staged, held, spec.table_keys).collect()}
+    affected = sorted({*touched, stamp})
+    if table is not None:
+        held = read_partitions(spark, spec, path, affected)
+    emptied = publish_partitions(_merge(spec, held, staged, run_date, unique), spec, path, affected)
+    return LoadResult(path, new, changed, tuple(affected), tuple(emptied))
 
 
 def _merge(
     spec: TableSpec, table: DataFrame, staged: DataFrame, run_date: date, unique: bool
 ) -> MergeParts:
     if spec.scd_type == 1:
-        return scd1_parts(table, staged, spec.keys)
-    return scd2_parts(table, staged, spec.keys, run_date, spec.close_scope, unique)
+        return scd1_parts(table, staged, spec.table_keys, unique)
+    return scd2_parts(table, staged, spec.table_keys, run_date, spec.close_scope, unique)
 
 
 @dataclass(frozen=True)

@@ -27,9 +27,10 @@ def _base(source: Source) -> str:
     return f"base AS (SELECT {picked} FROM {source.table})"
 
 
-def _fixture(source: Source, mode: str = "compat") -> str:
+def _fixture(source: Source, mode: str = "compat", whole: bool = False) -> str:
     """CTEs ``base``, ``final0`` (stored table) and ``raw`` (audited batch)."""
     key, amount = source.key, source.amount
+    kept = "true" if whole else f"{key} % 10 <> 9"
     names = ", ".join(source.names)
 
     def changed(expr: str) -> str:
@@ -42,10 +43,10 @@ def _fixture(source: Source, mode: str = "compat") -> str:
 f0 AS (
   SELECT {names}, 'Y' AS "current", DATE '2024-01-01' AS effectiveDate, {NO_END} AS endDate,
          CAST(20240101 + {key} % 3 AS INTEGER) AS partitionKey
-  FROM base WHERE {key} % 10 <> 9
+  FROM base WHERE {kept}
   UNION ALL
   SELECT {changed(earlier)}, 'N', DATE '2023-01-01', DATE '2023-12-31', 20230101
-  FROM base WHERE {key} % 12 IN (0, 4) AND {key} % 10 <> 9),
+  FROM base WHERE {key} % 12 IN (0, 4) AND {kept}),
 final0 AS (
   SELECT {names}, "current", effectiveDate, endDate, {_hash(source.names, mode)} AS rowHash, partitionKey FROM f0),
 r0 AS (SELECT {changed(later)} FROM base WHERE {key} % 2 = 0 OR {key} % 10 = 9),
@@ -69,6 +70,11 @@ def _with(source: Source, select: str, mode: str = "compat") -> str:
     return f"WITH {_fixture(source, mode)},{_classified(source)}\n{select}"
 
 
+def _whole(select: str) -> str:
+    """Over a stored table of all customers."""
+    return f"WITH {_fixture(CUSTOMER, whole=True)}\n{select}"
+
+
 def _batch_rows(source: Source, partitioned: bool = True) -> str:
     part = ", partitionKey" if partitioned else ""
     return f"SELECT {', '.join(source.names)}, {AUDIT}{part} FROM classified"
@@ -146,30 +152,36 @@ classified AS (
 
 
 C_NAMES = ", ".join(CUSTOMER.names)
+UNKEYED = "CASE WHEN o_custkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) END"
+RENAMED_NAMES = (
+    "c_custkey AS id, c_name AS name, c_nationkey AS nation, CAST(c_acctbal AS DECIMAL(14,2)) AS balance,"
+    " c_mktsegment AS segment"
+)
 
 _RESULTS: dict[str, str] = {
-    "landing_scan": _with(CUSTOMER, f"SELECT {C_NAMES} FROM raw"),
-    "raw_projection": _with(CUSTOMER, "SELECT c_mktsegment, c_custkey, c_acctbal FROM raw"),
-    "final_scan": _with(CUSTOMER, "SELECT * FROM final0"),
-    "final_partition_scan": _with(CUSTOMER, "SELECT * FROM final0 WHERE partitionKey IN (20240101, 20240102)"),
-    "format_roundtrip": _with(
-        CUSTOMER,
+    "landing_scan": f"WITH {_base(CUSTOMER)} SELECT {C_NAMES} FROM base",
+    "raw_projection": f"WITH {_base(CUSTOMER)} SELECT c_mktsegment, c_custkey, c_acctbal FROM base",
+    "final_scan": _whole("SELECT * FROM final0"),
+    "final_scan_typed": f"WITH {_base(CUSTOMER)}, audited AS ("
+    + _audited(CUSTOMER, "2024-02-01", None, "base")
+    + f") SELECT {RENAMED_NAMES}, {AUDIT} FROM audited",
+    "final_partition_scan": _whole("SELECT * FROM final0 WHERE partitionKey IN (20240101, 20240102)"),
+    "format_roundtrip": _whole(
         "SELECT f.*, v.format FROM final0 f CROSS JOIN (VALUES "
         + ", ".join(f"('{name}')" for name in ROUNDTRIP_FORMATS)
         + ") v(format)",
     ),
-    "audit_columns": _with(CUSTOMER, "SELECT * FROM raw"),
+    "audit_columns": f"WITH {_base(CUSTOMER)} " + _audited(CUSTOMER, "2024-02-01", 20240201, "base"),
     "row_hash": f"WITH {_base(CUSTOMER)} SELECT c_custkey, {_hash(CUSTOMER.names)} AS rowHash FROM base",
     "row_hash_delimited": f"WITH {_base(CUSTOMER)} "
     f"SELECT c_custkey, {_hash(CUSTOMER.names, 'delimited')} AS rowHash FROM base",
     "row_hash_orders": f"WITH {_base(ORDERS)} "
     f"SELECT o_orderkey, {_hash(ORDERS.names, 'delimited')} AS rowHash FROM base",
-    "close_rows": _with(
-        CUSTOMER,
+    "close_rows": _whole(
         f"""SELECT {C_NAMES}, 'N' AS "current", effectiveDate, DATE '2024-01-31' AS endDate, rowHash, partitionKey
 FROM final0 WHERE "current" = 'Y'""",
     ),
-    "current_snapshot": _with(CUSTOMER, """SELECT * FROM final0 WHERE "current" = 'Y'"""),
+    "current_snapshot": _whole("""SELECT * FROM final0 WHERE "current" = 'Y'"""),
     "dedupe_batch": f"""
 WITH n AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate,
@@ -184,7 +196,7 @@ SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
     "classify_changes_orders": _with(ORDERS, "SELECT * FROM classified"),
     "classify_changes_repeated_keys": _by_customer("SELECT * FROM classified"),
     "classify_changes_null_keys": _by_customer(
-        "SELECT * FROM classified", "CASE WHEN o_custkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) END"
+        "SELECT * FROM classified", UNKEYED
     ),
     "affected_partitions": _with(
         CUSTOMER,
@@ -194,6 +206,11 @@ SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
         CUSTOMER,
         f"SELECT {C_NAMES}, {AUDIT}, partitionKey FROM classified WHERE rowType = 'NewRows'",
     ),
+    "new_rows_null_keys": _by_customer(
+        "SELECT * FROM raw WHERE o_custkey IS NULL OR o_custkey NOT IN "
+        "(SELECT o_custkey FROM stored WHERE CAST(o_custkey AS BIGINT) % 5 <> 0)",
+        UNKEYED,
+    ),
     "changed_rows": _with(CUSTOMER, f"SELECT {C_NAMES}, {AUDIT}, partitionKey FROM changed"),
     "retained_rows": _with(
         CUSTOMER, "SELECT * FROM final0 WHERE c_custkey NOT IN (SELECT c_custkey FROM changed)"
@@ -206,6 +223,11 @@ FROM final0 WHERE "current" = 'Y' AND c_custkey IN (SELECT c_custkey FROM change
     "scd1_merge": _with(CUSTOMER, _scd1(CUSTOMER)),
     "scd1_merge_partitioned": _with(CUSTOMER, _scd1(CUSTOMER)),
     "scd1_merge_table": _with(CUSTOMER, _scd1(CUSTOMER, partitioned=False)),
+    "scd1_merge_legacy_layout": _with(CUSTOMER, _scd1(CUSTOMER)),
+    "scd1_merge_repeated_keys": _by_customer(
+        "SELECT * FROM stored WHERE o_custkey NOT IN (SELECT o_custkey FROM classified WHERE rowType = 'CurrentRows') "
+        "UNION ALL SELECT * EXCLUDE (rowType) FROM classified"
+    ),
     "scd2_merge": _with(CUSTOMER, _scd2(CUSTOMER)),
     "scd2_merge_orders": _with(ORDERS, _scd2(ORDERS)),
     "scd2_merge_all_versions": _with(CUSTOMER, _scd2_all(CUSTOMER)),
@@ -217,6 +239,9 @@ UNION ALL SELECT * EXCLUDE (rowType) FROM classified"""
     ),
     "scd2_merge_partitioned": _with(CUSTOMER, _scd2(CUSTOMER)),
     "scd2_merge_partitioned_orders": _with(ORDERS, _scd2(ORDERS)),
+    "scd2_merge_legacy_layout": _with(CUSTOMER, _scd2(CUSTOMER)),
+    "scd2_merge_recovered": _with(CUSTOMER, _scd2(CUSTOMER)),
+    "scd2_merge_renamed_keys": f"SELECT {RENAMED_NAMES}, {AUDIT}, partitionKey FROM ({_with(CUSTOMER, _scd2(CUSTOMER))})",
     "scd2_merge_table": _with(CUSTOMER, _scd2(CUSTOMER, partitioned=False)),
     "scd2_merge_table_csv": _with(CUSTOMER, _scd2(CUSTOMER, partitioned=False)),
     "first_load": _with(CUSTOMER, "SELECT * FROM raw"),
@@ -249,18 +274,22 @@ NO_MONEY = (
     "affected_partitions",
     "classify_changes_repeated_keys",
     "classify_changes_null_keys",
+    "new_rows_null_keys",
+    "scd1_merge_repeated_keys",
     "scd2_merge_repeated_keys",
 )
 
 
 def _shown(name: str, sql: str) -> str:
-    """Money as double in the result, like the queries."""
+    """Money as text in the result, like the queries."""
     if name in NO_MONEY:
         return sql
     amount = ORDERS.amount if name.endswith("_orders") else CUSTOMER.amount
     if name == "dedupe_batch":
         amount = "l_extendedprice"
-    return f"SELECT * REPLACE (CAST({amount} AS DOUBLE) AS {amount}) FROM ({sql})"
+    if name in ("final_scan_typed", "scd2_merge_renamed_keys"):
+        amount = "balance"
+    return f"SELECT * REPLACE (CAST({amount} AS VARCHAR) AS {amount}) FROM ({sql})"
 
 
 ORACLE_SQL: dict[str, str] = {name: _shown(name, sql) for name, sql in _RESULTS.items()}

@@ -6,7 +6,7 @@ read back.
 
 from __future__ import annotations
 
-import tempfile
+import json
 from collections.abc import Callable, Sequence
 from uuid import uuid4
 
@@ -56,13 +56,15 @@ from tidemark.sources.filesystem import Directory
 Query = Callable[[SparkSession, str], DataFrame]
 
 FIRST_DAY = "2024-01-01"
+# the stored names and types of a table whose landed ones differ
+RENAMED = "id bigint, name string, nation int, balance decimal(14,2), segment string"
 ROUNDTRIP_FORMATS = ("csv", "orc", "parquet", "txt")
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh folder on the session's shared store, removed when Spark ends."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    parent = named or tempfile.mkdtemp(prefix="tidemark-")
+    """A fresh folder on the session's shared store, its checkpoint folder or else its
+    warehouse; removed when Spark ends."""
+    parent = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     folder = Directory(spark, f"{parent.rstrip('/')}/queries-{uuid4().hex}")
     folder.delete_on_exit()
     return folder.path
@@ -71,15 +73,14 @@ def scratch(spark: SparkSession) -> str:
 # --- scans and projections -------------------------------------------------
 
 
-def _land(spark: SparkSession, sf_dir: str, source: Source) -> str:
-    """Two CSV extracts of the batch, and one of another name that no glob takes."""
+def _land(spark: SparkSession, batch: DataFrame, source: Source) -> str:
+    """Two CSV extracts of ``batch``, and one of another name that no glob takes."""
     root = scratch(spark)
-    batch = landed_batch(spark, sf_dir, source)
     even = col(source.key) % 2 == 0
     for name, rows in (
         ("extract_1", batch.where(even)),
         ("extract_2", batch.where(~even)),
-        ("draft_1", base(spark, sf_dir, source)),
+        ("draft_1", batch),
     ):
         rows.write.option("header", True).csv(f"{root}/crm/{source.table}/{name}")
     return root
@@ -90,12 +91,12 @@ def _landing_spec(source: Source, **options):
 
 
 def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_landing(spark, _landing_spec(CUSTOMER), _land(spark, sf_dir, CUSTOMER))
+    return read_landing(spark, _landing_spec(CUSTOMER), _land(spark, base(spark, sf_dir), CUSTOMER))
 
 
 def raw_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = _landing_spec(CUSTOMER, columns=("c_mktsegment", "c_custkey", "c_acctbal"))
-    return read_landing(spark, spec, _land(spark, sf_dir, CUSTOMER)).select(*spec.columns)
+    return read_landing(spark, spec, _land(spark, base(spark, sf_dir), CUSTOMER)).select(*spec.columns)
 
 
 def _store(spark: SparkSession, rows: DataFrame, spec, path: str | None = None) -> str:
@@ -106,18 +107,28 @@ def _store(spark: SparkSession, rows: DataFrame, spec, path: str | None = None)
 
 def final_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = spec_of(CUSTOMER, partitioned=True)
-    return read_final(spark, spec, _store(spark, stored_table(spark, sf_dir), spec))
+    return read_final(spark, spec, _store(spark, stored_table(spark, sf_dir, whole=True), spec))
+
+
+def final_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed as text throughout, stored under names and types of its own."""
+    texts = ", ".join(f"{name} string" for name in CUSTOMER.names)
+    spec = spec_of(CUSTOMER, raw_schema=texts, stored_schema=RENAMED, table_keys=("id",))
+    landed = base(spark, sf_dir).select(*[col(name).cast("string") for name in CUSTOMER.names])
+    path = f"{scratch(spark)}/customer"
+    load_batch(spark, spec, landed, path, RUN_DATE)
+    return read_final(spark, spec, path)
 
 
 def final_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = spec_of(CUSTOMER, partitioned=True)
-    path = _store(spark, stored_table(spark, sf_dir), spec)
+    path = _store(spark, stored_table(spark, sf_dir, whole=True), spec)
     return read_partitions(spark, spec, path, [FIRST_PARTITION, FIRST_PARTITION + 1])
 
 
 def format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark)
-    stored = stored_table(spark, sf_dir)
+    stored = stored_table(spark, sf_dir, whole=True)
     result = None
     for name in ROUNDTRIP_FORMATS:
         spec = spec_of(CUSTOMER, partitioned=True, table_format=name, table_delimiter="|")
@@ -128,7 +139,7 @@ def format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audited_batch(spark, sf_dir)
+    return with_audit(base(spark, sf_dir), CUSTOMER.names, RUN_DATE, RUN_PARTITION, "compat")
 
 
 def _hashes(source: Source, mode: str) -> Query:
@@ -143,11 +154,11 @@ def _hashes(source: Source, mode: str) -> Query:
 
 
 def close_open_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return close_rows(current_snapshot(stored_table(spark, sf_dir)), RUN_DATE)
+    return close_rows(current_snapshot(stored_table(spark, sf_dir, whole=True)), RUN_DATE)
 
 
 def open_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return current_snapshot(stored_table(spark, sf_dir))
+    return current_snapshot(stored_table(spark, sf_dir, whole=True))
 
 
 def last_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,22 +208,42 @@ def classify_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_changes(batch, stored, ["o_custkey"], unique_keys=False)
 
 
+def _unkeyed(batch: DataFrame) -> DataFrame:
+    """Every seventh customer's orders lose their key."""
+    key = F.col("o_custkey")
+    return batch.withColumn("o_custkey", F.when(key.cast("bigint") % 7 != 0, key))
+
+
+def new_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch, stored = _orders_by_customer(spark, sf_dir)
+    return new_rows(_unkeyed(batch), stored.where(F.col("o_custkey").cast("bigint") % 5 != 0), ["o_custkey"])
+
+
 def classify_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every seventh customer's orders lose their key, and count as new."""
+    """Rows without a key count as new."""
     batch, stored = _orders_by_customer(spark, sf_dir)
-    key = F.col("o_custkey")
-    batch = batch.withColumn("o_custkey", F.when(key.cast("bigint") % 7 != 0, key))
+    batch = _unkeyed(batch)
     return classify_changes(batch, stored, ["o_custkey"], null_keys="keep", unique_keys=False)
 
 
-def merge_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _repeated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The stored table and the staged classification of a batch with repeated keys."""
     _, stored = _orders_by_customer(spark, sf_dir)
     path = f"{scratch(spark)}/classified"
     classify_repeated(spark, sf_dir).write.parquet(path)
-    classified = spark.read.parquet(path)
+    return stored, spark.read.parquet(path)
+
+
+def merge_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, classified = _repeated(spark, sf_dir)
     return scd2_merge(stored, classified, ["o_custkey"], RUN_DATE, unique_keys=False)
 
 
+def type1_merge_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, classified = _repeated(spark, sf_dir)
+    return scd1_merge(stored, classified, ["o_custkey"], unique_keys=False)
+
+
 def touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = stored_table(spark, sf_dir)
     return affected_partitions(_classified(spark, sf_dir, CUSTOMER), stored, [CUSTOMER.key])
@@ -276,6 +307,63 @@ def _load(source: Source, scd_type: int, **options) -> Query:
     return query
 
 
+LEGACY = {
+    "partitioned": True,
+    "partition_folder": "partitionkey",
+    "table_format": "csv",
+    "text_dialect": "plain",
+}
+
+
+def _legacy(scd_type: int) -> Query:
+    """Load into a table as an older job has left it: CSV without header in lower-case
+    partition folders, each row with its partition as a last field."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = spec_of(CUSTOMER, scd_type, **LEGACY)
+        stored = stored_table(spark, sf_dir)
+        stored = current_snapshot(stored) if scd_type == 1 else stored
+        path = f"{scratch(spark)}/customer"
+        last = col(PARTITION)
+        rows = stored.withColumn("lastField", last).withColumnRenamed(PARTITION, "partitionkey")
+        rows.write.partitionBy("partitionkey").csv(path)
+        load_batch(spark, spec, landed_batch(spark, sf_dir), path, RUN_DATE, RUN_PARTITION)
+        return read_final(spark, spec, path)
+
+    return query
+
+
+def merge_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table has other names than the landed batch, the key's too."""
+    spec = spec_of(CUSTOMER, stored_schema=RENAMED, table_keys=("id",), partitioned=True)
+    stored = stored_table(spark, sf_dir)
+    path = _store(spark, stored.toDF(*spec.final_struct.fieldNames()).to(spec.final_struct), spec)
+    load_batch(spark, spec, landed_batch(spark, sf_dir), path, RUN_DATE, RUN_PARTITION)
+    return read_final(spark, spec, path)
+
+
+def merge_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load cut off amid its publish, and repeated: one partition moved in, the next
+    one deleted, the others as they were."""
+    spec = spec_of(CUSTOMER, partitioned=True)
+    stored, batch = stored_table(spark, sf_dir), landed_batch(spark, sf_dir)
+    root = scratch(spark)
+    path = _store(spark, stored, spec, f"{root}/customer")
+    whole = _store(spark, stored, spec, f"{root}/uncut")
+    affected = load_batch(spark, spec, batch, whole, RUN_DATE, RUN_PARTITION).affected
+    table = Directory(spark, path)
+    staged = table.sibling("__next")
+    read_partitions(spark, spec, whole, affected).write.partitionBy(PARTITION).parquet(staged)
+    places = [f"{PARTITION}={p}" for p in affected]
+    moves = [(place, *table.content(f"{staged}/{place}")) for place in places]
+    table.write(table.sibling("__swap"), json.dumps(moves))
+    table.delete(f"{path}/{places[0]}")
+    table.rename(f"{staged}/{places[0]}", f"{path}/{places[0]}")
+    table.delete(f"{path}/{places[1]}")
+    load_batch(spark, spec, batch, path, RUN_DATE, RUN_PARTITION)
+    return read_final(spark, spec, path)
+
+
 def first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load into a table that does not exist yet."""
     spec = spec_of(CUSTOMER, partitioned=True)
@@ -287,7 +375,7 @@ def first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of the whole job over landed CSV files: first load, then changes."""
     spec = _landing_spec(CUSTOMER, partitioned=True, hash_mode="delimited")
-    dirs = BaseDirs(_land(spark, sf_dir, CUSTOMER), scratch(spark))
+    dirs = BaseDirs(_land(spark, landed_batch(spark, sf_dir), CUSTOMER), scratch(spark))
     first = base(spark, sf_dir).where(col(CUSTOMER.key) % 10 != 9)
     load_batch(spark, spec, first, spec.table_path(dirs.tables), FIRST_DAY, FIRST_PARTITION)
     run_load(spark, spec, dirs, RUN_DATE, RUN_PARTITION)
@@ -339,12 +427,12 @@ def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _shown(query: Query) -> Query:
-    """Money as double in the result, which the clients of both engines show alike."""
+    """Money as text in the result: its scale shows, and both engines write it alike."""
 
     def shown(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = query(spark, sf_dir)
         money = [f.name for f in rows.schema if isinstance(f.dataType, DecimalType)]
-        return rows.withColumns({name: col(name).cast("double") for name in money})
+        return rows.withColumns({name: col(name).cast("string") for name in money})
 
     return shown
 
@@ -353,6 +441,7 @@ _RESULTS: dict[str, Query] = {
     "landing_scan": landing_scan,
     "raw_projection": raw_projection,
     "final_scan": final_scan,
+    "final_scan_typed": final_scan_typed,
     "final_partition_scan": final_partition_scan,
     "format_roundtrip": format_roundtrip,
     "audit_columns": audit_columns,
@@ -368,18 +457,24 @@ _RESULTS: dict[str, Query] = {
     "classify_changes_null_keys": classify_null_keys,
     "affected_partitions": touched_partitions,
     "new_rows": only_new,
+    "new_rows_null_keys": new_null_keys,
     "changed_rows": only_changed,
     "retained_rows": retained,
     "superseded_rows": superseded,
     "scd1_merge": type1_merge,
     "scd1_merge_partitioned": _load(CUSTOMER, 1, partitioned=True),
     "scd1_merge_table": _load(CUSTOMER, 1),
+    "scd1_merge_repeated_keys": type1_merge_repeated,
+    "scd1_merge_legacy_layout": _legacy(1),
     "scd2_merge": _type2_merge(CUSTOMER),
     "scd2_merge_orders": _type2_merge(ORDERS),
     "scd2_merge_all_versions": _type2_merge(CUSTOMER, "all"),
     "scd2_merge_repeated_keys": merge_repeated,
     "scd2_merge_partitioned": _load(CUSTOMER, 2, partitioned=True),
     "scd2_merge_partitioned_orders": _load(ORDERS, 2, partitioned=True),
+    "scd2_merge_legacy_layout": _legacy(2),
+    "scd2_merge_recovered": merge_recovered,
+    "scd2_merge_renamed_keys": merge_renamed,
     "scd2_merge_table": _load(CUSTOMER, 2),
     "scd2_merge_table_csv": _load(CUSTOMER, 2, table_format="csv"),
     "first_load": first_load,

@@ -1,6 +1,8 @@
 from tidemark.sources.tables import (
     Staged,
+    clear_work,
     empty_table,
+    partition_folder,
     partition_path,
     publish_partitions,
     read_final,
@@ -16,7 +18,9 @@ from tidemark.sources.tables import (
 
 __all__ = [
     "Staged",
+    "clear_work",
     "empty_table",
+    "partition_folder",
     "partition_path",
     "publish_partitions",
     "read_final",

@@ -7,8 +7,10 @@ from typing import NamedTuple
 from pyspark.sql import SparkSession
 
 
-class FileInfo(NamedTuple):
-    path: str
+class Content(NamedTuple):
+    """What a directory holds, subdirectories included."""
+
+    files: int
     size: int
 
 
@@ -17,6 +19,7 @@ class Directory:
 
     def __init__(self, spark: SparkSession, path: str):
         self._hadoop = spark._jvm.org.apache.hadoop.fs
+        self._io = spark._jvm.org.apache.commons.io.IOUtils
         conf = spark._jsparkSession.sessionState().newHadoopConf()
         raw = self._hadoop.Path(path)
         self._fs = raw.getFileSystem(conf)
@@ -44,13 +47,35 @@ class Directory:
         """Have Hadoop delete the directory when the driver's JVM ends."""
         self._fs.deleteOnExit(self._of(self.path))
 
-    def data_files(self, path: str | None = None) -> list[FileInfo]:
-        """The data files directly under ``path``; empty when it does not exist."""
-        where = self._of(path or self.path)
-        if not self._fs.exists(where):
-            return []
-        return [
-            FileInfo(s.getPath().toString(), s.getLen())
-            for s in self._fs.listStatus(where)
-            if s.isFile() and s.getPath().getName()[0] not in "_."
-        ]
+    def make(self, path: str | None = None) -> None:
+        self._fs.mkdirs(self._of(path or self.path))
+
+    def content(self, path: str | None = None) -> Content:
+        """One call, however many files there are; nothing where there is no directory."""
+        if not self.exists(path):
+            return Content(0, 0)
+        found = self._fs.getContentSummary(self._of(path or self.path))
+        return Content(found.getFileCount(), found.getLength())
+
+    def names(self, pattern: str, most: int | None = None) -> tuple[int, list[str]]:
+        """How many entries of the directory match a glob, and ``most`` of their names."""
+        found = self._fs.globStatus(self._of(f"{self.path}/{pattern}")) or []
+        count = len(found)
+        wanted = range(count if most is None else min(count, most))
+        return count, [found[i].getPath().getName() for i in wanted]
+
+    def read(self, path: str) -> str:
+        stream = self._fs.open(self._of(path))
+        try:
+            return self._io.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, path: str, text: str) -> None:
+        """A small file, whole or not at all."""
+        unfinished = f"{path}_unfinished"
+        stream = self._fs.create(self._of(unfinished), True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        self.delete(path)
+        self.rename(unfinished, path)

@@ -51,9 +51,38 @@ def landing_options(spec: TableSpec) -> dict[str, str]:
         "header": "true",
         "sep": spec.landing_delimiter,
         "multiLine": str(spec.landing_multiline).lower(),
+        # headers are compared with the schema's names, in order
+        "enforceSchema": str(not spec.check_header).lower(),
     }
 
 
+def landed_struct(spec: TableSpec) -> T.StructType:
+    """What landed files are read as: text, where they are text."""
+    if spec.landing_format not in TEXT_FORMATS:
+        return spec.raw_struct
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in spec.raw_struct])
+
+
+def typed_columns(schema: T.StructType, bad_rows: str) -> list[Column]:
+    """Columns of text as the schema's types. Blank text is NULL. Text that is no value of
+    the type fails the job, or with ``bad_rows="null"`` is NULL."""
+    typed = []
+    for field in schema:
+        text = col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            typed.append(text)
+            continue
+        value = text.try_cast(field.dataType)
+        if bad_rows == "error":
+            bad = value.isNull() & (F.trim(text) != "")
+            refusal = F.raise_error(
+                F.concat(F.lit(f"landed value of column {field.name} is no {field.dataType.simpleString()}: "), text)
+            )
+            value = F.when(bad, refusal.cast(field.dataType)).otherwise(value)
+        typed.append(value.alias(field.name))
+    return typed
+
+
 def writable(df: DataFrame, spec: TableSpec) -> DataFrame:
     """``df``, failing the job on a value the table's format would not give back.
 

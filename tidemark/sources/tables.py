@@ -2,34 +2,41 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from math import ceil
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.functions import CURRENT, EFFECTIVE, HASH, PARTITION, col
 from tidemark.operators.merge import MergeParts
-from tidemark.sources.filesystem import Directory
-from tidemark.sources.formats import landing_options, spark_format, table_options, writable
-from tidemark.spec import DELTA, TableSpec
+from tidemark.sources.filesystem import Content, Directory
+from tidemark.sources.formats import (
+    landed_struct,
+    landing_options,
+    spark_format,
+    table_options,
+    typed_columns,
+    writable,
+)
+from tidemark.spec import DELTA, TEXT_FORMATS, TableSpec
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 # a partition is rewritten into fewer files once it has this many times too many
 FILE_EXCESS = 4
-# tasks per partition where adaptive execution is off and cannot split one itself
-FIXED_SPLIT = 32
+# tasks per partition, at least, where adaptive execution is off and cannot split one itself
+LEAST_SPLIT = 32
 
 
 def read_landing(spark: SparkSession, spec: TableSpec, base: str) -> DataFrame:
     """The landed files that match the spec's glob, under its explicit schema."""
-    return (
-        _reader(spark, spec.landing_format, spec.raw_struct)
-        .options(**landing_options(spec))
-        .load(spec.landing_path(base))
-    )
+    raw = spec.raw_struct
+    reader = _reader(spark, spec.landing_format, landed_struct(spec)).options(**landing_options(spec))
+    landed = reader.load(spec.landing_path(base))
+    return landed.select(*typed_columns(raw, spec.bad_rows)) if spec.landing_format in TEXT_FORMATS else landed
 
 
 def _reader(spark: SparkSession, name: str, schema: StructType) -> DataFrameReader:
@@ -41,14 +48,29 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return Directory(spark, path).exists()
 
 
+def partition_folder(spark: SparkSession, spec: TableSpec, path: str) -> str:
+    """How the table's partition folders are named: as those that are there, whatever
+    their case, else as the spec says. A table with two spellings is refused."""
+    table = Directory(spark, path)
+    any_case = "".join(f"[{c.lower()}{c.upper()}]" for c in PARTITION)
+    count, first = table.names(f"{any_case}=*", most=1)
+    if not count:
+        return spec.partition_folder
+    name = first[0].partition("=")[0]
+    if table.names(f"{name}=*", most=0)[0] != count:
+        raise ValueError(f"{path} has partition folders under several spellings of {PARTITION}")
+    return name
+
+
 def read_final(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     """The whole stored table: all partitions, all versions."""
-    return (
-        _reader(spark, spec.table_format, spec.final_struct)
-        .options(**table_options(spec))
-        .load(path)
-        .select(*[col(c) for c in spec.final_struct.fieldNames()])
-    )
+    schema = spec.final_struct
+    stored = {c: c for c in schema.fieldNames()}
+    if spec.partitioned and spec.table_format != DELTA:
+        stored[PARTITION] = partition_folder(spark, spec, path)
+        schema = StructType([StructField(stored[f.name], f.dataType) for f in schema])
+    table = _reader(spark, spec.table_format, schema).options(**table_options(spec)).load(path)
+    return table.select(*[col(name).alias(c) for c, name in stored.items()])
 
 
 def read_partitions(
@@ -62,8 +84,8 @@ def empty_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return spark.createDataFrame([], spec.final_struct)
 
 
-def partition_path(path: str, partition: int) -> str:
-    return f"{path.rstrip('/')}/{PARTITION}={int(partition)}"
+def partition_path(path: str, partition: int, folder: str = PARTITION) -> str:
+    return f"{path.rstrip('/')}/{folder}={int(partition)}"
 
 
 def _writer(df: DataFrame, spec: TableSpec, mode: str) -> DataFrameWriter:
@@ -90,11 +112,12 @@ def _slot(n: int) -> Column:
     return F.pmod(F.xxhash64(col(HASH), col(EFFECTIVE)), F.lit(n))
 
 
-def _gathered(df: DataFrame) -> DataFrame:
-    """``df`` shuffled by table partition, with large partitions split over tasks."""
+def _gathered(df: DataFrame, largest: int = 0) -> DataFrame:
+    """``df`` shuffled by table partition, with large partitions split over tasks.
+    Where adaptive execution is off, each is split alike: for ``largest`` bytes."""
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() == "true":
         return df.hint("rebalance", col(PARTITION))
-    return df.repartition(col(PARTITION), _slot(FIXED_SPLIT))
+    return df.repartition(col(PARTITION), _slot(max(LEAST_SPLIT, ceil(largest / TARGET_FILE_BYTES))))
 
 
 def save_rows(
@@ -112,7 +135,7 @@ def save_rows(
         _save_delta(df, spec, path, [partition_key], spec.save_mode)
         return
     if spec.partitioned:
-        path = partition_path(path, partition_key)
+        path = partition_path(path, partition_key, partition_folder(df.sparkSession, spec, path))
         df = df.drop(PARTITION)
     _writer(df, spec, spec.save_mode).save(path)
 
@@ -132,26 +155,52 @@ def _save_delta(
 
 
 def recover_table(spark: SparkSession, path: str) -> None:
-    """Finish or undo a `replace_table` that was cut off between its renames."""
+    """Finish a publish that was cut off, or clear away one that was not yet decided.
+
+    New content lies next to the table until a note, written last, says that it is
+    whole and what goes where. From then on the publish is rolled forward: each move
+    is repeated until its target holds as many files and bytes as the note says. At
+    any time either the staged copy or the target is whole, also on stores where a
+    rename copies and then deletes; which of them is, their contents tell. Nothing is
+    deleted before. Without a note the table was not touched.
+    """
     table = Directory(spark, path)
-    staged, previous = table.sibling("__next"), table.sibling("__prev")
-    if not table.exists(previous):
+    staged, note = table.sibling("__next"), table.sibling("__swap")
+    if not table.exists(note):
+        # an old copy from before there were notes: all that is left of its table
+        previous = table.sibling("__prev")
+        if table.exists(previous) and not table.exists():
+            table.rename(previous, table.path)
+        table.delete(staged)
         return
-    if table.exists():
-        table.delete(previous)
-    elif table.exists(staged):
-        table.rename(staged, table.path)
-        table.delete(previous)
-    else:
-        table.rename(previous, table.path)
+    for place, *content in json.loads(table.read(note)):
+        source, target = (f"{top}/{place}" if place else top for top in (staged, table.path))
+        if not content:
+            table.delete(target)
+        elif table.exists(source) and table.content(source) == tuple(content):
+            table.delete(target)
+            if place:
+                table.make()
+            table.rename(source, target)
+        elif table.content(target) != tuple(content):
+            raise RuntimeError(f"neither {source} nor {target} is whole; nothing was deleted")
+    table.delete(staged)
+    table.delete(note)
+    spark.catalog.refreshByPath(path)
+
+
+def _swap_in(spark: SparkSession, path: str, moves: Sequence[tuple]) -> None:
+    """``moves``: (place, files, bytes) for what is staged, (place,) for what goes."""
+    table = Directory(spark, path)
+    table.write(table.sibling("__swap"), json.dumps([list(m) for m in moves]))
+    recover_table(spark, path)
 
 
 def replace_table(df: DataFrame, spec: TableSpec, path: str) -> None:
     """Replace the whole table by ``df``, which may read that very table.
 
-    The new content is written next to the table and swapped in by two renames.
-    On a store without directory renames these copy, so there the swap is not
-    atomic; `recover_table` settles a swap that was cut off.
+    The new content is written next to the table, noted as whole, and moved into its
+    place; `recover_table` finishes a move that was cut off.
     """
     spark = df.sparkSession
     if spec.table_format == DELTA:
@@ -159,16 +208,17 @@ def replace_table(df: DataFrame, spec: TableSpec, path: str) -> None:
         return
     recover_table(spark, path)
     table = Directory(spark, path)
-    staged, previous = table.sibling("__next"), table.sibling("__prev")
-    if spec.partitioned:
-        _writer(_capped(df, spec), spec, "overwrite").partitionBy(PARTITION).save(staged)
-    else:
+    staged = table.sibling("__next")
+    if not spec.partitioned:
         _writer(_capped(df, spec), spec, "overwrite").save(staged)
-    if table.exists():
-        table.rename(table.path, previous)
-    table.rename(staged, table.path)
-    table.delete(previous)
-    spark.catalog.refreshByPath(path)
+    else:
+        df = _capped(df, spec) if spec.files_per_partition is not None else _gathered(df, table.content().size)
+        _partition_writer(df, spec, partition_folder(spark, spec, path)).save(staged)
+    _swap_in(spark, path, [("", *table.content(staged))])
+
+
+def _partition_writer(df: DataFrame, spec: TableSpec, folder: str) -> DataFrameWriter:
+    return _writer(df.withColumnRenamed(PARTITION, folder), spec, "overwrite").partitionBy(folder)
 
 
 def replace_table_parts(parts: MergeParts, spec: TableSpec, path: str) -> None:
@@ -181,13 +231,13 @@ def replace_table_parts(parts: MergeParts, spec: TableSpec, path: str) -> None:
 def publish_partitions(
     parts: MergeParts, spec: TableSpec, path: str, affected: Sequence[int]
 ) -> list[int]:
-    """Overwrite the ``affected`` partitions by the merge result, in one commit.
+    """Replace the ``affected`` partitions by the merge result; returns those that lost
+    their last row, and so go.
 
-    The result must hold everything that those partitions shall hold. Returns
-    the partitions that lost their last row: dynamic overwrite leaves a
-    directory without output as it was, so these are told by their old files
-    being there still, and removed after the commit. A crash in between leaves
-    rows that the next change of their keys clears away, never a loss.
+    The result must hold everything that those partitions shall hold. It is written
+    next to the table, noted as whole, and moved in partition by partition. Readers
+    may see a part of them replaced meanwhile; a publish that is cut off is finished
+    by the next load, whichever move it had reached, with no row lost or doubled.
 
     Rows that a key shuffle has mixed are shuffled once more, by partition, so
     that each partition gets few files; adaptive execution splits a partition
@@ -198,41 +248,42 @@ def publish_partitions(
     if spec.table_format == DELTA:
         _save_delta(_capped(parts.union(), spec), spec, path, affected)
         return []
+    recover_table(spark, path)
     table = Directory(spark, path)
-    before = {p: table.data_files(partition_path(table.path, p)) for p in affected}
+    staged, folder = table.sibling("__next"), partition_folder(spark, spec, path)
+    before = {p: table.content(partition_path(table.path, p, folder)) for p in affected}
+    largest = max((c.size for c in before.values()), default=0)
 
     if spec.files_per_partition is not None:
         df = _capped(parts.union(), spec)
-    elif parts.in_place is None or too_many_files([f.size for f in fs] for fs in before.values()):
-        df = _gathered(parts.union())
+    elif parts.in_place is None or too_many_files(before.values()):
+        df = _gathered(parts.union(), largest)
     else:
-        df = parts.in_place.unionByName(_gathered(parts.moved))
+        df = parts.in_place.unionByName(_gathered(parts.moved, largest))
 
     # sorted by flag within a file, a scan of open versions skips the pages of
     # closed ones, and the other way round
     order = [PARTITION, CURRENT] if spec.scd_type == 2 else [PARTITION]
-    (
-        _writer(df.sortWithinPartitions(*order), spec, "overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
-        .save(path)
-    )
+    _partition_writer(df.sortWithinPartitions(*order), spec, folder).save(staged)
 
-    emptied = [p for p, files in before.items() if files and table.exists(files[0].path)]
+    after = {p: table.content(partition_path(staged, p, folder)) for p in affected}
+    filled = [p for p in affected if after[p].files]
+    if Directory(spark, staged).names(f"{folder}=*", most=0)[0] != len(filled):
+        raise RuntimeError(f"the merge gave rows outside the partitions {list(affected)}; nothing published")
+    emptied = [p for p in affected if before[p].files and not after[p].files]
     if emptied and spec.scd_type == 2:
         raise RuntimeError(f"Type 2 merge gave no rows for partitions {emptied}; nothing removed")
-    for p in emptied:
-        table.delete(partition_path(table.path, p))
-    spark.catalog.refreshByPath(path)
+    table.make()
+    moves = [(f"{folder}={int(p)}", *after[p]) for p in filled]
+    _swap_in(spark, path, moves + [(f"{folder}={int(p)}",) for p in emptied])
     return emptied
 
 
-def too_many_files(sizes_by_partition: Iterable[Iterable[int]]) -> bool:
+def too_many_files(contents: Iterable[Content]) -> bool:
     files = ideal = 0
-    for sizes in sizes_by_partition:
-        sizes = list(sizes)
-        files += len(sizes)
-        ideal += max(1, ceil(sum(sizes) / TARGET_FILE_BYTES))
+    for content in contents:
+        files += content.files
+        ideal += max(1, ceil(content.size / TARGET_FILE_BYTES)) if content.files else 0
     return files > FILE_EXCESS * ideal
 
 
@@ -247,6 +298,12 @@ def shared_folder(spark: SparkSession, path: str | None = None) -> str:
     return Directory(spark, path).sibling("__work")
 
 
+def clear_work(spark: SparkSession, path: str) -> None:
+    """Removes what a load that crashed has left in the hidden folder next to its table."""
+    table = Directory(spark, path)
+    table.delete(table.sibling("__work"))
+
+
 class Staged:
     """Rows written to the shared folder and read back: the end of their lineage.
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.functions import AUDIT_COLUMNS, CURRENT, EFFECTIVE, END, HASH, PARTITION
+from tidemark.functions import AUDIT_COLUMNS, CURRENT, EFFECTIVE, END, HASH, PARTITION, col
 from tidemark.operators.changes import NULL_KEYS, ON_DUPLICATE, TAGS
 from tidemark.operators.merge import CLOSE_SCOPES
 
@@ -17,6 +18,7 @@ TEXT_FORMATS = ("csv", "txt")
 SAVE_MODES = ("overwrite", "append", "ignore", "errorifexists", "error")
 SCD_TYPES = (0, 1, 2)
 DIALECTS = ("strict", "plain")
+BAD_ROWS = ("error", "null")
 
 
 def _one_of(name: str, value, allowed) -> None:
@@ -24,6 +26,12 @@ def _one_of(name: str, value, allowed) -> None:
         raise ValueError(f"{name} must be one of {list(allowed)}, not {value!r}")
 
 
+def _unbounded(schema: T.StructType) -> T.StructType:
+    """Files know no length limits, so CHAR and VARCHAR are STRING."""
+    bounded = T.CharType | T.VarcharType
+    return T.StructType([T.StructField(f.name, T.StringType()) if isinstance(f.dataType, bounded) else f for f in schema])
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """What to read, how to tell rows apart and how to keep them.
@@ -39,7 +47,15 @@ class TableSpec:
     raw_schema: str
     scd_type: int
     columns: tuple[str, ...] = ()
+    # DDL of the stored business columns, where names or types differ from the landed
+    # ones: by position, as many as ``columns``. Values are cast on the way in; the row
+    # hash is of the landed ones, so it does not change with the stored types
+    stored_schema: str = ""
+    # the keys' names in the stored table, where they are not those of their position
+    table_keys: tuple[str, ...] = ()
     partitioned: bool = False
+    # how partition folders of a new table are named; existing ones keep their spelling
+    partition_folder: str = PARTITION
 
     app_dir: str = ""
     table_dir: str = ""
@@ -48,6 +64,10 @@ class TableSpec:
     landing_format: str = "csv"
     landing_delimiter: str = ","
     landing_multiline: bool = False
+    # a landed text that is no value of its column's type fails the load, or is NULL
+    bad_rows: str = "error"
+    # the names in a file's header must be those of ``raw_schema``, in order
+    check_header: bool = True
 
     table_format: str = "parquet"
     table_delimiter: str = ","
@@ -87,6 +107,9 @@ class TableSpec:
         _one_of("null_key_policy", self.null_key_policy, NULL_KEYS)
         _one_of("close_scope", self.close_scope, CLOSE_SCOPES)
         _one_of("text_dialect", self.text_dialect, DIALECTS)
+        _one_of("bad_rows", self.bad_rows, BAD_ROWS)
+        if self.partition_folder.lower() != PARTITION.lower():
+            raise ValueError(f"partition_folder must be a spelling of {PARTITION}")
         if self.on_duplicate_keys == "last" and not self.dedupe_by:
             raise ValueError("on_duplicate_keys='last' needs dedupe_by columns")
         if self.scd_type != 0 and not self.keys:
@@ -101,8 +124,9 @@ class TableSpec:
                 raise ValueError(f"{name}: {missing} are not among {list(known)}")
         if len({c.lower() for c in self.columns}) != len(self.columns):
             raise ValueError("columns repeat")
+        self._match_stored()
         reserved = {c.lower() for c in (*AUDIT_COLUMNS, PARTITION, *TAGS)}
-        clash = [c for c in self.columns if c.lower() in reserved]
+        clash = [c for c in (*self.columns, *self.stored_names) if c.lower() in reserved]
         if clash:
             raise ValueError(f"{clash} are names of audit columns")
         if self.table_format in TEXT_FORMATS:
@@ -114,22 +138,45 @@ class TableSpec:
             if nested:
                 raise ValueError(f"text tables cannot hold the nested columns {nested}")
 
+    def _match_stored(self) -> None:
+        names = self.stored_names
+        if len(names) != len(self.columns):
+            raise ValueError(f"stored_schema has {len(names)} columns for {len(self.columns)}")
+        if len({c.lower() for c in names}) != len(names):
+            raise ValueError("columns of stored_schema repeat")
+        by_lower = {c.lower(): c for c in names}
+        given = (self.table_keys,) if isinstance(self.table_keys, str) else self.table_keys
+        keys = tuple(by_lower.get(k.lower(), k) for k in given)
+        own = tuple(names[self.columns.index(k)] for k in self.keys)
+        if keys and keys != own:
+            raise ValueError(f"table_keys {list(keys)} are not where the keys {list(self.keys)} are stored: {list(own)}")
+        object.__setattr__(self, "table_keys", own)
+
+    @property
+    def stored_names(self) -> tuple[str, ...]:
+        return tuple(T.StructType.fromDDL(self.stored_schema).fieldNames()) if self.stored_schema else self.columns
+
+    def as_stored(self, audited: DataFrame) -> DataFrame:
+        """Landed rows with audit columns, under the stored names and types."""
+        if not self.stored_schema:
+            return audited
+        stored = T.StructType.fromDDL(self.stored_schema)
+        business = [col(c).cast(f.dataType).alias(f.name) for c, f in zip(self.columns, stored, strict=True)]
+        return audited.select(*business, *[col(c) for c in audited.columns[len(self.columns) :]])
+
     @property
     def raw_struct(self) -> T.StructType:
-        """The landed schema; files know no length limits, so CHAR and VARCHAR are STRING."""
-        fields = [
-            T.StructField(f.name, T.StringType())
-            if isinstance(f.dataType, T.CharType | T.VarcharType)
-            else f
-            for f in T.StructType.fromDDL(self.raw_schema)
-        ]
-        return T.StructType(fields)
+        """The landed schema."""
+        return _unbounded(T.StructType.fromDDL(self.raw_schema))
 
     @property
     def final_struct(self) -> T.StructType:
         """Schema of the stored table: business columns, then audit columns."""
-        raw = {f.name: f for f in self.raw_struct}
-        fields = [T.StructField(c, raw[c].dataType) for c in self.columns]
+        if self.stored_schema:
+            fields = list(_unbounded(T.StructType.fromDDL(self.stored_schema)))
+        else:
+            raw = {f.name: f for f in self.raw_struct}
+            fields = [T.StructField(c, raw[c].dataType) for c in self.columns]
         fields += [
             T.StructField(CURRENT, T.StringType()),
             T.StructField(EFFECTIVE, T.DateType()),
@@ -150,12 +197,15 @@ class TableSpec:
         return self._join(base, self.app_dir, self.table_dir or self.name)
 
     @classmethod
-    def from_json(cls, text: str) -> TableSpec:
-        """Build a spec from a JSON load description of twenty string fields.
-
-        Such tables were written as plain CSV with undelimited hashes, so the
-        spec keeps both. The stored business columns are those of ``sqlSelect``;
-        they must lead ``finalFileSchema`` in that order.
+    def from_json(cls, text: str, **options) -> TableSpec:
+        """Build a spec from a JSON load description of twenty string fields;
+        ``options`` are further fields of the spec.
+
+        Such tables were written as plain CSV with undelimited hashes under lower-case
+        partition folders, and the spec keeps all three. ``sqlSelect`` names the landed
+        columns to keep. ``finalFileSchema`` begins with as many stored ones, which
+        take them by position under names and types of their own; its audit columns
+        are read as this library's types.
         """
         conf = json.loads(text)
         if conf.get("sourceType", "file") != "file":
@@ -163,29 +213,31 @@ class TableSpec:
         scd_type = conf["scdType"].lower()
         _one_of("scdType", scd_type, ("type0", "type1", "type2"))
         _one_of("isPartitioned", conf["isPartitioned"], ("Y", "N"))
-        key = conf["rawFileMergeKey"].strip()
-        if key != conf["currentTableMergeKey"].strip():
-            raise ValueError("the merge key must have one name in the batch and in the table")
         columns = tuple(c.strip() for c in conf["sqlSelect"].split(","))
-        stored = T.StructType.fromDDL(conf["finalFileSchema"]).fieldNames()
-        if [c.lower() for c in stored[: len(columns)]] != [c.lower() for c in columns]:
-            raise ValueError("finalFileSchema must begin with the columns of sqlSelect")
-        return cls(
-            name=conf["rawFileName"],
-            keys=(key,),
-            raw_schema=conf["rawFileSchema"],
-            scd_type=int(scd_type[-1]),
-            columns=columns,
-            partitioned=conf["isPartitioned"] == "Y",
-            app_dir=conf["appDir"],
-            table_dir=conf["tableDir"],
-            landing_pattern=conf["rawFilePattern"],
-            landing_format=conf["inFileType"].lower(),
-            landing_delimiter=conf["readDelim"],
-            table_format=conf["outFileType"].lower(),
-            table_delimiter=conf["writeDelim"],
-            text_dialect="plain",
-            save_mode=conf["saveMode"].lower(),
-            hash_mode="compat",
-        )
-
+        stored = T.StructType.fromDDL(conf["finalFileSchema"])
+        audit = [f.name.lower() for f in stored[len(columns) :]]
+        if audit[: len(AUDIT_COLUMNS)] != [c.lower() for c in AUDIT_COLUMNS]:
+            raise ValueError("finalFileSchema must be a column for each of sqlSelect, then the audit columns")
+        business = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored[: len(columns)])
+        fields = {
+            "name": conf["rawFileName"],
+            "keys": (conf["rawFileMergeKey"].strip(),),
+            "table_keys": (conf["currentTableMergeKey"].strip(),),
+            "raw_schema": conf["rawFileSchema"],
+            "scd_type": int(scd_type[-1]),
+            "columns": columns,
+            "stored_schema": business,
+            "partitioned": conf["isPartitioned"] == "Y",
+            "partition_folder": PARTITION.lower(),
+            "app_dir": conf["appDir"],
+            "table_dir": conf["tableDir"],
+            "landing_pattern": conf["rawFilePattern"],
+            "landing_format": conf["inFileType"].lower(),
+            "landing_delimiter": conf["readDelim"],
+            "table_format": conf["outFileType"].lower(),
+            "table_delimiter": conf["writeDelim"],
+            "text_dialect": "plain",
+            "save_mode": conf["saveMode"].lower(),
+            "hash_mode": "compat",
+        }
+        return cls(**(fields | options))
