@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.helpers import Model, conf, day, frame, shuffle_joins, spec, tuples
 from tidemark import BaseDirs, TableSpec, load_batch, run_load
 from tidemark.functions import PARTITION, with_audit
+from tidemark.plans import queries
 from tidemark.sources import read_final, replace_table, shared_folder
 from tidemark.sources.tables import partition_path
 
@@ -209,6 +210,17 @@ def test_work_folder_beside_the_table_when_the_session_names_none(spark, tmp_pat
     assert not list((tmp_path / "_dim__work").glob("tidemark-*"))
 
 
+def test_queries_use_the_warehouse_when_the_session_names_no_folder(spark, monkeypatch):
+    real = type(spark.conf).get
+
+    def unnamed(self, key, *default):
+        return default[0] if key == "spark.checkpoint.dir" else real(self, key, *default)
+
+    monkeypatch.setattr(type(spark.conf), "get", unnamed)
+    assert queries.scratch(spark).startswith(spark.conf.get("spark.sql.warehouse.dir"))
+    assert queries.QUERIES["landing_scan"](spark, "/root/testdata/sf0.001").count() == 150
+
+
 def test_new_column_counts_every_row_as_changed_once(spark, tmp_path):
     path = str(tmp_path / "dim")
     load_batch(spark, spec(2, columns=("k",)), frame(spark, [(1, "a"), (2, "b")]), path, day(1))

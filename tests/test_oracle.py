@@ -2,6 +2,9 @@
 
 import math
 import os
+import shutil
+import subprocess
+import sys
 from datetime import date, datetime
 from pathlib import Path
 
@@ -59,5 +62,15 @@ def test_matches_sql(spark, duck, name):
     assert want and got == want
 
 
+def test_entry_without_the_subpackage(tmp_path):
+    here = Path(contract.__file__).parent
+    left_out = shutil.ignore_patterns("llm", "corpus_pipeline.py", "__pycache__", ".git", "spark-warehouse")
+    shutil.copytree(here, tmp_path / "repo", ignore=left_out)
+    (tmp_path / "repo" / "tidemark" / "llm" / "__pycache__").mkdir(parents=True)
+    code = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.QUERIES), set(e.oracle_sql()) == set(e.ORACLE_SQL))"
+    ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True, check=True)
+    assert ran.stdout.split() == ["True", "True"]
+
+
 def test_entry_runs(spark):
     assert contract.entry(spark).count() > 0
