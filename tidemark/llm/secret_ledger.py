@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import stage
+from tidemark.operators import few_keys
 from tidemark.sources.filesystem import Directory
 
 SPAN = "struct<kind:string,start:long,end:long>"
@@ -81,7 +82,7 @@ def scan_versions(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULE
     empty blob; repeated rows stay repeated; an empty table leaves the ledger as it
     is. Columns named ``blob`` or ``spans`` are replaced.
 
-    Texts move once, and only those that the ledger lacks; copies meet before the
+    Texts move once, and where few are new, only those; copies meet before the
     shuffle. The join back moves no texts if Spark can broadcast the findings.
     """
     spark = versions.sparkSession
@@ -94,11 +95,16 @@ def scan_versions(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULE
     if Directory(spark, ledger).exists():
         seen = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule").isin([r.key for r in rules]))
         # as many rules as there are, per blob
-        seen = stage(seen.groupBy("blob").agg(F.collect_set("rule").alias("seen")))
-        blobs = blobs.join(seen, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
-        blobs = blobs.where(F.size(F.array_except(keys, "seen")) > 0)
+        seen = seen.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+        pending = rows.select("blob").distinct().join(seen, "blob", "left")
+        pending = pending.withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
+        pending = stage(pending.where(F.size(F.array_except(keys, "seen")) > 0))
+        few = few_keys(pending, ["blob"])
+        if few is not None:  # texts of known blobs do not move at all
+            blobs = blobs.join(few, "blob", "left_semi")
+        blobs = blobs.dropDuplicates(["blob"]).join(pending, "blob")
     else:
-        blobs = blobs.withColumn("seen", F.array().cast("array<string>"))
+        blobs = blobs.dropDuplicates(["blob"]).withColumn("seen", F.array().cast("array<string>"))
     found = [
         F.when(
             ~F.array_contains("seen", r.key),
@@ -106,7 +112,7 @@ def scan_versions(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULE
         )
         for r in rules
     ]
-    unseen = blobs.dropDuplicates(["blob"]).select("blob", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())))
+    unseen = blobs.select("blob", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())))
     unseen.select("blob", "col.rule", "col.spans").write.mode("append").parquet(ledger)
 
     rank = reduce(lambda c, n: c.when(F.col("rule") == rules[n].key, n), range(1, len(rules)), F.when(F.col("rule") == rules[0].key, 0))
