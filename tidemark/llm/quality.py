@@ -104,15 +104,18 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [np.unique(features(t, settings.buckets), return_counts=True) for t in batch["text"]]
-            yield pd.DataFrame({"_id": batch["_id"], "_y": batch["_y"], "own": [r[0] for r in rows], "n": [r[1] for r in rows]})
+            # as bytes, which reach the driver without an object per number
+            own, n = ([r[k].astype("<i4").tobytes() for r in rows] for k in (0, 1))
+            yield pd.DataFrame({"_id": batch["_id"], "_y": batch["_y"], "own": own, "n": n})
 
-    rows = found.mapInPandas(counted, "_id long, _y int, own array<int>, n array<long>")
+    rows = found.mapInPandas(counted, "_id long, _y int, own binary, n binary")
     # repeated documents do not raise the bound
-    rows = rows.orderBy(F.xxhash64("_id"), "_id", "_y", F.size("own")).limit(settings.examples).toPandas()
+    rows = rows.orderBy(F.xxhash64("_id"), "_id", "_y", F.octet_length("own")).limit(settings.examples).toPandas()
     examples = []
     for own, n, y in zip(rows["own"], rows["n"], rows["_y"], strict=True):
         if len(own):
-            examples.append((np.asarray(own, np.int64), np.asarray(n, float) / np.sum(n), int(y)))
+            counts_of = np.frombuffer(n, "<i4")
+            examples.append((np.frombuffer(own, "<i4"), (counts_of / counts_of.sum()).astype(np.float32), int(y)))
     return train(examples, counts.get(1, 0) / max(1, sum(counts.values())), settings)
 
 
