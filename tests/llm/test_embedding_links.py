@@ -63,7 +63,8 @@ def test_near_copies_equal_brute_force(spark):
 
 
 def test_one_large_group_in_chunks(spark, monkeypatch):
-    monkeypatch.setattr(E, "CHUNK", 40)
+    monkeypatch.setattr(E, "CHUNK", 90)
+    monkeypatch.setattr(E, "PAIRS", 700)
     vectors = near_copies(7, 32, 0.0, 1)[:1] + 0.15 * np.random.default_rng(2).normal(size=(400, 32))
     vectors = vectors.tolist() + [[1.0] * 32] * 50
     assert plain(groups(spark, range(450), vectors)) == graph(range(450), vectors)

@@ -15,22 +15,24 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import connected_components, star_edges
 from tidemark.llm.shared import stage
 
-CHUNK = 1024  # vectors of a bucket that are compared with each other in one piece
+SMALL = 64  # vectors of a piece up to which its pairs are checked one by one
+PAIRS = 100_000  # pairs that are checked at a time
+CHUNK = 2048  # vectors of a bucket that are compared with each other in one piece
 ALTERNATIVES = 3  # signed axes of a rotation that probing considers
-BUCKET = 16  # vectors that a bucket should hold on average
-MEET = 0.8  # chance that one rotation with its probes brings a pair at the threshold together
-MISS = 1e-5  # chance that a pair at the threshold meets in no table
+BUCKET = 512  # vectors that a bucket should own at most on average
+MEET = 0.7  # chance that one rotation with its probes brings a pair at cosine 0.9 together
+MISS = 1e-4  # chance that such a pair meets in no table, at that
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
-    """The Walsh-Hadamard transform of the rows (a power of two long), n log n."""
-    rows, n = x.shape
+    """The Walsh-Hadamard transform of the columns (a power of two high), n log n."""
+    n, columns = x.shape
     h = 1
     while h < n:
-        x = x.reshape(rows, n // (2 * h), 2, h)
-        x = np.stack([x[:, :, 0] + x[:, :, 1], x[:, :, 0] - x[:, :, 1]], axis=2)
+        x = x.reshape(n // (2 * h), 2, h, columns)
+        x = np.stack([x[:, 0] + x[:, 1], x[:, 0] - x[:, 1]], axis=1)
         h *= 2
-    return x.reshape(rows, n) / np.sqrt(n)
+    return x.reshape(n, columns) / np.sqrt(n)
 
 
 @dataclass(frozen=True)
@@ -45,11 +47,11 @@ class CrossPolytope:
     seed: int = 1
 
     @classmethod
-    def for_count(cls, n: int, dims: int, probes: int = 6) -> CrossPolytope:
+    def for_count(cls, n: int, dims: int, probes: int = 3) -> CrossPolytope:
         """Rotations grow with the logarithm of the count, so buckets keep their size;
         tables grow with them, so the chance to miss a pair stays."""
         axes = 2 * _padded(dims)
-        rotations = max(1, ceil(log(max(n, 1) / BUCKET + 1) / log(axes)))
+        rotations = max(1, ceil(log(max(n, 1) / BUCKET) / log(axes)))
         tables = ceil(log(MISS) / log(1 - MEET**rotations))
         return cls(tables, rotations, probes)
 
@@ -57,7 +59,7 @@ class CrossPolytope:
         """(rows, tables, probes) bucket numbers of unit rows, the own bucket first. The
         number of axes is part of the number, so other dimensions never meet."""
         n = _padded(x.shape[1])
-        x = np.pad(x, ((0, 0), (0, n - x.shape[1])))
+        columns = np.ascontiguousarray(np.pad(x, ((0, 0), (0, n - x.shape[1]))).T)
         signs = np.random.default_rng(self.seed).choice((-1.0, 1.0), (self.tables, self.rotations, 3, n))
         top = min(ALTERNATIVES, 2 * n)
         combos = np.array(sorted(product(range(top), repeat=self.rotations), key=sum))
@@ -65,10 +67,10 @@ class CrossPolytope:
         for t in range(self.tables):
             loss, axis = [], []
             for r in range(self.rotations):
-                y = x
+                y = columns
                 for flip in signs[t, r]:
-                    y = hadamard(y * flip)
-                y = np.concatenate([y, -y], axis=1)
+                    y = hadamard(y * flip[:, None])
+                y = np.concatenate([y, -y]).T
                 best = np.argpartition(-y, top - 1, axis=1)[:, :top]
                 score = np.take_along_axis(y, best, 1)
                 order = np.argsort(-score, axis=1, kind="stable")
@@ -198,67 +200,101 @@ def _pieces(hashed: DataFrame) -> DataFrame:
 
 
 def _verified(pieces: DataFrame, lsh: CrossPolytope, threshold: float) -> DataFrame:
-    """(cls, links, root): links counted in a piece, and the smallest class that its
-    links reach there."""
+    """(cls, links, root): links counted in some pieces, and the smallest class that
+    their links reach."""
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for batch in batches:
             rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            keys = rest[UNIT].to_numpy()
-            begins = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+            begins = _begins(rest)
             if len(begins) > 1:  # the last piece may go on in the next batch
-                yield from _pieces_verified(rest.iloc[: begins[-1]], begins, lsh, threshold)
+                yield from _checked(rest.iloc[: begins[-1]], lsh, threshold)
                 rest = rest.iloc[begins[-1] :].reset_index(drop=True)
         if rest is not None and len(rest):
-            yield from _pieces_verified(rest, np.array([0, len(rest)]), lsh, threshold)
+            yield from _checked(rest, lsh, threshold)
 
     return pieces.mapInPandas(verify, "cls long, links long, root long")
 
 
-def _pieces_verified(rows: pd.DataFrame, bounds: np.ndarray, lsh, threshold) -> Iterator[pd.DataFrame]:
-    for low, high in zip(bounds, bounds[1:]):
-        piece = rows.iloc[low:high]
-        first = piece.iloc[0]
-        x, own, chunk = unit(piece["v"].tolist()), piece["own"].to_numpy(), piece["c"].to_numpy()
-        if first["i"] == first["j"]:
-            a, b = np.nonzero(np.triu(x @ x.T >= threshold, 1))
+def _begins(rows: pd.DataFrame) -> np.ndarray:
+    keys = rows[UNIT].to_numpy()
+    return np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+
+
+def _checked(rows: pd.DataFrame, lsh: CrossPolytope, threshold: float) -> Iterator[pd.DataFrame]:
+    for _, same in rows.groupby("size", sort=False):
+        x, own, cls = unit(same["v"].tolist()), same["own"].to_numpy(), same["cls"].to_numpy()
+        a, b = _pairs(same, x, own, threshold)
+        if not len(a):
+            continue
+        # positions stand for classes from here: a class is in several pieces
+        used, place = np.unique(cls, return_inverse=True)
+        linked, inverse = np.unique(place[np.r_[a, b]], return_inverse=True)
+        first_row = np.zeros(len(used), np.int64)
+        first_row[place] = np.arange(len(cls))
+        codes = lsh.buckets(x[first_row[linked]])
+        table, bucket = same["t"].to_numpy()[a], same["bucket"].to_numpy()[a]
+        once = _meets_first(codes, inverse[: len(a)], inverse[len(a) :], table, bucket)
+        n, links = same["n"].to_numpy(), np.zeros(len(used), np.int64)
+        np.add.at(links, place[a[once]], n[b[once]])
+        np.add.at(links, place[b[once]], n[a[once]])
+        root = used[star_edges(place[a], place[b], len(used))]
+        some = (links > 0) | (root != used)
+        yield pd.DataFrame({"cls": used[some], "links": links[some], "root": root[some]})
+
+
+def _pairs(rows: pd.DataFrame, x: np.ndarray, own: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the verified pairs of each piece, one of which is in its own bucket."""
+    begins = _begins(rows)
+    sizes = np.diff(np.r_[begins, len(rows)])
+    low, high, chunk = (rows[c].to_numpy() for c in "ijc")
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    # small pieces together, pair by pair
+    few = np.repeat((sizes <= SMALL) & (low[begins] == high[begins]), sizes)
+    after = np.where(few, np.repeat(begins + sizes, sizes) - np.arange(len(rows)) - 1, 0)
+    ends = np.cumsum(after)
+    start = 0
+    while start < len(rows):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + PAIRS, "right")))
+        n = after[start:stop]
+        a = np.repeat(np.arange(start, stop), n)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+        met = own[a] | own[b]
+        a, b = a[met], b[met]
+        near = np.einsum("ij,ij->i", x[a], x[b]) >= threshold
+        found.append((a[near], b[near]))
+        start = stop
+    # large ones as products of matrices
+    for begin, size in zip(begins, sizes):
+        if few[begin]:
+            continue
+        at = np.arange(begin, begin + size)
+        if low[begin] == high[begin]:
+            mine = at[own[at]]
+            a, b = np.nonzero(x[mine] @ x[at].T >= threshold)
+            a, b = mine[a], at[b]
+            once = (a < b) | (a > b) & ~own[b]
+            a, b = a[once], b[once]
         else:
-            left, right = np.flatnonzero(chunk == first["i"]), np.flatnonzero(chunk == first["j"])
+            left, right = at[chunk[at] == low[begin]], at[chunk[at] == high[begin]]
             a, b = np.nonzero(x[left] @ x[right].T >= threshold)
             a, b = left[a], right[b]
         met = own[a] | own[b]
-        a, b = a[met], b[met]
-        if not len(a):
-            continue
-        used, inverse = np.unique(np.r_[a, b], return_inverse=True)
-        codes = lsh.buckets(x[used])
-        once = _meets_first(codes, inverse[: len(a)], inverse[len(a) :], int(first["t"]), int(first["bucket"]))
-        n, cls = piece["n"].to_numpy(), piece["cls"].to_numpy()
-        links = np.zeros(len(piece), np.int64)
-        np.add.at(links, a[once], n[b[once]])
-        np.add.at(links, b[once], n[a[once]])
-        # equal classes of both roles do not occur: a class has a bucket once
-        order = np.argsort(cls, kind="stable")
-        place = np.empty(len(cls), np.int64)
-        place[order] = np.arange(len(cls))
-        root = cls[order][star_edges(place[a], place[b], len(cls))][place]
-        some = (links > 0) | (root != cls)
-        yield pd.DataFrame({"cls": cls[some], "links": links[some], "root": root[some]})
-
-
-def _meets_first(codes: np.ndarray, a: np.ndarray, b: np.ndarray, table: int, bucket: int) -> np.ndarray:
-    """Which pairs meet in no table before this one and in no smaller bucket of it."""
+        found.append((a[met], b[met]))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _meets_first(codes: np.ndarray, a: np.ndarray, b: np.ndarray, table: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Which pairs meet in no table before theirs and in no smaller bucket of it."""
     keep = np.ones(len(a), bool)
-    for low in range(0, len(a), 100_000):
-        i, j = a[low : low + 100_000], b[low : low + 100_000]
-        first = np.ones(len(i), bool)
-        for t in range(table + 1):
+    for low in range(0, len(a), PAIRS):
+        cut = slice(low, low + PAIRS)
+        i, j, own_table, own_bucket = a[cut], b[cut], table[cut], bucket[cut]
+        first = keep[cut]
+        for t in range(int(own_table.max()) + 1):
             in_j = (codes[j, t] == codes[i, t, :1]).any(axis=1)  # i's own bucket is probed by j
             in_i = (codes[i, t] == codes[j, t, :1]).any(axis=1)
-            if t < table:
-                first &= ~(in_i | in_j)
-            else:
-                first &= ~((in_j & (codes[i, t, 0] < bucket)) | (in_i & (codes[j, t, 0] < bucket)))
-        keep[low : low + 100_000] = first
+            smaller = (in_j & (codes[i, t, 0] < own_bucket)) | (in_i & (codes[j, t, 0] < own_bucket))
+            first &= ~(((t < own_table) & (in_i | in_j)) | ((t == own_table) & smaller))
     return keep
