@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components, star_edges
-from tidemark.llm.shared import stage
+from tidemark.llm.shared import ship, stage
 
 SMALL = 64  # vectors of a piece up to which its pairs are checked one by one
 PAIRS = 100_000  # pairs that are checked at a time
@@ -123,6 +123,7 @@ def embedding_groups(
     link. A NULL id counts as a vector, but is never the smallest; repeated ids are
     vectors of their own. Other columns are not read; an empty table gives none.
     """
+    ship(vectors.sparkSession)
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).alias("v"))
     good = rows.where(usable(F.col("v")))
     classes = good.groupBy("v").agg(F.min("id").alias("low"), F.count("*").alias("n"))

@@ -12,6 +12,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import ship
+
 PIECES = 4096  # pieces per Arrow batch that a task hands on
 KNOWN_WORDS = 1_000_000  # words a Python worker remembers before it forgets them all
 MARK = "<|endoftext|>"  # fixed: a special token of the vocabulary
@@ -137,6 +139,7 @@ def pack_pow2(docs: DataFrame, tokenizer_file: str, end_id: int = 2, longest: in
         if out:
             yield _frame(out)
 
+    ship(docs.sparkSession)
     # ids as text, since pandas would make floats of those with NULLs among them
     rows = docs.select(F.col("doc_id").cast("string"), F.col("text").cast("string"))
     return rows.mapInPandas(pack, SCHEMA)

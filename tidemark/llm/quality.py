@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.features import code_points, ngram_buckets, word_buckets
+from tidemark.llm.shared import ship
 
 NGRAMS = (3, 4)
 ROW_STEPS = 10  # a row's share of a text is small, so its steps are longer
@@ -91,6 +92,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     used. Labels that are NULL or have no document are left out; without any, all
     texts score 0.5, and with one class only its share of the model is learned.
     """
+    ship(docs.sparkSession)
     known = labels.where("doc_id is not null and quality in (0, 1)").select(
         F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_y")
     )

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import shuffle_partitions, stage
+from tidemark.llm.shared import ship, shuffle_partitions, stage
 
 
 def differencing(vectors: Sequence[tuple[int, ...]], shards: int) -> list[list[int]]:
@@ -56,6 +56,7 @@ def shard_groups(groups: DataFrame, shards: int = 16) -> DataFrame:
     partitions for more groups. NULL bytes count as 0; an empty table gives none.
     """
     spark, columns = groups.sparkSession, groups.columns
+    ship(spark)
 
     def in_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [b for b in batches if len(b)]

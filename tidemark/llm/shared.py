@@ -3,8 +3,12 @@ the driver and all executors see it, so a lost executor costs no results."""
 
 from __future__ import annotations
 
+import os
+import zipfile
+from pathlib import Path
 from uuid import uuid4
 
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.sources.filesystem import Directory
@@ -28,3 +32,18 @@ def stage(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Has Spark bring this package to its Python workers, once per application, so that
+    tasks find its functions wherever the library lies on the driver."""
+    context, name = spark.sparkContext, "tidemark_package.zip"
+    if name in getattr(context, "_python_includes", ()):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(SparkFiles.getRootDirectory(), f"ship-{os.getpid()}", name)
+    archive.parent.mkdir(exist_ok=True)
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))

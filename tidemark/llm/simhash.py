@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components, star_edges
-from tidemark.llm.shared import stage
+from tidemark.llm.shared import ship, stage
 
 BITS = 64
 CHUNK = 8192  # fingerprints of a bucket that are compared with each other in one piece
@@ -139,6 +139,7 @@ def fingerprint_links(fingerprints: DataFrame, radius: int = 3) -> DataFrame:
     more than two. Buckets are compared on bit planes; of the links within a batch of
     buckets only a spanning star per component leaves the task. Nothing is left out.
     """
+    ship(fingerprints.sparkSession)
     masks = block_masks(fingerprints.count(), radius)
     signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
     keys = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for t, m in enumerate(signed)])
@@ -202,6 +203,7 @@ def simhash_groups(docs: DataFrame, radius: int = 3, shingle: int = 3, seed: int
     NULL component_id. Other columns of ``docs`` are not read. An empty table gives an
     empty result.
     """
+    ship(docs.sparkSession)
     rows = stage(docs.select(F.col("doc_id").cast("long"), fingerprint(F.col("text"), shingle, seed).alias("fp")))
     nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     found = connected_components(fingerprint_links(nodes.select("fp"), radius))

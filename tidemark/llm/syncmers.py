@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import shuffle_partitions
+from tidemark.llm.shared import ship, shuffle_partitions
 
 K = 16  # code points of an anchor
 S = 6  # code points of its inner substrings
@@ -136,6 +136,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     order and holds two rows and a batch.
     """
     spark = docs.sparkSession
+    ship(spark)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = rows.withColumn("_tie", F.xxhash64("text"))
     ranges = RANGES * shuffle_partitions(spark)
@@ -209,5 +210,6 @@ def anchor_table(docs: DataFrame) -> DataFrame:
                 ids = pd.array([None if doc_id is None else int(doc_id)], dtype="Int64").repeat(len(where))
                 yield pd.DataFrame({"doc_id": ids, "position": where, "anchor": what.view(np.int64)})
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("string"), F.col("text").cast("string"))
     return rows.mapInPandas(found, "doc_id long, position long, anchor long")

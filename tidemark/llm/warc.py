@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import shuffle_partitions, stage
+from tidemark.llm.shared import ship, shuffle_partitions, stage
 
 MAGIC = b"\x1f\x8b\x08"  # fixed: gzip's signature and its one method
 BLOCK = 1 << 20
@@ -108,6 +108,7 @@ def write_warc(pages: DataFrame, folder: str, level: int = 6) -> DataFrame:
             store.move(unfinished, name)
             yield pd.DataFrame({"file": [name], "records": [count]})
 
+    ship(pages.sparkSession)
     columns = ("key", "uri", "payload", "digest", "record_type", "refers_to")
     return stage(pages.select(*[F.col(c).cast("string") for c in columns]).mapInPandas(write, WRITTEN))
 
@@ -219,6 +220,7 @@ def read_warc(spark: SparkSession, folder: str, split_bytes: int = 32 << 20, pay
     and ROWS of them. Members that are damaged, or no WARC, are passed over; a folder
     without archives gives no rows.
     """
+    ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "length")
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))
     ranges = files.where("length > 0").select("path", F.explode(starts).alias("start"))
