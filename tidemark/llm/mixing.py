@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLICES = 4  # hex digits of the order key that make a slice of a source
+SLICES = (2, 5)  # hex digits of the order key that make slices of a source, and slices of those
 
 
 def word_count(text: Column) -> Column:
@@ -80,7 +80,8 @@ def mix_sources(
     ``part`` words, so a source takes its target to the word.
 
     The edge is found without sorting a source: its words are summed by slices of the
-    key, and only the slice that holds the edge is ordered. Texts are read, never
+    key, those of the slice that holds the edge by finer ones, and only a finest slice,
+    a millionth of the source, is ordered. Texts are read, never
     shuffled. NULL text has no words; a NULL source is a source; rows that repeat a
     document share its grant evenly (rounded down); documents without words are taken
     0 words; an empty table gives an empty table. Columns of ``docs`` named like the
@@ -88,38 +89,28 @@ def mix_sources(
     """
     added = ("size", "source_size", "target", "copies", "part", "taken")
     rows = docs.drop(*added).withColumns({"size": word_count(F.col("text")), "_key": order_key(seed)})
-    sizes = rows.select("source", "size", "_key")
+    # a narrow table of what the rest needs: texts are counted here and once more at the end
+    sizes = stage(rows.select("source", "size", "_key"))
     sources = source_targets(sizes, weights, share, cap).withColumnRenamed("source", "_source")
     # tables of one row per source: once their size is known, Spark broadcasts them if it is small
     sources = stage(sources.withColumn("_source", _named("_source")))
 
     keyed = sizes.select(_named("source").alias("_source"), "size", "_key")
-    slices = (
-        keyed.groupBy("_source", F.substring("_key", 1, SLICES).alias("_slice"))
-        .agg(F.sum("size").alias("words"))
-        .join(sources.select("_source", "extra"), "_source")
-    )
-    upto = Window.partitionBy("_source").orderBy("_slice")
-    slices = slices.withColumn("_before", F.sum("words").over(upto) - F.col("words"))
-    edge_slices = stage(
-        slices.where("_before <= extra and extra < _before + words").select(
-            "_source", "_slice", (F.col("extra") - F.col("_before")).alias("left")
-        )
-    )
+    edges, known = sources.select("_source", F.lit("").alias("_slice"), F.col("extra").alias("left")), 0
+    for digits in SLICES:
+        edges, known = stage(_edge_slices(keyed, edges, known, digits)), digits
     groups = (
-        keyed.withColumn("_slice", F.substring("_key", 1, SLICES))
-        .join(edge_slices, ["_source", "_slice"])
+        keyed.withColumn("_slice", F.substring("_key", 1, known))
+        .join(edges, ["_source", "_slice"])
         .groupBy("_source", "_key", "left")
         .agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
     )
-    upto = Window.partitionBy("_source").orderBy("_key")
-    groups = groups.withColumn("_before", F.sum("words").over(upto) - F.col("words"))
-    edges = groups.where("_before <= left and left < _before + words").select(
+    last = _reached(groups, "_key").select(
         "_source",
         F.col("_key").alias("_edge"),
         F.floor((F.col("left") - F.col("_before")) / F.col("rows")).alias("_edge_words"),
     )
-    sources = stage(sources.join(edges, "_source", "left"))
+    sources = stage(sources.join(last, "_source", "left"))
 
     result = rows.withColumn("_source", _named("source")).join(sources, "_source", "left")
     goes = F.col("_edge").isNull() & (F.col("extra") > 0) | (F.col("_key") < F.col("_edge"))
@@ -134,6 +125,24 @@ def mix_sources(
     return result.select(*[c for c in docs.columns if c not in added], *added)
 
 
+def _reached(pieces: DataFrame, order: str) -> DataFrame:
+    """Of each source's ``pieces`` (words, left), in order, the one that ``left`` ends in."""
+    upto = Window.partitionBy("_source").orderBy(order)
+    pieces = pieces.withColumn("_before", F.sum("words").over(upto) - F.col("words"))
+    return pieces.where("_before <= left and left < _before + words")
+
+
+def _edge_slices(keyed: DataFrame, edges: DataFrame, known: int, digits: int) -> DataFrame:
+    """The slice of each source that holds its edge, to ``digits`` digits of the key."""
+    pieces = (
+        keyed.withColumn("_slice", F.substring("_key", 1, known))
+        .join(edges, ["_source", "_slice"])
+        .groupBy("_source", "left", F.substring("_key", 1, digits).alias("_next"))
+        .agg(F.sum("size").alias("words"))
+    )
+    return _reached(pieces, "_next").select("_source", F.col("_next").alias("_slice"), (F.col("left") - F.col("_before")).alias("left"))
+
+
 def _named(source: str) -> Column:
     """A source's join key: NULL is a key of its own."""
     return F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))
