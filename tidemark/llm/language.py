@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.features import code_points, ngram_buckets
+from tidemark.llm.shared import ship, stage
 
 NGRAMS = (1, 2, 3)
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
+PLACES = 1 << 40  # into which doc_ids are hashed
 
 
 @dataclass(frozen=True)
@@ -73,9 +75,15 @@ def clustered(x: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
 def fit(learned: DataFrame, s: Settings = Settings()) -> Model:
     """Learns from ``learned`` (doc_id, text, lang): of each language the ``examples``
     documents whose doc_ids hash lowest. Rows without language or letter are left out."""
-    rows = learned.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("doc_id").alias("_h"))
-    # the rank limit cuts each task's rows before the shuffle
-    within = Window.partitionBy("lang").orderBy("_h", F.length("text"), "text")
+    ship(learned.sparkSession)
+    rows = learned.where("lang is not null and text is not null")
+    rows = rows.select("lang", "text", F.xxhash64("doc_id").alias("_h"))
+    # a hash cut leaves a few times as many rows as are wanted, however many there are,
+    # so ranking a frequent language gathers little
+    counts = stage(rows.groupBy("lang").count())  # a row per language
+    place = F.pmod("_h", F.lit(PLACES)) / F.lit(float(PLACES))
+    rows = rows.join(counts, "lang").where(place * F.col("count") < 4.0 * s.examples)
+    within = Window.partitionBy("lang").orderBy(F.pmod("_h", F.lit(PLACES)), "_h", F.length("text"), "text")
     rows = rows.withColumn("_n", F.row_number().over(within)).where(F.col("_n") <= s.examples)
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
