@@ -29,10 +29,19 @@ def fits_broadcast(df: DataFrame) -> bool:
     return int(str(size)) <= _threshold(df)
 
 
+def _plain_scan(df: DataFrame) -> bool:
+    """Rows as they are stored, picked, filtered or made distinct: cheap to read twice."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() in ("Project", "Filter", "Aggregate"):
+        node = node.children().apply(0)
+    return node.children().isEmpty()
+
+
 def fits_by_rows(df: DataFrame) -> bool:
     """`fits_broadcast`, and so many rows as it has fit too. Files can be far smaller
-    than their rows, so the rows are counted; only where the files are small."""
-    if not fits_broadcast(df):
+    than their rows, so the rows are counted: only where the files are small, and
+    only of stored rows, since others would be worked out twice."""
+    if not (fits_broadcast(df) and _plain_scan(df)):
         return False
     width = ROW_BYTES + df._jdf.schema().defaultSize()
     return df.count() * width <= _threshold(df)
