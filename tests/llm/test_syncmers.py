@@ -92,3 +92,12 @@ def test_anchor_table(spark):
     docs = spark.createDataFrame([(1, "a text of more than sixteen points"), (None, "s"), (3, None)], "doc_id long, text string")
     got = Y.anchor_table(docs).collect()
     assert {r["doc_id"] for r in got} == {1, None} and sum(r["doc_id"] is None for r in got) == 1
+
+
+def test_short_texts_without_a_syncmer_are_told_apart(spark):
+    a, b = "Eser thed nt of.", "Thre er. And erhe."
+    assert not len(Y.anchors(points(a))[0]) and not len(Y.anchors(points(b))[0])
+    assert "" not in (Y.sketch(a), Y.sketch(b)) and Y.sketch(a) == Y.sketch(a)
+    assert Y.likeness(Y.sketch(a), Y.sketch(b)) == 0 and Y.likeness(Y.sketch(a), "") == 0
+    got = Y.anchor_table(spark.createDataFrame([(1, a), (2, b), (3, "")], "doc_id long, text string")).collect()
+    assert [r["doc_id"] for r in got] == [1, 2] and got[0]["anchor"] != got[1]["anchor"]

@@ -34,7 +34,7 @@ def anchors(points: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.
 
     Whether a k-mer is chosen depends on nothing around it, so equal passages have
     equal anchors wherever they stand. A text shorter than k is one anchor, an empty
-    one has none. Long texts are done in overlapping blocks.
+    one has none, nor may one little longer than k (see ``named``). Long texts are done in overlapping blocks.
     """
     n = len(points)
     if n == 0:
@@ -68,11 +68,21 @@ def anchors(points: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.
     return np.concatenate(where), np.concatenate(what)
 
 
+def named(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``anchors``; a text of at least K code points that has no closed syncmer is one
+    anchor, as a shorter one is, so only an empty text has none."""
+    where, what = anchors(points)
+    if len(where) or not len(points):
+        return where, what
+    digest = hashlib.blake2b(points.astype("<u4").tobytes(), digest_size=8).digest()
+    return np.zeros(1, np.int64), np.frombuffer(digest, "<u8")
+
+
 def sketch(text: str, size: int = SKETCH) -> str:
     """The ``size`` smallest anchor hashes of the whole text, each with the position
     where it first occurs, as base64: 32-bit hashes in ascending order, then positions."""
     points = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    where, what = anchors(points)
+    where, what = named(points)
     what = (what >> np.uint64(32)).astype(np.uint32)
     if len(what) > 4 * size:
         # as many small hashes as certainly hold `size` distinct ones, or all
@@ -201,12 +211,12 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 
 def anchor_table(docs: DataFrame) -> DataFrame:
     """(doc_id, position, anchor) of every anchor of every text: rows that a join on
-    ``anchor`` matches across documents. Texts without an anchor give no row."""
+    ``anchor`` matches across documents. Empty texts give no row."""
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                where, what = anchors(np.frombuffer((text or "").encode("utf-32-le"), "<u4"))
+                where, what = named(np.frombuffer((text or "").encode("utf-32-le"), "<u4"))
                 ids = pd.array([None if doc_id is None else int(doc_id)], dtype="Int64").repeat(len(where))
                 yield pd.DataFrame({"doc_id": ids, "position": where, "anchor": what.view(np.int64)})
 
