@@ -48,3 +48,11 @@ def test_repetitions_are_rows(spark):
 
 def test_empty(spark):
     assert mix_sources(docs(spark, [])).count() == 0
+
+
+def test_columns_named_like_internal_ones_pass_through(spark):
+    rows = [(i, "a b c d", "s" if i % 2 else None, 7, "k", i, i, "n") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra long, _key string, _edge long, _source long, cap string")
+    mixed = mix_sources(docs)
+    assert mixed.columns[:8] == docs.columns
+    assert sorted(tuple(r)[:8] for r in mixed.collect()) == sorted(rows, key=lambda r: r[0])

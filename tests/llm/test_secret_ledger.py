@@ -1,7 +1,9 @@
 import re
+import time
 
 from pyspark.sql import functions as F
 
+from tests.helpers import shuffle_joins
 from tidemark.llm.secret_ledger import RULES, Rule, redacted, scan_versions, spans_text
 
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -70,3 +72,23 @@ def test_redaction(spark, tmp_path):
 def test_no_python_in_the_plan(spark, tmp_path):
     df = scan_versions(frame(spark, TEXTS), f"{tmp_path}/l")
     assert "Python" not in df._jdf.queryExecution().toString()
+
+
+def test_many_findings_join_back_without_a_broadcast(spark, tmp_path):
+    """The bit map of blobs with findings, and a filled ledger, against a plain scan."""
+    texts = TEXTS + [f"passwd=number{n:08d} {n}" for n in range(300)] + [f"nothing {n}" for n in range(300)]
+    docs = frame(spark, texts + texts)
+    with shuffle_joins(spark):
+        for part in (docs.where("path < 100"), docs):
+            got = scan_versions(part, f"{tmp_path}/l").withColumn("spans", spans_text(F.col("spans"))).collect()
+            assert len(got) == part.count()
+            for r in got:
+                assert r["spans"] == plain(texts[r["path"] % len(texts)])
+
+
+def test_time_is_linear_in_the_spans(spark, tmp_path):
+    text = "token=aaaaaaaa " * 20_000
+    start = time.perf_counter()
+    got = scan_versions(frame(spark, [text]), f"{tmp_path}/l")
+    assert got.select(redacted(F.col("text"), F.col("spans"), "#").alias("t")).first()["t"] == "# " * 20_000
+    assert time.perf_counter() - start < 30

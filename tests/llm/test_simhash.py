@@ -1,9 +1,12 @@
+import contextlib
 import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
+from tests.helpers import shuffle_joins
 from tests.test_oracle import SF_DIR
 from tidemark.llm import simhash as S
 from tidemark.llm.components import connected_components, star_edges
@@ -110,9 +113,31 @@ def test_documents_equal_brute_force(spark):
     want = sorted(((i, p, low.get(parts[p])) for (i, _), p in zip(rows, prints)), key=str)
     got = S.simhash_groups(docs).collect()
     assert sorted(((r["doc_id"], r["fp"] % 2**64, r["component_id"]) for r in got), key=str) == want
-    kept = S.keep_one(docs).collect()
-    assert kept[0].asDict().keys() == {"doc_id", "text", "fp"}
-    unnamed = len({parts[p] for (i, _), p in zip(rows, prints) if parts[p] not in low})
-    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted(low.values())
-    assert sum(r["doc_id"] is None for r in kept) == unnamed == 1
     assert S.simhash_groups(docs.where("doc_id < -1")).count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_one_row_of_each_group_is_kept(spark, broadcast):
+    rows = [(r["doc_id"], r["text"], "x") for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    text = rows[0][1]
+    rows += [(9000 + i, t, "x") for i, t in enumerate([None, "", "one", "Two WORDS", "two words"])]
+    # rows that share an id, rows that are equal, rows without an id
+    rows += [(9100, "alone among its kind", "y"), (9100, "another text than that", "z"), (9002, "one", "x"), (9002, "one", "x")]
+    rows += [(9200, "equal in all but a column", None), (9200, "equal in all but a column", "b"), (None, "no id"[::-1], "x"), (None, text, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, root string")
+    prints = [plain_fingerprint(t) for _, t, _ in rows]
+    nodes = sorted(set(prints))
+    parts = plain_components(nodes, [(nodes[i], nodes[j]) for i, j in near(nodes, 3)])
+    best = {}
+    for r, p in zip(rows, prints):
+        best.setdefault(parts[p], []).append(r)
+    with contextlib.nullcontext() if broadcast else shuffle_joins(spark):
+        kept = [tuple(r) for r in S.keep_one(docs).collect()]
+    assert len(kept) == len(best)
+    by_group = {parts[plain_fingerprint(r[1])]: r for r in kept}
+    for group, members in best.items():
+        low = min((r[0] is None, r[0] or 0) for r in members)
+        assert by_group[group] in members and by_group[group][0] == (None if low[0] else low[1])
+    assert S.keep_one(docs.where("false")).count() == 0
+    # rows that share an id but no content are both there
+    assert sum(r[0] == 9100 for r in kept) == 2

@@ -64,3 +64,21 @@ def test_empty(spark, tmp_path):
     assert written(spark, f"{tmp_path}/w", []).count() == 0
     (tmp_path / "none").mkdir()
     assert read_warc(spark, f"{tmp_path}/none").count() == 0
+
+
+@pytest.mark.parametrize("length", [70_000, 2_000_000])
+def test_headers_of_any_length(spark, tmp_path, length):
+    random.seed(4)
+    url = "http://" + "".join(random.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=length))
+    written(spark, f"{tmp_path}/w", [(1, url, "a"), (2, "u", "b"), (3, url, "c" * 200_000), (4, url, "c" * 200_000)])
+    for split in (1 << 14, 32 << 20):
+        got = sorted(read_warc(spark, f"{tmp_path}/w", split).collect(), key=lambda r: r["record_id"])
+        assert [r["target_uri"] for r in got] == [url, "u", url, url]
+        assert [r["record_type"] for r in got] == ["response"] * 3 + ["revisit"]
+
+
+def test_no_pages_make_an_empty_folder(spark, tmp_path):
+    assert written(spark, f"{tmp_path}/w", PAGES).where("false").count() == 0
+    pages = spark.createDataFrame([], "key long, uri string, payload string, _head string")
+    write_warc(with_revisits(pages, "key", "payload"), f"{tmp_path}/none")
+    assert read_warc(spark, f"{tmp_path}/none").count() == 0

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import col
 from tidemark.llm.shared import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -88,9 +90,11 @@ def mix_sources(
     added ones are replaced.
     """
     added = ("size", "source_size", "target", "copies", "part", "taken")
-    rows = docs.drop(*added).withColumns({"size": word_count(F.col("text")), "_key": order_key(seed)})
+    # names of its own beside those of the user
+    key, name, extra, edge, edge_words = (f"{c}-{uuid4().hex}" for c in ("key", "name", "extra", "edge", "words"))
+    rows = docs.drop(*added).withColumns({"size": word_count(F.col("text")), key: order_key(seed)})
     # a narrow table of what the rest needs: texts are counted here and once more at the end
-    sizes = stage(rows.select("source", "size", "_key"))
+    sizes = stage(rows.select("source", "size", F.col(key).alias("_key")))
     sources = source_targets(sizes, weights, share, cap).withColumnRenamed("source", "_source")
     # tables of one row per source: once their size is known, Spark broadcasts them if it is small
     sources = stage(sources.withColumn("_source", _named("_source")))
@@ -110,11 +114,12 @@ def mix_sources(
         F.col("_key").alias("_edge"),
         F.floor((F.col("left") - F.col("_before")) / F.col("rows")).alias("_edge_words"),
     )
-    sources = stage(sources.join(last, "_source", "left"))
+    renamed = {"_source": name, "extra": extra, "_edge": edge, "_edge_words": edge_words}
+    sources = stage(sources.join(last, "_source", "left").withColumnsRenamed(renamed))
 
-    result = rows.withColumn("_source", _named("source")).join(sources, "_source", "left")
-    goes = F.col("_edge").isNull() & (F.col("extra") > 0) | (F.col("_key") < F.col("_edge"))
-    part = F.when(F.col("_key") == F.col("_edge"), F.col("_edge_words")).otherwise(0)
+    result = rows.withColumn(name, _named("source")).join(sources, name, "left")
+    goes = F.col(edge).isNull() & (F.col(extra) > 0) | (F.col(key) < F.col(edge))
+    part = F.when(F.col(key) == F.col(edge), F.col(edge_words)).otherwise(0)
     result = result.withColumns(
         {
             "copies": F.col("copies") + F.when(goes, 1).otherwise(0),
@@ -122,7 +127,7 @@ def mix_sources(
         }
     )
     result = result.withColumn("taken", F.col("copies") * F.col("size") + F.col("part"))
-    return result.select(*[c for c in docs.columns if c not in added], *added)
+    return result.select(*[col(c) for c in docs.columns if c not in added], *added)
 
 
 def _reached(pieces: DataFrame, order: str) -> DataFrame:

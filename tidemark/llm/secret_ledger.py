@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import stage
-from tidemark.operators import few_keys
+from tidemark.llm.shared import parted, stage
+from tidemark.operators import few_keys, fits_by_rows
 from tidemark.sources.filesystem import Directory
 
 SPAN = "struct<kind:string,start:long,end:long>"
+CHUNK = 256  # items that a running result takes before it is put aside
+BLOCK = 2048  # characters that a text is cut into to be read by position
 LEDGER = f"blob string, rule string, spans array<{SPAN}>"
 
 
@@ -47,6 +49,32 @@ RULES = (
 )
 
 
+def _running(items: Column, state: Column, step: Callable[[Column, Column], Column], made: str) -> Column:
+    """A fold over ``items`` whose ``step`` gives a struct of the next ``at`` and ``made``,
+    what the item adds to the result (an array of none or more). The result grows by
+    chunks that are joined at the end, so the time is linear in the items."""
+    none = F.array().cast(made)
+
+    def chunk(own: Column, before: Column, n: Column) -> Column:
+        def one(inner: Column, item: Column) -> Column:
+            new = step(inner["at"], item)
+            return F.struct(new["at"].alias("at"), F.concat(inner["made"], new["made"]).alias("made"))
+
+        first = F.struct(before["at"].alias("at"), none.alias("made"))
+        inner = F.aggregate(F.slice(own, n * CHUNK + 1, CHUNK), first, one)
+        # a list of one, so that the chunk is worked out once
+        joined = lambda x: F.struct(x["at"].alias("at"), F.concat(before["made"], F.array(x["made"])).alias("made"))
+        return F.transform(F.array(inner), joined)[0]
+
+    def whole(own: Column) -> Column:
+        first = F.struct(state.alias("at"), F.array().cast(f"array<{made}>").alias("made"))
+        chunks = F.sequence(F.lit(0), F.floor((F.size(own) - 1) / CHUNK).cast("int"))
+        return F.aggregate(chunks, first, lambda before, n: chunk(own, before, n), lambda x: F.flatten(x["made"]))
+
+    # the items too are worked out once, not for each chunk
+    return F.transform(F.array(items), lambda own: F.when(F.size(own) > 0, whole(own)).otherwise(none))[0]
+
+
 def spans_of(text: Column, rule: Rule) -> Column:
     """The rule's spans in ``text``: code points, end exclusive."""
     pattern = F.lit(rule.pattern)
@@ -56,18 +84,16 @@ def spans_of(text: Column, rule: Rule) -> Column:
         F.regexp_extract_all(text, pattern, 0).alias("hit"),
         F.regexp_extract_all(text, pattern, rule.group).alias("part"),
     )
+    none = F.array().cast(f"array<{SPAN}>")
 
-    def step(state: Column, piece: Column) -> Column:
-        start = state["at"] + F.char_length(piece["gap"])
+    def step(at: Column, piece: Column) -> Column:
+        start = at + F.char_length(piece["gap"])
         end = start + F.coalesce(F.char_length(piece["hit"]), F.lit(0))
         span = F.struct(F.lit(rule.kind).alias("kind"), start.alias("start"), end.alias("end"))
         good = F.char_length(piece["part"]) >= rule.min_chars
-        found = F.when(good, F.concat(state["found"], F.array(span))).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
+        return F.struct(end.alias("at"), F.when(good, F.array(span)).otherwise(none).alias("made"))
 
-    none = F.array().cast(f"array<{SPAN}>")
-    first = F.struct(F.lit(0).cast("long").alias("at"), none.alias("found"))
-    found = F.aggregate(pieces, first, step, lambda state: state["found"])
+    found = _running(pieces, F.lit(0).cast("long"), step, f"array<{SPAN}>")
     return F.when(text.rlike(rule.pattern), found).otherwise(none)
 
 
@@ -83,7 +109,9 @@ def scan_versions(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULE
     is. Columns named ``blob`` or ``spans`` are replaced.
 
     Texts move once, and where few are new, only those; copies meet before the
-    shuffle. The join back moves no texts if Spark can broadcast the findings.
+    shuffle. The join back moves no texts if the findings can be broadcast; beyond that
+    only those that a bit map of the blobs with findings lets through, whose size does
+    not grow.
     """
     spark = versions.sparkSession
     columns = [c for c in versions.columns if c not in ("blob", "spans")]
@@ -127,8 +155,17 @@ def scan_versions(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULE
     )
     ordered = F.transform(F.array_sort("ranked"), lambda s: F.struct(s["kind"], s["start"], s["end"]))
     hits = stage(hits.select("blob", ordered.cast(f"array<{SPAN}>").alias("spans")))
+    return _joined_back(rows, hits).select(*columns, "blob", "spans")
+
+
+def _joined_back(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """``rows`` with the spans of their blobs, none where ``hits`` has no row."""
     none = F.array().cast(f"array<{SPAN}>")
-    return rows.join(hits, "blob", "left").select(*columns, "blob", F.coalesce("spans", none).alias("spans"))
+    spans = F.coalesce("spans", none)
+    if fits_by_rows(hits):
+        return rows.join(F.broadcast(hits), "blob", "left").withColumn("spans", spans)
+    maybe, without = parted(rows, hits, "blob")
+    return maybe.join(hits, "blob", "left").withColumn("spans", spans).unionByName(without.withColumn("spans", none))
 
 
 def spans_text(spans: Column) -> Column:
@@ -139,15 +176,30 @@ def spans_text(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """``text`` with its spans (ordered by start) replaced; those that overlap become one."""
+    """``text`` with its spans (ordered by start) replaced; those that overlap become one.
 
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(text, (state["at"] + 1).cast("int"), F.greatest(s["start"] - state["at"], F.lit(0)).cast("int"))
-        more = F.when(s["start"] >= state["at"], F.concat(gap, F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], more).alias("out")
-        )
+    The time is linear in text and spans: what stays is cut from blocks of BLOCK
+    characters, since Spark counts a position from the start of its string."""
+    gap = "array<struct<start:long,end:long>>"
+
+    def step(at: Column, s: Column) -> Column:
+        kept = F.array(F.struct(at.alias("start"), s["start"].alias("end")))
+        made = F.when(s["start"] >= at, kept).otherwise(F.array().cast(gap))
+        return F.struct(F.greatest(at, s["end"]).alias("at"), made.alias("made"))
+
+    gaps = _running(spans, F.lit(0).cast("long"), step, gap)
+    last = F.struct(F.array_max(spans["end"]).alias("start"), F.char_length(text).cast("long").alias("end"))
+
+    def cut(blocks: Column, g: Column) -> Column:
+        def of_block(n: Column) -> Column:
+            low = F.greatest(g["start"] - n * BLOCK, F.lit(0)).cast("int")
+            high = F.least(g["end"] - n * BLOCK, F.lit(BLOCK)).cast("int")
+            return F.substring(blocks[n], low + 1, high - low)
+
+        numbers = F.sequence(F.floor(g["start"] / BLOCK).cast("int"), F.floor((g["end"] - 1) / BLOCK).cast("int"))
+        return F.when(g["start"] >= g["end"], F.lit("")).otherwise(F.array_join(F.transform(numbers, of_block), ""))
 
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    rest = lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, first, step, rest)).otherwise(text)
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), 0)
+    kept = F.concat(gaps, F.array(last.cast("struct<start:long,end:long>")))
+    out = F.transform(F.array(blocks), lambda own: F.array_join(F.transform(kept, lambda g: cut(own, g)), mark))[0]
+    return F.when(F.size(spans) > 0, out).otherwise(text)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -11,8 +12,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import col
 from tidemark.llm.components import connected_components, star_edges
-from tidemark.llm.shared import ship, stage
+from tidemark.llm.shared import parted, ship, stage
+from tidemark.operators import few_keys
+from tidemark.operators.changes import rows_without
 
 BITS = 64
 CHUNK = 8192  # fingerprints of a bucket that are compared with each other in one piece
@@ -205,23 +209,49 @@ def simhash_groups(docs: DataFrame, radius: int = 3, shingle: int = 3, seed: int
     """
     ship(docs.sparkSession)
     rows = stage(docs.select(F.col("doc_id").cast("long"), fingerprint(F.col("text"), shingle, seed).alias("fp")))
-    nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    found = connected_components(fingerprint_links(nodes.select("fp"), radius))
-    nodes = nodes.join(found, nodes["fp"] == found["node"], "left")
-    nodes = nodes.select("fp", "low", F.coalesce("component", "fp").alias("root"))
+    nodes = _rooted(stage(rows.groupBy("fp").agg(F.min("doc_id").alias("low"))), radius)
     lowest = nodes.groupBy("root").agg(F.min("low").alias("component_id"))
     named = stage(nodes.join(lowest, "root").select("fp", "component_id", "root"))
     return rows.join(named, "fp").select("doc_id", "fp", "component_id", "root")
 
 
-def keep_one(docs: DataFrame, radius: int = 3) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: that of the smallest
-    doc_id, and of rows that repeat this id, one. A group whose rows all have a NULL
-    doc_id keeps one of them."""
-    groups = stage(simhash_groups(docs, radius))
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    with_id = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    unnamed = groups.where("component_id is null").select(F.col("fp").alias("_fp"), F.col("root").alias("_root"))
-    without = docs.where("doc_id is null").withColumn("_fp", fingerprint(F.col("text")))
-    without = without.join(unnamed.distinct(), "_fp").dropDuplicates(["_root"]).select(*docs.columns)
-    return with_id.unionByName(without)
+def _rooted(nodes: DataFrame, radius: int) -> DataFrame:
+    """``nodes`` (fp, distinct, and others) with the fingerprint that names their group."""
+    found = connected_components(fingerprint_links(nodes.select("fp"), radius))
+    return nodes.join(found, nodes["fp"] == found["node"], "left").withColumn("root", F.coalesce("component", "fp"))
+
+
+def keep_one(docs: DataFrame, radius: int = 3, shingle: int = 3, seed: int = 42) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: that of the smallest doc_id
+    (NULL last), and of rows that share it, that of the smallest SHA-256 over the row.
+
+    Which rows go is settled on digests alone: per fingerprint, then per group, the
+    smallest is kept. Where the digests of the rows that go are too many to be broadcast,
+    the texts of those that a bit map takes for them move, once. Rows that are equal in all columns are one and stay once; NULL
+    text is a text without words; an empty table gives an empty one. Columns of any
+    name pass through.
+    """
+    ship(docs.sparkSession)
+    row = f"row-{uuid4().hex}"
+    marked = docs.withColumn(row, F.sha2(F.to_json(F.struct(*[col(c) for c in docs.columns])), 256))
+    rows = marked.select(
+        F.col(row).alias("row"),
+        F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), F.col(row).alias("row")).alias("rank"),
+        fingerprint(F.col("text"), shingle, seed).alias("fp"),
+    )
+    rows = stage(rows)
+    nodes = _rooted(stage(rows.groupBy("fp").agg(F.min("rank").alias("best"))), radius)
+    kept = stage(nodes.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias(row)))
+    counted = stage(rows.groupBy(F.col("row").alias(row)).count())
+    repeated = counted.where("count > 1").select(row)
+    gone = stage(counted.select(row).join(kept, row, "left_anti").union(repeated).distinct())
+    few = few_keys(gone, [row])
+    if few is not None:
+        whole = marked.join(few, row, "left_anti")
+    else:
+        maybe, sure = parted(marked, gone, row)
+        whole = sure.unionByName(rows_without(maybe, gone, [row]))
+    again = stage(repeated.join(kept, row, "left_semi"))
+    if again.count():
+        whole = whole.unionByName(marked.join(again, row, "left_semi").dropDuplicates([row]))
+    return whole.select(*[col(c) for c in docs.columns])

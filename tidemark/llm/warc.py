@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import ship, shuffle_partitions, stage
+from tidemark.sources.filesystem import Directory
 
 MAGIC = b"\x1f\x8b\x08"  # fixed: gzip's signature and its one method
 BLOCK = 1 << 20
-HEADER_LIMIT = 1 << 16
+SIGNATURE = b"WARC/1."  # fixed: how a record begins
+HEADER_STEP = 1 << 16  # bytes that are inflated at a time while a header goes on
 SMALLEST_REVISIT = 100  # bytes of payload from which equal ones are written once
 DATE = "2024-01-01T00:00:00Z"
 
@@ -36,22 +38,23 @@ def with_revisits(pages: DataFrame, key: str, payload: str) -> DataFrame:
     payload is empty. A NULL key is never the smallest: such rows revisit one that has
     a key, or are responses where none has. Rows that repeat the smallest key are all
     responses."""
+    head = f"head-{uuid4().hex}"
     pages = pages.withColumn("digest", F.sha2(F.coalesce(F.col(payload), F.lit("")), 256))
     heads = (
         pages.where(F.octet_length(payload) >= SMALLEST_REVISIT)
         .groupBy("digest")
-        .agg(F.min(key).alias("_head"), F.count("*").alias("_n"))
+        .agg(F.min(key).alias(head), F.count("*").alias("_n"))
         .where("_n > 1")
-        .select("digest", "_head")
+        .select("digest", head)
     )
     pages = pages.join(stage(heads), "digest", "left")
-    revisits = F.col("_head").isNotNull() & ~F.col(key).eqNullSafe(F.col("_head"))
+    revisits = F.col(head).isNotNull() & ~F.col(key).eqNullSafe(F.col(head))
     return pages.withColumns(
         {
             "record_type": F.when(revisits, "revisit").otherwise("response"),
-            "refers_to": F.when(revisits, F.col("_head")),
+            "refers_to": F.when(revisits, F.col(head)),
         }
-    ).drop("_head")
+    ).drop(head)
 
 
 def urn(key: str | None) -> str:
@@ -87,8 +90,8 @@ def write_warc(pages: DataFrame, folder: str, level: int = 6) -> DataFrame:
 
     Each record is a gzip member. A task writes under a name of its own and renames at
     the end, so a task that is run again replaces its file, and one that was cut off
-    leaves nothing that a reader takes for an archive. One record is in memory at a
-    time, besides the batch. ``folder`` is any store that pyarrow's file systems open.
+    leaves nothing that a reader takes for an archive. Without pages the folder is made
+    and stays empty. One record is in memory at a time, besides the batch. ``folder`` is any store that pyarrow's file systems open.
     """
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,6 +112,7 @@ def write_warc(pages: DataFrame, folder: str, level: int = 6) -> DataFrame:
             yield pd.DataFrame({"file": [name], "records": [count]})
 
     ship(pages.sparkSession)
+    Directory(pages.sparkSession, folder).make()
     columns = ("key", "uri", "payload", "digest", "record_type", "refers_to")
     return stage(pages.select(*[F.col(c).cast("string") for c in columns]).mapInPandas(write, WRITTEN))
 
@@ -162,19 +166,24 @@ class Range:
         proved = False
         try:
             while not inflate.eof:
-                block = self._at(at, BLOCK if proved else HEADER_LIMIT)
+                block = self._at(at, BLOCK if proved else HEADER_STEP)
                 if not block:
                     return None
                 at += len(block)
-                out += inflate.decompress(block) if proved else inflate.decompress(block, HEADER_LIMIT)
-                if not proved:
-                    if not out.startswith(b"WARC/1.") or b"\r\n\r\n" not in out:
+                if proved:
+                    out += inflate.decompress(block)
+                while not proved and block:
+                    searched = max(0, len(out) - 3)
+                    out += inflate.decompress(block, HEADER_STEP)
+                    block = inflate.unconsumed_tail
+                    if not out[: len(SIGNATURE)] == SIGNATURE[: len(out)]:
                         return None
-                    proved = True
-                    out += inflate.decompress(inflate.unconsumed_tail)
+                    if out.find(b"\r\n\r\n", searched) >= 0:
+                        proved = True
+                        out += inflate.decompress(block)
         except zlib.error:
             return None
-        return bytes(out), at - len(inflate.unused_data)
+        return (bytes(out), at - len(inflate.unused_data)) if proved else None
 
 
 def fields_of(head: bytes) -> dict[str, str]:
