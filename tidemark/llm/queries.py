@@ -12,6 +12,7 @@ from tidemark.llm.embedding_links import embedding_groups
 from tidemark.llm.language import language_scores
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack_pow2
+from tidemark.llm.pieces import decode_pieces, encode_pieces
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.secret_ledger import scan_versions, spans_text
 from tidemark.llm.shared import scratch
@@ -21,6 +22,7 @@ from tidemark.llm.syncmers import fingerprint_documents
 from tidemark.llm.warc import read_warc, with_revisits, write_warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,6 +114,17 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_pieces(table(spark, sf_dir, "documents"), PIECES).select("doc_id", "ids")
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2(decode_pieces(F.col("ids"), PIECES, spark), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_links": op1_embedding_links,
     "op2_syncmers": op2_syncmers,
@@ -123,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_shards": op9_shards,
     "op10_pack": op10_pack,
+    "op11_pieces": op11_pieces,
 }
 
 ORACLE_SQL = {
