@@ -1,0 +1,93 @@
+"""Product codes against a plain integer k-means."""
+
+import numpy as np
+import pytest
+
+from tidemark.llm import vector_codes as V
+
+
+def plain(vectors, parts, entries, rounds):
+    """(codes, errors, codebooks) by comparing all with all, in Python's integers."""
+    x = [[int(np.floor(1024.0 * c)) for c in v] for v in vectors]
+    d = len(x[0]) // parts
+    cut = [[v[p * d : p * d + d] for p in range(parts)] for v in x]
+    books = [[v[p] for v in cut[:entries]] for p in range(parts)]
+    nearest = lambda v, book: min((sum((a - b) ** 2 for a, b in zip(v, e)), n) for n, e in enumerate(book))
+    for _ in range(rounds):
+        for p in range(parts):
+            members = {}
+            for v in cut:
+                members.setdefault(nearest(v[p], books[p])[1], []).append(v[p])
+            for n, own in members.items():
+                books[p][n] = [sum(c) // len(own) for c in zip(*own)]
+    found = [[nearest(v[p], books[p]) for p in range(parts)] for v in cut]
+    return [[n for _, n in f] for f in found], [sum(e for e, _ in f) for f in found], books
+
+
+def clustered(n, dims, seed):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, dims))
+    return (centres[rng.integers(12, size=n)] + 0.3 * rng.normal(size=(n, dims))).round(2)
+
+
+@pytest.mark.parametrize(
+    "vectors",
+    [clustered(300, 8, 1), clustered(150, 16, 2) * 40, np.repeat(clustered(9, 8, 3), 20, 0), clustered(5, 8, 4), clustered(1, 4, 5), np.round(clustered(200, 4, 6)) / 1024],
+)
+@pytest.mark.parametrize("bounds", [(4, 32), (1, 2)])
+def test_codes_equal_a_plain_k_means(spark, monkeypatch, vectors, bounds):
+    monkeypatch.setattr(V, "LEAST_BOUNDS", bounds[0])
+    monkeypatch.setattr(V, "MOST_BOUNDS", bounds[1])
+    rows = [(n, v.tolist(), f"s{n}", n) for n, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "id long, x array<double>, state string, v long").repartition(3)
+    got, books = V.compress_vectors(df, "id", "x", parts=4, entries=40, rounds=4)
+    codes, errors, want = plain(vectors, 4, 40, 4)
+    assert books.entries.tolist() == want
+    rows = sorted(got.collect(), key=lambda r: r["id"])
+    assert [r["codes"] for r in rows] == codes and [r["error"] for r in rows] == errors
+    assert [(r["state"], r["v"]) for r in rows] == [(f"s{n}", n) for n in range(len(vectors))]
+
+
+def test_bounds_settle_most_parts_and_follow_the_depth():
+    """The bounds spare work, and what they spare is what a whole scan would say."""
+    rng = np.random.default_rng(7)
+    x = (clustered(4000, 8, 8) * 1024).astype(np.int64)
+    book = x[:64].copy()
+    state = V.scanned(x, book, 8)
+    scans = []
+    for n in range(8):
+        new = book + rng.integers(-60 // (n + 1), 60 // (n + 1) + 1, size=book.shape)
+        moves = np.nextafter(np.sqrt(((new - book) ** 2).sum(1)), np.inf)
+        kept = (8, 4, 16, 6)[n % 4]
+        state, book = V.moved(state, x, new, moves, kept), new
+        assert (state.own == V.squared(x, book).argmin(1)).all()
+        apart = np.sqrt(V.squared(x, book).astype(float))
+        assert (state.upper >= apart[np.arange(len(x)), state.own]).all()
+        for row in range(0, len(x), 97):
+            there = state.near[row] != V.NONE
+            assert (state.lower[row][there] <= apart[row, state.near[row][there]]).all()
+            rest = np.setdiff1d(np.arange(64), np.r_[state.near[row][there], state.own[row]])
+            assert (state.outer[row] <= apart[row, rest]).all() if len(rest) else True
+        scans.append((state.depth == kept + 1).mean())
+        settled = (state.depth == 0).mean()
+    assert settled > 0.5 and scans[-1] < 0.1
+    assert V._adapted(np.array([50, 5, 1, 0, 0, 60]), 4) == 8 and V._adapted(np.array([900] + [9] + [0] * 31 + [1]), 32) == V.LEAST_BOUNDS
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    good = clustered(20, 4, 9).tolist()
+    rows = [(n, v, None if n % 3 else 1) for n, v in enumerate(good)] + [(None, good[0], 2), (3, good[3], 1)]
+    bad = [(50, None, 1), (51, [1.0, None, 0.0, 0.0], 1), (52, [nan, 0.0, 0.0, 0.0], None), (53, [inf, 0.0, 0.0, 0.0], 1)]
+    df = spark.createDataFrame(rows + bad, "id long, x array<float>, error int")
+    got, books = V.compress_vectors(df, "id", "x", parts=2, entries=30)
+    assert got.columns == ["id", "codes", "error"] and got.count() == 22 and books.entries.shape == (2, 22, 2)
+    labelled = got.withColumn("label", (got["id"] % 2).cast("string"))
+    summed = V.summed_over(labelled, "label", "error", "total").collect()
+    for r in summed:
+        assert r["total"] == sum(o["error"] for o in summed if o["label"] == r["label"])
+    none, books = V.compress_vectors(df.where("x is null"), "id", "x")
+    assert none.count() == 0 and none.columns == got.columns and books.entries.size == 0
+    for wrong in ([(1, [1.0] * 6)], [(1, [1.0] * 4), (2, [1.0] * 8)], [(1, [1e30] * 4)]):
+        with pytest.raises(ValueError, match="vectors must|too large"):
+            V.compress_vectors(spark.createDataFrame(wrong, "id long, x array<double>"), "id", "x")

@@ -19,6 +19,7 @@ from tidemark.llm.shared import scratch
 from tidemark.llm.sharding import shard_documents
 from tidemark.llm.simhash import simhash_groups
 from tidemark.llm.syncmers import fingerprint_documents
+from tidemark.llm.vector_codes import compress_vectors, summed_over
 from tidemark.llm.warc import read_warc, with_revisits, write_warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -125,6 +126,14 @@ def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    coded, books = compress_vectors(vectors, "vec_id", "embedding", parts=4, entries=256, rounds=4)
+    digits = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c.cast("long")), 2, "0")))
+    coded = summed_over(coded.select("vec_id", "label", F.array_join(digits, "").alias("code"), "error"), "label", "error", "label_error")
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_links": op1_embedding_links,
     "op2_syncmers": op2_syncmers,
@@ -137,9 +146,51 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_shards": op9_shards,
     "op10_pack": op10_pack,
     "op11_pieces": op11_pieces,
+    "op12_vector_codes": op12_vector_codes,
 }
 
+def _vector_codes_sql(rounds: int = 4) -> str:
+    """Lloyd rounds written out, each a step of assigning and one of moving."""
+    steps = ""
+    for n in range(rounds + 1):
+        steps += f""",
+near{n} AS MATERIALIZED (
+  SELECT i, p.part, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+  FROM (SELECT p.i, p.part, b.entry,
+               list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(p.x, b.x)])::BIGINT AS d
+        FROM parts p JOIN book{n} b ON p.part = b.part) p
+  GROUP BY i, p.part)"""
+        if n < rounds:
+            steps += f""",
+mean{n} AS (
+  SELECT part, entry, list(((s - ((s % c) + c) % c) // c)::BIGINT ORDER BY j) AS x
+  FROM (SELECT n.part, n.entry, j, sum(p.x[j]) AS s, count(*) AS c
+        FROM near{n} n JOIN parts p ON n.i = p.i AND n.part = p.part, range(1, 17) AS js(j) GROUP BY ALL)
+  GROUP BY part, entry),
+book{n + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.x, b.x) AS x
+  FROM book{n} b LEFT JOIN mean{n} m ON b.part = m.part AND b.entry = m.entry)"""
+    return f"""
+WITH good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS i
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding::DOUBLE[] if x IS NULL OR NOT isfinite(x)]) = 0),
+parts AS MATERIALIZED (
+  SELECT i, part, [floor(1024 * x)::BIGINT for x in v[16 * part + 1:16 * part + 16]] AS x
+  FROM good, range(4) AS ps(part)),
+book0 AS (SELECT part, i AS entry, x FROM parts WHERE i < 256){steps},
+coded AS (
+  SELECT i, string_agg(lower(lpad(to_hex(entry), 2, '0')), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+  FROM near{rounds} GROUP BY i),
+said AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM good JOIN coded USING (i) CROSS JOIN said
+"""
+
+
 ORACLE_SQL = {
+    "op12_vector_codes": _vector_codes_sql(),
     "op1_embedding_links": """
 WITH RECURSIVE vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
 good AS (
