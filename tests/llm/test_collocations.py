@@ -1,0 +1,112 @@
+"""Collocations against a plain count."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tests.helpers import shuffle_joins
+from tidemark.llm import collocations as C
+
+
+def plain(rows, least, longest=4, top=2000):
+    f, n = {}, Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            own = f.setdefault(lang, Counter())
+            own.update(tuple(words[i : i + k]) for k in range(1, longest + 1) for i in range(len(words) - k + 1))
+    out = []
+    for lang, own in f.items():
+        found = {p: a for p, a in own.items() if len(p) > 1 and a >= least}
+        listed = []
+        for p, a in found.items():
+            if any(100 * b >= 80 * a and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1)) for q, b in found.items() if len(q) > len(p)):
+                continue
+            score, k = min((2000000 * a // (own[p[:k]] + own[p[k:]]), k) for k in range(1, len(p)))
+            listed.append((-score, -a, " ".join(p).encode(), own[p[:k]], own[p[k:]]))
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(listed)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, l, r, n[lang], -score))
+    return sorted(out)
+
+
+def texts(n, seed):
+    random.seed(seed)
+    words = ["the", "of", "New", "york", "état", "x y", "a\x00b", "İ", "city", "in"]
+    weights = [9, 8, 6, 6, 3, 2, 2, 1, 3, 4]
+    phrases = ["New York City", "in the state of", "of the", "one of the many"]
+    rows = []
+    for _ in range(n):
+        parts = [random.choice(phrases) if random.random() < 0.4 else random.choices(words, weights)[0] for _ in range(random.randrange(40))]
+        glue = [random.choices([" ", "\t ", ". ", ",", "\n", "\x0b", "!"], [20, 3, 2, 1, 1, 1, 1])[0] for _ in parts]
+        rows.append((random.choice(["en", "fr", None, "und", ""]), "".join(p + g for p, g in zip(parts, glue))))
+    return rows + [("en", None), ("en", ""), ("de", "only once"), ("en", " .,;! "), (None, "  of the " * 3000)] + rows[:20]
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_equal_a_plain_count(spark, monkeypatch, small):
+    """Also with lookups in many blocks."""
+    rows = texts(250, 3)
+    if small:
+        monkeypatch.setattr(C, "BLOCK_BYTES", 300)
+    docs = spark.createDataFrame([(i, t, g, "x") for i, (g, t) in enumerate(rows)], "doc_id long, text string, lang string, word string")
+    docs = docs.repartition(3)
+    assert rows_of(C.collocations(docs, least=12)) == plain(rows, 12)
+    if not small:
+        with shuffle_joins(spark):
+            assert rows_of(C.collocations(docs, least=5, top=9)) == plain(rows, 5, top=9)
+        assert rows_of(C.collocations(docs, least=30, longest=2)) == plain(rows, 30, 2)
+
+
+def test_empty_and_rare(spark):
+    docs = spark.createDataFrame([("en", "a b c"), (None, None)], "lang string, text string")
+    assert C.collocations(docs).count() == C.collocations(docs.where("false")).count() == 0
+    assert C.collocations(docs).columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    with pytest.raises(ValueError, match="longest"):
+        C.collocations(docs, longest=5)
+
+
+@pytest.mark.parametrize("dense", [1, 300, 10**9])
+def test_tiles_count_like_a_counter(monkeypatch, dense):
+    monkeypatch.setattr(C, "DENSE", dense)
+    monkeypatch.setattr(C, "BUFFER", 3000)
+    monkeypatch.setattr(C, "SPARSE", 900)
+    rng = np.random.default_rng(1)
+    left, right = (rng.zipf(1.3, 20_000) % (1 << 30) for _ in range(2))
+    left[:50] = (1 << 31) - 1 - np.arange(50)
+    tiles, got = C.PairTiles(), Counter()
+    for low in range(0, 20_000, 700):
+        for found in tiles.add(left[low : low + 700], right[low : low + 700]):
+            for a, b, n in zip(*(x.tolist() for x in found)):
+                got[a, b] += n
+    for found in tiles.rest():
+        for a, b, n in zip(*(x.tolist() for x in found)):
+            got[a, b] += n
+    assert got == Counter(zip(left.tolist(), right.tolist()))
+
+
+def test_a_task_hands_on_what_it_cannot_hold(monkeypatch):
+    monkeypatch.setattr(C, "WORDS", 5)
+    rows = [("und" if g is None else g, t) for g, t in texts(30, 4)]
+    batch = pa.RecordBatch.from_pydict({"lang": [g for g, _ in rows], "text": [t for _, t in rows]})
+    got, batches = Counter(), 0
+    for part in C._counted(iter([batch, batch])):
+        batches += 1
+        for r in part.to_pylist():
+            got[r["lang"], r["word"]] += r["n"]
+    want = Counter()
+    for lang, text in rows * 2:
+        own = [w for w in C.words_of(text) if w != C.STOP]
+        want.update((lang, w) for w in own)
+        want[lang, None] += len(own)
+    assert batches > 10 and got == want

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.collocations import collocations
 from tidemark.llm.embedding_links import embedding_groups
 from tidemark.llm.language import language_scores
 from tidemark.llm.mixing import mix_sources
@@ -134,6 +135,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=30, longest=4, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_links": op1_embedding_links,
     "op2_syncmers": op2_syncmers,
@@ -147,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pack": op10_pack,
     "op11_pieces": op11_pieces,
     "op12_vector_codes": op12_vector_codes,
+    "op13_collocations": op13_collocations,
 }
 
 def _vector_codes_sql(rounds: int = 4) -> str:
@@ -191,6 +197,34 @@ FROM good JOIN coded USING (i) CROSS JOIN said
 
 ORACLE_SQL = {
     "op12_vector_codes": _vector_codes_sql(),
+    "op13_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+runs AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, range(1, 5) AS ks(k) WHERE len(w) >= k),
+f AS MATERIALIZED (
+  SELECT lang, w[i:i + k - 1] AS p, k AS size, count(*) AS a FROM runs GROUP BY lang, p, size HAVING count(*) >= 30),
+inner_parts AS (
+  SELECT lang, size, a, p, j, unnest(range(1, size - j + 2)) AS i FROM f, range(2, 4) AS js(j) WHERE j < size),
+held AS (SELECT lang, p[i:i + j - 1] AS p, max(a) AS most FROM inner_parts GROUP BY lang, p[i:i + j - 1]),
+kept AS (
+  SELECT f.* FROM f LEFT JOIN held USING (lang, p)
+  WHERE f.size > 1 AND (most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * f.a)),
+cuts AS (SELECT *, unnest(range(1, size)) AS cut FROM kept),
+scored AS (
+  SELECT c.lang, c.p, c.a, c.cut, l.a AS l, r.a AS r, ((2000000::HUGEINT * c.a) // (l.a + r.a))::BIGINT AS score
+  FROM cuts c JOIN f l ON c.lang = l.lang AND l.p = c.p[1:c.cut]
+  JOIN f r ON c.lang = r.lang AND r.p = c.p[c.cut + 1:c.size]),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) AS nth FROM scored),
+listed AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(p, ' '))) AS rank
+  FROM lowest WHERE nth = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM listed JOIN totals USING (lang) WHERE rank <= 2000
+""",
     "op1_embedding_links": """
 WITH RECURSIVE vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
 good AS (
