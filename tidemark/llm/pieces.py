@@ -21,9 +21,9 @@ from tidemark.llm.shared import ship
 SPACE = "▁"  # fixed: how the models write a space
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed: types of pieces
 BPE = 2  # fixed: the model type
-KNOWN = 1_000_000  # segments that a Python worker remembers before it forgets them all
+KNOWN = 200_000  # segments that a Python worker remembers before it forgets them all
 LONG = 200  # symbols from which a segment is merged alone, by a heap, and not remembered
-TOKENS = 1 << 21  # per Arrow batch that a task hands on
+CHARACTERS = 1 << 20  # of texts that are encoded together and make an Arrow batch
 ENCODED = "doc_id long, ids array<int>, starts array<int>, ends array<int>"
 NEVER = np.iinfo(np.int32).max
 
@@ -229,8 +229,7 @@ class PieceModel:
         self._cut = re.compile("(?s).+" if crossing else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         # a character that is a piece by itself is its piece's symbol
         self._chars = {ord(t): n for t, n in self._ids.items() if len(t) == 1}
-        self._known: dict[str, bytes] = {}
-        self._widths: dict[str, bytes] = {}
+        self._known: dict[str, bytes] = {}  # ids and widths in turn
         self._long: list[str] = []
 
     @property
@@ -249,26 +248,24 @@ class PieceModel:
         """Cuts the segments that are not yet known into pieces, all at once."""
         if len(self._known) > KNOWN:
             self._known.clear()
-            self._widths.clear()
         new = [s for s in segments if s not in self._known]
         short = [s for s in new if len(s) <= LONG]
-        for s, (ids, widths) in zip(short, self._cut_many(short), strict=True):
-            self._known[s], self._widths[s] = ids, widths
+        self._known.update(zip(short, self._cut_many(short), strict=True))
         for s in new:
             if len(s) > LONG:
-                self._known[s], self._widths[s] = self._expanded(self._cut_long(s))
+                self._known[s] = self._expanded(self._cut_long(s))
                 self._long.append(s)
 
     def forget_long(self) -> None:
         for s in self._long:
-            del self._known[s], self._widths[s]
+            del self._known[s]
         self._long = []
 
     def pieces(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their widths in characters. The bytes of a character that is no piece
         are as many ids; the last of them has its width."""
-        known = (self._known, self._widths)
-        return tuple(np.frombuffer(b"".join(map(k.__getitem__, segments)), "<i4") for k in known)
+        both = np.frombuffer(b"".join(map(self._known.__getitem__, segments)), "<i4").reshape(-1, 2)
+        return both[:, 0], both[:, 1]
 
     def _codes(self, text: str) -> np.ndarray:
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
@@ -281,7 +278,7 @@ class PieceModel:
         hit = self._keys[at] == keys
         return np.where(hit, self._rank[at], NEVER), self._merged[at]
 
-    def _cut_many(self, segments: list[str]) -> list[tuple[bytes, bytes]]:
+    def _cut_many(self, segments: list[str]) -> list[bytes]:
         """Byte pair merges of many segments side by side: in each round every segment
         merges its best pair, the first of equals."""
         if not segments or not len(self._keys):
@@ -325,9 +322,9 @@ class PieceModel:
         order = np.argsort(owner, kind="stable")
         owner, symbols = owner[order], symbols[order]
         ids, widths, own = self._to_ids(symbols, owner)
-        bounds = (4 * np.searchsorted(own, np.arange(len(segments) + 1))).tolist()
-        ids, widths = ids.tobytes(), widths.tobytes()
-        return [(ids[a:b], widths[a:b]) for a, b in zip(bounds, bounds[1:])]
+        bounds = (8 * np.searchsorted(own, np.arange(len(segments) + 1))).tolist()
+        both = np.stack([ids, widths], 1).tobytes()
+        return [both[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def _cut_long(self, segment: str) -> np.ndarray:
         """The same merges of one long segment, by a heap of pairs."""
@@ -356,9 +353,9 @@ class PieceModel:
             offer(left, after[left])
         return np.array([s for s in symbols if s >= 0], np.int64)
 
-    def _expanded(self, symbols: np.ndarray) -> tuple[bytes, bytes]:
+    def _expanded(self, symbols: np.ndarray) -> bytes:
         ids, widths, _ = self._to_ids(symbols, np.zeros(len(symbols), np.int64))
-        return ids.tobytes(), widths.tobytes()
+        return np.stack([ids, widths], 1).tobytes()
 
     def _to_ids(self, symbols: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         strange = symbols >= self._n
@@ -434,9 +431,9 @@ def encode_pieces(docs: DataFrame, model_file: str) -> DataFrame:
         for batch in batches:
             low = 0
             while low < len(batch):
-                # as many texts as make a batch of tokens, one at least
+                # as many texts as make a batch, one at least
                 high, size = low, 0
-                while high < len(batch) and high - low < 512 and (high == low or size < TOKENS):
+                while high < len(batch) and high - low < 1024 and (high == low or size < CHARACTERS):
                     size += len(batch["text"][high].as_py() or "")
                     high += 1
                 part = batch.slice(low, high - low)
