@@ -186,11 +186,38 @@ def test_hot_and_null_keys_are_spread(spark):
                 got = skew.salted_left_join(left, right, ["k"], heavy_rows=500, how=how)
                 most, rows = busiest(got)
                 assert rows == 20_000 and most < 0.6 * rows
+        # equal rows of one map task are parted as well
+        equal = spark.range(0, 200_000, 1, 1).select(F.lit(7).alias("k"), F.lit("x").alias("v"))
+        with conf(spark, spark__sql__shuffle__partitions="64"):
+            got = skew.salted_left_join(equal, right, ["k"], heavy_rows=10_000)
+            assert got.groupBy(F.spark_partition_id()).count().count() >= 10
+            assert busiest(got)[1] == 200_000 and busiest(got)[0] < 0.3 * 200_000
         assert skew.salted_left_join(hot, right, ["k"], heavy_rows=500, how="left_anti").count() == 0
         most, rows = busiest(rows_without(null, right, ["k"]))
         assert rows == 20_000 and most < 0.6 * rows
-        # beyond the largest heavy keys the join is unsalted, and still right
-        assert skew.salted_left_join(hot, right, ["k"], heavy_rows=500, most_heavy=0).count() == 20_000
+        # keys that no sketch has named are joined unsalted, and still right
+        assert skew.salted_left_join(hot, right, ["k"], heavy_rows=500, heavy={}).count() == 20_000
+
+
+def test_heavy_keys_come_from_a_sketch(spark):
+    """No key is shuffled to find the heavy ones, and without any the join is a plain one."""
+    rows = spark.range(0, 9000, 1, 4).select((F.col("id") % 900).alias("k"), F.col("id").alias("n"))
+    hot = rows.union(spark.range(0, 5000, 1, 4).select(F.lit(3).cast("long"), F.col("id"))).withColumn("d", F.col("k") * -0.0)
+    assert len(skew.heavy_keys(hot, ["k"], 1000)) == 1 and list(skew.heavy_keys(hot, ["k"], 1000).values()) == [6]
+    assert skew.heavy_keys(rows, ["k"], 1000) == skew.heavy_keys(rows.where("false"), ["k"], 1000) == {}
+    plan = plan_of(hot.agg(skew.key_sketch(hot, ["k"])))
+    assert "hashpartitioning" not in plan and "approx_top_k" in plan
+    right = spark.range(0, 1000).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    with shuffle_joins(spark):
+        plain = plan_of(skew.salted_left_join(rows, right, ["k"]))
+        assert plain.count("Exchange hashpartitioning") == 2 and "Broadcast" not in plain
+        # floating keys: 0.0 and -0.0 are one, and types that differ meet as in a join
+        zeros = spark.createDataFrame([(-0.0, 1)] * 30 + [(0.0, 2)] * 30, "k double, n int")
+        other = spark.createDataFrame([(0, "zero"), (5, "five")], "k long, w string")
+        got = skew.salted_left_join(zeros, other, ["k"], heavy_rows=20)
+        assert got.where("w = 'zero'").count() == 60
+        spread = skew.salted_left_join(hot, right, ["k"], heavy_rows=1000)
+        assert tuples(spread, "k", "n", "w") == tuples(hot.join(right, "k", "left"), "k", "n", "w")
 
 
 def test_few_keys_are_counted_not_guessed(spark, tmp_path):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.helpers import Model, conf, day, frame, shuffle_joins, spec, tuples
 from tidemark import BaseDirs, TableSpec, load_batch, run_load
 from tidemark.functions import PARTITION, with_audit
+from tidemark.operators import skew
 from tidemark.plans import queries
 from tidemark.sources import read_final, replace_table, shared_folder
 from tidemark.sources.tables import partition_path
@@ -263,3 +264,36 @@ def test_working_files_are_removed(spark, tmp_path):
     s = spec(2, partitioned=True)
     load_batch(spark, s, frame(spark, [(1, "a")]), str(tmp_path / "dim"), day(1), 101)
     assert not list(Path(shared_folder(spark)).glob("tidemark-*"))
+
+
+@pytest.mark.parametrize("scd_type", [1, 2])
+@pytest.mark.parametrize("partitioned", [False, True])
+@pytest.mark.parametrize("duplicates", ["error", "keep"])
+def test_counts_cost_no_job(spark, tmp_path, monkeypatch, scd_type, partitioned, duplicates):
+    """Rows by type, partitions and rows for the size checks are seen while staging: as
+    many jobs as there are writes, besides those of their exchanges."""
+    s, path = spec(scd_type, partitioned=partitioned, on_duplicate_keys=duplicates), str(tmp_path / "dim")
+    load_batch(spark, s, frame(spark, [(1, "a"), (2, "a")]), path, day(1), 101)
+
+    def refuse(*_):
+        raise AssertionError("a job of its own")
+
+    with monkeypatch.context() as patch:
+        for name in ("count", "collect", "first", "toArrow", "toPandas"):
+            patch.setattr(type(spark.range(1)), name, refuse)
+        got = load_batch(spark, s, frame(spark, [(1, "b"), (2, "a"), (3, "n")]), path, day(2), 102)
+    assert (got.new, got.changed, got.affected) == (1, 1, (101, 102) if partitioned else ())
+    assert {r[:2] for r in tuples(read_final(spark, s, path).where("current = 'Y'"), "k", "v")} == {(1, "b"), (2, "a"), (3, "n")}
+
+
+def test_a_key_kept_before_is_spread_under_another_policy(spark, tmp_path, monkeypatch):
+    """What the table holds is asked of the table, not of the batch's policy."""
+    asked = []
+    real = skew.heavy_keys
+    monkeypatch.setattr(skew, "heavy_keys", lambda df, keys, n=1: asked.append(keys) or real(df, keys, n))
+    path = str(tmp_path / "dim")
+    load_batch(spark, spec(2, on_duplicate_keys="keep"), frame(spark, [(7, "a")] * 40 + [(1, "a")]), path, day(1))
+    with shuffle_joins(spark):
+        load_batch(spark, spec(2), frame(spark, [(7, "b"), (2, "n")]), path, day(2))
+    assert asked == [["k"]]
+    assert read_final(spark, spec(2), path).where("k = 7 and current = 'N'").count() == 40

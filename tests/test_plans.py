@@ -55,8 +55,8 @@ def test_many_changes_shuffle_open_versions_only(spark, files, unique):
         history, moved = plan_of(parts.in_place), plan_of(parts.moved)
     assert "Exchange" not in history and "Join" not in history
     assert "SortMergeJoin" in moved
-    # only the list of heavy keys, which is bounded by its own threshold, is broadcast
-    assert unique == ("Broadcast" not in moved)
+    # a sketch has found no heavy key, so none is listed
+    assert "Broadcast" not in moved and moved.count("Exchange hashpartitioning") <= 3
     pushed = [line for line in moved.splitlines() if "PushedFilters" in line]
     assert any("EqualTo(current,Y)" in line for line in pushed)
 

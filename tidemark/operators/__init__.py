@@ -17,7 +17,7 @@ from tidemark.operators.merge import (
     superseded_rows,
 )
 from tidemark.operators.sizing import few_keys, fits_broadcast, fits_by_rows
-from tidemark.operators.skew import salted_left_join
+from tidemark.operators.skew import heavy_keys, heavy_of, key_sketch, salted_left_join
 
 __all__ = [
     "MergeParts",
@@ -29,6 +29,9 @@ __all__ = [
     "few_keys",
     "fits_broadcast",
     "fits_by_rows",
+    "heavy_keys",
+    "heavy_of",
+    "key_sketch",
     "new_rows",
     "require_keys",
     "retained_rows",

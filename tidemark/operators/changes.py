@@ -147,10 +147,12 @@ def _same_hash() -> Column:
     return reduce(Column.__and__, bounds)
 
 
-def _keyed_current(table: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _keyed_current(
+    table: DataFrame, batch: DataFrame, keys: Sequence[str], batch_rows: int | None = None
+) -> DataFrame:
     """Open versions that can match, cut to the batch's keys when those are few."""
     current = current_snapshot(table).where(has_full_key(keys))
-    batch_keys = few_keys(batch, keys)
+    batch_keys = few_keys(batch, keys, batch_rows)
     return current if batch_keys is None else current.join(batch_keys, list(keys), "left_semi")
 
 
@@ -160,6 +162,8 @@ def classify_changes(
     keys: Sequence[str],
     null_keys: str = "error",
     unique_keys: bool = True,
+    batch_rows: int | None = None,
+    heavy: dict[int, int] | None = None,
 ) -> DataFrame:
     """New and changed rows of ``batch``, tagged; unchanged rows are left out.
 
@@ -171,7 +175,9 @@ def classify_changes(
     A row has changed unless every open version of its key carries its hash; a
     stored NULL hash counts as different. One join finds new and changed rows
     alike. ``unique_keys=False`` says that a key may repeat in the batch, at any
-    frequency; the result is the same either way.
+    frequency; the result is the same either way. ``batch_rows`` and ``heavy`` (as
+    `salted_left_join` takes it) are what is known of the batch already, and save the
+    jobs that would find them out.
     """
     if null_keys not in NULL_KEYS:
         raise ValueError(f"null_keys must be one of {NULL_KEYS}")
@@ -182,11 +188,11 @@ def classify_changes(
     else:
         keyed = batch.where(has_full_key(keys))
 
-    stored = _stored_summary(_keyed_current(table, keyed, keys), keys, partitioned)
+    stored = _stored_summary(_keyed_current(table, keyed, keys, batch_rows), keys, partitioned)
     if unique_keys:
         joined = keyed.join(stored, list(keys), "left")
     else:
-        joined = salted_left_join(keyed, stored, keys)
+        joined = salted_left_join(keyed, stored, keys, heavy=heavy)
 
     known = F.col("_low0").isNotNull()
     same = known & F.coalesce(_same_hash(), F.lit(False))

@@ -50,13 +50,18 @@ def incoming_rows(classified: DataFrame) -> DataFrame:
 
 
 def retained_rows(
-    table: DataFrame, classified: DataFrame, keys: Sequence[str], unique_keys: bool = False
+    table: DataFrame,
+    classified: DataFrame,
+    keys: Sequence[str],
+    unique_keys: bool = False,
+    changed: int | None = None,
 ) -> DataFrame:
     """Stored rows whose key did not change. ``unique_keys`` says that the table has a
-    key once or so, which saves looking for hot ones."""
+    key once or so, which saves looking for hot ones; ``changed``, how many rows of
+    ``classified`` are changed ones, if that is known, which saves counting them."""
     columns = [col(c) for c in table.columns]
     gone = changed_keys(classified, keys)
-    few = few_keys(gone, keys)
+    few = few_keys(gone, keys, changed)
     if few is not None:
         return table.join(few, list(keys), "left_anti").select(*columns)
     if not unique_keys:
@@ -81,22 +86,33 @@ def superseded_rows(
 
 
 def scd1_parts(
-    table: DataFrame, classified: DataFrame, keys: Sequence[str], unique_keys: bool = True
+    table: DataFrame,
+    classified: DataFrame,
+    keys: Sequence[str],
+    unique_keys: bool = True,
+    changed: int | None = None,
 ) -> MergeParts:
     """Type 1: changed keys lose their stored rows, the batch's rows take their place.
-    ``unique_keys=False`` says that the table may hold a key in any number."""
+    ``unique_keys=False`` says that the table may hold a key in any number; ``changed``
+    as for `retained_rows`."""
     incoming = incoming_rows(classified)
-    if few_keys(changed_keys(classified, keys), keys) is not None:
-        return MergeParts(retained_rows(table, classified, keys), incoming)
-    keyed = retained_rows(table.where(has_full_key(keys)), classified, keys, unique_keys)
+    few = few_keys(changed_keys(classified, keys), keys, changed)
+    if few is not None:
+        kept = table.join(few, list(keys), "left_anti").select(*[col(c) for c in table.columns])
+        return MergeParts(kept, incoming)
+    keyed = retained_rows(table.where(has_full_key(keys)), classified, keys, unique_keys, changed)
     return MergeParts(table.where(has_null_key(keys)), keyed.unionByName(incoming))
 
 
 def scd1_merge(
-    table: DataFrame, classified: DataFrame, keys: Sequence[str], unique_keys: bool = True
+    table: DataFrame,
+    classified: DataFrame,
+    keys: Sequence[str],
+    unique_keys: bool = True,
+    changed: int | None = None,
 ) -> DataFrame:
     """Retained, new and changed rows."""
-    return scd1_parts(table, classified, keys, unique_keys).union()
+    return scd1_parts(table, classified, keys, unique_keys, changed).union()
 
 
 def scd2_parts(
@@ -106,6 +122,7 @@ def scd2_parts(
     run_date: date | str,
     close_scope: str = "current",
     unique_keys: bool = True,
+    changed: int | None = None,
 ) -> MergeParts:
     """Type 2: open versions of changed keys are closed, the batch's rows are added.
 
@@ -138,7 +155,7 @@ def scd2_parts(
             rows = close_rows(marked, run_date, hit & (col(CURRENT) == OPEN_FLAG))
         return rows.select(*[col(c) for c in table.columns])
 
-    if fits_by_rows(marks):
+    if fits_by_rows(marks, changed) or changed is not None and fits_by_rows(marks):
         return MergeParts(closed(table.join(F.broadcast(marks), list(keys), "left")), incoming)
 
     keyed, passing = has_full_key(keys), has_null_key(keys)
@@ -159,6 +176,7 @@ def scd2_merge(
     run_date: date | str,
     close_scope: str = "current",
     unique_keys: bool = True,
+    changed: int | None = None,
 ) -> DataFrame:
     """Retained, closed, new and changed rows."""
-    return scd2_parts(table, classified, keys, run_date, close_scope, unique_keys).union()
+    return scd2_parts(table, classified, keys, run_date, close_scope, unique_keys, changed).union()

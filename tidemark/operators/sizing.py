@@ -37,21 +37,29 @@ def _plain_scan(df: DataFrame) -> bool:
     return node.children().isEmpty()
 
 
-def fits_by_rows(df: DataFrame) -> bool:
+def _width(df: DataFrame) -> int:
+    return ROW_BYTES + df._jdf.schema().defaultSize()
+
+
+def fits_by_rows(df: DataFrame, rows: int | None = None) -> bool:
     """`fits_broadcast`, and so many rows as it has fit too. Files can be far smaller
-    than their rows, so the rows are counted: only where the files are small, and
-    only of stored rows, since others would be worked out twice."""
-    if not (fits_broadcast(df) and _plain_scan(df)):
+    than their rows. Where the caller knows how many ``rows`` there are at most, say
+    from a count that was observed while they were written, that settles it; else they
+    are counted, only where the files are small, and only stored rows, since others
+    would be worked out twice."""
+    if not fits_broadcast(df):
         return False
-    width = ROW_BYTES + df._jdf.schema().defaultSize()
-    return df.count() * width <= _threshold(df)
+    if rows is not None:
+        return rows * _width(df) <= _threshold(df)
+    return _plain_scan(df) and df.count() * _width(df) <= _threshold(df)
 
 
-def few_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+def few_keys(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame | None:
     """The ``keys`` of ``df`` to be broadcast for a semi or anti join, or None where they
-    are many. Rows of few keys but in great number are made distinct first."""
+    are many. Rows of few keys but in great number are made distinct first. ``rows``: as
+    many as ``df`` has at most, if that is known."""
     picked = df.select(*[col(k) for k in keys])
-    if fits_by_rows(picked):
+    if fits_by_rows(picked, rows):
         return F.broadcast(picked)
     distinct = picked.distinct()
     return F.broadcast(distinct) if fits_by_rows(distinct) else None

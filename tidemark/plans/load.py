@@ -5,14 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import PARTITION, col, parse_run_date, with_audit
+from tidemark.functions import col, parse_run_date, with_audit
 from tidemark.operators import (
     affected_partitions,
     classify_changes,
     dedupe_batch,
+    heavy_of,
+    key_sketch,
     scd1_parts,
     scd2_parts,
 )
@@ -99,11 +101,21 @@ def load_batch(
     landed = landed.select(*[col(c) for c in spec.columns])
     deduped = dedupe_batch(landed, spec.keys, spec.on_duplicate_keys, spec.dedupe_by, nulls)
     # classification reads the batch twice, the merge what is classified: each is
-    # parsed, checked and hashed once
-    with Staged(audited(deduped), path) as batch:
-        classified = classify_changes(batch, table, keys, nulls, unique_keys=unique)
-        with Staged(classified, path) as staged:
-            return _publish(spark, spec, path, table if exists else None, staged, run_date, stamp)
+    # parsed, checked and hashed once, and what the plans ask of it is seen on the way
+    rows = audited(deduped)
+    asked = {"rows": F.count(F.lit(1))}
+    if not unique:
+        asked["sketch"] = key_sketch(rows, keys)
+    batch = Staged(rows, path, **asked)
+    with batch as landed_rows:
+        heavy = None if unique else heavy_of(batch.seen["sketch"])
+        classified = classify_changes(
+            landed_rows, table, keys, nulls, unique_keys=unique, batch_rows=batch.seen["rows"], heavy=heavy
+        )
+        staged = Staged(classified, path, **tally(classified))
+        with staged as changes:
+            found = Tally.of(staged.seen)
+            return _publish(spark, spec, path, table if exists else None, changes, found, run_date, stamp)
 
 
 def _publish(
@@ -112,58 +124,56 @@ def _publish(
     path: str,
     table: DataFrame | None,
     staged: DataFrame,
+    found: Tally,
     run_date: date,
     stamp: int | None,
 ) -> LoadResult:
-    unique = spec.on_duplicate_keys != "keep"
-    tally = _tally(staged, spec.partitioned)
-    new, changed = tally.rows[NEW], tally.rows[CHANGED]
+    new, changed = found.new, found.changed
     if new + changed == 0 and table is not None:
         return LoadResult(path, 0, 0)
     held = empty_table(spark, spec) if table is None else table
     if not spec.partitioned:
-        replace_table_parts(_merge(spec, held, staged, run_date, unique), spec, path)
+        replace_table_parts(_merge(spec, held, staged, run_date, changed), spec, path)
         return LoadResult(path, new, changed)
-    touched = tally.touched
-    if tally.scattered:
+    touched = found.touched
+    if found.scattered:
         touched = {r[0] for r in affected_partitions(staged, held, spec.table_keys).collect()}
     affected = sorted({*touched, stamp})
     if table is not None:
         held = read_partitions(spark, spec, path, affected)
-    emptied = publish_partitions(_merge(spec, held, staged, run_date, unique), spec, path, affected)
+    emptied = publish_partitions(_merge(spec, held, staged, run_date, changed), spec, path, affected)
     return LoadResult(path, new, changed, tuple(affected), tuple(emptied))
 
 
-def _merge(
-    spec: TableSpec, table: DataFrame, staged: DataFrame, run_date: date, unique: bool
-) -> MergeParts:
+def _merge(spec: TableSpec, table: DataFrame, staged: DataFrame, run_date: date, changed: int) -> MergeParts:
+    """What the batch's keys are says nothing about the table's: earlier loads may have
+    kept any number of a key, so the table's own are looked at before they are shuffled."""
     if spec.scd_type == 1:
-        return scd1_parts(table, staged, spec.table_keys, unique)
-    return scd2_parts(table, staged, spec.table_keys, run_date, spec.close_scope, unique)
+        return scd1_parts(table, staged, spec.table_keys, False, changed)
+    return scd2_parts(table, staged, spec.table_keys, run_date, spec.close_scope, False, changed)
+
+
+def tally(classified: DataFrame) -> dict[str, Column]:
+    """What is to be seen of a classified batch while it is written: its rows by type
+    and, of a partitioned table, the partitions of their open versions (as many numbers
+    as it has partitions, at most) and the most open versions of a key."""
+    of_type = lambda t: F.count_if(F.col(ROW_TYPE) == t)
+    asked = {"new": of_type(NEW), "changed": of_type(CHANGED)}
+    if P_KEY in classified.columns:
+        asked |= {name: F.array_join(F.collect_set(name), ",") for name in (P_KEY, FIRST_P_KEY)}
+        asked[OPEN_VERSIONS] = F.max(OPEN_VERSIONS)
+    return asked
 
 
 @dataclass(frozen=True)
-class _Tally:
-    rows: dict[str, int]
-    touched: set[int]
+class Tally:
+    new: int
+    changed: int
+    touched: frozenset[int]
     scattered: bool
 
-
-def _tally(staged: DataFrame, partitioned: bool) -> _Tally:
-    """Rows by type, and where their open versions are. For each row type a row
-    per partition of the table comes to the driver, at most."""
-    if partitioned:
-        ends = F.array_distinct(F.array(P_KEY, FIRST_P_KEY))
-        counted = (
-            staged.select(ROW_TYPE, OPEN_VERSIONS, F.posexplode(ends).alias("_nth", PARTITION))
-            .groupBy(ROW_TYPE, PARTITION)
-            .agg(F.count_if(F.col("_nth") == 0).alias("_rows"), F.max(OPEN_VERSIONS).alias("_open"))
-        )
-    else:
-        counted = staged.groupBy(ROW_TYPE).agg(F.count("*").alias("_rows"))
-    found = counted.collect()
-    return _Tally(
-        {t: sum(r["_rows"] for r in found if r[ROW_TYPE] == t) for t in (NEW, CHANGED)},
-        {r[PARTITION] for r in found} if partitioned else set(),
-        partitioned and any(r["_open"] > 2 for r in found),
-    )
+    @classmethod
+    def of(cls, seen: dict) -> Tally:
+        places = ",".join(filter(None, (seen.get(P_KEY), seen.get(FIRST_P_KEY))))
+        touched = frozenset(int(p) for p in places.split(",") if p)
+        return cls(seen["new"], seen["changed"], touched, (seen.get(OPEN_VERSIONS) or 0) > 2)

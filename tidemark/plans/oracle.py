@@ -244,7 +244,7 @@ UNION ALL SELECT * EXCLUDE (rowType) FROM classified"""
     "scd2_merge_renamed_keys": f"SELECT {RENAMED_NAMES}, {AUDIT}, partitionKey FROM ({_with(CUSTOMER, _scd2(CUSTOMER))})",
     "scd2_merge_table": _with(CUSTOMER, _scd2(CUSTOMER, partitioned=False)),
     "scd2_merge_table_csv": _with(CUSTOMER, _scd2(CUSTOMER, partitioned=False)),
-    "first_load": _with(CUSTOMER, "SELECT * FROM raw"),
+    "first_load": f"WITH {_base(CUSTOMER)} " + _audited(CUSTOMER, "2024-02-01", 20240201, "base"),
     "ingest_job": _ingest(),
     "type0_append": f"WITH {_fixture(CUSTOMER)} "
     + _audited(CUSTOMER, "2024-01-01", None, "base")
@@ -259,8 +259,7 @@ UNION ALL SELECT * EXCLUDE (rowType) FROM classified"""
     + _audited(CUSTOMER, "2024-01-01", 20240101, "base")
     + " UNION ALL "
     + _audited(CUSTOMER, "2024-02-01", 20240201, "r0"),
-    "partition_overwrite": _with(
-        CUSTOMER,
+    "partition_overwrite": _whole(
         f"""SELECT c_custkey, c_name, c_nationkey,
        CASE WHEN partitionKey = 20240101 THEN CAST(0 AS {MONEY}) ELSE c_acctbal END AS c_acctbal, c_mktsegment,
        {AUDIT}, partitionKey FROM final0 WHERE partitionKey <> 20240102""",

@@ -42,7 +42,7 @@ from tidemark.plans.fixture import (
     spec_of,
     stored_table,
 )
-from tidemark.plans.load import BaseDirs, load_batch, run_load
+from tidemark.plans.load import BaseDirs, load_batch, run_load, tally
 from tidemark.sources import (
     publish_partitions,
     read_final,
@@ -50,6 +50,7 @@ from tidemark.sources import (
     read_partitions,
     replace_table,
     save_rows,
+    write_observed,
 )
 from tidemark.sources.filesystem import Directory
 
@@ -270,23 +271,26 @@ def superseded(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- merges ----------------------------------------------------------------
 
 
-def _staged(spark: SparkSession, sf_dir: str, source: Source) -> DataFrame:
-    """The classified batch, written once: a merge reads it twice."""
+def _staged(spark: SparkSession, sf_dir: str, source: Source) -> tuple[DataFrame, int]:
+    """The classified batch, written once, since a merge reads it twice, and how many of
+    its rows are changed ones, seen while they were written."""
     path = f"{scratch(spark)}/classified"
-    _classified(spark, sf_dir, source).write.parquet(path)
-    return spark.read.parquet(path)
+    classified = _classified(spark, sf_dir, source)
+    seen = write_observed(classified, path, tally(classified))
+    return spark.read.schema(classified.schema).parquet(path), seen["changed"]
 
 
 def type1_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = current_snapshot(stored_table(spark, sf_dir))
-    return scd1_merge(stored, _staged(spark, sf_dir, CUSTOMER), [CUSTOMER.key])
+    classified, changed = _staged(spark, sf_dir, CUSTOMER)
+    return scd1_merge(stored, classified, [CUSTOMER.key], changed=changed)
 
 
 def _type2_merge(source: Source, close_scope: str = "current") -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         stored = stored_table(spark, sf_dir, source)
-        classified = _staged(spark, sf_dir, source)
-        return scd2_merge(stored, classified, [source.key], RUN_DATE, close_scope)
+        classified, changed = _staged(spark, sf_dir, source)
+        return scd2_merge(stored, classified, [source.key], RUN_DATE, close_scope, changed=changed)
 
     return query
 
@@ -368,7 +372,7 @@ def first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load into a table that does not exist yet."""
     spec = spec_of(CUSTOMER, partitioned=True)
     path = f"{scratch(spark)}/customer"
-    load_batch(spark, spec, landed_batch(spark, sf_dir), path, RUN_DATE, RUN_PARTITION)
+    load_batch(spark, spec, base(spark, sf_dir), path, RUN_DATE, RUN_PARTITION)
     return read_final(spark, spec, path)
 
 
@@ -416,7 +420,7 @@ def type0_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rewrite two partitions of a table from their own rows, one of them to nothing."""
     spec = spec_of(CUSTOMER, 1, partitioned=True)
-    path = _store(spark, stored_table(spark, sf_dir), spec)
+    path = _store(spark, stored_table(spark, sf_dir, whole=True), spec)
     affected = [FIRST_PARTITION, FIRST_PARTITION + 1]
     held = read_partitions(spark, spec, path, affected)
     rewritten = held.where(col(PARTITION) == FIRST_PARTITION).withColumn(

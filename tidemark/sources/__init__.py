@@ -14,6 +14,7 @@ from tidemark.sources.tables import (
     save_rows,
     shared_folder,
     table_exists,
+    write_observed,
 )
 
 __all__ = [
@@ -32,4 +33,5 @@ __all__ = [
     "save_rows",
     "shared_folder",
     "table_exists",
+    "write_observed",
 ]

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from math import ceil
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -308,17 +308,20 @@ class Staged:
     """Rows written to the shared folder and read back: the end of their lineage.
 
     Written once, they survive lost executors, cannot come out differently when
-    read again, and have a size that Catalyst knows. Removed on leaving.
+    read again, and have a size that Catalyst knows. ``seen`` are aggregates that are
+    observed while they are written, and cost no job of their own. Removed on leaving.
     """
 
-    def __init__(self, df: DataFrame, path: str):
+    def __init__(self, df: DataFrame, path: str, **seen: Column):
         self._df = df
+        self._asked = {name: c.alias(name) for name, c in seen.items()}
+        self.seen: dict = {}
         folder = shared_folder(df.sparkSession, path)
         self._dir = Directory(df.sparkSession, f"{folder}/tidemark-{uuid4().hex}")
 
     def __enter__(self) -> DataFrame:
         try:
-            self._df.write.parquet(self._dir.path)
+            self.seen = write_observed(self._df, self._dir.path, self._asked)
         except BaseException:
             self._dir.delete()
             raise
@@ -326,3 +329,14 @@ class Staged:
 
     def __exit__(self, *_exc) -> None:
         self._dir.delete()
+
+
+def write_observed(df: DataFrame, path: str, seen: dict[str, Column]) -> dict:
+    """Writes ``df`` as Parquet; returns the aggregates ``seen`` of what was written."""
+    if not seen:
+        df.write.parquet(path)
+        return {}
+    # at the top of the plan, so each row is counted in the task that writes it, once
+    observation = Observation()
+    df.observe(observation, *[c.alias(name) for name, c in seen.items()]).write.parquet(path)
+    return observation.get
