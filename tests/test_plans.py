@@ -15,6 +15,7 @@ from tidemark.operators import (
     scd1_parts,
     scd2_parts,
 )
+from tidemark.operators import changes
 from tidemark.sources import read_final, replace_table
 
 TABLE = [(k, "a", "Y", 5, None, 10) for k in range(20)] + [(k, "b", "N", 0, 4, 9) for k in range(20)]
@@ -72,8 +73,12 @@ def test_classification_reads_few_columns_and_shuffles_each_side_once(spark, fil
     assert "IsNotNull(k)" in scans[0]
 
 
-def test_small_batch_cuts_the_table_before_its_shuffle(files):
+def test_small_batch_cuts_the_table_before_its_shuffle(files, monkeypatch):
     table, _, rows = files
+    # a small table is not worth counting the batch, unless it is counted already
+    assert "LeftSemi" not in plan_of(classify_changes(rows, table, ["k"]))
+    assert "LeftSemi" in plan_of(classify_changes(rows, table, ["k"], batch_rows=2))
+    monkeypatch.setattr(changes, "SMALL_TABLE", 0)
     plan = plan_of(classify_changes(rows, table, ["k"]))
     assert "LeftSemi" in plan
     # the semi join comes below the aggregate that shuffles

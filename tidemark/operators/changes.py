@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import CURRENT, HASH, OPEN_FLAG, PARTITION, col
-from tidemark.operators.sizing import few_keys
+from tidemark.operators.sizing import estimated_bytes, few_keys
 from tidemark.operators.skew import salted_left_join
 
 ROW_TYPE = "rowType"
@@ -21,6 +21,10 @@ TAGS = (ROW_TYPE, P_KEY, FIRST_P_KEY, OPEN_VERSIONS)
 NEW = "NewRows"
 CHANGED = "CurrentRows"
 
+# a table of up to this size by Catalyst's estimate is shuffled rather than cut by a batch
+# whose rows would first have to be counted
+SMALL_TABLE = 32 << 20
+
 ON_DUPLICATE = ("error", "last", "keep")
 NULL_KEYS = ("error", "keep")
 
@@ -150,8 +154,11 @@ def _same_hash() -> Column:
 def _keyed_current(
     table: DataFrame, batch: DataFrame, keys: Sequence[str], batch_rows: int | None = None
 ) -> DataFrame:
-    """Open versions that can match, cut to the batch's keys when those are few."""
+    """Open versions that can match, cut to the batch's keys when those are few. A small
+    table is not worth a job that counts the batch."""
     current = current_snapshot(table).where(has_full_key(keys))
+    if batch_rows is None and estimated_bytes(table) <= SMALL_TABLE:
+        return current
     batch_keys = few_keys(batch, keys, batch_rows)
     return current if batch_keys is None else current.join(batch_keys, list(keys), "left_semi")
 

@@ -16,6 +16,11 @@ def _threshold(df: DataFrame) -> int:
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of the size of ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """True when Catalyst's size estimate of ``df`` is within the session's
     ``spark.sql.autoBroadcastJoinThreshold``.
@@ -25,8 +30,7 @@ def fits_broadcast(df: DataFrame) -> bool:
     estimated high, so it takes the shuffle way. A threshold of -1 turns all
     broadcasts off.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= _threshold(df)
+    return estimated_bytes(df) <= _threshold(df)
 
 
 def _plain_scan(df: DataFrame) -> bool:
