@@ -1,0 +1,87 @@
+"""The key index of partitions: what it spares, and that it never changes a result."""
+
+import random
+from pathlib import Path
+
+import pytest
+
+from tests.helpers import day, frame, plan_of, spec, stored, tuples
+from tidemark import load_batch
+from tidemark.sources import index_partitions, keyindex, partitions_with_keys, read_candidates, read_final, replace_table
+
+# open versions by partition; 9 holds closed ones alone
+ROWS = [(k, "a", "Y", 0, None, 10 + k // 10) for k in range(60)] + [(k, "z", "N", 0, 1, 9) for k in range(60)]
+
+
+@pytest.fixture
+def s(spark):
+    return spec(2, partitioned=True, key_index=True)
+
+
+@pytest.fixture
+def table(spark, s, tmp_path):
+    path = str(tmp_path / "dim")
+    replace_table(stored(spark, ROWS, partitioned=True).select(*s.final_struct.names), s, path)
+    index_partitions(spark, s, path, range(9, 16))
+    return path
+
+
+def keys(spark, *wanted):
+    return frame(spark, [(k, "x") for k in wanted])
+
+
+def test_only_partitions_that_may_hold_the_keys_are_read(spark, s, table):
+    assert partitions_with_keys(spark, s, table, keys(spark, 3, 27, 27, None)) == [10, 12]
+    assert partitions_with_keys(spark, s, table, keys(spark, 1000, -5)) == []
+    assert partitions_with_keys(spark, s, table, keys(spark)) == []
+    assert partitions_with_keys(spark, s, table, keys(spark, *range(60))) == list(range(10, 16))
+    got = read_candidates(spark, s, table, keys(spark, 44))
+    assert {r[0] for r in got.select("partitionKey").distinct().collect()} == {14}
+    assert "partitionKey" in plan_of(got).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_without_an_index_or_for_large_batches_all_is_read(spark, s, table, monkeypatch):
+    monkeypatch.setattr(keyindex, "BATCH_KEYS", 2)
+    assert partitions_with_keys(spark, s, table, keys(spark, 1, 2, 3)) is None
+    assert partitions_with_keys(spark, s, table + "_other", keys(spark, 1)) is None
+    assert read_candidates(spark, s, table, keys(spark, 1, 2, 3)).count() == len(ROWS)
+
+
+def test_what_the_index_does_not_know_is_read(spark, s, table):
+    # rewritten since, with as many files: its stamp is of other files
+    other = stored(spark, [(7, "a", "Y", 0, None, 13)], partitioned=True).select(*s.final_struct.names[:-1])
+    other.write.mode("overwrite").parquet(f"{table}/partitionKey=13")
+    index = Path(table).parent / "_dim__keys"
+    # half an index
+    half = index / "partitionKey=14"
+    whole = spark.read.parquet(str(half)).collect()
+    spark.createDataFrame(whole[:-1], spark.read.parquet(str(half)).schema).write.parquet(str(index / "x"))
+    for f in half.glob("*"):
+        f.unlink()
+    for f in (index / "x").glob("*.parquet"):
+        f.rename(half / f.name)
+    for f in (index / "x").glob("*"):
+        f.unlink()
+    for f in (index / "x").glob(".*"):
+        f.unlink()
+    (index / "x").rmdir()
+    assert partitions_with_keys(spark, s, table, keys(spark, 7)) == [10, 13, 14]
+
+
+def test_partitions_of_very_many_keys_have_bounds_alone(spark, s, table, monkeypatch):
+    monkeypatch.setattr(keyindex, "MOST_KEYS", 5)
+    index_partitions(spark, s, table, [11])
+    assert partitions_with_keys(spark, s, table, keys(spark, 15, 500)) == [11]
+    assert partitions_with_keys(spark, s, table, keys(spark, 21)) == [12]
+
+
+@pytest.mark.parametrize("scd_type", [1, 2])
+def test_loads_come_to_the_same_with_and_without(spark, tmp_path, scd_type):
+    random.seed(scd_type)
+    for n in range(4):
+        rows = [(k, random.choice("ab")) for k in random.sample(range(12), 5)]
+        for name, indexed in (("with", True), ("without", False)):
+            s = spec(scd_type, partitioned=True, key_index=indexed)
+            load_batch(spark, s, frame(spark, rows), f"{tmp_path}/{name}", day(n), 100 + n)
+        got = [tuples(read_final(spark, s, f"{tmp_path}/{name}")) for name in ("with", "without")]
+        assert got[0] == got[1]

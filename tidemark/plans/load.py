@@ -24,7 +24,9 @@ from tidemark.sources import (
     Staged,
     clear_work,
     empty_table,
+    index_partitions,
     publish_partitions,
+    read_candidates,
     read_final,
     read_landing,
     read_partitions,
@@ -109,8 +111,11 @@ def load_batch(
     batch = Staged(rows, path, **asked)
     with batch as landed_rows:
         heavy = None if unique else heavy_of(batch.seen["sketch"])
+        known = table
+        if exists and spec.partitioned and spec.key_index:
+            known = read_candidates(spark, spec, path, landed_rows, batch.seen["rows"])
         classified = classify_changes(
-            landed_rows, table, keys, nulls, unique_keys=unique, batch_rows=batch.seen["rows"], heavy=heavy
+            landed_rows, known, keys, nulls, unique_keys=unique, batch_rows=batch.seen["rows"], heavy=heavy
         )
         staged = Staged(classified, path, **tally(classified))
         with staged as changes:
@@ -142,6 +147,8 @@ def _publish(
     if table is not None:
         held = read_partitions(spark, spec, path, affected)
     emptied = publish_partitions(_merge(spec, held, staged, run_date, changed), spec, path, affected)
+    if spec.key_index:
+        index_partitions(spark, spec, path, affected)
     return LoadResult(path, new, changed, tuple(affected), tuple(emptied))
 
 

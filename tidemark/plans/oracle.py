@@ -194,6 +194,8 @@ ranked AS (
 SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
     "classify_changes": _with(CUSTOMER, "SELECT * FROM classified"),
     "classify_changes_orders": _with(ORDERS, "SELECT * FROM classified"),
+    "classify_changes_indexed": _with(CUSTOMER, "SELECT * FROM classified"),
+    "scd2_merge_indexed": _with(CUSTOMER, _scd2(CUSTOMER)),
     "classify_changes_repeated_keys": _by_customer("SELECT * FROM classified"),
     "classify_changes_null_keys": _by_customer(
         "SELECT * FROM classified", UNKEYED

@@ -44,7 +44,9 @@ from tidemark.plans.fixture import (
 )
 from tidemark.plans.load import BaseDirs, load_batch, run_load, tally
 from tidemark.sources import (
+    index_partitions,
     publish_partitions,
+    read_candidates,
     read_final,
     read_landing,
     read_partitions,
@@ -185,6 +187,18 @@ def _classify(source: Source) -> Query:
     )
 
 
+def classify_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Against the partitions alone that the key index names: those of history are not read."""
+    spec = spec_of(CUSTOMER, partitioned=True, key_index=True)
+    path = _store(spark, stored_table(spark, sf_dir), spec)
+    stored = [r[0] for r in read_final(spark, spec, path).select(PARTITION).distinct().collect()]
+    index_partitions(spark, spec, path, stored)
+    landed = dedupe_batch(landed_batch(spark, sf_dir), [CUSTOMER.key])
+    batch = with_audit(landed, CUSTOMER.names, RUN_DATE, RUN_PARTITION, "compat")
+    known = read_candidates(spark, spec, path, batch)
+    return classify_changes(batch, known, [CUSTOMER.key]).drop(FIRST_P_KEY, OPEN_VERSIONS)
+
+
 # --- batches with repeated or missing keys ---------------------------------
 
 
@@ -457,6 +471,8 @@ _RESULTS: dict[str, Query] = {
     "dedupe_batch": last_lineitems,
     "classify_changes": _classify(CUSTOMER),
     "classify_changes_orders": _classify(ORDERS),
+    "classify_changes_indexed": classify_indexed,
+    "scd2_merge_indexed": _load(CUSTOMER, 2, partitioned=True, key_index=True),
     "classify_changes_repeated_keys": classify_repeated,
     "classify_changes_null_keys": classify_null_keys,
     "affected_partitions": touched_partitions,

@@ -1,3 +1,4 @@
+from tidemark.sources.keyindex import index_partitions, partitions_with_keys, read_candidates
 from tidemark.sources.tables import (
     Staged,
     clear_work,
@@ -21,9 +22,12 @@ __all__ = [
     "Staged",
     "clear_work",
     "empty_table",
+    "index_partitions",
     "partition_folder",
     "partition_path",
+    "partitions_with_keys",
     "publish_partitions",
+    "read_candidates",
     "read_final",
     "read_landing",
     "read_partitions",

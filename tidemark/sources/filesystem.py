@@ -57,9 +57,10 @@ class Directory:
         found = self._fs.getContentSummary(self._of(path or self.path))
         return Content(found.getFileCount(), found.getLength())
 
-    def names(self, pattern: str, most: int | None = None) -> tuple[int, list[str]]:
-        """How many entries of the directory match a glob, and ``most`` of their names."""
-        found = self._fs.globStatus(self._of(f"{self.path}/{pattern}")) or []
+    def names(self, pattern: str, most: int | None = None, folder: str | None = None) -> tuple[int, list[str]]:
+        """How many entries of the directory, or of another ``folder``, match a glob, and
+        ``most`` of their names."""
+        found = self._fs.globStatus(self._of(f"{folder or self.path}/{pattern}")) or []
         count = len(found)
         wanted = range(count if most is None else min(count, most))
         return count, [found[i].getPath().getName() for i in wanted]

@@ -75,6 +75,9 @@ class TableSpec:
     # "strict" text tables read back exactly what was written; "plain" ones use
     # Spark's own CSV defaults, under which '' and NULL are one
     text_dialect: str = "strict"
+    # keep bounds and bit maps of each partition's keys beside the table, so that a batch is
+    # classified against the partitions that may hold its keys alone
+    key_index: bool = False
     # at most this many files per partition (per table when not partitioned)
     files_per_partition: int | None = None
 
