@@ -335,7 +335,7 @@ def _top(candidates: DataFrame, words: DataFrame, totals: DataFrame, top: int, c
     held = candidates.where(size > 2).select(F.explode(inner).alias("ids"), F.col("a").alias("_a"))
     held = held.groupBy("ids").agg(F.max("_a").alias("_a"))
     left = candidates.join(held, "ids", "left")
-    left = left.where(F.col("_a").isNull() | (big("_a") * contained[1] < big("a") * contained[0])).select("ids", "a")
+    left = stage(left.where(F.col("_a").isNull() | (big("_a") * contained[1] < big("a") * contained[0])).select("ids", "a"))
 
     known = stage(words.select(F.array("id").alias("ids"), "n").unionAll(candidates.select("ids", F.col("a").alias("n"))))
     cuts = left.select("ids", "a", F.explode(F.sequence(F.lit(1), size - 1)).alias("k"))

@@ -409,9 +409,10 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def encode_pieces(docs: DataFrame, model_file: str) -> DataFrame:
+def encode_pieces(docs: DataFrame, model_file: str, decoded: bool = False) -> DataFrame:
     """(doc_id, ids, starts, ends): the pieces of whole ``docs`` texts under the model of
-    ``model_file``, and per piece the bytes [start, end) of the text's UTF-8.
+    ``model_file``, and per piece the bytes [start, end) of the text's UTF-8. With
+    ``decoded`` also the text that the library makes of the ids.
 
     A text is normalised by the model's own rules; the longest prefix that its compiled
     character map holds is replaced, and each character of the result remembers the byte
@@ -426,6 +427,9 @@ def encode_pieces(docs: DataFrame, model_file: str) -> DataFrame:
     ship(spark)
     raw = spark.sparkContext.broadcast(Path(model_file).read_bytes())
 
+    schema = ENCODED + (", decoded string" if decoded else "")
+    names = [c.split()[0] for c in schema.split(", ")]
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(raw.value)
         for batch in batches:
@@ -439,11 +443,14 @@ def encode_pieces(docs: DataFrame, model_file: str) -> DataFrame:
                 part = batch.slice(low, high - low)
                 done = model.encode([t or "" for t in part["text"].to_pylist()])
                 columns = [_lists([d[n] for d in done]) for n in range(3)]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], *columns], ["doc_id", "ids", "starts", "ends"])
+                if decoded:
+                    decode = decoder_of(raw.value).decode
+                    columns.append(pa.array([decode(d[0].tolist()) if len(d[0]) else "" for d in done], pa.string()))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], *columns], names)
                 low = high
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(encode, ENCODED)
+    return rows.mapInArrow(encode, schema)
 
 
 def decode_pieces(ids: Column, model_file: str, spark) -> Column:

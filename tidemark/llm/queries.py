@@ -13,7 +13,7 @@ from tidemark.llm.embedding_links import embedding_groups
 from tidemark.llm.language import language_scores
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack_pow2
-from tidemark.llm.pieces import decode_pieces, encode_pieces
+from tidemark.llm.pieces import encode_pieces
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.secret_ledger import scan_versions, spans_text
 from tidemark.llm.shared import scratch
@@ -117,13 +117,13 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode_pieces(table(spark, sf_dir, "documents"), PIECES).select("doc_id", "ids")
+    encoded = encode_pieces(table(spark, sf_dir, "documents"), PIECES, decoded=True).select("doc_id", "ids", "decoded")
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(listed, 256).alias("ids_sha256"),
-        F.sha2(decode_pieces(F.col("ids"), PIECES, spark), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
