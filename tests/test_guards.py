@@ -1,0 +1,72 @@
+"""One writer at a time, and landed rows that are refused."""
+
+import json
+import time
+
+import pytest
+
+from tests.helpers import day, frame, spec, tuples
+from tidemark import BaseDirs, load_batch, run_load
+from tidemark.sources import TableLocked, WriterLock, read_final
+from tidemark.sources.tables import reject_folder
+
+
+def test_a_second_writer_fails_at_once(spark, tmp_path):
+    s, path = spec(2), str(tmp_path / "dim")
+    load_batch(spark, s, frame(spark, [(1, "a")]), path, day(1))
+    with WriterLock(spark, path), pytest.raises(TableLocked, match="being written"):
+        load_batch(spark, s, frame(spark, [(1, "b")]), path, day(2))
+    load_batch(spark, s, frame(spark, [(1, "b")]), path, day(2))
+    assert tuples(read_final(spark, s, path).where("current = 'Y'"), "k", "v") == [(1, "b")]
+    assert [p.name for p in tmp_path.iterdir()] == ["dim"]
+
+
+def test_the_lock_of_a_dead_owner_is_taken_over(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    file = tmp_path / "_dim__lock"
+    file.write_text(json.dumps({"owner": "elsewhere/1", "until": time.time() + 60}))
+    with pytest.raises(TableLocked, match="elsewhere/1"):
+        WriterLock(spark, path).__enter__()
+    file.write_text(json.dumps({"owner": "elsewhere/1", "until": time.time() - 1}))
+    with WriterLock(spark, path) as held:
+        assert json.loads(file.read_text())["owner"] == held.owner
+    # one of this application that no longer runs
+    file.write_text(json.dumps({"owner": f"{spark.sparkContext.applicationId}/gone", "until": time.time() + 60}))
+    with WriterLock(spark, path):
+        pass
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_a_lock_is_renewed_and_a_lost_one_noticed(spark, tmp_path):
+    path, file = str(tmp_path / "dim"), tmp_path / "_dim__lock"
+    with WriterLock(spark, path, lease_seconds=0.4) as held:
+        time.sleep(1.0)
+        with pytest.raises(TableLocked):
+            WriterLock(spark, path).__enter__()
+        held.check()
+        (tmp_path / "._dim__lock.crc").unlink(missing_ok=True)
+        file.write_text(json.dumps({"owner": "elsewhere/2", "until": time.time() + 60}))
+        with pytest.raises(TableLocked, match="went to elsewhere/2"):
+            held.check()
+    assert file.exists()  # it is not ours to remove
+
+
+def test_refused_rows_are_kept_and_the_others_loaded(spark, tmp_path):
+    landing = tmp_path / "in" / "dim"
+    landing.mkdir(parents=True)
+    (landing / "a.csv").write_text('k,v\n1,a\noops,"b,c"\n,d\n')
+    (landing / "b.csv").write_text("k,v\n5\n 7 ,e\n99999999999,f\n")
+    s = spec(1, table_dir="dim", landing_pattern="*.csv", bad_rows="quarantine", null_key_policy="keep")
+    got = run_load(spark, s, BaseDirs(f"{tmp_path}/in", f"{tmp_path}/out"), "2024-01-02")
+    assert (got.new, got.rejected) == (4, 2)
+    assert tuples(read_final(spark, s, got.path), "k", "v") == sorted([(1, "a"), (None, "d"), (5, None), (7, "e")], key=repr)
+    kept = spark.read.parquet(reject_folder(spark, got.path)).orderBy("row").collect()
+    assert [(r["file"].rpartition("/")[2], r["row"], r["reasons"]) for r in kept] == [
+        ("b.csv", "99999999999,f", ["k is no int: 99999999999"]),
+        ("a.csv", 'oops,"b,c"', ["k is no int: oops"]),
+    ]
+    (landing / "a.csv").write_text("k,v\n1,z\n")
+    (landing / "b.csv").write_text("k,v\n")
+    assert run_load(spark, s, BaseDirs(f"{tmp_path}/in", f"{tmp_path}/out"), "2024-01-03").rejected == 0
+    with pytest.raises(ValueError, match="quarantine"):
+        spec(1, landing_format="parquet", bad_rows="quarantine")

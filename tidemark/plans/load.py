@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,7 @@ from tidemark.operators.changes import CHANGED, FIRST_P_KEY, NEW, OPEN_VERSIONS,
 from tidemark.operators.merge import MergeParts
 from tidemark.sources import (
     Staged,
+    WriterLock,
     clear_work,
     empty_table,
     index_partitions,
@@ -29,12 +31,15 @@ from tidemark.sources import (
     read_candidates,
     read_final,
     read_landing,
+    read_landing_judged,
     read_partitions,
     recover_table,
     replace_table_parts,
     save_rows,
     table_exists,
 )
+from tidemark.sources.formats import REASONS, rejects
+from tidemark.sources.tables import reject_folder
 from tidemark.spec import TableSpec
 
 
@@ -53,6 +58,7 @@ class LoadResult:
     changed: int | None = None
     affected: tuple[int, ...] = field(default=())
     emptied: tuple[int, ...] = field(default=())
+    rejected: int = 0
 
 
 def run_load(
@@ -62,9 +68,22 @@ def run_load(
     run_date: date | str,
     partition_key: int | None = None,
 ) -> LoadResult:
-    """Read the landed batch of ``spec`` and load it. One writer per table at a time."""
-    landed = read_landing(spark, spec, dirs.landing)
-    return load_batch(spark, spec, landed, spec.table_path(dirs.tables), run_date, partition_key)
+    """Read the landed batch of ``spec`` and load it. With ``bad_rows="quarantine"`` rows
+    that hold a value of no type of theirs go to the table's reject folder, and the
+    others are loaded."""
+    path = spec.table_path(dirs.tables)
+    if spec.bad_rows != "quarantine":
+        return load_batch(spark, spec, read_landing(spark, spec, dirs.landing), path, run_date, partition_key)
+    judged = read_landing_judged(spark, spec, dirs.landing)
+    # both outputs come of one pass over the landed files
+    staged = Staged(judged, path, rejected=F.count_if(F.size(REASONS) > 0))
+    with staged as rows:
+        good = rows.where(F.size(REASONS) == 0).select(*[col(f.name) for f in spec.raw_struct])
+        result = load_batch(spark, spec, good, path, run_date, partition_key)
+        if staged.seen["rejected"]:
+            folder = f"{reject_folder(spark, path)}/runDate={parse_run_date(run_date).isoformat()}"
+            rejects(rows).write.mode("overwrite").parquet(folder)
+    return replace(result, rejected=staged.seen["rejected"])
 
 
 def load_batch(
@@ -79,7 +98,8 @@ def load_batch(
 
     A publish that an earlier load was cut off in is finished first, so loading a batch
     again changes nothing. Keys that are missing from the batch
-    stay as they are: a batch is an increment, not a full copy.
+    stay as they are: a batch is an increment, not a full copy. While it runs it holds the
+    table's lock; a second load fails at once.
     """
     run_date = parse_run_date(run_date)
     if spec.partitioned and partition_key is None:
@@ -89,10 +109,23 @@ def load_batch(
     def audited(rows: DataFrame) -> DataFrame:
         return spec.as_stored(with_audit(rows, spec.columns, run_date, stamp, spec.hash_mode))
 
-    if spec.scd_type == 0:
-        save_rows(audited(landed), spec, path, stamp)
-        return LoadResult(path)
+    with WriterLock(spark, path) as lock:
+        if spec.scd_type == 0:
+            save_rows(audited(landed), spec, path, stamp)
+            return LoadResult(path)
+        return _load(spark, spec, landed, audited, path, run_date, stamp, lock)
 
+
+def _load(
+    spark: SparkSession,
+    spec: TableSpec,
+    landed: DataFrame,
+    audited: Callable[[DataFrame], DataFrame],
+    path: str,
+    run_date: date,
+    stamp: int | None,
+    lock: WriterLock,
+) -> LoadResult:
     recover_table(spark, path)
     clear_work(spark, path)
     exists = table_exists(spark, path)
@@ -120,6 +153,7 @@ def load_batch(
         staged = Staged(classified, path, **tally(classified))
         with staged as changes:
             found = Tally.of(staged.seen)
+            lock.check()
             return _publish(spark, spec, path, table if exists else None, changes, found, run_date, stamp)
 
 

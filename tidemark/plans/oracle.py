@@ -160,6 +160,14 @@ RENAMED_NAMES = (
 
 _RESULTS: dict[str, str] = {
     "landing_scan": f"WITH {_base(CUSTOMER)} SELECT {C_NAMES} FROM base",
+    "landing_rejects": f"""WITH {_base(CUSTOMER)},
+texts AS (
+  SELECT c_custkey, c_name, c_mktsegment, CASE WHEN c_custkey % 7 = 0 THEN 'n/a' ELSE c_nationkey::VARCHAR END AS nation,
+         CASE WHEN c_custkey % 11 = 0 THEN '12x' ELSE c_acctbal::VARCHAR END AS balance FROM base)
+SELECT CASE WHEN nation = 'n/a' OR balance = '12x' THEN concat_ws(',', c_custkey, c_name, nation, balance, c_mktsegment)
+            ELSE c_custkey::VARCHAR END AS landed,
+       concat_ws('; ', CASE WHEN nation = 'n/a' THEN 'c_nationkey is no int: n/a' END,
+                 CASE WHEN balance = '12x' THEN 'c_acctbal is no decimal(12,2): 12x' END) AS reasons FROM texts""",
     "raw_projection": f"WITH {_base(CUSTOMER)} SELECT c_mktsegment, c_custkey, c_acctbal FROM base",
     "final_scan": _whole("SELECT * FROM final0"),
     "final_scan_typed": f"WITH {_base(CUSTOMER)}, audited AS ("
@@ -269,6 +277,7 @@ UNION ALL SELECT * EXCLUDE (rowType) FROM classified"""
 }
 
 NO_MONEY = (
+    "landing_rejects",
     "row_hash",
     "row_hash_delimited",
     "row_hash_orders",

@@ -55,6 +55,7 @@ from tidemark.sources import (
     write_observed,
 )
 from tidemark.sources.filesystem import Directory
+from tidemark.sources.tables import reject_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,14 +90,33 @@ def _land(spark: SparkSession, batch: DataFrame, source: Source) -> str:
     return root
 
 
-def _landing_spec(source: Source, **options):
-    return spec_of(source, app_dir="crm", table_dir=source.table, landing_pattern="extract_*/*.csv", **options)
+def _landing_spec(source: Source, scd_type: int = 2, **options):
+    return spec_of(source, scd_type, app_dir="crm", table_dir=source.table, landing_pattern="extract_*/*.csv", **options)
 
 
 def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, _landing_spec(CUSTOMER), _land(spark, base(spark, sf_dir), CUSTOMER))
 
 
+def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed customers, some with text for a nation or a balance: what the load takes, and
+    what goes to the table's reject folder, with the reasons."""
+    key, sep = col(CUSTOMER.key), "; "
+    texts = base(spark, sf_dir).withColumns(
+        {
+            "c_nationkey": F.when(key % 7 == 0, "n/a").otherwise(col("c_nationkey").cast("string")),
+            "c_acctbal": F.when(key % 11 == 0, "12x").otherwise(col("c_acctbal").cast("string")),
+        }
+    )
+    spec = _landing_spec(CUSTOMER, scd_type=1, bad_rows="quarantine")
+    dirs = BaseDirs(_land(spark, texts, CUSTOMER), scratch(spark))
+    run_load(spark, spec, dirs, RUN_DATE)
+    path = spec.table_path(dirs.tables)
+    taken = read_final(spark, spec, path).select(key.cast("string").alias("landed"), F.lit("").alias("reasons"))
+    refused = spark.read.parquet(reject_folder(spark, path))
+    return taken.unionByName(refused.select(F.col("row").alias("landed"), F.array_join("reasons", sep).alias("reasons")))
+
+
 def raw_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = _landing_spec(CUSTOMER, columns=("c_mktsegment", "c_custkey", "c_acctbal"))
     return read_landing(spark, spec, _land(spark, base(spark, sf_dir), CUSTOMER)).select(*spec.columns)
@@ -457,6 +477,7 @@ def _shown(query: Query) -> Query:
 
 _RESULTS: dict[str, Query] = {
     "landing_scan": landing_scan,
+    "landing_rejects": landing_rejects,
     "raw_projection": raw_projection,
     "final_scan": final_scan,
     "final_scan_typed": final_scan_typed,

@@ -1,4 +1,5 @@
 from tidemark.sources.keyindex import index_partitions, partitions_with_keys, read_candidates
+from tidemark.sources.lock import TableLocked, WriterLock
 from tidemark.sources.tables import (
     Staged,
     clear_work,
@@ -8,6 +9,7 @@ from tidemark.sources.tables import (
     publish_partitions,
     read_final,
     read_landing,
+    read_landing_judged,
     read_partitions,
     recover_table,
     replace_table,
@@ -20,6 +22,8 @@ from tidemark.sources.tables import (
 
 __all__ = [
     "Staged",
+    "TableLocked",
+    "WriterLock",
     "clear_work",
     "empty_table",
     "index_partitions",
@@ -30,6 +34,7 @@ __all__ = [
     "read_candidates",
     "read_final",
     "read_landing",
+    "read_landing_judged",
     "read_partitions",
     "recover_table",
     "replace_table",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -72,6 +73,18 @@ class Directory:
         finally:
             stream.close()
 
+    def create_new(self, path: str, text: str) -> bool:
+        """A small file, unless there is one of that name already."""
+        try:
+            stream = self._fs.create(self._of(path), False)
+        except Py4JJavaError:
+            if self.exists(path):
+                return False
+            raise
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        return True
+
     def write(self, path: str, text: str) -> None:
         """A small file, whole or not at all."""
         unfinished = f"{path}_unfinished"

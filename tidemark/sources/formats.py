@@ -24,6 +24,8 @@ STRICT_TEXT = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+FILE, ROW_TEXT, REASONS = "landed_file", "landed_row", "landed_reasons"
+
 
 def spark_format(name: str) -> str:
     """``txt`` is delimited text, which Spark calls csv."""
@@ -83,6 +85,32 @@ def typed_columns(schema: T.StructType, bad_rows: str) -> list[Column]:
     return typed
 
 
+def judged_columns(schema: T.StructType, delimiter: str) -> list[Column]:
+    """Typed columns as `typed_columns` gives them with NULL for bad values, the row's file,
+    its text, and why it is refused: a reason for each value that is none of its type."""
+    reasons = []
+    for field in schema:
+        if not isinstance(field.dataType, T.StringType):
+            text = col(field.name)
+            bad = text.try_cast(field.dataType).isNull() & (F.trim(text) != "")
+            said = F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), text)
+            reasons.append(F.when(bad, said))
+    row = F.to_csv(F.struct(*[col(f.name) for f in schema]), {"sep": delimiter, "nullValue": ""})
+    why = F.filter(F.array(*reasons), lambda r: r.isNotNull()) if reasons else F.array().cast("array<string>")
+    return [
+        *typed_columns(schema, "null"),
+        F.col("_metadata.file_path").alias(FILE),
+        row.alias(ROW_TEXT),
+        why.alias(REASONS),
+    ]
+
+
+def rejects(judged: DataFrame) -> DataFrame:
+    """The refused rows: their file, their text, and the reasons."""
+    names = {FILE: "file", ROW_TEXT: "row", REASONS: "reasons"}
+    return judged.where(F.size(REASONS) > 0).select(*[F.col(c).alias(n) for c, n in names.items()])
+
+
 def writable(df: DataFrame, spec: TableSpec) -> DataFrame:
     """``df``, failing the job on a value the table's format would not give back.
 

@@ -15,6 +15,7 @@ from tidemark.functions import CURRENT, EFFECTIVE, HASH, PARTITION, col
 from tidemark.operators.merge import MergeParts
 from tidemark.sources.filesystem import Content, Directory
 from tidemark.sources.formats import (
+    judged_columns,
     landed_struct,
     landing_options,
     spark_format,
@@ -39,6 +40,20 @@ def read_landing(spark: SparkSession, spec: TableSpec, base: str) -> DataFrame:
     return landed.select(*typed_columns(raw, spec.bad_rows)) if spec.landing_format in TEXT_FORMATS else landed
 
 
+def read_landing_judged(spark: SparkSession, spec: TableSpec, base: str) -> DataFrame:
+    """Every landed row with its file, its text and the reasons why it is refused, if any;
+    values that are none of their type are NULL."""
+    raw = spec.raw_struct
+    reader = _reader(spark, spec.landing_format, landed_struct(spec)).options(**landing_options(spec))
+    landed = reader.load(spec.landing_path(base))
+    return landed.select(*judged_columns(raw, spec.landing_delimiter))
+
+
+def reject_folder(spark: SparkSession, path: str) -> str:
+    """Where the refused rows of a table's landed files are kept, a folder for each run."""
+    return Directory(spark, path).sibling("__rejects")
+
+
 def _reader(spark: SparkSession, name: str, schema: StructType) -> DataFrameReader:
     reader = spark.read.format(spark_format(name))
     return reader if name == DELTA else reader.schema(schema)

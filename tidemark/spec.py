@@ -18,7 +18,7 @@ TEXT_FORMATS = ("csv", "txt")
 SAVE_MODES = ("overwrite", "append", "ignore", "errorifexists", "error")
 SCD_TYPES = (0, 1, 2)
 DIALECTS = ("strict", "plain")
-BAD_ROWS = ("error", "null")
+BAD_ROWS = ("error", "null", "quarantine")
 
 
 def _one_of(name: str, value, allowed) -> None:
@@ -64,7 +64,8 @@ class TableSpec:
     landing_format: str = "csv"
     landing_delimiter: str = ","
     landing_multiline: bool = False
-    # a landed text that is no value of its column's type fails the load, or is NULL
+    # a landed text that is no value of its column's type fails the load, or is NULL, or
+    # sends its row to the table's reject folder
     bad_rows: str = "error"
     # the names in a file's header must be those of ``raw_schema``, in order
     check_header: bool = True
@@ -113,6 +114,8 @@ class TableSpec:
         _one_of("bad_rows", self.bad_rows, BAD_ROWS)
         if self.partition_folder.lower() != PARTITION.lower():
             raise ValueError(f"partition_folder must be a spelling of {PARTITION}")
+        if self.bad_rows == "quarantine" and self.landing_format not in TEXT_FORMATS:
+            raise ValueError("only landed text can hold rows for the quarantine")
         if self.on_duplicate_keys == "last" and not self.dedupe_by:
             raise ValueError("on_duplicate_keys='last' needs dedupe_by columns")
         if self.scd_type != 0 and not self.keys:
