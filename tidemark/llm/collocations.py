@@ -17,10 +17,10 @@ from tidemark.llm.shared import ship, stage
 from tidemark.operators import fits_by_rows, salted_left_join
 
 EDGE = 512  # ids along the side of a tile
-DENSE = 1 << 14  # pairs of a buffer that make a tile dense
-MOST_DENSE = 32  # dense tiles that a task holds, 2 MB each
-BUFFER = 1 << 22  # pairs that a task gathers before it counts them
-SPARSE = 1 << 22  # counted sparse pairs from which a task hands them on
+DENSE = 1 << 12  # pairs of a buffer that make a tile dense
+MOST_DENSE = 16  # dense tiles that a task holds, 2 MB each
+BUFFER = 1 << 20  # pairs that a task gathers before it counts them
+SPARSE = 1 << 21  # counted sparse pairs from which a task hands them on
 WORDS = 1 << 20  # distinct words that a task counts before it hands them on
 ROW = 1 << 16  # words of an encoded row, unless one document has more
 BLOCK_BYTES = 64 << 20  # of a lookup that is sent to the workers at a time
