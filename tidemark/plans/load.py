@@ -38,6 +38,7 @@ from tidemark.sources import (
     save_rows,
     table_exists,
 )
+from tidemark.sources.buckets import bucket_count, by_bucket
 from tidemark.sources.formats import REASONS, rejects
 from tidemark.sources.tables import reject_folder
 from tidemark.spec import TableSpec
@@ -130,6 +131,9 @@ def _load(
     clear_work(spark, path)
     exists = table_exists(spark, path)
     table = read_final(spark, spec, path) if exists else empty_table(spark, spec)
+    buckets = bucket_count(spark, spec, path)
+    if buckets is not None and spec.may_repeat:
+        raise ValueError(f"{path} is bucketed by key: rows of repeated or NULL keys cannot be kept in it")
     unique = spec.on_duplicate_keys != "keep"
     nulls = spec.null_key_policy
     keys = spec.table_keys
@@ -143,6 +147,7 @@ def _load(
         asked["sketch"] = key_sketch(rows, keys)
     batch = Staged(rows, path, **asked)
     with batch as landed_rows:
+        landed_rows = by_bucket(landed_rows, spec, buckets)
         heavy = None if unique else heavy_of(batch.seen["sketch"])
         known = table
         if exists and spec.partitioned and spec.key_index:
@@ -153,8 +158,9 @@ def _load(
         staged = Staged(classified, path, **tally(classified))
         with staged as changes:
             found = Tally.of(staged.seen)
+            changes = by_bucket(changes, spec, buckets)
             lock.check()
-            return _publish(spark, spec, path, table if exists else None, changes, found, run_date, stamp)
+            return _publish(spark, spec, path, table if exists else None, changes, found, run_date, stamp, buckets is not None)
 
 
 def _publish(
@@ -166,13 +172,14 @@ def _publish(
     found: Tally,
     run_date: date,
     stamp: int | None,
+    unique: bool,
 ) -> LoadResult:
     new, changed = found.new, found.changed
     if new + changed == 0 and table is not None:
         return LoadResult(path, 0, 0)
     held = empty_table(spark, spec) if table is None else table
     if not spec.partitioned:
-        replace_table_parts(_merge(spec, held, staged, run_date, changed), spec, path)
+        replace_table_parts(_merge(spec, held, staged, run_date, changed, unique), spec, path)
         return LoadResult(path, new, changed)
     touched = found.touched
     if found.scattered:
@@ -180,18 +187,21 @@ def _publish(
     affected = sorted({*touched, stamp})
     if table is not None:
         held = read_partitions(spark, spec, path, affected)
-    emptied = publish_partitions(_merge(spec, held, staged, run_date, changed), spec, path, affected)
+    emptied = publish_partitions(_merge(spec, held, staged, run_date, changed, unique), spec, path, affected)
     if spec.key_index:
         index_partitions(spark, spec, path, affected)
     return LoadResult(path, new, changed, tuple(affected), tuple(emptied))
 
 
-def _merge(spec: TableSpec, table: DataFrame, staged: DataFrame, run_date: date, changed: int) -> MergeParts:
+def _merge(
+    spec: TableSpec, table: DataFrame, staged: DataFrame, run_date: date, changed: int, unique: bool
+) -> MergeParts:
     """What the batch's keys are says nothing about the table's: earlier loads may have
-    kept any number of a key, so the table's own are looked at before they are shuffled."""
+    kept any number of a key, so the table's own are looked at before they are shuffled.
+    Not so in a bucketed table, which no load may have kept them in (``unique``)."""
     if spec.scd_type == 1:
-        return scd1_parts(table, staged, spec.table_keys, False, changed)
-    return scd2_parts(table, staged, spec.table_keys, run_date, spec.close_scope, False, changed)
+        return scd1_parts(table, staged, spec.table_keys, unique, changed)
+    return scd2_parts(table, staged, spec.table_keys, run_date, spec.close_scope, unique, changed)
 
 
 def tally(classified: DataFrame) -> dict[str, Column]:

@@ -233,6 +233,7 @@ FROM final0 WHERE "current" = 'Y' AND c_custkey IN (SELECT c_custkey FROM change
     "scd1_merge": _with(CUSTOMER, _scd1(CUSTOMER)),
     "scd1_merge_partitioned": _with(CUSTOMER, _scd1(CUSTOMER)),
     "scd1_merge_table": _with(CUSTOMER, _scd1(CUSTOMER, partitioned=False)),
+    "scd1_merge_bucketed": _with(CUSTOMER, _scd1(CUSTOMER, partitioned=False)),
     "scd1_merge_legacy_layout": _with(CUSTOMER, _scd1(CUSTOMER)),
     "scd1_merge_repeated_keys": _by_customer(
         "SELECT * FROM stored WHERE o_custkey NOT IN (SELECT o_custkey FROM classified WHERE rowType = 'CurrentRows') "
@@ -253,6 +254,8 @@ UNION ALL SELECT * EXCLUDE (rowType) FROM classified"""
     "scd2_merge_recovered": _with(CUSTOMER, _scd2(CUSTOMER)),
     "scd2_merge_renamed_keys": f"SELECT {RENAMED_NAMES}, {AUDIT}, partitionKey FROM ({_with(CUSTOMER, _scd2(CUSTOMER))})",
     "scd2_merge_table": _with(CUSTOMER, _scd2(CUSTOMER, partitioned=False)),
+    "scd2_merge_bucketed": _with(CUSTOMER, _scd2(CUSTOMER, partitioned=False)),
+    "scd2_merge_bucketed_partitioned": _with(CUSTOMER, _scd2(CUSTOMER)),
     "scd2_merge_table_csv": _with(CUSTOMER, _scd2(CUSTOMER, partitioned=False)),
     "first_load": f"WITH {_base(CUSTOMER)} " + _audited(CUSTOMER, "2024-02-01", 20240201, "base"),
     "ingest_job": _ingest(),

@@ -517,6 +517,9 @@ _RESULTS: dict[str, Query] = {
     "scd2_merge_recovered": merge_recovered,
     "scd2_merge_renamed_keys": merge_renamed,
     "scd2_merge_table": _load(CUSTOMER, 2),
+    "scd1_merge_bucketed": _load(CUSTOMER, 1, buckets=4),
+    "scd2_merge_bucketed": _load(CUSTOMER, 2, buckets=4),
+    "scd2_merge_bucketed_partitioned": _load(CUSTOMER, 2, buckets=4, partitioned=True),
     "scd2_merge_table_csv": _load(CUSTOMER, 2, table_format="csv"),
     "first_load": first_load,
     "ingest_job": ingest_job,

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructField, StructType
 
 from tidemark.functions import CURRENT, EFFECTIVE, HASH, PARTITION, col
 from tidemark.operators.merge import MergeParts
+from tidemark.sources.buckets import bucket_count, bucketed_scan, by_bucket, note_buckets, write_bucketed
 from tidemark.sources.filesystem import Content, Directory
 from tidemark.sources.formats import (
     judged_columns,
@@ -84,7 +85,11 @@ def read_final(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     if spec.partitioned and spec.table_format != DELTA:
         stored[PARTITION] = partition_folder(spark, spec, path)
         schema = StructType([StructField(stored[f.name], f.dataType) for f in schema])
-    table = _reader(spark, spec.table_format, schema).options(**table_options(spec)).load(path)
+    buckets = bucket_count(spark, spec, path)
+    if buckets is not None and table_exists(spark, path):
+        table = bucketed_scan(spark, spec, path, schema, buckets)
+    else:
+        table = _reader(spark, spec.table_format, schema).options(**table_options(spec)).load(path)
     return table.select(*[col(name).alias(c) for c, name in stored.items()])
 
 
@@ -224,7 +229,11 @@ def replace_table(df: DataFrame, spec: TableSpec, path: str) -> None:
     recover_table(spark, path)
     table = Directory(spark, path)
     staged = table.sibling("__next")
-    if not spec.partitioned:
+    if spec.buckets is not None:
+        folder = partition_folder(spark, spec, path) if spec.partitioned else None
+        write_bucketed(by_bucket(df, spec, spec.buckets), spec, staged, spec.buckets, folder)
+        note_buckets(spark, spec, staged, spec.buckets)
+    elif not spec.partitioned:
         _writer(_capped(df, spec), spec, "overwrite").save(staged)
     else:
         df = _capped(df, spec) if spec.files_per_partition is not None else _gathered(df, table.content().size)
@@ -238,7 +247,7 @@ def _partition_writer(df: DataFrame, spec: TableSpec, folder: str) -> DataFrameW
 
 def replace_table_parts(parts: MergeParts, spec: TableSpec, path: str) -> None:
     df = parts.union()
-    if spec.scd_type == 2 and spec.files_per_partition is None:
+    if spec.scd_type == 2 and spec.files_per_partition is None and spec.buckets is None:
         df = df.sortWithinPartitions(col(CURRENT))
     replace_table(df, spec, path)
 
@@ -269,17 +278,27 @@ def publish_partitions(
     before = {p: table.content(partition_path(table.path, p, folder)) for p in affected}
     largest = max((c.size for c in before.values()), default=0)
 
-    if spec.files_per_partition is not None:
+    buckets = bucket_count(spark, spec, path)
+    crowded = too_many_files(before.values(), buckets or 1)
+    if buckets is not None:
+        if parts.in_place is None or crowded:
+            df = by_bucket(parts.union(), spec, buckets)
+        else:
+            df = parts.in_place.unionByName(by_bucket(parts.moved, spec, buckets))
+    elif spec.files_per_partition is not None:
         df = _capped(parts.union(), spec)
-    elif parts.in_place is None or too_many_files(before.values()):
+    elif parts.in_place is None or crowded:
         df = _gathered(parts.union(), largest)
     else:
         df = parts.in_place.unionByName(_gathered(parts.moved, largest))
 
     # sorted by flag within a file, a scan of open versions skips the pages of
     # closed ones, and the other way round
-    order = [PARTITION, CURRENT] if spec.scd_type == 2 else [PARTITION]
-    _partition_writer(df.sortWithinPartitions(*order), spec, folder).save(staged)
+    if buckets is not None:
+        write_bucketed(df, spec, staged, buckets, folder)
+    else:
+        order = [PARTITION, CURRENT] if spec.scd_type == 2 else [PARTITION]
+        _partition_writer(df.sortWithinPartitions(*order), spec, folder).save(staged)
 
     after = {p: table.content(partition_path(staged, p, folder)) for p in affected}
     filled = [p for p in affected if after[p].files]
@@ -289,16 +308,18 @@ def publish_partitions(
     if emptied and spec.scd_type == 2:
         raise RuntimeError(f"Type 2 merge gave no rows for partitions {emptied}; nothing removed")
     table.make()
+    if buckets is not None:
+        note_buckets(spark, spec, path, buckets)
     moves = [(f"{folder}={int(p)}", *after[p]) for p in filled]
     _swap_in(spark, path, moves + [(f"{folder}={int(p)}",) for p in emptied])
     return emptied
 
 
-def too_many_files(contents: Iterable[Content]) -> bool:
+def too_many_files(contents: Iterable[Content], least: int = 1) -> bool:
     files = ideal = 0
     for content in contents:
         files += content.files
-        ideal += max(1, ceil(content.size / TARGET_FILE_BYTES)) if content.files else 0
+        ideal += max(least, ceil(content.size / TARGET_FILE_BYTES)) if content.files else 0
     return files > FILE_EXCESS * ideal
 
 

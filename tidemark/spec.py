@@ -15,6 +15,7 @@ from tidemark.operators.merge import CLOSE_SCOPES
 DELTA = "delta"
 FORMATS = ("csv", "txt", "parquet", "orc", DELTA)
 TEXT_FORMATS = ("csv", "txt")
+BUCKET_FORMATS = ("parquet", "orc")
 SAVE_MODES = ("overwrite", "append", "ignore", "errorifexists", "error")
 SCD_TYPES = (0, 1, 2)
 DIALECTS = ("strict", "plain")
@@ -79,6 +80,9 @@ class TableSpec:
     # keep bounds and bit maps of each partition's keys beside the table, so that a batch is
     # classified against the partitions that may hold its keys alone
     key_index: bool = False
+    # cut the files of a new table into so many buckets by merge key, which spares the
+    # stored side of large merges its shuffle; a table that is there keeps its own layout
+    buckets: int | None = None
     # at most this many files per partition (per table when not partitioned)
     files_per_partition: int | None = None
 
@@ -122,6 +126,8 @@ class TableSpec:
             raise ValueError("Type 1 and Type 2 need merge keys")
         if self.files_per_partition is not None and self.files_per_partition < 1:
             raise ValueError("files_per_partition must be at least 1")
+        if self.buckets is not None:
+            self._check_buckets()
 
         for name in ("columns", "keys", "dedupe_by"):
             known = self.columns if name != "columns" else raw
@@ -144,6 +150,21 @@ class TableSpec:
             if nested:
                 raise ValueError(f"text tables cannot hold the nested columns {nested}")
 
+    def _check_buckets(self) -> None:
+        if self.buckets < 1:
+            raise ValueError("buckets must be at least 1")
+        if self.table_format not in BUCKET_FORMATS or self.scd_type == 0:
+            raise ValueError(f"buckets are for Type 1 and Type 2 tables in one of {list(BUCKET_FORMATS)}")
+        if self.files_per_partition is not None:
+            raise ValueError("buckets settle the number of files; files_per_partition cannot")
+        if self.may_repeat:
+            raise ValueError("buckets need keys that do not repeat: 'keep' would put all rows of a key into one file")
+
+    @property
+    def may_repeat(self) -> bool:
+        """Loads may leave a key, or no key, in any number of open rows."""
+        return "keep" in (self.on_duplicate_keys, self.null_key_policy)
+
     def _match_stored(self) -> None:
         names = self.stored_names
         if len(names) != len(self.columns):
