@@ -69,9 +69,9 @@ def test_a_merge_does_not_exchange_the_stored_side(spark, tmp_path, scd_type):
         assert "Exchange" not in plan_of(parts.in_place)
 
 
-@pytest.mark.parametrize("partitioned", [False, True])
-@pytest.mark.parametrize("scd_type", [1, 2])
-@pytest.mark.parametrize("shuffled", [False, True])
+@pytest.mark.parametrize(
+    ("scd_type", "partitioned", "shuffled"), [(1, False, False), (1, True, True), (2, False, True), (2, True, False), (2, True, True)]
+)
 def test_loads_come_to_the_model(spark, tmp_path, scd_type, partitioned, shuffled):
     random.seed(f"{scd_type}{partitioned}{shuffled}")
     s, model, path = bucketed(scd_type, partitioned=partitioned), Model(scd_type), str(tmp_path / "dim")

@@ -256,6 +256,9 @@ UNION ALL SELECT * EXCLUDE (rowType) FROM classified"""
     "scd2_merge_table": _with(CUSTOMER, _scd2(CUSTOMER, partitioned=False)),
     "scd2_merge_bucketed": _with(CUSTOMER, _scd2(CUSTOMER, partitioned=False)),
     "scd2_merge_bucketed_partitioned": _with(CUSTOMER, _scd2(CUSTOMER)),
+    "snapshot_scan": f"WITH {_fixture(CUSTOMER)} SELECT {', '.join(CUSTOMER.names)}, {AUDIT}, partitionKey FROM final0",
+    "scd1_merge_snapshot": _with(CUSTOMER, _scd1(CUSTOMER, partitioned=False)),
+    "scd2_merge_snapshot": _with(CUSTOMER, _scd2(CUSTOMER)),
     "scd2_merge_table_csv": _with(CUSTOMER, _scd2(CUSTOMER, partitioned=False)),
     "first_load": f"WITH {_base(CUSTOMER)} " + _audited(CUSTOMER, "2024-02-01", 20240201, "base"),
     "ingest_job": _ingest(),

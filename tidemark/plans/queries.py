@@ -402,6 +402,14 @@ def merge_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_final(spark, spec, path)
 
 
+def snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as it was before the load, which its readers still have."""
+    spec = spec_of(CUSTOMER, partitioned=True, snapshots=2)
+    path = _store(spark, stored_table(spark, sf_dir), spec)
+    load_batch(spark, spec, landed_batch(spark, sf_dir), path, RUN_DATE, RUN_PARTITION)
+    return read_final(spark, spec, path, snapshot=1)
+
+
 def first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load into a table that does not exist yet."""
     spec = spec_of(CUSTOMER, partitioned=True)
@@ -520,6 +528,9 @@ _RESULTS: dict[str, Query] = {
     "scd1_merge_bucketed": _load(CUSTOMER, 1, buckets=4),
     "scd2_merge_bucketed": _load(CUSTOMER, 2, buckets=4),
     "scd2_merge_bucketed_partitioned": _load(CUSTOMER, 2, buckets=4, partitioned=True),
+    "snapshot_scan": snapshot_scan,
+    "scd1_merge_snapshot": _load(CUSTOMER, 1, snapshots=2),
+    "scd2_merge_snapshot": _load(CUSTOMER, 2, partitioned=True, snapshots=2),
     "scd2_merge_table_csv": _load(CUSTOMER, 2, table_format="csv"),
     "first_load": first_load,
     "ingest_job": ingest_job,

@@ -9,7 +9,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions import CURRENT, EFFECTIVE, HASH, PARTITION, col
 from tidemark.operators.merge import MergeParts
@@ -24,6 +24,7 @@ from tidemark.sources.formats import (
     typed_columns,
     writable,
 )
+from tidemark.sources.snapshots import KEEP, VERSION, Snapshot, Snapshots, has_snapshots, place_path, write_version
 from tidemark.spec import DELTA, TEXT_FORMATS, TableSpec
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -78,8 +79,14 @@ def partition_folder(spark: SparkSession, spec: TableSpec, path: str) -> str:
     return name
 
 
-def read_final(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
-    """The whole stored table: all partitions, all versions."""
+def read_final(spark: SparkSession, spec: TableSpec, path: str, snapshot: int | None = None) -> DataFrame:
+    """The whole stored table: all partitions, all versions. Of a table with snapshots the
+    latest one, or that of a number that is still kept."""
+    held = Snapshots(spark, path).read(snapshot)
+    if held is not None:
+        return _read_places(spark, spec, path, held.paths(Directory(spark, path).path))
+    if snapshot is not None:
+        raise ValueError(f"{path} keeps no snapshots")
     schema = spec.final_struct
     stored = {c: c for c in schema.fieldNames()}
     if spec.partitioned and spec.table_format != DELTA:
@@ -97,9 +104,26 @@ def read_partitions(
     spark: SparkSession, spec: TableSpec, path: str, partitions: Iterable[int]
 ) -> DataFrame:
     """The named partitions only: other directories are pruned before listing files."""
+    held = Snapshots(spark, path).read()
+    if held is not None:
+        folder = partition_folder(spark, spec, path)
+        return _read_places(spark, spec, path, held.paths(Directory(spark, path).path, [f"{folder}={int(p)}" for p in partitions]))
     return read_final(spark, spec, path).where(col(PARTITION).isin([int(p) for p in partitions]))
 
 
+def _read_places(spark: SparkSession, spec: TableSpec, path: str, places: Sequence[str]) -> DataFrame:
+    if not places:
+        return empty_table(spark, spec)
+    stored = {c: c for c in spec.final_struct.fieldNames()}
+    if spec.partitioned:
+        stored[PARTITION] = partition_folder(spark, spec, path)
+    fields = [StructField(stored[f.name], f.dataType) for f in spec.final_struct]
+    schema = StructType([*fields, StructField(VERSION, StringType())])
+    options = table_options(spec) | {"basePath": Directory(spark, path).path}
+    table = _reader(spark, spec.table_format, schema).options(**options).load(list(places))
+    return table.select(*[col(name).alias(c) for c, name in stored.items()])
+
+
 def empty_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return spark.createDataFrame([], spec.final_struct)
 
@@ -228,6 +252,16 @@ def replace_table(df: DataFrame, spec: TableSpec, path: str) -> None:
         return
     recover_table(spark, path)
     table = Directory(spark, path)
+    if has_snapshots(spark, spec, path):
+        held, snapshots, folder = _begin_snapshot(spark, spec, path)
+        if spec.partitioned:
+            df = _capped(df, spec) if spec.files_per_partition is not None else _gathered(df, table.content().size)
+        else:
+            df = _capped(df, spec)
+        version = snapshots.new_version()
+        write_version(df, spec, table.path, version, folder)
+        snapshots.commit(held, dict.fromkeys(snapshots.written(version, folder), version))
+        return
     staged = table.sibling("__next")
     if spec.buckets is not None:
         folder = partition_folder(spark, spec, path) if spec.partitioned else None
@@ -241,6 +275,12 @@ def replace_table(df: DataFrame, spec: TableSpec, path: str) -> None:
     _swap_in(spark, path, [("", *table.content(staged))])
 
 
+def _begin_snapshot(spark: SparkSession, spec: TableSpec, path: str) -> tuple[Snapshot, Snapshots, str | None]:
+    snapshots = Snapshots(spark, path)
+    snapshots.clean(spec.snapshots or KEEP)
+    return snapshots.start(), snapshots, partition_folder(spark, spec, path) if spec.partitioned else None
+
+
 def _partition_writer(df: DataFrame, spec: TableSpec, folder: str) -> DataFrameWriter:
     return _writer(df.withColumnRenamed(PARTITION, folder), spec, "overwrite").partitionBy(folder)
 
@@ -258,7 +298,8 @@ def publish_partitions(
     """Replace the ``affected`` partitions by the merge result; returns those that lost
     their last row, and so go.
 
-    The result must hold everything that those partitions shall hold. It is written
+    The result must hold everything that those partitions shall hold. A table with
+    snapshots takes it in and commits it in one step. Else it is written
     next to the table, noted as whole, and moved in partition by partition. Readers
     may see a part of them replaced meanwhile; a publish that is cut off is finished
     by the next load, whichever move it had reached, with no row lost or doubled.
@@ -275,7 +316,14 @@ def publish_partitions(
     recover_table(spark, path)
     table = Directory(spark, path)
     staged, folder = table.sibling("__next"), partition_folder(spark, spec, path)
-    before = {p: table.content(partition_path(table.path, p, folder)) for p in affected}
+    versioned = has_snapshots(spark, spec, path)
+    if versioned:
+        held, snapshots, _ = _begin_snapshot(spark, spec, path)
+        places = {p: f"{folder}={int(p)}" for p in affected}
+        stored = {p: place_path(table.path, places[p], held.places.get(places[p], "")) for p in affected}
+    else:
+        stored = {p: partition_path(table.path, p, folder) for p in affected}
+    before = {p: table.content(stored[p]) for p in affected}
     largest = max((c.size for c in before.values()), default=0)
 
     buckets = bucket_count(spark, spec, path)
@@ -294,19 +342,33 @@ def publish_partitions(
 
     # sorted by flag within a file, a scan of open versions skips the pages of
     # closed ones, and the other way round
-    if buckets is not None:
+    if versioned:
+        version = snapshots.new_version()
+        write_version(df, spec, table.path, version, folder)
+        staged_at = {p: place_path(table.path, places[p], version) for p in affected}
+    elif buckets is not None:
         write_bucketed(df, spec, staged, buckets, folder)
     else:
         order = [PARTITION, CURRENT] if spec.scd_type == 2 else [PARTITION]
         _partition_writer(df.sortWithinPartitions(*order), spec, folder).save(staged)
 
-    after = {p: table.content(partition_path(staged, p, folder)) for p in affected}
+    if not versioned:
+        staged_at = {p: partition_path(staged, p, folder) for p in affected}
+    after = {p: table.content(staged_at[p]) for p in affected}
     filled = [p for p in affected if after[p].files]
-    if Directory(spark, staged).names(f"{folder}=*", most=0)[0] != len(filled):
+    if versioned:
+        written, _ = table.names(f"{folder}=*/{VERSION}={version}", most=0)
+    else:
+        written, _ = table.names(f"{folder}=*", most=0, folder=staged)
+    if written != len(filled):
         raise RuntimeError(f"the merge gave rows outside the partitions {list(affected)}; nothing published")
     emptied = [p for p in affected if before[p].files and not after[p].files]
     if emptied and spec.scd_type == 2:
         raise RuntimeError(f"Type 2 merge gave no rows for partitions {emptied}; nothing removed")
+    if versioned:
+        kept = {place: v for place, v in held.places.items() if place not in places.values()}
+        snapshots.commit(held, kept | {places[p]: version for p in filled})
+        return emptied
     table.make()
     if buckets is not None:
         note_buckets(spark, spec, path, buckets)

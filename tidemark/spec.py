@@ -83,6 +83,8 @@ class TableSpec:
     # cut the files of a new table into so many buckets by merge key, which spares the
     # stored side of large merges its shuffle; a table that is there keeps its own layout
     buckets: int | None = None
+    # readers of a new table see whole publishes only, and so many of the last are kept
+    snapshots: int | None = None
     # at most this many files per partition (per table when not partitioned)
     files_per_partition: int | None = None
 
@@ -128,6 +130,8 @@ class TableSpec:
             raise ValueError("files_per_partition must be at least 1")
         if self.buckets is not None:
             self._check_buckets()
+        if self.snapshots is not None:
+            self._check_snapshots()
 
         for name in ("columns", "keys", "dedupe_by"):
             known = self.columns if name != "columns" else raw
@@ -160,6 +164,14 @@ class TableSpec:
         if self.may_repeat:
             raise ValueError("buckets need keys that do not repeat: 'keep' would put all rows of a key into one file")
 
+    def _check_snapshots(self) -> None:
+        if self.snapshots < 2:
+            raise ValueError("snapshots must be at least 2: one to read while the next is written")
+        if self.scd_type == 0 or self.table_format == DELTA:
+            raise ValueError("snapshots are for Type 1 and Type 2 tables in plain files")
+        if self.buckets is not None or self.key_index:
+            raise ValueError("snapshots do not go with buckets or a key index")
+
     @property
     def may_repeat(self) -> bool:
         """Loads may leave a key, or no key, in any number of open rows."""
