@@ -44,6 +44,8 @@ def test_a_lock_is_renewed_and_a_lost_one_noticed(spark, tmp_path):
         with pytest.raises(TableLocked):
             WriterLock(spark, path).__enter__()
         held.check()
+        held._over.set()  # suspended for longer than its lease, so another takes over
+        held._renewer.join()
         (tmp_path / "._dim__lock.crc").unlink(missing_ok=True)
         file.write_text(json.dumps({"owner": "elsewhere/2", "until": time.time() + 60}))
         with pytest.raises(TableLocked, match="went to elsewhere/2"):
@@ -51,6 +53,15 @@ def test_a_lock_is_renewed_and_a_lost_one_noticed(spark, tmp_path):
     assert file.exists()  # it is not ours to remove
 
 
+def test_a_lock_is_there_while_it_is_renewed_and_gone_after(spark, tmp_path):
+    file = tmp_path / "_dim__lock"
+    for _ in range(5):
+        with WriterLock(spark, str(tmp_path / "dim"), lease_seconds=0.02):
+            assert all(file.exists() for _ in range(2000))
+        time.sleep(0.05)
+        assert not file.exists()
+
+
 def test_refused_rows_are_kept_and_the_others_loaded(spark, tmp_path):
     landing = tmp_path / "in" / "dim"
     landing.mkdir(parents=True)

@@ -85,11 +85,15 @@ class Directory:
         stream.close()
         return True
 
+    def overwrite(self, path: str, text: str) -> None:
+        """A small file's new text in its place: it is there throughout, if not whole."""
+        stream = self._fs.create(self._of(path), True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+
     def write(self, path: str, text: str) -> None:
         """A small file, whole or not at all."""
         unfinished = f"{path}_unfinished"
-        stream = self._fs.create(self._of(unfinished), True)
-        stream.write(bytearray(text.encode()))
-        stream.close()
+        self.overwrite(unfinished, text)
         self.delete(path)
         self.rename(unfinished, path)

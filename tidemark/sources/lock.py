@@ -64,14 +64,16 @@ class WriterLock:
             if not self._dir.create_new(self.path, self._text()):
                 raise TableLocked(f"{self._dir.path}: another load took the lock over")
         _held.add(self.owner)
-        threading.Thread(target=self._renew, daemon=True).start()
+        self._renewer = threading.Thread(target=self._renew, daemon=True)
+        self._renewer.start()
         return self
 
     def _renew(self) -> None:
+        """In place: a lock file that is away for a moment is one that others can make."""
         while not self._over.wait(self._lease / 4):
             try:
                 if self._found()["owner"] == self.owner:
-                    self._dir.write(self.path, self._text())
+                    self._dir.overwrite(self.path, self._text())
             except Exception:  # the store is away: the lease runs on, and check() will tell
                 continue
 
@@ -83,6 +85,7 @@ class WriterLock:
 
     def __exit__(self, *_exc) -> None:
         self._over.set()
+        self._renewer.join()  # else a renewal on its way would make the file again
         _held.discard(self.owner)
         if self._found()["owner"] == self.owner:
             self._dir.delete(self.path)
