@@ -10,6 +10,8 @@ from tidemark.functions.audit import (
     as_date,
     close_rows,
     col,
+    list_name,
+    named_hash,
     parse_run_date,
     row_hash,
     with_audit,
@@ -27,6 +29,8 @@ __all__ = [
     "as_date",
     "close_rows",
     "col",
+    "list_name",
+    "named_hash",
     "parse_run_date",
     "row_hash",
     "with_audit",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -59,23 +61,37 @@ def row_hash(columns: Sequence[str], mode: str = "delimited") -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
+def list_name(columns: Sequence[str], mode: str) -> str:
+    """A short name for what a row hash is made of: its columns, in order, and its mode."""
+    return hashlib.sha256(json.dumps([mode, *columns]).encode()).hexdigest()[:8]
+
+
+def named_hash(columns: Sequence[str], mode: str, name: str) -> Column:
+    """The row hash behind the name of its column list, ``<name>:<hash>``; bare where the
+    name is ''."""
+    bare = row_hash(columns, mode)
+    return F.concat(F.lit(f"{name}:"), bare) if name else bare
+
+
 def with_audit(
     df: DataFrame,
     columns: Sequence[str],
     run_date: date | str,
     partition_key: int | None = None,
     hash_mode: str = "delimited",
+    hash_name: str = "",
 ) -> DataFrame:
     """``columns`` of ``df`` plus the audit columns of an open version.
 
     The run date and the partition key are literals of the run, so a re-run of
-    the same batch gives the same rows.
+    the same batch gives the same rows. ``hash_name`` goes before the hash, as in
+    `named_hash`.
     """
     audit = [
         F.lit(OPEN_FLAG).alias(CURRENT),
         as_date(run_date).alias(EFFECTIVE),
         F.lit(None).cast("date").alias(END),
-        row_hash(columns, hash_mode).alias(HASH),
+        named_hash(columns, hash_mode, hash_name).alias(HASH),
     ]
     if partition_key is not None:
         audit.append(F.lit(int(partition_key)).cast("int").alias(PARTITION))

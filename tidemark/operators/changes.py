@@ -18,6 +18,8 @@ P_KEY = "pKey"
 FIRST_P_KEY = "firstPKey"
 OPEN_VERSIONS = "openVersions"
 TAGS = (ROW_TYPE, P_KEY, FIRST_P_KEY, OPEN_VERSIONS)
+# hashes under which a batch's row may be stored unchanged, besides its own
+KNOWN = "knownHashes"
 NEW = "NewRows"
 CHANGED = "CurrentRows"
 
@@ -142,13 +144,19 @@ def _stored_summary(table: DataFrame, keys: Sequence[str], partitioned: bool) ->
     return table.groupBy(*[col(k) for k in keys]).agg(*aggregates)
 
 
-def _same_hash() -> Column:
-    """All stored hashes of the key are the row's own."""
-    bounds = [
-        (F.col(f"_low{n}") == number) & (F.col(f"_high{n}") == number)
-        for n, number in enumerate(_prints(col(HASH)))
-    ]
-    return reduce(Column.__and__, bounds)
+def _same_hash(known: bool = False) -> Column:
+    """All stored hashes of the key are the row's own, or with ``known`` are one of those
+    that it may be stored under."""
+
+    def only(row_hash: Column) -> Column:
+        bounds = [
+            (F.col(f"_low{n}") == number) & (F.col(f"_high{n}") == number)
+            for n, number in enumerate(_prints(row_hash))
+        ]
+        return reduce(Column.__and__, bounds)
+
+    own = only(col(HASH))
+    return own | F.exists(KNOWN, only) if known else own
 
 
 def _keyed_current(
@@ -184,7 +192,8 @@ def classify_changes(
     alike. ``unique_keys=False`` says that a key may repeat in the batch, at any
     frequency; the result is the same either way. ``batch_rows`` and ``heavy`` (as
     `salted_left_join` takes it) are what is known of the batch already, and save the
-    jobs that would find them out.
+    jobs that would find them out. A batch may have the column ``knownHashes``: an array of
+    further hashes under any one of which a row counts as unchanged. It is not returned.
     """
     if null_keys not in NULL_KEYS:
         raise ValueError(f"null_keys must be one of {NULL_KEYS}")
@@ -202,11 +211,12 @@ def classify_changes(
         joined = salted_left_join(keyed, stored, keys, heavy=heavy)
 
     known = F.col("_low0").isNotNull()
-    same = known & F.coalesce(_same_hash(), F.lit(False))
+    same = known & F.coalesce(_same_hash(KNOWN in batch.columns), F.lit(False))
+    kept = [col(c) for c in batch.columns if c != KNOWN]
     tags = [F.when(known, F.lit(CHANGED)).otherwise(F.lit(NEW)).alias(ROW_TYPE)]
     if partitioned:
         tags += _places(F.col("_last"), F.col("_first"), F.col("_open"))
-    result = joined.where(~same).select(*[col(c) for c in batch.columns], *tags)
+    result = joined.where(~same).select(*kept, *tags)
 
     if null_keys == "keep":
         tags = [F.lit(NEW).alias(ROW_TYPE)]
@@ -214,7 +224,7 @@ def classify_changes(
             nothing = F.lit(None).cast("int")
             tags += _places(nothing, nothing, nothing)
         unkeyed = batch.where(has_null_key(keys))
-        result = result.unionByName(unkeyed.select(*[col(c) for c in batch.columns], *tags))
+        result = result.unionByName(unkeyed.select(*kept, *tags))
     return result
 
 

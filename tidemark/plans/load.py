@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import col, parse_run_date, with_audit
+from tidemark.functions import col, list_name, parse_run_date, with_audit
 from tidemark.operators import (
     affected_partitions,
     classify_changes,
@@ -22,11 +22,14 @@ from tidemark.operators import (
 from tidemark.operators.changes import CHANGED, FIRST_P_KEY, NEW, OPEN_VERSIONS, P_KEY, ROW_TYPE
 from tidemark.operators.merge import MergeParts
 from tidemark.sources import (
+    Extracts,
     Staged,
     WriterLock,
     clear_work,
     empty_table,
     index_partitions,
+    note_lists,
+    over_shared,
     publish_partitions,
     read_candidates,
     read_final,
@@ -36,7 +39,9 @@ from tidemark.sources import (
     recover_table,
     replace_table_parts,
     save_rows,
+    settle_extracts,
     table_exists,
+    with_known,
 )
 from tidemark.sources.buckets import bucket_count, by_bucket
 from tidemark.sources.formats import REASONS, rejects
@@ -60,6 +65,8 @@ class LoadResult:
     affected: tuple[int, ...] = field(default=())
     emptied: tuple[int, ...] = field(default=())
     rejected: int = 0
+    # landed files that were loaded, where the table has a ledger of them
+    extracts: int | None = None
 
 
 def run_load(
@@ -71,22 +78,61 @@ def run_load(
 ) -> LoadResult:
     """Read the landed batch of ``spec`` and load it. With ``bad_rows="quarantine"`` rows
     that hold a value of no type of theirs go to the table's reject folder, and the
-    others are loaded."""
+    others are loaded. With ``ledger`` only landed files that the table does not hold yet
+    are read: a name, size or time is new. Files, refused rows and table are
+    committed by one publish, so a load that is cut off neither skips a file nor
+    loads it twice."""
     path = spec.table_path(dirs.tables)
-    if spec.bad_rows != "quarantine":
+    if not spec.ledger and spec.bad_rows != "quarantine":
         return load_batch(spark, spec, read_landing(spark, spec, dirs.landing), path, run_date, partition_key)
-    judged = read_landing_judged(spark, spec, dirs.landing)
+    with WriterLock(spark, path) as lock:
+        _prepare(spark, path)
+        if not spec.ledger:
+            return _load_landed(spark, spec, dirs, path, run_date, partition_key, lock)
+        # listed within the lock: what another load has taken is in the ledger
+        extracts = Extracts(spark, path, parse_run_date(run_date))
+        files = extracts.begin(spec.landing_path(dirs.landing))
+        if not files:
+            extracts.drop()
+            return LoadResult(path, 0, 0, extracts=0)
+        result = _load_landed(spark, spec, dirs, path, run_date, partition_key, lock, extracts, files)
+        return replace(result, extracts=len(files))
+
+
+def _load_landed(
+    spark: SparkSession,
+    spec: TableSpec,
+    dirs: BaseDirs,
+    path: str,
+    run_date: date | str,
+    partition_key: int | None,
+    lock: WriterLock,
+    extracts: Extracts | None = None,
+    files: list[str] | None = None,
+) -> LoadResult:
+    if spec.bad_rows != "quarantine":
+        landed = read_landing(spark, spec, dirs.landing, files)
+        return _load_rows(spark, spec, landed, path, run_date, partition_key, lock, extracts)
+    judged = read_landing_judged(spark, spec, dirs.landing, files)
     # both outputs come of one pass over the landed files
     staged = Staged(judged, path, rejected=F.count_if(F.size(REASONS) > 0))
     with staged as rows:
         good = rows.where(F.size(REASONS) == 0).select(*[col(f.name) for f in spec.raw_struct])
-        result = load_batch(spark, spec, good, path, run_date, partition_key)
-        if staged.seen["rejected"]:
+        if staged.seen["rejected"] and extracts is not None:
+            rejects(rows).write.parquet(extracts.reject_path())
+        result = _load_rows(spark, spec, good, path, run_date, partition_key, lock, extracts)
+        if staged.seen["rejected"] and extracts is None:
             folder = f"{reject_folder(spark, path)}/runDate={parse_run_date(run_date).isoformat()}"
             rejects(rows).write.mode("overwrite").parquet(folder)
     return replace(result, rejected=staged.seen["rejected"])
 
 
+def _prepare(spark: SparkSession, path: str) -> None:
+    """Finishes or clears away what an earlier load was cut off in."""
+    recover_table(spark, path)
+    clear_work(spark, path)
+
+
 def load_batch(
     spark: SparkSession,
     spec: TableSpec,
@@ -102,19 +148,39 @@ def load_batch(
     stay as they are: a batch is an increment, not a full copy. While it runs it holds the
     table's lock; a second load fails at once.
     """
-    run_date = parse_run_date(run_date)
+    _stamp(spec, partition_key)
+    with WriterLock(spark, path) as lock:
+        if spec.scd_type != 0:
+            _prepare(spark, path)
+        return _load_rows(spark, spec, landed, path, run_date, partition_key, lock)
+
+
+def _stamp(spec: TableSpec, partition_key: int | None) -> int | None:
     if spec.partitioned and partition_key is None:
         raise ValueError("a partitioned table needs a partition key for the run")
-    stamp = int(partition_key) if spec.partitioned else None
+    return int(partition_key) if spec.partitioned else None
+
+
+def _load_rows(
+    spark: SparkSession,
+    spec: TableSpec,
+    landed: DataFrame,
+    path: str,
+    run_date: date | str,
+    partition_key: int | None,
+    lock: WriterLock,
+    extracts: Extracts | None = None,
+) -> LoadResult:
+    run_date, stamp = parse_run_date(run_date), _stamp(spec, partition_key)
+    name = list_name(spec.columns, spec.hash_mode) if spec.versioned_hash else ""
 
     def audited(rows: DataFrame) -> DataFrame:
-        return spec.as_stored(with_audit(rows, spec.columns, run_date, stamp, spec.hash_mode))
+        return with_audit(rows, spec.columns, run_date, stamp, spec.hash_mode, name)
 
-    with WriterLock(spark, path) as lock:
-        if spec.scd_type == 0:
-            save_rows(audited(landed), spec, path, stamp)
-            return LoadResult(path)
-        return _load(spark, spec, landed, audited, path, run_date, stamp, lock)
+    if spec.scd_type == 0:
+        save_rows(spec.as_stored(audited(landed)), spec, path, stamp, extracts)
+        return LoadResult(path)
+    return _load(spark, spec, landed, audited, path, run_date, stamp, lock, extracts)
 
 
 def _load(
@@ -126,9 +192,8 @@ def _load(
     run_date: date,
     stamp: int | None,
     lock: WriterLock,
+    extracts: Extracts | None,
 ) -> LoadResult:
-    recover_table(spark, path)
-    clear_work(spark, path)
     exists = table_exists(spark, path)
     table = read_final(spark, spec, path) if exists else empty_table(spark, spec)
     buckets = bucket_count(spark, spec, path)
@@ -141,7 +206,8 @@ def _load(
     deduped = dedupe_batch(landed, spec.keys, spec.on_duplicate_keys, spec.dedupe_by, nulls)
     # classification reads the batch twice, the merge what is classified: each is
     # parsed, checked and hashed once, and what the plans ask of it is seen on the way
-    rows = audited(deduped)
+    lists = note_lists(spark, spec, path, exists) if spec.versioned_hash else []
+    rows = with_known(spec, audited(deduped), lists) if lists else spec.as_stored(audited(deduped))
     asked = {"rows": F.count(F.lit(1))}
     if not unique:
         asked["sketch"] = key_sketch(rows, keys)
@@ -153,14 +219,15 @@ def _load(
         if exists and spec.partitioned and spec.key_index:
             known = read_candidates(spark, spec, path, landed_rows, batch.seen["rows"])
         classified = classify_changes(
-            landed_rows, known, keys, nulls, unique_keys=unique, batch_rows=batch.seen["rows"], heavy=heavy
+            landed_rows, over_shared(spec, known, lists), keys, nulls, unique_keys=unique, batch_rows=batch.seen["rows"], heavy=heavy
         )
         staged = Staged(classified, path, **tally(classified))
         with staged as changes:
             found = Tally.of(staged.seen)
             changes = by_bucket(changes, spec, buckets)
             lock.check()
-            return _publish(spark, spec, path, table if exists else None, changes, found, run_date, stamp, buckets is not None)
+            held = table if exists else None
+            return _publish(spark, spec, path, held, changes, found, run_date, stamp, buckets is not None, extracts)
 
 
 def _publish(
@@ -173,13 +240,16 @@ def _publish(
     run_date: date,
     stamp: int | None,
     unique: bool,
+    extracts: Extracts | None,
 ) -> LoadResult:
     new, changed = found.new, found.changed
     if new + changed == 0 and table is not None:
+        if extracts is not None:
+            settle_extracts(spark, path, extracts)
         return LoadResult(path, 0, 0)
     held = empty_table(spark, spec) if table is None else table
     if not spec.partitioned:
-        replace_table_parts(_merge(spec, held, staged, run_date, changed, unique), spec, path)
+        replace_table_parts(_merge(spec, held, staged, run_date, changed, unique), spec, path, extracts)
         return LoadResult(path, new, changed)
     touched = found.touched
     if found.scattered:
@@ -187,7 +257,7 @@ def _publish(
     affected = sorted({*touched, stamp})
     if table is not None:
         held = read_partitions(spark, spec, path, affected)
-    emptied = publish_partitions(_merge(spec, held, staged, run_date, changed, unique), spec, path, affected)
+    emptied = publish_partitions(_merge(spec, held, staged, run_date, changed, unique), spec, path, affected, extracts)
     if spec.key_index:
         index_partitions(spark, spec, path, affected)
     return LoadResult(path, new, changed, tuple(affected), tuple(emptied))

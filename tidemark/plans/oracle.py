@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from tidemark.plans.fixture import CUSTOMER, MONEY, ORDERS, Source
@@ -131,6 +132,28 @@ FROM day1
 UNION ALL {_batch_rows(CUSTOMER)}"""
 
 
+def _column_change(before: Sequence[str], after: Sequence[str]) -> str:
+    """Nine in ten base rows stored under some columns, then the batch under others: what
+    both have decides, and each hash has the name of its column list."""
+    key = CUSTOMER.key
+    shared = [c for c in before if c in after]
+
+    def hashed(columns: Sequence[str]) -> str:
+        listed = json.dumps(["compat", *columns])
+        return f"concat(left(sha256('{listed}'), 8), ':', {_hash(columns)})"
+
+    stored = ", ".join(c if c in before else f"CAST(NULL AS VARCHAR) AS {c}" for c in after)
+    return f"""WITH {_fixture(CUSTOMER)},
+day1 AS (SELECT {stored}, {_hash(shared)} AS seen, {hashed(before)} AS rowHash FROM base WHERE {key} % 10 <> 9),
+day2 AS (SELECT {', '.join(after)}, {_hash(shared)} AS seen, {hashed(after)} AS rowHash FROM r0),
+fresh AS (SELECT b.* FROM day2 b LEFT JOIN day1 s ON b.{key} = s.{key} WHERE s.{key} IS NULL OR s.seen <> b.seen)
+SELECT {', '.join(after)}, CASE WHEN {key} IN (SELECT {key} FROM fresh) THEN 'N' ELSE 'Y' END AS "current",
+       DATE '2024-01-01' AS effectiveDate, CASE WHEN {key} IN (SELECT {key} FROM fresh) THEN DATE '2024-01-31' END AS endDate,
+       rowHash, CAST(20240101 AS INTEGER) AS partitionKey FROM day1
+UNION ALL
+SELECT {', '.join(after)}, 'Y', DATE '2024-02-01', {NO_END}, rowHash, 20240201 FROM fresh"""
+
+
 def _by_customer(select: str, key: str = "CAST(o_custkey AS VARCHAR)") -> str:
     """All orders keyed by customer against the last order of each."""
     columns = ("o_custkey", "o_orderstatus", "o_orderpriority")
@@ -262,6 +285,13 @@ UNION ALL SELECT * EXCLUDE (rowType) FROM classified"""
     "scd2_merge_table_csv": _with(CUSTOMER, _scd2(CUSTOMER, partitioned=False)),
     "first_load": f"WITH {_base(CUSTOMER)} " + _audited(CUSTOMER, "2024-02-01", 20240201, "base"),
     "ingest_job": _ingest(),
+    "ingest_job_incremental": _ingest(),
+    "scd2_merge_added_column": _column_change(CUSTOMER.names[:-1], CUSTOMER.names),
+    "scd2_merge_removed_column": _column_change(CUSTOMER.names, CUSTOMER.names[:-1]),
+    "type0_append_incremental": f"WITH {_fixture(CUSTOMER)} "
+    + _audited(CUSTOMER, "2024-01-01", 20240101, "base")
+    + f" WHERE {CUSTOMER.key} % 10 <> 9 UNION ALL "
+    + _audited(CUSTOMER, "2024-02-01", 20240201, "r0"),
     "type0_append": f"WITH {_fixture(CUSTOMER)} "
     + _audited(CUSTOMER, "2024-01-01", None, "base")
     + " UNION ALL "

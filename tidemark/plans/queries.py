@@ -428,6 +428,51 @@ def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_final(spark, spec, spec.table_path(dirs.tables))
 
 
+def _first_extract(spark: SparkSession, sf_dir: str) -> str:
+    """A landing folder with the first extract of nine in ten customers."""
+    root = scratch(spark)
+    first = base(spark, sf_dir).where(col(CUSTOMER.key) % 10 != 9)
+    first.write.option("header", True).csv(f"{root}/crm/{CUSTOMER.table}/extract_1")
+    return root
+
+
+def _incremental(first, second, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over a landing folder that keeps its files: the first extract, one that
+    has joined it, and none. Each is loaded once."""
+    dirs = BaseDirs(_first_extract(spark, sf_dir), scratch(spark))
+    run_load(spark, first, dirs, FIRST_DAY, FIRST_PARTITION)
+    landed_batch(spark, sf_dir).select(*second.raw_struct.fieldNames()).write.option("header", True).csv(
+        f"{dirs.landing}/crm/{CUSTOMER.table}/extract_2"
+    )
+    run_load(spark, second, dirs, RUN_DATE, RUN_PARTITION)
+    run_load(spark, second, dirs, RUN_DATE, RUN_PARTITION + 1)
+    return read_final(spark, second, second.table_path(dirs.tables))
+
+
+def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _landing_spec(CUSTOMER, partitioned=True, hash_mode="delimited", ledger=True)
+    return _incremental(spec, spec, spark, sf_dir)
+
+
+def type0_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = _landing_spec(CUSTOMER, 0, partitioned=True, ledger=True)
+    return _incremental(spec, spec, spark, sf_dir)
+
+
+def _column_change(before: Sequence[str], after: Sequence[str]) -> Query:
+    """First load under some columns, the changes under others."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        first, then = (spec_of(CUSTOMER, columns=tuple(names), partitioned=True, versioned_hash=True) for names in (before, after))
+        path = f"{scratch(spark)}/customer"
+        stored = base(spark, sf_dir).where(col(CUSTOMER.key) % 10 != 9)
+        load_batch(spark, first, stored, path, FIRST_DAY, FIRST_PARTITION)
+        load_batch(spark, then, landed_batch(spark, sf_dir).select(*after), path, RUN_DATE, RUN_PARTITION)
+        return read_final(spark, then, path)
+
+    return query
+
+
 # --- plain loads and partition writes --------------------------------------
 
 
@@ -534,6 +579,10 @@ _RESULTS: dict[str, Query] = {
     "scd2_merge_table_csv": _load(CUSTOMER, 2, table_format="csv"),
     "first_load": first_load,
     "ingest_job": ingest_job,
+    "ingest_job_incremental": ingest_incremental,
+    "scd2_merge_added_column": _column_change(CUSTOMER.names[:-1], CUSTOMER.names),
+    "scd2_merge_removed_column": _column_change(CUSTOMER.names, CUSTOMER.names[:-1]),
+    "type0_append_incremental": type0_incremental,
     "type0_append": _type0("append", (FIRST_PARTITION, FIRST_PARTITION), False),
     "type0_append_partitioned": _type0("append", (FIRST_PARTITION, RUN_PARTITION), True),
     "type0_ignore": _type0("ignore", (FIRST_PARTITION, FIRST_PARTITION), True),

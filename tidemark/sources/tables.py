@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidemark.functions import CURRENT, EFFECTIVE, HASH, PARTITION, col
 from tidemark.operators.merge import MergeParts
 from tidemark.sources.buckets import bucket_count, bucketed_scan, by_bucket, note_buckets, write_bucketed
+from tidemark.sources.extracts import Extracts, literal
 from tidemark.sources.filesystem import Content, Directory
 from tidemark.sources.formats import (
     judged_columns,
@@ -34,21 +35,23 @@ FILE_EXCESS = 4
 LEAST_SPLIT = 32
 
 
-def read_landing(spark: SparkSession, spec: TableSpec, base: str) -> DataFrame:
-    """The landed files that match the spec's glob, under its explicit schema."""
-    raw = spec.raw_struct
+def _landed(spark: SparkSession, spec: TableSpec, base: str, files: Sequence[str] | None) -> DataFrame:
     reader = _reader(spark, spec.landing_format, landed_struct(spec)).options(**landing_options(spec))
-    landed = reader.load(spec.landing_path(base))
+    return reader.load(spec.landing_path(base) if files is None else [literal(f) for f in files])
+
+
+def read_landing(spark: SparkSession, spec: TableSpec, base: str, files: Sequence[str] | None = None) -> DataFrame:
+    """The landed files that match the spec's glob, or the named ones of them, under its
+    explicit schema."""
+    raw = spec.raw_struct
+    landed = _landed(spark, spec, base, files)
     return landed.select(*typed_columns(raw, spec.bad_rows)) if spec.landing_format in TEXT_FORMATS else landed
 
 
-def read_landing_judged(spark: SparkSession, spec: TableSpec, base: str) -> DataFrame:
+def read_landing_judged(spark: SparkSession, spec: TableSpec, base: str, files: Sequence[str] | None = None) -> DataFrame:
     """Every landed row with its file, its text and the reasons why it is refused, if any;
     values that are none of their type are NULL."""
-    raw = spec.raw_struct
-    reader = _reader(spark, spec.landing_format, landed_struct(spec)).options(**landing_options(spec))
-    landed = reader.load(spec.landing_path(base))
-    return landed.select(*judged_columns(raw, spec.landing_delimiter))
+    return _landed(spark, spec, base, files).select(*judged_columns(spec.raw_struct, spec.landing_delimiter))
 
 
 def reject_folder(spark: SparkSession, path: str) -> str:
@@ -165,25 +168,47 @@ def _gathered(df: DataFrame, largest: int = 0) -> DataFrame:
 
 
 def save_rows(
-    df: DataFrame, spec: TableSpec, path: str, partition_key: int | None = None
+    df: DataFrame, spec: TableSpec, path: str, partition_key: int | None = None, extracts: Extracts | None = None
 ) -> None:
     """Plain load with the spec's save mode.
 
     In a partitioned table the mode applies to the run's partition: overwrite
     replaces that directory (even by nothing), append adds files to it, ignore
-    and errorifexists ask whether it is there.
+    and errorifexists ask whether it is there. With ``extracts`` the files are written
+    next to the table and moved in, and the ledger follows, as one publish that a later
+    load finishes.
     """
     if spec.files_per_partition is not None:
         df = df.repartition(spec.files_per_partition)
     if spec.table_format == DELTA:
         _save_delta(df, spec, path, [partition_key], spec.save_mode)
         return
+    place, top = "", path
     if spec.partitioned:
         path = partition_path(path, partition_key, partition_folder(df.sparkSession, spec, path))
+        place = path.rpartition("/")[2]
         df = df.drop(PARTITION)
+    if extracts is not None:
+        _save_by_moves(df, spec, top, place, extracts)
+        return
     _writer(df, spec, spec.save_mode).save(path)
 
 
+def _save_by_moves(df: DataFrame, spec: TableSpec, path: str, place: str, extracts: Extracts) -> None:
+    spark = df.sparkSession
+    recover_table(spark, path)
+    table = Directory(spark, path)
+    staged = table.sibling("__next")
+    whole = f"{staged}/{place}" if place else staged
+    _writer(df, spec, "overwrite").save(whole)
+    if spec.save_mode == "overwrite":
+        moves = [(place, *table.content(whole))]
+    else:
+        names = [f"{place}/{name}" if place else name for name in table.names("part-*", folder=whole)[1]]
+        moves = [(name, *table.content(f"{staged}/{name}")) for name in names]
+    _swap_in(spark, path, moves, extracts)
+
+
 def _save_delta(
     df: DataFrame, spec: TableSpec, path: str, partitions: Sequence[int], mode: str = "overwrite"
 ) -> None:
@@ -218,13 +243,16 @@ def recover_table(spark: SparkSession, path: str) -> None:
         table.delete(staged)
         return
     for place, *content in json.loads(table.read(note)):
-        source, target = (f"{top}/{place}" if place else top for top in (staged, table.path))
+        if isinstance(place, list):  # what goes with the table: from where to where
+            source, target = place
+        else:
+            source, target = (f"{top}/{place}" if place else top for top in (staged, table.path))
         if not content:
             table.delete(target)
         elif table.exists(source) and table.content(source) == tuple(content):
             table.delete(target)
             if place:
-                table.make()
+                table.make(target.rpartition("/")[0])
             table.rename(source, target)
         elif table.content(target) != tuple(content):
             raise RuntimeError(f"neither {source} nor {target} is whole; nothing was deleted")
@@ -233,14 +261,22 @@ def recover_table(spark: SparkSession, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
-def _swap_in(spark: SparkSession, path: str, moves: Sequence[tuple]) -> None:
+def _swap_in(spark: SparkSession, path: str, moves: Sequence[tuple], extracts: Extracts | None = None) -> None:
     """``moves``: (place, files, bytes) for what is staged, (place,) for what goes."""
     table = Directory(spark, path)
-    table.write(table.sibling("__swap"), json.dumps([list(m) for m in moves]))
+    listed = [list(m) for m in moves]
+    if extracts is not None:
+        listed += [[[m.source, m.target], m.files, m.size] for m in extracts.moves()]
+    table.write(table.sibling("__swap"), json.dumps(listed))
     recover_table(spark, path)
 
 
-def replace_table(df: DataFrame, spec: TableSpec, path: str) -> None:
+def settle_extracts(spark: SparkSession, path: str, extracts: Extracts) -> None:
+    """Adds a load's files to the ledger where the table needs no publish, or had it."""
+    _swap_in(spark, path, [], extracts)
+
+
+def replace_table(df: DataFrame, spec: TableSpec, path: str, extracts: Extracts | None = None) -> None:
     """Replace the whole table by ``df``, which may read that very table.
 
     The new content is written next to the table, noted as whole, and moved into its
@@ -260,7 +296,7 @@ def replace_table(df: DataFrame, spec: TableSpec, path: str) -> None:
             df = _capped(df, spec)
         version = snapshots.new_version()
         write_version(df, spec, table.path, version, folder)
-        snapshots.commit(held, dict.fromkeys(snapshots.written(version, folder), version))
+        _commit(snapshots, held, dict.fromkeys(snapshots.written(version, folder), version), version, extracts)
         return
     staged = table.sibling("__next")
     if spec.buckets is not None:
@@ -272,7 +308,17 @@ def replace_table(df: DataFrame, spec: TableSpec, path: str) -> None:
     else:
         df = _capped(df, spec) if spec.files_per_partition is not None else _gathered(df, table.content().size)
         _partition_writer(df, spec, partition_folder(spark, spec, path)).save(staged)
-    _swap_in(spark, path, [("", *table.content(staged))])
+    _swap_in(spark, path, [("", *table.content(staged))], extracts)
+
+
+def _commit(
+    snapshots: Snapshots, held: Snapshot, places: dict[str, str], version: str, extracts: Extracts | None
+) -> None:
+    if extracts is not None:
+        extracts.by_version(version)
+    snapshots.commit(held, places)
+    if extracts is not None:
+        settle_extracts(extracts.spark, snapshots.path, extracts)
 
 
 def _begin_snapshot(spark: SparkSession, spec: TableSpec, path: str) -> tuple[Snapshot, Snapshots, str | None]:
@@ -285,15 +331,15 @@ def _partition_writer(df: DataFrame, spec: TableSpec, folder: str) -> DataFrameW
     return _writer(df.withColumnRenamed(PARTITION, folder), spec, "overwrite").partitionBy(folder)
 
 
-def replace_table_parts(parts: MergeParts, spec: TableSpec, path: str) -> None:
+def replace_table_parts(parts: MergeParts, spec: TableSpec, path: str, extracts: Extracts | None = None) -> None:
     df = parts.union()
     if spec.scd_type == 2 and spec.files_per_partition is None and spec.buckets is None:
         df = df.sortWithinPartitions(col(CURRENT))
-    replace_table(df, spec, path)
+    replace_table(df, spec, path, extracts)
 
 
 def publish_partitions(
-    parts: MergeParts, spec: TableSpec, path: str, affected: Sequence[int]
+    parts: MergeParts, spec: TableSpec, path: str, affected: Sequence[int], extracts: Extracts | None = None
 ) -> list[int]:
     """Replace the ``affected`` partitions by the merge result; returns those that lost
     their last row, and so go.
@@ -367,13 +413,13 @@ def publish_partitions(
         raise RuntimeError(f"Type 2 merge gave no rows for partitions {emptied}; nothing removed")
     if versioned:
         kept = {place: v for place, v in held.places.items() if place not in places.values()}
-        snapshots.commit(held, kept | {places[p]: version for p in filled})
+        _commit(snapshots, held, kept | {places[p]: version for p in filled}, version, extracts)
         return emptied
     table.make()
     if buckets is not None:
         note_buckets(spark, spec, path, buckets)
     moves = [(f"{folder}={int(p)}", *after[p]) for p in filled]
-    _swap_in(spark, path, moves + [(f"{folder}={int(p)}",) for p in emptied])
+    _swap_in(spark, path, moves + [(f"{folder}={int(p)}",) for p in emptied], extracts)
     return emptied
 
 

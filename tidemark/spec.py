@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidemark.functions import AUDIT_COLUMNS, CURRENT, EFFECTIVE, END, HASH, PARTITION, col
-from tidemark.operators.changes import NULL_KEYS, ON_DUPLICATE, TAGS
+from tidemark.operators.changes import KNOWN, NULL_KEYS, ON_DUPLICATE, TAGS
 from tidemark.operators.merge import CLOSE_SCOPES
 
 DELTA = "delta"
@@ -40,7 +40,8 @@ class TableSpec:
     ``raw_schema`` is the DDL of the landed files, by position for text files. Spark
     parses it, so a session must be there.
     ``columns`` are the business columns to keep (all of them by default): they
-    make up the row hash, so adding one makes every row count as changed once.
+    make up the row hash, so adding one makes every row count as changed once, unless
+    ``versioned_hash`` is set.
     """
 
     name: str
@@ -92,6 +93,11 @@ class TableSpec:
     save_mode: str = "append"
 
     hash_mode: str = "delimited"
+    # name the column list of each hash, and compare a row with a stored one over the columns
+    # that both have: columns may then come and go without changing every row
+    versioned_hash: bool = False
+    # remember which landed files the table holds, and load the others alone
+    ledger: bool = False
     on_duplicate_keys: str = "error"
     dedupe_by: tuple[str, ...] = ()
     null_key_policy: str = "error"
@@ -132,6 +138,12 @@ class TableSpec:
             self._check_buckets()
         if self.snapshots is not None:
             self._check_snapshots()
+        if self.versioned_hash:
+            self._check_versioned()
+        if self.ledger and DELTA in (self.table_format, self.landing_format):
+            raise ValueError("a ledger is for plain landed files and tables")
+        if self.ledger and self.scd_type == 0 and self.save_mode not in ("append", "overwrite"):
+            raise ValueError("a ledger of a plain load goes with the save modes append and overwrite")
 
         for name in ("columns", "keys", "dedupe_by"):
             known = self.columns if name != "columns" else raw
@@ -141,7 +153,7 @@ class TableSpec:
         if len({c.lower() for c in self.columns}) != len(self.columns):
             raise ValueError("columns repeat")
         self._match_stored()
-        reserved = {c.lower() for c in (*AUDIT_COLUMNS, PARTITION, *TAGS)}
+        reserved = {c.lower() for c in (*AUDIT_COLUMNS, PARTITION, *TAGS, KNOWN)}
         clash = [c for c in (*self.columns, *self.stored_names) if c.lower() in reserved]
         if clash:
             raise ValueError(f"{clash} are names of audit columns")
@@ -172,6 +184,12 @@ class TableSpec:
         if self.buckets is not None or self.key_index:
             raise ValueError("snapshots do not go with buckets or a key index")
 
+    def _check_versioned(self) -> None:
+        if self.scd_type == 0 or self.table_format not in BUCKET_FORMATS:
+            raise ValueError(f"versioned_hash is for Type 1 and Type 2 tables in one of {list(BUCKET_FORMATS)}, read by name")
+        if self.close_scope != "current":
+            raise ValueError("versioned_hash goes with close_scope='current'")
+
     @property
     def may_repeat(self) -> bool:
         """Loads may leave a key, or no key, in any number of open rows."""
