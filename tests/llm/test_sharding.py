@@ -2,7 +2,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
-from tidemark.llm.sharding import differencing, shard_documents
+from tidemark.llm.sharding import differencing, shard_documents, shard_groups
 
 
 def test_differencing_by_hand():
@@ -42,3 +42,39 @@ def test_one_text_and_empty_table(spark):
     docs = spark.createDataFrame([(i, "t") for i in range(50)], "doc_id long, text string")
     assert {r["shard"] for r in shard_documents(docs).collect()} == {15}
     assert shard_documents(docs.where("doc_id < 0")).count() == 0
+
+
+def plain(parts, shards):
+    """Differencing of partial partitions (lists of item sets by part), by sums of items
+    alone, searched through anew for each step."""
+    def total(part):
+        return sum(size for _, size in part)
+
+    parts = [sorted(p, key=total) for p in parts]
+    while len(parts) > 1:
+        parts.sort(key=lambda p: total(p[0]) - total(p[-1]))
+        a, b, *rest = parts
+        parts = [*rest, sorted((x | y for x, y in zip(a, reversed(b), strict=True)), key=total)]
+    return parts[0]
+
+
+def test_groups_of_many_tasks_and_chunks(spark):
+    """Sizes of their own, so no two sums tie: the shards are those of a plain restatement,
+    chunk by chunk, then task by task."""
+    random.seed(5)
+    sizes = random.sample(range(1, 1 << 40), 330)
+    rows = [(n, s) for n, s in enumerate(sizes)]
+    groups = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "g long, bytes long")
+    held = [[tuple(r) for r in part] for part in groups.rdd.glom().collect()]
+    got = defaultdict(set)
+    for r in shard_groups(groups, 5, chunk=30).collect():
+        got[r["shard"]].add((r["g"], r["bytes"]))
+    tasks = []
+    for task in held:
+        chunks = [task[n : n + 30] for n in range(0, len(task), 30)]
+        assert len(chunks) > 2
+        tasks.append(plain([plain([[set()] * 4 + [{i}] for i in chunk], 5) for chunk in chunks], 5))
+    want = plain(tasks, 5)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want))
+    sums = [sum(s for _, s in part) for part in want]
+    assert max(sums) - min(sums) < sum(sizes) / 5 / 20

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark import TaskContext
@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import ship, shuffle_partitions, stage
 
 
+CHUNK = 100_000  # groups that are held and differenced at once
+
+
 def differencing(vectors: Sequence[tuple[int, ...]], shards: int) -> list[list[int]]:
     """Merge partial partitions, each given as its part sums in ascending order.
 
@@ -45,49 +48,75 @@ def differencing(vectors: Sequence[tuple[int, ...]], shards: int) -> list[list[i
     return [places[i] if i in places else list(zero) for i in range(len(vectors))]
 
 
-def shard_groups(groups: DataFrame, shards: int = 16) -> DataFrame:
+def _merged(vectors: dict[int, list[int]], shards: int) -> Iterator[tuple[int, int, int]]:
+    """Merges partial partitions, given by the sums of their parts in any order: (name,
+    part, place of that part in the whole)."""
+    names = sorted(vectors)
+    order = {n: sorted(range(shards), key=vectors[n].__getitem__) for n in names}
+    places = differencing([tuple(vectors[n][i] for i in order[n]) for n in names], shards)
+    for n, own in zip(names, places, strict=True):
+        for part, place in zip(order[n], own, strict=True):
+            yield n, part, place
+
+
+def _sums(rows: Iterable[tuple[int, int, int]], shards: int) -> dict[int, list[int]]:
+    out: dict[int, list[int]] = {}
+    for name, part, n in rows:
+        out.setdefault(name, [0] * shards)[part] += n
+    return out
+
+
+def shard_groups(groups: DataFrame, shards: int = 16, chunk: int = CHUNK) -> DataFrame:
     """``groups`` (one row per group, with ``bytes``) with ``shard``: sums of bytes
     near equal, no group divided.
 
-    Differencing runs twice. Each task merges its own groups into one partial
-    partition of ``shards`` parts; then these, ``shards`` numbers per task, are merged
-    by the same rule. The first result is a table, so that the task numbers it holds
-    cannot change. Memory is bounded by the groups of a task: give it more shuffle
-    partitions for more groups. NULL bytes count as 0; an empty table gives none.
+    Differencing runs three times. Each task merges its own groups, some ``chunk`` of
+    them at a time, into partial partitions of ``shards`` parts; those of a task, ``shards``
+    numbers per chunk, are merged by the same rule, and those of all tasks likewise.
+    The first result is a table, so that the numbers of tasks and chunks it holds
+    cannot change. A task holds a chunk, however many groups it has. NULL bytes
+    count as 0; an empty table gives none.
     """
     spark, columns = groups.sparkSession, groups.columns
     ship(spark)
 
     def in_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [b for b in batches if len(b)]
-        if not held:
-            return
-        rows = pd.concat(held, ignore_index=True)
-        sizes = rows["bytes"].fillna(0).astype("int64").tolist()
-        places = differencing([(0,) * (shards - 1) + (s,) for s in sizes], shards)
-        rows["_task"] = TaskContext.get().partitionId()
-        rows["_part"] = [p[-1] for p in places]
-        yield rows
-
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in groups.schema)}, _task int, _part int"
-    parts = stage(groups.mapInPandas(in_task, schema))
-    # shards numbers per task, whatever the number of groups
-    sums: dict[int, list[int]] = {}
-    for r in parts.groupBy("_task", "_part").agg(F.sum("bytes").alias("n")).collect():
-        sums.setdefault(r["_task"], [0] * shards)[r["_part"]] = r["n"] or 0
-    tasks, vectors, order = sorted(sums), [], {}
-    for t in tasks:
-        order[t] = sorted(range(shards), key=sums[t].__getitem__)
-        vectors.append(tuple(sums[t][i] for i in order[t]))
-    places = differencing(vectors, shards)
-    table = [
-        (t, part, place)
-        for t, own in zip(tasks, places, strict=True)
-        for part, place in zip(order[t], own, strict=True)
-    ]
-    names = spark.createDataFrame(table, "_task int, _part int, shard int")
-    # one row per task and shard: bounded by the number of tasks
-    return parts.join(F.broadcast(names), ["_task", "_part"]).select(*columns, "shard")
+        for number, rows in enumerate(_chunks(batches, chunk)):
+            sizes = rows["bytes"].fillna(0).astype("int64").tolist()
+            places = differencing([(0,) * (shards - 1) + (s,) for s in sizes], shards)
+            rows["_task"] = TaskContext.get().partitionId()
+            rows["_chunk"] = number
+            rows["_part"] = [p[-1] for p in places]
+            yield rows
+
+    def of_task(rows: pd.DataFrame) -> pd.DataFrame:
+        sums = _sums(zip(rows["_chunk"], rows["_part"], rows["n"]), shards)
+        merged = pd.DataFrame(_merged(sums, shards), columns=["_chunk", "_part", "_place"])
+        merged["n"] = [sums[c][p] for c, p in zip(merged["_chunk"], merged["_part"])]
+        return merged.assign(_task=rows["_task"].iloc[0])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in groups.schema)
+    parts = stage(groups.mapInPandas(in_task, f"{schema}, _task int, _chunk int, _part int"))
+    sums = parts.groupBy("_task", "_chunk", "_part").agg(F.coalesce(F.sum("bytes"), F.lit(0)).cast("long").alias("n"))
+    # shards numbers per chunk, whatever the number of groups
+    merged = stage(sums.groupBy("_task").applyInPandas(of_task, "_chunk int, _part int, _place int, n long, _task int"))
+    # shards numbers per task: bounded by the number of tasks
+    of_tasks = merged.groupBy("_task", "_place").agg(F.sum("n").alias("n")).collect()
+    names = spark.createDataFrame([*_merged(_sums(of_tasks, shards), shards)], "_task int, _place int, shard int")
+    places = merged.join(F.broadcast(names), ["_task", "_place"]).select("_task", "_chunk", "_part", "shard")
+    return parts.join(places, ["_task", "_chunk", "_part"]).select(*columns, "shard")
+
+
+def _chunks(batches: Iterator[pd.DataFrame], chunk: int) -> Iterator[pd.DataFrame]:
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        for low in range(0, len(batch), chunk):
+            held.append(batch.iloc[low : low + chunk])
+            if sum(map(len, held)) >= chunk:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
