@@ -2,11 +2,13 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.accumulators import AccumulatorParam
 
 from tests.helpers import shuffle_joins
 from tidemark.llm import collocations as C
@@ -95,6 +97,78 @@ def test_tiles_count_like_a_counter(monkeypatch, dense):
     assert got == Counter(zip(left.tolist(), right.tolist()))
 
 
+class Largest(AccumulatorParam):
+    def zero(self, value):
+        return 0
+
+    def addInPlace(self, a, b):
+        return max(a, b)
+
+
+def test_a_task_counts_pairs_within_its_memory():
+    """With its real buffers, however many pairs differ; and gives them in small parts."""
+    rng = np.random.default_rng(2)
+    tiles, total, parts = C.PairTiles(), 0, []
+
+    def given(found):
+        nonlocal total
+        for left, right, counts in found:
+            assert len(left) == len(right) == len(counts)
+            parts.append(len(left))
+            total += int(counts.sum())
+
+    tracemalloc.start()
+    try:
+        for _ in range(60):
+            left, right = (np.minimum(rng.zipf(1.1, 1 << 16), 1 << 20) for _ in range(2))
+            given(tiles.add(left, right))
+            given(tiles.add(rng.integers(0, 1 << 31, 1 << 16), rng.integers(0, 1 << 31, 1 << 16)))
+        given(tiles.rest())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total == 60 << 17 and max(parts) <= C.ROW
+    assert peak < 128 << 20
+
+
+def test_python_gets_small_batches(spark, monkeypatch):
+    """However many rows a session's batches may have; its setting stays."""
+    monkeypatch.setattr(C, "BATCH_BYTES", 20_000)
+    sizes, counted = spark.sparkContext.accumulator(0, Largest()), C._counted
+
+    def noted(batches):
+        def each():
+            for batch in batches:
+                sizes.add(batch.nbytes)
+                yield batch
+
+        return counted(each())
+
+    monkeypatch.setattr(C, "_counted", noted)
+    docs = spark.range(400).selectExpr("'en' AS lang", "repeat('to be ', 200) AS text").coalesce(1)
+    for before in (None, "1000000"):
+        spark.conf.unset(C.BATCH) if before is None else spark.conf.set(C.BATCH, before)
+        try:
+            default = spark.conf.get(C.BATCH, None)
+            assert [(r["phrase"], r["a"]) for r in C.collocations(docs, longest=2).collect()] == [("to be", 80_000), ("be to", 79_600)]
+            assert spark.conf.get(C.BATCH, None) == default
+        finally:
+            spark.conf.unset(C.BATCH)
+    assert 0 < sizes.value < 30_000
+
+
+def test_long_rows_are_counted_in_stretches(monkeypatch):
+    """Phrases across the ends of stretches count once."""
+    monkeypatch.setattr(C, "ROW", 7)
+    ids = np.random.default_rng(3).integers(-1, 4, 500).astype("<i4")
+    for more in (1, 2, 3):
+        got, want = Counter(), Counter(tuple(ids[i : i + more + 1].tolist()) for i in range(len(ids) - more))
+        for part in C._stretches(pa.array([ids.tobytes(), ids[:1].tobytes()], pa.binary()), more):
+            assert len(part) <= 7 + more
+            got.update(tuple(part[i : i + more + 1].tolist()) for i in range(len(part) - more))
+        assert got == want
+
+
 def test_a_task_hands_on_what_it_cannot_hold(monkeypatch):
     monkeypatch.setattr(C, "WORDS", 5)
     rows = [("und" if g is None else g, t) for g, t in texts(30, 4)]

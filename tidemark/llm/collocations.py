@@ -5,43 +5,75 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import col
 from tidemark.llm.shared import ship, stage
 from tidemark.operators import fits_by_rows, salted_left_join
 
-EDGE = 512  # ids along the side of a tile
-DENSE = 1 << 12  # pairs of a buffer that make a tile dense
+BITS = 9  # of the ids along the side of a tile
+EDGE = 1 << BITS
+DENSE = 1 << 10  # pairs of a buffer that make a tile dense
 MOST_DENSE = 16  # dense tiles that a task holds, 2 MB each
-BUFFER = 1 << 20  # pairs that a task gathers before it counts them
-SPARSE = 1 << 21  # counted sparse pairs from which a task hands them on
-WORDS = 1 << 20  # distinct words that a task counts before it hands them on
-ROW = 1 << 16  # words of an encoded row, unless one document has more
+BUFFER = 1 << 18  # pairs that a task gathers before it counts them
+SPARSE = 1 << 20  # counted sparse pairs from which a task adds them up, and hands them on if half stay
+WORDS = 1 << 19  # distinct words that a task counts before it hands them on
+ROW = 1 << 16  # words of an encoded row, unless one document has more; rows of a batch
 BLOCK_BYTES = 64 << 20  # of a lookup that is sent to the workers at a time
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20  # of rows that a task sends to Python at a time
 MOST_UNITS = 1 << 31  # so that a unit and a word make one 64-bit key
 STOP = b"."  # stands for any end of a piece, since no word holds one
 # fixed: A-Z become lower case, ends of pieces STOP, and tabs spaces
 BYTES = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\n\x0b\x0c\r\t", bytes(range(97, 123)) + b".........." + b" ")
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile, rows go to Python by bytes too, not by their number alone: texts and
+    encoded rows are long, and an executor holds a batch several times."""
+    before = spark.conf.get(BATCH, None)
+    spark.conf.set(BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH) if before is None else spark.conf.set(BATCH, before)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The words of a text in lower case, with STOP between its pieces."""
     return (text or "").encode().translate(BYTES).replace(STOP, b" . ").split()
 
 
+def _tiled(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Pairs of ids of 31 bits as keys in the order of their tiles: the tile, then the
+    place in it."""
+    return (left >> BITS) << (31 + BITS) | (right >> BITS) << (2 * BITS) | (left & (EDGE - 1)) << BITS | right & (EDGE - 1)
+
+
+def _pairs_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    left = keys >> (31 + BITS) << BITS | keys >> BITS & (EDGE - 1)
+    return left, (keys >> (2 * BITS) & ((1 << (31 - BITS)) - 1)) << BITS | keys & (EDGE - 1)
+
+
+def _begins(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+
+
 class PairTiles:
     """Counts of pairs (left, right) of ids that are ranked by frequency, in tiles of EDGE
     by EDGE. A tile that many pairs fall into is counted by its direct addresses; the
-    pairs of the others are kept as sorted keys with counts."""
+    pairs of the others are kept as sorted keys with counts. It holds one buffer, the dense
+    tiles and SPARSE and a buffer's worth of counted pairs, and gives parts of ROW pairs."""
 
     def __init__(self):
-        self._buffer: list[tuple[np.ndarray, np.ndarray]] = []
+        self._buffer = np.empty(BUFFER, np.int64)
         self._held = 0
         self._dense: dict[int, np.ndarray] = {}
         self._runs: list[tuple[np.ndarray, np.ndarray]] = []
@@ -49,59 +81,68 @@ class PairTiles:
 
     def add(self, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Takes pairs; gives counted ones when it holds too many."""
-        for low in range(0, len(left), BUFFER):
-            self._buffer.append((left[low : low + BUFFER], right[low : low + BUFFER]))
-            self._held += len(self._buffer[-1][0])
-            if self._held >= BUFFER:
+        keys = _tiled(left, right)
+        while len(keys):
+            part, keys = np.split(keys, [BUFFER - self._held])
+            self._buffer[self._held : self._held + len(part)] = part
+            self._held += len(part)
+            if self._held == BUFFER:
                 self._count()
                 if self._sparse > SPARSE:
-                    yield self._handed_on()
+                    self._add_up()
+                    if self._sparse > SPARSE // 2:
+                        yield from self._handed_on()
 
     def rest(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         if self._held:
             self._count()
         if self._sparse:
-            yield self._handed_on()
-        for tile, counts in self._dense.items():
+            self._add_up()
+            yield from self._handed_on()
+        while self._dense:
+            tile, counts = self._dense.popitem()
             at = np.flatnonzero(counts)
-            yield (tile >> 31) * EDGE + at // EDGE, (tile & 0x7FFFFFFF) * EDGE + at % EDGE, counts[at]
-        self._dense = {}
+            yield from self._parts(tile << (2 * BITS) | at, counts[at])
 
     def _count(self) -> None:
-        left, right = (np.concatenate([b[n] for b in self._buffer]).astype(np.int64) for n in (0, 1))
-        self._buffer, self._held = [], 0
-        tile = (left // EDGE) << 31 | right // EDGE
-        order = np.argsort(tile, kind="stable")
-        tile, left, right = tile[order], left[order], right[order]
-        begins = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
-        sizes = np.diff(np.r_[begins, len(tile)])
-        sparse = np.ones(len(tile), bool)
-        for n in np.argsort(-sizes, kind="stable").tolist():
-            name, part = int(tile[begins[n]]), slice(begins[n], begins[n] + sizes[n])
-            if sizes[n] < DENSE:
-                break
+        keys = self._buffer[: self._held]
+        self._held = 0
+        keys.sort()
+        at = _begins(keys)
+        keys, counts = keys[at], np.diff(at, append=len(keys))
+        tile = keys >> (2 * BITS)
+        begins = _begins(tile)
+        sizes, ends = np.add.reduceat(counts, begins), np.append(begins[1:], len(keys))
+        large = np.flatnonzero(sizes >= DENSE)
+        sparse = np.ones(len(keys), bool)
+        for n in large[np.argsort(-sizes[large], kind="stable")].tolist():
+            name, part = int(tile[begins[n]]), slice(begins[n], ends[n])
             if name not in self._dense:
                 if len(self._dense) >= MOST_DENSE:
                     continue
                 self._dense[name] = np.zeros(EDGE * EDGE, np.int64)
-            place = left[part] % EDGE * EDGE + right[part] % EDGE
-            self._dense[name] += np.bincount(place, minlength=EDGE * EDGE)
+            self._dense[name][keys[part] & (EDGE * EDGE - 1)] += counts[part]
             sparse[part] = False
-        keys, counts = np.unique(left[sparse] << 31 | right[sparse], return_counts=True)
-        self._runs.append((keys, counts))
-        self._sparse += len(keys)
-        if self._sparse > SPARSE:
-            keys, counts = (np.concatenate([r[n] for r in self._runs]) for n in (0, 1))
-            order = np.argsort(keys, kind="stable")
-            keys, counts = keys[order], counts[order]
-            begins = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            self._runs = [(keys[begins], np.add.reduceat(counts, begins))]
-            self._sparse = len(begins)
-
-    def _handed_on(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self._runs.append((keys[sparse], counts[sparse]))
+        self._sparse += len(self._runs[-1][0])
+
+    def _add_up(self) -> None:
         keys, counts = (np.concatenate([r[n] for r in self._runs]) for n in (0, 1))
-        self._runs, self._sparse = [], 0
-        return keys >> 31, keys & 0x7FFFFFFF, counts
+        self._runs = []
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        begins = _begins(keys)
+        self._runs = [(keys[begins], np.add.reduceat(counts, begins))]
+        self._sparse = len(begins)
+
+    def _handed_on(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        runs, self._runs, self._sparse = self._runs, [], 0
+        for keys, counts in runs:
+            yield from self._parts(keys, counts)
+
+    def _parts(self, keys: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for low in range(0, len(keys), ROW):
+            yield *_pairs_of(keys[low : low + ROW]), counts[low : low + ROW]
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,8 +219,9 @@ def _encoded(texts: DataFrame, words: DataFrame) -> DataFrame:
 def _encoder(sent, again: bool, last: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, dict[bytes, int]] = {}
-        for lang, word, n in zip(*(sent.value[c].to_pylist() for c in ("lang", "word", "id")), strict=True):
-            known.setdefault(lang, {})[word] = n
+        for part in sent.value.to_batches(ROW):
+            for lang, word, n in zip(*(part[c].to_pylist() for c in ("lang", "word", "id")), strict=True):
+                known.setdefault(lang, {})[word] = n
         rows, size = [], 0
         end = np.array([-1], "<i4")
         for batch in batches:
@@ -236,15 +278,16 @@ def _longer(encoded: DataFrame, lookups: list[DataFrame], least: int) -> DataFra
         sent = context.broadcast(tables)
         counted = encoded.mapInArrow(_counter(sent, len(sets) == 1), "left long, word long, n long")
         found = counted if found is None else found.unionAll(counted)
-    return found.groupBy("left", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    # the tasks have added up what they can, so sums are taken behind the shuffle alone
+    found = found.repartition("left", "word").groupBy("left", "word").agg(F.sum("n").alias("n"))
+    return stage(found.where(F.col("n") >= least))
 
 
 def _counter(sent, whole: bool):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tiles = PairTiles()
         for batch in batches:
-            for row in batch["ids"]:
-                words = np.frombuffer(row.as_py(), "<i4").astype(np.int64)
+            for words in _stretches(batch["ids"], len(sent.value) + 1):
                 unit = words
                 for keys, ids in sent.value:
                     left, right = unit[:-1], words[len(words) - len(unit) + 1 :]
@@ -261,8 +304,16 @@ def _counter(sent, whole: bool):
     return count
 
 
+def _stretches(rows: pa.Array, more: int) -> Iterator[np.ndarray]:
+    """The ids of encoded rows by ROW, each stretch with as many as ``more`` that follow it."""
+    for row in rows:
+        ids = np.frombuffer(row.as_buffer(), "<i4")
+        for low in range(0, len(ids), ROW):
+            yield ids[low : low + ROW + more].astype(np.int64)
+
+
 def _pairs(found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)) for a in found], ["left", "word", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(a) for a in found], ["left", "word", "n"])
 
 
 def _with(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
@@ -298,22 +349,23 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, top: int =
         raise ValueError("longest is 2, 3 or 4")
     ship(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string"))
-    counts = texts.mapInArrow(_counted, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counts = stage(counts.where(F.col("word").isNull() | (F.col("n") >= least)))
-    words = stage(_ranked(counts.where("word is not null"), "id", "lang", "word"))
-    encoded = _encoded(texts, words)
-
     levels: list[DataFrame] = []
-    for size in range(2, longest + 1):
-        rows = _ranked(_longer(encoded, levels, least), "id", "left", "word")
-        first = F.col("id") if size == 2 else F.col("left")  # pairs' ids: of themselves, of a triple's left
-        if size == 2:
-            spelt = F.array("left", "word")
-            rows = rows.withColumn("ids", spelt)
-        else:
-            before = levels[-1].select(F.col("id").alias("left"), F.col("ids").alias("_ids"))
-            rows = _with(rows, before, "left").withColumn("ids", F.array_append("_ids", F.col("word"))).drop("_ids")
-        levels.append(stage(rows.withColumn("first", first)))
+    with _small_batches(docs.sparkSession):
+        counts = texts.mapInArrow(_counted, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+        counts = stage(counts.where(F.col("word").isNull() | (F.col("n") >= least)))
+        words = stage(_ranked(counts.where("word is not null"), "id", "lang", "word"))
+        encoded = _encoded(texts, words)
+
+        for size in range(2, longest + 1):
+            rows = _ranked(_longer(encoded, levels, least), "id", "left", "word")
+            first = F.col("id") if size == 2 else F.col("left")  # pairs' ids: of themselves, of a triple's left
+            if size == 2:
+                spelt = F.array("left", "word")
+                rows = rows.withColumn("ids", spelt)
+            else:
+                before = levels[-1].select(F.col("id").alias("left"), F.col("ids").alias("_ids"))
+                rows = _with(rows, before, "left").withColumn("ids", F.array_append("_ids", F.col("word"))).drop("_ids")
+            levels.append(stage(rows.withColumn("first", first)))
 
     candidates = levels[0].select("ids", "n")
     for rows in levels[1:]:
