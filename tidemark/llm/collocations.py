@@ -22,8 +22,8 @@ EDGE = 1 << BITS
 DENSE = 1 << 10  # pairs of a buffer that make a tile dense
 MOST_DENSE = 16  # dense tiles that a task holds, 2 MB each
 BUFFER = 1 << 18  # pairs that a task gathers before it counts them
-SPARSE = 1 << 20  # counted sparse pairs from which a task adds them up, and hands them on if half stay
-WORDS = 1 << 19  # distinct words that a task counts before it hands them on
+SPARSE = 1 << 19  # counted sparse pairs from which a task adds them up, and hands them on if half stay
+WORDS = 1 << 18  # distinct words that a task counts before it hands them on
 ROW = 1 << 16  # words of an encoded row, unless one document has more; rows of a batch
 BLOCK_BYTES = 64 << 20  # of a lookup that is sent to the workers at a time
 BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20  # of rows that a task sends to Python at a time
