@@ -3,10 +3,11 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tests.test_oracle import SF_DIR
-from tidemark.llm.packing import lengths_of, pack_pow2, write_buckets
+from tidemark.llm import packing
+from tidemark.llm.packing import WordIds, lengths_of, pack_pow2, write_buckets
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -46,3 +47,35 @@ def test_buckets_and_empty_table(spark, tmp_path):
     assert pack_pow2(docs.where("doc_id > 9"), FILE).count() == 0
     crc = pack_pow2(docs, FILE).selectExpr("crc32(ids) c", "ids").first()
     assert crc["c"] == zlib.crc32(bytes(crc["ids"]))
+
+
+def test_words_of_letters_go_to_the_model_at_once(monkeypatch):
+    """And forgetting them changes no ids."""
+    tokenizer, rng = Tokenizer.from_file(FILE), np.random.default_rng(3)
+    latin = [c for c in map(chr, range(ord(packing.LATIN) + 1)) if c.isalpha() and c != "İ" and c.lower() <= packing.LATIN]
+    words = ["", *latin, "".join(latin), *("".join(rng.choice(latin, n)) for n in rng.integers(1, 30, 300))]
+    words += ["Straße.", "ÜBUNG", 'LE!?"', "Éà.", "señor"]
+    want = {w: np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in [*words, *ODD[3:]]}
+
+    encoder, whole = WordIds(FILE), []
+    encode = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda w: whole.append(w) or encode(w))
+    assert {w: encoder[w] for w in words} == {w: want[w] for w in words}
+    assert set(whole) == {".", "!?\""}
+
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 3)
+    assert {t: encoder.ids(packing.words_of(t)) for t in want} == want
+    assert len(encoder) <= 3
+
+
+def test_letters_that_a_tokenizer_parts_are_none():
+    """Then, and where other special tokens may stand among letters, every word is encoded whole."""
+    for change in (
+        lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.Sequence([pre_tokenizers.Split("b", "isolated"), t.pre_tokenizer])),
+        lambda t: t.add_special_tokens(["bc"]),
+        lambda t: setattr(t, "normalizer", None),
+    ):
+        tokenizer = Tokenizer.from_file(FILE)
+        assert packing.letters_of(tokenizer)
+        change(tokenizer)
+        assert packing.letters_of(tokenizer) == {}

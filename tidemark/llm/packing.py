@@ -6,7 +6,6 @@ import string
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -16,7 +15,6 @@ from tidemark.llm.shared import ship
 
 PIECES = 4096  # pieces per Arrow batch that a task hands on
 KNOWN_WORDS = 1_000_000  # words a Python worker remembers before it forgets them all
-MARK = "<|endoftext|>"  # fixed: a special token of the vocabulary
 LATIN = "\u024f"  # up to here, what is a letter is settled
 PUNCTUATION = string.punctuation
 SCHEMA = (
@@ -24,58 +22,66 @@ SCHEMA = (
 )
 
 
-class WordIds:
-    """Token ids of a text, word by word: the tokenizer drops white space and never
-    joins what it parts, so each distinct word is encoded once and then remembered.
+class WordIds(dict):
+    """Token ids of a word, found when it is first asked for and then remembered: the
+    tokenizer drops white space and never joins what it parts, so a text's ids are those
+    of its words.
 
     Nor does it join a letter and the punctuation after it, and it reads all cases as
     one; so a word's ids are those of its lower-case stem and of its last punctuation.
+    A stem of Latin letters alone is a single piece to it and goes to its model at once.
     """
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
-        self._mark_id = self._tokenizer.token_to_id(MARK)
-        self._known: dict[str, bytes] = {"": b""}
-
-    def learn(self, texts: list[list[str]]) -> None:
-        known = self._known
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-            known[""] = b""
-        parts = {w: self._parts(w) for w in set().union(*texts).difference(known)}
-        self._encode(list({p for own in parts.values() for p in own}.difference(known)))
-        known.update((w, known[stem] + known[tail]) for w, (stem, tail) in parts.items() if w not in known)
-
-    @staticmethod
-    def _parts(word: str) -> tuple[str, str]:
-        stem = word.rstrip(PUNCTUATION)
-        if not stem or "<|" in word or stem[-1] > LATIN or not stem[-1].isalpha():
-            stem = word
-        return stem.lower() if stem.isascii() and "<|" not in word else stem, word[len(stem) :]
-
-    def _encode(self, words: list[str]) -> None:
-        """Many words at once, a special token between them; those that may hold one alone."""
-        plain = [w for w in words if "<|" not in w]
-        for low in range(0, len(plain), 2000):
-            part = plain[low : low + 2000]
-            ids = np.array(self._ids(MARK.join(part)), "<u4")
-            ends = np.r_[np.flatnonzero(ids == self._mark_id), len(ids)]
-            if len(ends) != len(part):
-                raise ValueError("the tokenizer has no special token to part words with")
-            code, starts = ids.tobytes(), np.r_[0, ends[:-1] + 1]
-            cuts = zip(part, (4 * starts).tolist(), (4 * ends).tolist(), strict=True)
-            self._known.update((w, code[a:b]) for w, a, b in cuts)
-        for w in words:
-            if "<|" in w:
-                self._known[w] = np.array(self._ids(w), "<u4").tobytes()
-
-    def _ids(self, text: str) -> list[int]:
-        return self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        self._model = self._tokenizer.model
+        self._code = [i.to_bytes(4, "little") for i in range(max(self._tokenizer.get_vocab().values()) + 1)]
+        letters = letters_of(self._tokenizer)
+        self._letters, self._given = frozenset(letters), str.maketrans(letters)
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = found = self._find(word)
+        return found
+
+    def _find(self, word: str) -> bytes:
+        stem = word
+        if not self._letters.issuperset(word):
+            stem = word.rstrip(PUNCTUATION)
+            if not stem or "<|" in word or stem[-1] not in self._letters:
+                return self._encode(word)
+            if not self._letters.issuperset(stem):
+                return self[stem] + self[word[len(stem) :]] if stem != word else self._encode(word)
+        lower = stem.lower()
+        if lower != word:
+            return self[lower] + self[word[len(stem) :]]
+        code = self._code
+        return b"".join([code[t.id] for t in self._model.tokenize(word.translate(self._given))])
+
+    def _encode(self, word: str) -> bytes:
+        code = self._code
+        return b"".join([code[i] for i in self._tokenizer.encode(word, add_special_tokens=False).ids])
 
     def ids(self, words: list[str]) -> bytes:
-        return b"".join(map(self._known.__getitem__, words))
+        return b"".join(map(self.__getitem__, words))
+
+
+def letters_of(tokenizer) -> dict[str, str]:
+    """Latin letters, and what the tokenizer hands to its model for each; none if it
+    parts a run of them, or has special tokens that do not start with <|."""
+
+    def pieces(text: str) -> list[str]:
+        return [p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(text))]
+
+    specials = tokenizer.get_added_tokens_decoder().values()
+    if tokenizer.normalizer is None or tokenizer.pre_tokenizer is None or not all(t.content.startswith("<|") for t in specials):
+        return {}
+    own = {c: pieces(c) for c in map(chr, range(ord(LATIN) + 1)) if c.isalpha()}
+    letters = {c: p[0] for c, p in own.items() if len(p) == 1 and p == pieces(c.lower())}
+    return letters if pieces("".join(letters)) == ["".join(letters.values())] else {}
 
 
 @lru_cache(maxsize=1)
@@ -117,25 +123,21 @@ def pack_pow2(docs: DataFrame, tokenizer_file: str, end_id: int = 2, longest: in
         out: list[tuple] = []
         size = 0
         for batch in batches:
-            for low in range(0, len(batch), 256):
-                part = batch.iloc[low : low + 256]
-                words = [words_of(t) for t in part["text"]]
-                encoder.learn(words)
-                for doc_id, own in zip(part["doc_id"], words, strict=True):
-                    doc_id = None if doc_id is None else int(doc_id)
-                    ids = encoder.ids(own) + end_id.to_bytes(4, "little")
-                    tokens, start = len(ids) // 4, 0
-                    for length in lengths_of(tokens, longest):
-                        bucket = length.bit_length() - 1
-                        piece = ids[4 * start : 4 * (start + length)]
-                        sequence = bucket << 58 | task << 34 | counters[bucket]
-                        out.append((doc_id, start, length, piece, tokens, sequence, 0, bucket))
-                        counters[bucket] += 1
-                        start += length
-                        size += length
-                    if len(out) >= PIECES or size >= PIECES * 1024:
-                        yield _frame(out)
-                        out, size = [], 0
+            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+                doc_id = None if doc_id is None else int(doc_id)
+                ids = encoder.ids(words_of(text)) + end_id.to_bytes(4, "little")
+                tokens, start = len(ids) // 4, 0
+                for length in lengths_of(tokens, longest):
+                    bucket = length.bit_length() - 1
+                    piece = ids[4 * start : 4 * (start + length)]
+                    sequence = bucket << 58 | task << 34 | counters[bucket]
+                    out.append((doc_id, start, length, piece, tokens, sequence, 0, bucket))
+                    counters[bucket] += 1
+                    start += length
+                    size += length
+                if len(out) >= PIECES or size >= PIECES * 1024:
+                    yield _frame(out)
+                    out, size = [], 0
         if out:
             yield _frame(out)
 
