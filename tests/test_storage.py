@@ -466,6 +466,22 @@ def test_leftovers_next_to_the_table_are_cleared(spark, tmp_path):
     assert not (tmp_path / "_dim__work").exists()
 
 
+def test_staged_rows_of_a_load_that_died_are_cleared_by_the_table_s_next(spark, tmp_path, monkeypatch):
+    def staged():
+        return set(Path(shared_folder(spark)).glob("tidemark-*"))
+
+    s, path, other, before = spec(2), str(tmp_path / "dim"), str(tmp_path / "dim2"), staged()
+    with monkeypatch.context() as patch:
+        patch.setattr(Directory, "delete", lambda *_: None)
+        load_batch(spark, s, frame(spark, [(1, "a")]), path, day(1))
+    assert len(staged() - before) == 2
+    load_batch(spark, s, frame(spark, [(1, "a")]), other, day(1))
+    assert len(staged() - before) == 2
+    load_batch(spark, s, frame(spark, [(1, "b")]), path, day(2))
+    assert not staged() - before
+    assert tuples(read_final(spark, s, path).where("current = 'Y'"), "k", "v") == [(1, "b")]
+
+
 def test_failed_merge_leaves_the_table(spark, tmp_path):
     s, path = spec(2), str(tmp_path / "dim")
     load_batch(spark, s, frame(spark, [(1, "a")]), path, day(1))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
+from hashlib import sha256
 from math import ceil
 from uuid import uuid4
 
@@ -443,9 +444,18 @@ def shared_folder(spark: SparkSession, path: str | None = None) -> str:
 
 
 def clear_work(spark: SparkSession, path: str) -> None:
-    """Removes what a load that crashed has left in the hidden folder next to its table."""
+    """Removes what a load that crashed has left in the hidden folder next to its table,
+    and of this table's rows in the folder that the session names. Under the writer's lock."""
     table = Directory(spark, path)
     table.delete(table.sibling("__work"))
+    shared = Directory(spark, shared_folder(spark, path))
+    for name in shared.names(f"{_staged_prefix(table)}*", folder=literal(shared.path))[1]:
+        shared.delete(f"{shared.path}/{name}")
+
+
+def _staged_prefix(table: Directory) -> str:
+    """Begins the names of folders with staged rows of one table."""
+    return f"tidemark-{sha256(table.path.encode()).hexdigest()[:16]}-"
 
 
 class Staged:
@@ -460,8 +470,9 @@ class Staged:
         self._df = df
         self._asked = {name: c.alias(name) for name, c in seen.items()}
         self.seen: dict = {}
-        folder = shared_folder(df.sparkSession, path)
-        self._dir = Directory(df.sparkSession, f"{folder}/tidemark-{uuid4().hex}")
+        spark = df.sparkSession
+        prefix = _staged_prefix(Directory(spark, path))
+        self._dir = Directory(spark, f"{shared_folder(spark, path)}/{prefix}{uuid4().hex}")
 
     def __enter__(self) -> DataFrame:
         try:
