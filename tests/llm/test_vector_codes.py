@@ -74,6 +74,33 @@ def test_bounds_settle_most_parts_and_follow_the_depth():
     assert V._adapted(np.array([50, 5, 1, 0, 0, 60]), 4) == 8 and V._adapted(np.array([900] + [9] + [0] * 31 + [1]), 32) == V.LEAST_BOUNDS
 
 
+def test_fewer_bounds_than_the_last_round_looked_behind(spark, monkeypatch):
+    """Where the bounds become fewer, some parts still look behind more of the old ones."""
+    rng = np.random.default_rng(11)
+    x = rng.integers(-600, 600, size=(600, 4)).astype(np.int64)
+    book = x[:40].copy()
+    new = book + rng.integers(-150, 151, size=book.shape)
+    moves = np.nextafter(np.sqrt(((new - book) ** 2).sum(1)), np.inf)
+    wide, narrow = (V.moved(V.scanned(x, book, 16), x, new, moves, kept) for kept in (16, 2))
+    local = (wide.depth > 0) & (wide.depth < 17)
+    assert (wide.depth[local] > 3).any()
+    assert (narrow.depth[local] == np.minimum(wide.depth[local], 2)).all()
+    assert (narrow.depth[wide.depth == 17] == 3).all() and (narrow.own == V.squared(x, new).argmin(1)).all()
+
+    adapted = []
+    monkeypatch.setattr(V, "LEAST_BOUNDS", 1)
+    monkeypatch.setattr(V, "_adapted", lambda depths, bounds: adapted.append((len(depths), bounds)) or (16, 16, 1, 1)[len(adapted) - 1])
+    vectors = rng.normal(size=(600, 8))
+    vectors[300:] = vectors[:300] + 0.01
+    df = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(vectors)], "id long, x array<double>").repartition(3)
+    got, books = V.compress_vectors(df, "id", "x", parts=2, entries=40, rounds=4)
+    codes, errors, want = plain(vectors, 2, 40, 4)
+    rows = sorted(got.collect(), key=lambda r: r["id"])
+    assert books.entries.tolist() == want
+    assert [r["codes"] for r in rows] == codes and [r["error"] for r in rows] == errors
+    assert adapted == [(b + 2, b) for b in (5, 16, 16, 1)]
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     good = clustered(20, 4, 9).tolist()

@@ -107,7 +107,8 @@ def moved(last: Nearest, x: np.ndarray, book: np.ndarray, moves: np.ndarray, kep
     local = upper[open_rows] < outer[open_rows]
     rows = open_rows[local]
     if len(rows):
-        depth[rows] = (lower[rows] <= upper[rows, None]).sum(1)
+        # the last round may have kept more bounds than this one does
+        depth[rows] = np.minimum((lower[rows] <= upper[rows, None]).sum(1), kept)
         entries = np.concatenate([own[rows, None], near[rows].astype(np.int64)], 1)
         absent = entries == NONE
         found = _to_some(x[rows], book, np.where(absent, 0, entries))
