@@ -1,6 +1,8 @@
 """Product codes against a plain integer k-means."""
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tidemark.llm import vector_codes as V
@@ -101,6 +103,25 @@ def test_fewer_bounds_than_the_last_round_looked_behind(spark, monkeypatch):
     assert adapted == [(b + 2, b) for b in (5, 16, 16, 1)]
 
 
+def test_what_is_kept_between_rounds_is_stored_as_it_is_and_small():
+    rng = np.random.default_rng(12)
+    x = (rng.normal(size=(3000, 4, 16)) / 8 * V.SCALE).astype(np.int64)
+    parts = [V.scanned(x[:, p], x[:256, p], 32) for p in range(4)]
+    parts[0] = parts[0]._replace(outer=np.full(3000, np.inf, np.float32))
+    records = V._packed(parts)
+    for was, now in zip(parts, V._unpacked(records, 4, 32), strict=True):
+        for a, b in zip(was, now, strict=True):
+            assert a.shape == b.shape and (a == b).all()
+    stored = pa.BufferOutputStream()
+    pq.write_table(pa.table({"state": pa.array(records, pa.binary())}), stored, compression="snappy", use_dictionary=False)
+    assert stored.tell() < 450 * len(x)  # 816 with the bytes of each number together
+
+    y = np.r_[0.0, 1e-45, 3e-39, rng.random(2000) * 10.0 ** rng.integers(-6, 9, 2000), np.inf]
+    assert (V._down(y) <= y).all() and (V._up(y) >= y).all() and (V._down(y) >= 0).all()
+    assert np.allclose(V._down(y[3:-1]), y[3:-1], rtol=1e-4) and np.allclose(V._up(y[3:-1]), y[3:-1], rtol=1e-4)
+    assert V._up(y)[-1] == np.inf and V._down(-y[:-1]).max() == 0
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     good = clustered(20, 4, 9).tolist()

@@ -38,12 +38,15 @@ class Nearest(NamedTuple):
 
 
 def _down(x: np.ndarray) -> np.ndarray:
-    """A 32-bit number that is no more than ``x``."""
-    return np.maximum(np.nextafter(x.astype(np.float32), np.float32(-np.inf)), 0)
+    """A 32-bit number that is no more than ``x`` and whose last byte is zero, so that it
+    takes three bytes where it is stored."""
+    near = np.maximum(np.nextafter(x.astype(np.float32), np.float32(-np.inf)), np.float32(0))
+    return (near.view(np.uint32) & np.uint32(0xFFFFFF00)).view(np.float32)
 
 
 def _up(x: np.ndarray) -> np.ndarray:
-    return np.nextafter(x.astype(np.float32), np.float32(np.inf))
+    near = np.nextafter(x.astype(np.float32), np.float32(np.inf))
+    return ((near.view(np.uint32) + np.uint32(0xFF)) & np.uint32(0xFFFFFF00)).view(np.float32)
 
 
 def squared(x: np.ndarray, book: np.ndarray) -> np.ndarray:
@@ -148,22 +151,30 @@ class Codebooks(NamedTuple):
 
 
 def _packed(parts: list[Nearest]) -> list[bytes]:
-    """One record per vector of what is kept of all parts."""
-    columns = []
+    """One record per vector of what is kept of all parts: the low bytes of all entries,
+    then the high ones, and the bounds' bytes in the same way, which compress to half."""
+    ids, bounds = [], []
     for p in parts:
-        columns += [p.own.astype("<u2")[:, None], p.near.astype("<u2"), p.depth.astype("<u2")[:, None]]
-    for p in parts:
-        columns += [p.upper[:, None], p.lower, p.outer[:, None]]
-    raw = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1) for c in columns]
-    table = np.concatenate(raw, 1)
+        ids += [p.own.astype("<u2")[:, None], p.near.astype("<u2"), p.depth.astype("<u2")[:, None]]
+        bounds += [p.upper[:, None], p.lower, p.outer[:, None]]
+    table = np.concatenate([_planes(np.concatenate(ids, 1)), _planes(np.concatenate(bounds, 1).astype("<f4"))], 1)
     return [r.tobytes() for r in table]
 
 
+def _planes(rows: np.ndarray) -> np.ndarray:
+    single = np.ascontiguousarray(rows).view(np.uint8).reshape(*rows.shape, rows.itemsize)
+    return single.transpose(0, 2, 1).reshape(len(rows), -1)
+
+
 def _unpacked(records: list[bytes], parts: int, kept: int) -> list[Nearest]:
     table = np.frombuffer(b"".join(records), np.uint8).reshape(len(records), -1)
-    cut = 2 * parts * (kept + 2)
-    ids = np.ascontiguousarray(table[:, :cut]).view("<u2").reshape(len(records), parts, kept + 2)
-    bounds = np.ascontiguousarray(table[:, cut:]).view("<f4").reshape(len(records), parts, kept + 2)
+    each = parts * (kept + 2)
+
+    def whole(planes: np.ndarray, kind: str) -> np.ndarray:
+        single = planes.reshape(len(records), -1, each).transpose(0, 2, 1)
+        return np.ascontiguousarray(single).view(kind).reshape(len(records), parts, kept + 2)
+
+    ids, bounds = whole(table[:, : 2 * each], "<u2"), whole(table[:, 2 * each :], "<f4")
     return [
         Nearest(i[:, 0].astype(np.int64), b[:, 0].copy(), i[:, 1:-1], b[:, 1:-1], b[:, -1].copy(), i[:, -1].astype(np.int64))
         for i, b in ((ids[:, p], bounds[:, p]) for p in range(parts))
