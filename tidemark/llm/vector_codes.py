@@ -171,10 +171,13 @@ def _unpacked(records: list[bytes], parts: int, kept: int) -> list[Nearest]:
     each = parts * (kept + 2)
 
     def whole(planes: np.ndarray, kind: str) -> np.ndarray:
-        single = planes.reshape(len(records), -1, each).transpose(0, 2, 1)
-        return np.ascontiguousarray(single).view(kind).reshape(len(records), parts, kept + 2)
+        planes = planes.reshape(len(records), -1, each)
+        numbers = planes[:, 0].astype(kind)
+        for n in range(1, planes.shape[1]):
+            numbers |= planes[:, n].astype(kind) << (8 * n)
+        return numbers.reshape(len(records), parts, kept + 2)
 
-    ids, bounds = whole(table[:, : 2 * each], "<u2"), whole(table[:, 2 * each :], "<f4")
+    ids, bounds = whole(table[:, : 2 * each], "<u2"), whole(table[:, 2 * each :], "<u4").view("<f4")
     return [
         Nearest(i[:, 0].astype(np.int64), b[:, 0].copy(), i[:, 1:-1], b[:, 1:-1], b[:, -1].copy(), i[:, -1].astype(np.int64))
         for i, b in ((ids[:, p], bounds[:, p]) for p in range(parts))
